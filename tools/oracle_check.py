@@ -9,6 +9,7 @@ that last-bit summation noise is told apart from real differences.
 
 from __future__ import annotations
 
+import datetime
 import math
 import os
 import sys
@@ -36,7 +37,9 @@ def _canon(v, digits=None):
         except (ValueError, AttributeError):
             pass
     if isinstance(v, pd.Timestamp):
-        return v.to_pydatetime().replace(tzinfo=None)
+        v = v.to_pydatetime()
+    if isinstance(v, datetime.datetime) and v.tzinfo is not None:
+        return v.astimezone(datetime.timezone.utc).replace(tzinfo=None)
     if isinstance(v, (list, tuple)):
         return tuple(_canon(x, digits) for x in v)
     if hasattr(v, "tolist"):
@@ -44,11 +47,10 @@ def _canon(v, digits=None):
     return v
 
 
-def _rows(pdf: pd.DataFrame, digits=None):
-    cols = sorted(pdf.columns)
-    out = []
-    for rec in pdf[cols].itertuples(index=False, name=None):
-        out.append(tuple(_canon(x, digits) for x in rec))
+def _rows(tbl, digits=None):
+    cols = sorted(tbl.column_names)
+    data = tbl.select(cols).to_pylist()
+    out = [tuple(_canon(r[c], digits) for c in cols) for r in data]
     return cols, sorted(out, key=repr)
 
 
@@ -62,12 +64,14 @@ def duck_connection(sf_dir: str):
 def compare(spark, con, name, q, sf_dir):
     t0 = time.time()
     sdf = q.fn(spark, sf_dir)
-    spdf = sdf.toPandas()
+    spdf = sdf.toArrow()
     ts = time.time() - t0
     if q.sql is None:
-        return {"name": name, "status": "rows-only", "rows": len(spdf), "sec": round(ts, 2)}
-    opdf = con.sql(q.sql).df()
-    res = {"name": name, "rows_spark": len(spdf), "rows_oracle": len(opdf), "sec": round(ts, 2)}
+        return {"name": name, "status": "rows-only", "rows": spdf.num_rows, "sec": round(ts, 2)}
+    opdf = con.sql(q.sql).arrow()
+    if hasattr(opdf, "read_all"):
+        opdf = opdf.read_all()
+    res = {"name": name, "rows_spark": spdf.num_rows, "rows_oracle": opdf.num_rows, "sec": round(ts, 2)}
     sc, sr = _rows(spdf)
     oc, orows = _rows(opdf)
     if sc != oc:
