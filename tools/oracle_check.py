@@ -98,7 +98,7 @@ def main(argv):
     sf_dir = argv[1] if len(argv) > 1 and argv[1].startswith("/") else "/root/testdata/sf0.01"
     names = [a for a in argv[1:] if not a.startswith("/")]
     from tidepool.plans import REGISTRY
-    spark = build_session("local[8]", 8)
+    spark = build_session("local[8]", 8, extra={"spark.ui.showConsoleProgress": "false"})
     spark.sparkContext.setLogLevel("ERROR")
     con = duck_connection(sf_dir)
     bad = 0
