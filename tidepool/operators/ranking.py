@@ -95,3 +95,32 @@ def quantile_row(df: DataFrame, cols: list[str], probs: list[float], names: list
     aggs = [F.max(F.when(F.col("p") == float(p), F.col("value"))).alias(nm)
             for p, nm in zip(probs, names)]
     return q.groupBy("column").agg(*aggs)
+
+
+def prefix_sums(df: DataFrame, order_cols: list[str], value_cols: list[str],
+                group_cols: list[str] | None = None, suffix: str = "_cum",
+                num_partitions: int | None = None) -> DataFrame:
+    """Inclusive running sums of ``value_cols`` under ``order_cols`` (within groups).
+
+    Same layout as ``global_rank``: range partitions (checkpointed), running
+    sums inside each partition, per-partition totals turned into offsets and
+    broadcast back (one row per partition and group).
+    """
+    group_cols = group_cols or []
+    checkpoint_dir(df.sparkSession)
+    n = _num_partitions(df, num_partitions)
+    keys = [*group_cols, *order_cols]
+    positioned = (df.repartitionByRange(n, *keys)
+                  .withColumn("_pid", F.spark_partition_id())
+                  .checkpoint(eager=True))
+    local_w = (Window.partitionBy("_pid", *group_cols).orderBy(*order_cols)
+               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    local = positioned.select("*", *[F.sum(v).over(local_w).alias(f"_l_{v}") for v in value_cols])
+    totals = positioned.groupBy("_pid", *group_cols).agg(*[F.sum(v).alias(f"_t_{v}") for v in value_cols])
+    before = Window.partitionBy(*group_cols).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select("_pid", *group_cols, *[
+        F.coalesce(F.sum(f"_t_{v}").over(before), F.lit(0)).alias(f"_o_{v}") for v in value_cols])
+    out = local.join(bounded_broadcast(offsets), ["_pid", *group_cols])
+    for v in value_cols:
+        out = out.withColumn(f"{v}{suffix}", F.col(f"_o_{v}") + F.col(f"_l_{v}"))
+    return out.drop("_pid", *[f"_l_{v}" for v in value_cols], *[f"_o_{v}" for v in value_cols])
