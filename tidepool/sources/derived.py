@@ -23,8 +23,8 @@ def _event_end(ts: Column, value: Column) -> Column:
                               + F.round(value * 1000000).cast("bigint"))
 
 
-def diagnostic_records(events: DataFrame, damaged: bool = False) -> DataFrame:
-    """One diagnostic access-log document (JSON text, column ``RawJson``) per event.
+def _doc_struct(damaged: bool) -> Column:
+    """One diagnostic access-log document per event, as a struct column.
 
     Invented but fixed mapping: ``durationMs`` is present for click/view events
     and absent otherwise (so the duration falls back to end - start).  With
@@ -84,7 +84,17 @@ def diagnostic_records(events: DataFrame, damaged: bool = False) -> DataFrame:
         F.concat(F.lit("/workspaces/ws-"), F.pmod(uid, F.lit(10)).cast("string")).alias("resourceId"),
         data.alias("data"),
     )
-    return events.select(F.to_json(doc).alias("RawJson"))
+    return doc
+
+
+def diagnostic_records(events: DataFrame, damaged: bool = False) -> DataFrame:
+    """One diagnostic document per event as JSON text (column ``RawJson``)."""
+    return events.select(F.to_json(_doc_struct(damaged)).alias("RawJson"))
+
+
+def diagnostic_docs(events: DataFrame, damaged: bool = False) -> DataFrame:
+    """The same documents as nested columns, ready for ``write.json``."""
+    return events.select(_doc_struct(damaged).alias("d")).select("d.*")
 
 
 # DuckDB twin of the flattened (typed) diagnostic table, straight from events.
