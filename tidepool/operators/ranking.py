@@ -124,3 +124,29 @@ def prefix_sums(df: DataFrame, order_cols: list[str], value_cols: list[str],
     for v in value_cols:
         out = out.withColumn(f"{v}{suffix}", F.col(f"_o_{v}") + F.col(f"_l_{v}"))
     return out.drop("_pid", *[f"_l_{v}" for v in value_cols], *[f"_o_{v}" for v in value_cols])
+
+
+def grouped_quantiles(df: DataFrame, value_col: str, group_cols: list[str], probs: list[float]) -> DataFrame:
+    """Exact linear-interpolated quantiles of ``value_col`` per group.
+
+    Returns (group..., p, value).  Same rank-based method as ``exact_quantiles``:
+    a hot group is still spread over many range partitions.
+    """
+    vals = df.select(*group_cols, F.col(value_col).cast("double").alias("v")).where(F.col("v").isNotNull())
+    ranked = global_rank(vals, ["v"], name="_r", group_cols=group_cols)
+    sizes = vals.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_n"))
+    plist = F.array(*[F.lit(float(p)) for p in probs])
+    targets = (sizes.select(*group_cols, "_n", F.explode(plist).alias("p"))
+               .withColumn("_pos", F.col("p") * (F.col("_n") - 1))
+               .withColumn("_lo", F.floor("_pos") + 1)
+               .withColumn("_hi", F.ceil("_pos") + 1)
+               .withColumn("_frac", F.col("_pos") - F.floor("_pos")))
+    need = targets.select(*group_cols, F.explode(F.array("_lo", "_hi")).alias("_r")).distinct()
+    # `need` has at most 2 x len(probs) rows per group: it grows with the number
+    # of groups, so it joins by shuffle (no broadcast without a bound).
+    picked = ranked.join(need, [*group_cols, "_r"]).select(*group_cols, "_r", "v")
+    lo = picked.select(*group_cols, F.col("_r").alias("_lo"), F.col("v").alias("_vlo"))
+    hi = picked.select(*group_cols, F.col("_r").alias("_hi"), F.col("v").alias("_vhi"))
+    res = targets.join(lo, [*group_cols, "_lo"]).join(hi, [*group_cols, "_hi"])
+    value = F.col("_vlo") + (F.col("_vhi") - F.col("_vlo")) * F.col("_frac")
+    return res.select(*group_cols, "p", value.alias("value"))
