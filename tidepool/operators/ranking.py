@@ -4,8 +4,9 @@
 task.  Instead rows are range-partitioned on the sort key (Spark samples the
 key, so a value holding a third of the rows is still split by the tiebreak
 columns), sorted within each partition, numbered locally, and the per-partition
-counts -- one row per partition and group, a bounded table -- are turned into
-offsets that are broadcast back.
+counts -- one row per partition (and group) -- are turned into offsets that
+are joined back: broadcast when ungrouped (bounded by the partition count),
+size-checked before broadcast when grouped.
 
 The range-partitioned frame is cut with ``checkpoint()`` into the shared
 checkpoint folder: counts and positions must come from the same partitioning,
@@ -17,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidepool.operators.joins import bounded_broadcast
+from tidepool.operators.joins import bounded_broadcast, checked_broadcast
 from tidepool.session import checkpoint_dir
 
 _LOCAL_BITS = 33  # monotonically_increasing_id = partition << 33 | position
@@ -54,7 +55,10 @@ def global_rank(df: DataFrame, order_cols: list[str | Column], name: str = "rank
         F.coalesce(F.sum("_n").over(Window.partitionBy(*group_cols).orderBy("_pid")
                                     .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
     ).select("_pid", *group_cols, "_offset", "_first_mid")
-    out = positioned.join(bounded_broadcast(offsets), ["_pid", *group_cols])
+    # Without groups the offsets table has one row per partition (bounded);
+    # with groups it has about partitions + groups rows, so its size is checked.
+    side = bounded_broadcast(offsets) if not group_cols else checked_broadcast(offsets)
+    out = positioned.join(side, ["_pid", *group_cols])
     # Rows of one group inside one partition are contiguous in sort order, so
     # position within the group = _mid - first _mid of that group there.
     out = out.withColumn(name, F.col("_offset") + (F.col("_mid") - F.col("_first_mid")) + 1)
@@ -120,7 +124,8 @@ def prefix_sums(df: DataFrame, order_cols: list[str], value_cols: list[str],
     before = Window.partitionBy(*group_cols).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select("_pid", *group_cols, *[
         F.coalesce(F.sum(f"_t_{v}").over(before), F.lit(0)).alias(f"_o_{v}") for v in value_cols])
-    out = local.join(bounded_broadcast(offsets), ["_pid", *group_cols])
+    side = bounded_broadcast(offsets) if not group_cols else checked_broadcast(offsets)
+    out = local.join(side, ["_pid", *group_cols])
     for v in value_cols:
         out = out.withColumn(f"{v}{suffix}", F.col(f"_o_{v}") + F.col(f"_l_{v}"))
     return out.drop("_pid", *[f"_l_{v}" for v in value_cols], *[f"_o_{v}" for v in value_cols])
