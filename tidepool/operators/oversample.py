@@ -3,8 +3,8 @@
 kNN without a cross join and without emitting all pairs:
 
 1. per group, up to ``pivots`` rows (smallest key hash) become pivots; each row
-   is assigned to its nearest pivot (its *cell*) and sub-blocks of at most
-   ``block_rows`` rows split large cells;
+   is assigned to its nearest pivot (its *cell*) and large cells are cut into
+   hash sub-blocks of about ``block_rows`` rows;
 2. per cell: size and radius r (largest member-to-pivot distance);
 3. by the triangle inequality every point of cell c has its k-th neighbour
    within theta_c = r_c + (smallest d(p_c, p_c') + r_c' that covers k + 1 points),
@@ -60,17 +60,20 @@ def knn(df: DataFrame, id_col: str, vec_col: str, k: int = 5, group_cols: list[s
     gkey = F.concat_ws("\u0001", *[F.col(g).cast("string") for g in group_cols]) if group_cols else F.lit("")
     pts = df.select(gkey.alias("_g"), *group_cols, F.col(id_col).alias("_id"),
                     F.col(vec_col).cast("array<double>").alias("_v"))
-    # 1. pivots: the `pivots` smallest key hashes of each group (bounded, collected).
-    # Pivots per group grow with its size: one cell per ``block_rows`` rows, at
-    # most ``pivots`` (group sizes: one row per group, collected).
-    sizes = {r["_g"]: r["count"] for r in pts.groupBy("_g").count().collect()}
+    # 1. pivots: the P smallest key hashes of each group, P growing with the
+    # group (one cell per ``block_rows`` rows, at most ``pivots``).  A top-P
+    # window (partial per map task before the shuffle), bounded and collected.
+    sizes = {r["_g"]: r["count"] for r in pts.groupBy("_g").count().collect()}  # one row per group
     n_piv = {g: int(min(pivots, max(1, -(-n // block_rows)))) for g, n in sizes.items()}
-    piv_limit = F.create_map(*[x for g, p in n_piv.items() for x in (F.lit(g), F.lit(p))])
-    ranked = global_rank(pts.withColumn("_h", F.xxhash64("_id")), ["_h", "_id"], "_pr", ["_g"])
-    piv_rows = ranked.where(F.col("_pr") <= piv_limit[F.col("_g")]).select("_g", "_pr", "_v").collect()
+    hashed = pts.withColumn("_h", F.xxhash64("_id"))
+    top = Window.partitionBy("_g").orderBy("_h", "_id")
+    # A literal limit lets Spark plan the partial WindowGroupLimit.
+    piv_rows = (hashed.withColumn("_pr", F.row_number().over(top))
+                .where(F.col("_pr") <= pivots).select("_g", "_pr", "_v").collect())
     piv: dict[str, np.ndarray] = {}
     for r in sorted(piv_rows, key=lambda r: (r["_g"], r["_pr"])):
-        piv.setdefault(r["_g"], []).append(r["_v"])
+        if r["_pr"] <= n_piv[r["_g"]]:
+            piv.setdefault(r["_g"], []).append(r["_v"])
     piv = {g: np.asarray(v, dtype=np.float64) for g, v in piv.items()}
 
     assign_schema = T.StructType([T.StructField("_g", T.StringType()), T.StructField("_id", df.schema[id_col].dataType),
@@ -91,13 +94,17 @@ def knn(df: DataFrame, id_col: str, vec_col: str, k: int = 5, group_cols: list[s
             yield pd.DataFrame({"_g": pdf["_g"], "_id": pdf["_id"], "_v": pdf["_v"],
                                 "_cell": cells, "_dp": dps})
 
-    cells = ranked.select("_g", "_id", "_v").mapInPandas(assign, assign_schema)
-    # Sub-blocks of at most block_rows rows inside each cell.
-    cells = global_rank(cells, ["_id"], "_cr", ["_g", "_cell"])
-    cells = cells.withColumn("_blk", ((F.col("_cr") - 1) / block_rows).cast("int")).drop("_cr")
+    # The assignment feeds statistics, queries and candidates: cut it once.
+    cells = pts.select("_g", "_id", "_v").mapInPandas(assign, assign_schema).checkpoint(eager=True)
     # 2. cell statistics: one row per (group, cell), bounded by groups x pivots.
-    stats = cells.groupBy("_g", "_cell").agg(F.count(F.lit(1)).alias("n"), F.max("_dp").alias("r"),
-                                             F.max("_blk").alias("nblk")).collect()
+    stats = cells.groupBy("_g", "_cell").agg(F.count(F.lit(1)).alias("n"), F.max("_dp").alias("r")).collect()
+    # Sub-blocks: a cell of n rows is cut into ceil(n / block_rows) hash blocks.
+    nblk = {(s["_g"], s["_cell"]): max(1, -(-s["n"] // block_rows)) for s in stats}
+    nblk_map = F.create_map(*[x for (g, c), b in nblk.items()
+                              for x in (F.concat(F.lit(g), F.lit("#"), F.lit(str(c))), F.lit(b))])
+    cells = cells.withColumn("_blk", F.pmod(F.xxhash64("_id", F.lit(1)),
+                                            nblk_map[F.concat("_g", F.lit("#"), F.col("_cell").cast("string"))])
+                             .cast("int"))
     # 3. prune cell pairs with the triangle inequality.
     pairs = []
     by_g: dict[str, list] = {}
@@ -109,7 +116,7 @@ def knn(df: DataFrame, id_col: str, vec_col: str, k: int = 5, group_cols: list[s
         dpp = _sq_dist(P[idx], P[idx])
         n = np.array([s["n"] for s in ss])
         r = np.array([s["r"] for s in ss])
-        nb = np.array([s["nblk"] for s in ss])
+        nb = np.array([nblk[(g, s["_cell"])] - 1 for s in ss])
         for a in range(len(ss)):
             reach = dpp[a] + r
             order = np.argsort(reach, kind="stable")

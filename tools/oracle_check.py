@@ -54,6 +54,19 @@ def _rows(tbl, digits=None):
     return cols, sorted(out, key=repr)
 
 
+def _tname(t) -> str:
+    """Arrow type name with timestamp unit/zone and string flavours folded."""
+    import pyarrow as pa
+
+    if pa.types.is_timestamp(t):
+        return "timestamp"
+    if pa.types.is_large_string(t) or pa.types.is_string(t):
+        return "string"
+    if pa.types.is_large_list(t) or pa.types.is_list(t):
+        return f"list<{_tname(t.value_type)}>"
+    return str(t)
+
+
 def duck_connection(sf_dir: str):
     con = duckdb.connect()
     for t in DRIVER_TABLES:
@@ -80,6 +93,10 @@ def compare(spark, con, name, q, sf_dir):
     if len(sr) != len(orows):
         res["status"] = "ROWCOUNT"
         return res
+    st = {f.name: _tname(f.type) for f in spdf.schema}
+    ot = {f.name: _tname(f.type) for f in opdf.schema}
+    if st != ot:
+        res["types"] = {c: (st[c], ot[c]) for c in st if st[c] != ot.get(c)}
     if sr == orows:
         res["status"] = "exact"
         return res
