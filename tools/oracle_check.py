@@ -113,9 +113,14 @@ def compare(spark, con, name, q, sf_dir):
 
 def main(argv):
     sf_dir = argv[1] if len(argv) > 1 and argv[1].startswith("/") else "/root/testdata/sf0.01"
-    names = [a for a in argv[1:] if not a.startswith("/")]
+    names = [a for a in argv[1:] if not a.startswith("/") and not a.startswith("--")]
     from tidepool.plans import REGISTRY
-    spark = build_session("local[8]", 8, extra={"spark.ui.showConsoleProgress": "false"})
+    if "--plain" in argv:  # a session with Spark's defaults only, like an outside caller's
+        from pyspark.sql import SparkSession
+        spark = (SparkSession.builder.master("local[8]")
+                 .config("spark.ui.showConsoleProgress", "false").getOrCreate())
+    else:
+        spark = build_session("local[8]", 8, extra={"spark.ui.showConsoleProgress": "false"})
     spark.sparkContext.setLogLevel("ERROR")
     con = duck_connection(sf_dir)
     bad = 0
