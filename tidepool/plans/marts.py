@@ -58,17 +58,32 @@ def access_mart_daily(spark, sf_dir):
     return out.withColumn("p95_duration_ms", F.round("p95_duration_ms", 6))
 
 
+_ETL_RUN_SCHEMA = (
+    "RunId string, SourceSystem string, WorkspaceId string, WorkspaceName string, PipelineOrJobName string, "
+    "RunStartUtc timestamp, RunEndUtc timestamp, Status string, RowsRead bigint, RowsWritten bigint, "
+    "FilesProcessed bigint, ErrorMessage string, CommitHash string, IngestedTimeUtc timestamp")
+
+
 @query("etl_run_log", "DCL2,SNK10", sql="""
 SELECT 'Succeeded' AS Status, count(*) AS RowsRead, count(*) AS RowsWritten FROM events
 """)
 def etl_run_log(spark, sf_dir):
-    """Normalise the derived log to a table; the run row's counts come from
-    ``observe()`` on the frames themselves (no second pass to count)."""
+    """Normalise the derived log to a table and append this run to ``log_etl_run``;
+    the counts come from ``observe()`` on the frames (no second pass to count)."""
+    import datetime as dt
+    import os
+    import uuid
+
     from pyspark.sql import Observation
 
-    target = scratch_path(spark, "etl")
+    base = scratch_path(spark, "etl")
+    start = dt.datetime.now(dt.timezone.utc)
     read_obs = Observation("read")
     raw = derived.diagnostic_records_from_tables(spark, sf_dir).observe(read_obs, F.count(F.lit(1)).alias("n"))
-    written = sinks.overwrite_path(jsonlog.flatten_access_log(raw), target)
-    row = [("Succeeded", int(read_obs.get["n"]), int(written["rows"]))]
-    return spark.createDataFrame(row, "Status string, RowsRead bigint, RowsWritten bigint")
+    written = sinks.overwrite_path(jsonlog.flatten_access_log(raw), os.path.join(base, "log_event_access"))
+    end = dt.datetime.now(dt.timezone.utc)
+    run = [(uuid.uuid4().hex, "derived-events", None, None, "normalise_access_log", start, end, "Succeeded",
+            int(read_obs.get["n"]), int(written["rows"]), None, None, None, end)]
+    log_path = os.path.join(base, "log_etl_run")
+    spark.createDataFrame(run, _ETL_RUN_SCHEMA).write.mode("append").parquet(log_path)
+    return spark.read.parquet(log_path).select("Status", "RowsRead", "RowsWritten")

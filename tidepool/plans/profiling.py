@@ -85,15 +85,14 @@ def column_roles(spark, sf_dir):
 _LI_NUM = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
 
-def _li_union(template: str) -> str:
-    return "\nUNION ALL ".join(template.format(c=c) for c in _LI_NUM)
+_SUMMARY_SQL = "\nUNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", count({c}) AS count, CAST(count(*) - count({c}) AS BIGINT) AS null_count, "
+    f"count(DISTINCT {c}) AS n_distinct, CAST(sum(CAST({c} AS DECIMAL(38,6))) AS DOUBLE) / count({c}) AS mean, "
+    f"round(stddev_samp({c}), 6) AS stddev, CAST(min({c}) AS DOUBLE) AS min, CAST(max({c}) AS DOUBLE) AS max "
+    f"FROM lineitem" for c in _LI_NUM)
 
 
-@query("table_summary", "AGG3", sql="SELECT " + _li_union(
-    "'{c}' AS \"column\", count({c}) AS count, CAST(count(*) - count({c}) AS BIGINT) AS null_count, "
-    "count(DISTINCT {c}) AS n_distinct, CAST(sum(CAST({c} AS DECIMAL(38,6))) AS DOUBLE) / count({c}) AS mean, round(stddev_samp({c}), 6) AS stddev, "
-    "CAST(min({c}) AS DOUBLE) AS min, CAST(max({c}) AS DOUBLE) AS max FROM lineitem").replace(
-    "\nUNION ALL ", "\nUNION ALL SELECT "))
+@query("table_summary", "AGG3", sql=_SUMMARY_SQL)
 def table_summary(spark, sf_dir):
     li = tables.load(spark, sf_dir, "lineitem", _LI_NUM)
     s = profile.table_summary(li, _LI_NUM)
