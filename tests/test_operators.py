@@ -167,3 +167,13 @@ def test_class_balance_share(spark):
     got = {r["class"]: (r["count"], r["share"]) for r in profile.class_balance(df, "y").collect()}
     assert got == {1: (2, 0.2), 0: (8, 0.8)}
     assert math.isclose(sum(v[1] for v in got.values()), 1.0)
+
+
+def test_smote_chunked_quota_equals_plain(spark):
+    rng = np.random.default_rng(9)
+    rows = [(i, float(rng.normal()), 1 if i < 6 else 0) for i in range(120)]
+    df = spark.createDataFrame(rows, "k long, a double, y int")
+    plain = oversample.smote(df, "y", ["a"], "k", k=3, seed=4)
+    chunked = oversample.smote(df, "y", ["a"], "k", k=3, seed=4, chunk_rows=5)
+    assert plain.count() == 228
+    assert plain.exceptAll(chunked).count() == 0 and chunked.exceptAll(plain).count() == 0

@@ -173,7 +173,8 @@ def knn(df: DataFrame, id_col: str, vec_col: str, k: int = 5, group_cols: list[s
 
 
 def smote(df: DataFrame, label_col: str, feature_cols: list[str], key_col: str,
-          minority=None, k: int = 5, seed: int = 12345, **knn_opts) -> DataFrame:
+          minority=None, k: int = 5, seed: int = 12345, chunk_rows: int = 100_000,
+          **knn_opts) -> DataFrame:
     """SMOTE: add synthetic minority rows until both classes have the same count.
 
     Each minority row (in ``md5(seed|key)`` order) is the base of
@@ -206,9 +207,18 @@ def smote(df: DataFrame, label_col: str, feature_cols: list[str], key_col: str,
     bases = global_rank(mino.withColumn("_h", h), ["_h", key_col], "_r")
     per, extra = divmod(total_new, n_min)
     quota = F.lit(per) + (F.col("_r") <= extra).cast("int")
-    gen = (bases.where(quota > 0)
-           .select(F.col(key_col).alias("_b"), "_vec",
-                   F.explode(F.sequence(F.lit(0), quota - 1)).alias("j")))
+    with_q = bases.where(quota > 0).select(F.col(key_col).alias("_b"), "_vec", quota.alias("_q"))
+    if per + 1 > chunk_rows:
+        # Extreme imbalance: cut each base's quota into chunks spread over
+        # tasks, so no task generates more than ``chunk_rows`` rows of one base.
+        n_chunks = F.ceil(F.col("_q") / chunk_rows).cast("int")
+        with_q = (with_q.select("*", F.explode(F.sequence(F.lit(0), n_chunks - 1)).alias("_c"))
+                  .repartition("_b", "_c"))
+        lo = F.col("_c") * chunk_rows
+        hi = F.least(F.col("_q"), lo + chunk_rows) - 1
+        gen = with_q.select("_b", "_vec", F.explode(F.sequence(lo, hi)).alias("j"))
+    else:
+        gen = with_q.select("_b", "_vec", F.explode(F.sequence(F.lit(0), F.col("_q") - 1)).alias("j"))
     hj = F.md5(F.concat_ws("|", F.lit(str(seed)), F.col("_b").cast("string"), F.col("j").cast("string")))
     gen = (gen.withColumn("_hj", hj)
            .withColumn("nbr_rank", F.pmod(F.conv(F.substring("_hj", 1, 8), 16, 10).cast("bigint"),
