@@ -50,3 +50,14 @@ def test_run_log_rows(spark, tmp_dir):
     rows = spark.read.parquet(f"{tmp_dir}/run_log").collect()
     assert sorted((r["metric"], r["value"]) for r in rows) == [("accuracy", 0.8), ("roc_auc", 0.9)]
     assert rows[0]["params"] == {"maxDepth": "4"}
+
+
+def test_scoring_after_observe_in_same_session(spark, tmp_dir):
+    """A session that has used observe() must still score freshly fitted models."""
+    from tidepool.sinks import tables as sinks
+
+    df = _separable(spark, 300)
+    sinks.overwrite_path(df, f"{tmp_dir}/obs")  # uses observe()
+    model = train.train_random_forest(df, FEATS, "y", {"numTrees": 5})
+    out = model.transform(df).select(vector_to_array("probability")[1].alias("p"))
+    assert out.checkpoint(eager=True).count() == 300

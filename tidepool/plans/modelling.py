@@ -45,7 +45,8 @@ def churn_frame(spark, sf_dir):
 def prepared(spark, sf_dir):
     """Split 60/20/20 (key hash, exact sizes), SMOTE on the training part only.
     Returns (balanced train, validation, test), each cut from lineage."""
-    f = split.split_exact(churn_frame(spark, sf_dir), ["o_orderkey"], seed=SEED).checkpoint(eager=True)
+    # The split reads from the rank's checkpoint; no second cut is needed.
+    f = split.split_exact(churn_frame(spark, sf_dir), ["o_orderkey"], seed=SEED)
     tr = f.where(F.col("split") == "train").drop("split")
     balanced = oversample.smote(tr, "label", FEATURES, "o_orderkey", minority=1, k=5, seed=SEED)
     balanced = balanced.drop("j", "synthetic").checkpoint(eager=True)

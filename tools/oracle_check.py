@@ -124,7 +124,10 @@ def main(argv):
     spark.sparkContext.setLogLevel("ERROR")
     con = duck_connection(sf_dir)
     bad = 0
-    for name, q in REGISTRY.items():
+    items = list(REGISTRY.items())
+    if "--reverse" in argv:  # catch order dependencies between queries in one session
+        items.reverse()
+    for name, q in items:
         if names and name not in names:
             continue
         try:
