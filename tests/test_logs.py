@@ -3,8 +3,6 @@
 import json
 import os
 
-from pyspark.sql import functions as F
-
 from tidepool.functions import jsonlog
 from tidepool.sources import files
 from tidepool.streaming import ingest
@@ -122,4 +120,11 @@ def test_rebuild_keeps_values(spark):
     assert json.loads(out) == {"a": 1, "c": 2.5}
     kept = jsonlog.rebuild_raw_json(df, keep_nulls=True).select("RawJson").first()[0]
     assert json.loads(kept) == {"a": 1, "b": None, "c": 2.5}
-    assert F  # module import used
+
+
+def test_bounded_micro_batches_drain_everything(spark, tmp_dir):
+    src, target, ck = f"{tmp_dir}/src", f"{tmp_dir}/target", f"{tmp_dir}/ck"
+    for i, d in enumerate(EDGE_DOCS):
+        _write(f"{src}/f{i:02d}.json", json.dumps(d))
+    ingest.normalise_stream(spark, src, target, ck, multiline=True, max_files_per_trigger=3)
+    assert spark.read.parquet(target).count() == len(EDGE_DOCS)

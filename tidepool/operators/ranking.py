@@ -21,9 +21,6 @@ from pyspark.sql import functions as F
 from tidepool.operators.joins import bounded_broadcast, checked_broadcast
 from tidepool.session import checkpoint_dir
 
-_LOCAL_BITS = 33  # monotonically_increasing_id = partition << 33 | position
-
-
 def _num_partitions(df: DataFrame, n: int | None) -> int:
     if n:
         return n

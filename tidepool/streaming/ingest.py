@@ -80,14 +80,28 @@ def idempotent_append(batch: DataFrame, target_path: str, key: str = "EventId")
     return len(dates)
 
 
+def _persisted_append(batch: DataFrame, target_path: str) -> None:
+    # The micro-batch is read three times (dates, anti-join, write): keep it.
+    batch.persist()
+    try:
+        idempotent_append(batch, target_path)
+    finally:
+        batch.unpersist()
+
+
 def normalise_stream(spark: SparkSession, root: str, target_path: str, checkpoint: str,
-                     multiline: bool = True, duration_precision: str = "milli") -> None:
-    """STR1 + STR2: files -> 31-column access-log table, appended without duplicates."""
-    src = raw_json_stream(spark, root, multiline)
+                     multiline: bool = True, duration_precision: str = "milli",
+                     max_files_per_trigger: int | None = None) -> None:
+    """STR1 + STR2: files -> 31-column access-log table, appended without duplicates.
+
+    ``max_files_per_trigger`` bounds a micro-batch (the reference lists at most
+    200,000 files per run); ``availableNow`` still drains every file, batch by batch.
+    """
+    src = raw_json_stream(spark, root, multiline, max_files_per_trigger=max_files_per_trigger)
     flat = jsonlog.flatten_access_log(src, duration_precision=duration_precision)
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        idempotent_append(batch, target_path)
+        _persisted_append(batch, target_path)
 
     _run(flat.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint))
 
@@ -98,7 +112,7 @@ def normalise_bronze(spark: SparkSession, bronze_path: str, target_path: str, ch
     flat = jsonlog.flatten_access_log(src)
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        idempotent_append(batch, target_path)
+        _persisted_append(batch, target_path)
 
     _run(flat.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint))
 
