@@ -36,9 +36,21 @@ def test_exact_quantiles_match_numpy(spark):
     vals = [float(v) for v in np.random.default_rng(7).normal(size=997)]
     df = spark.createDataFrame([(v,) for v in vals] + [(None,)], "x double")
     probs = [0.0, 0.1, 0.25, 0.5, 0.9, 1.0]
-    got = {r["p"]: r["value"] for r in ranking.exact_quantiles(df, ["x"], probs).collect()}
-    for p in probs:
-        assert got[p] == pytest.approx(float(np.quantile(vals, p)), rel=1e-12, abs=1e-12)
+    for limit in (100_000, None):  # percentile-map path and range-rank path
+        got = {r["p"]: r["value"] for r in ranking.exact_quantiles(df, ["x"], probs, map_limit=limit).collect()}
+        for p in probs:
+            assert got[p] == pytest.approx(float(np.quantile(vals, p)), rel=1e-12, abs=1e-12)
+
+
+def test_quantile_paths_agree_on_lineitem(spark):
+    li = spark.read.parquet(f"{SF001}/lineitem.parquet")
+    cols = ["l_quantity", "l_extendedprice", "l_discount"]
+    probs = [0.0, 0.2, 0.5, 0.95, 1.0]
+    a = {(r[0], r[1]): r[2] for r in ranking.exact_quantiles(li, cols, probs).collect()}
+    b = {(r[0], r[1]): r[2] for r in ranking.exact_quantiles(li, cols, probs, map_limit=None).collect()}
+    assert a.keys() == b.keys()
+    for k in a:
+        assert a[k] == pytest.approx(b[k], rel=1e-12)
 
 
 def test_qcut_edges_and_duplicates(spark):

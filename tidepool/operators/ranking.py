@@ -62,18 +62,14 @@ def global_rank(df: DataFrame, order_cols: list[str | Column], name: str = "rank
     return out.drop("_pid", "_mid", "_offset", "_first_mid")
 
 
-def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float]) -> DataFrame:
-    """Linear-interpolated quantiles (pandas / ``quantile_cont`` semantics) of each column.
-
-    Returns one row per (column, p): ``column, p, value``.  Nulls are ignored.
-    Work: one unpivot, one range sort, two small aggregates -- no per-value map
-    in one reducer, so it holds for high-cardinality columns.
-    """
+def _rank_quantiles(df: DataFrame, cols: list[str], probs: list[float]) -> DataFrame:
+    """Quantiles by global rank: one unpivot, one range sort, small joins."""
     long = (df.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v")) for c in cols
     ])).alias("_u")).select("_u.column", "_u.v").where(F.col("v").isNotNull()))
     ranked = global_rank(long, ["v"], name="_r", group_cols=["column"])
-    sizes = long.groupBy("column").agg(F.count(F.lit(1)).alias("_n"))
+    # Group sizes from the ranked (checkpointed) rows: no second source scan.
+    sizes = ranked.groupBy("column").agg(F.max("_r").alias("_n"))
     plist = F.array(*[F.lit(float(p)) for p in probs])
     targets = (sizes.select("column", "_n", F.explode(plist).alias("p"))
                .withColumn("_pos", F.col("p") * (F.col("_n") - 1))
@@ -90,6 +86,43 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float]) -> DataF
     return res.select("column", "p", value.alias("value"))
 
 
+def _map_quantiles(df: DataFrame, cols: list[str], probs: list[float]) -> DataFrame:
+    """Quantiles with Spark's exact ``percentile`` (a value -> count map per
+    column, merged from partial maps): linear in the rows, no sort."""
+    plist = F.array(*[F.lit(float(p)) for p in probs])
+    row = df.agg(*[F.percentile(F.col(c).cast("double"), plist).alias(c) for c in cols])
+    return row.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column"), F.arrays_zip(plist.alias("p"), F.col(c).alias("value")).alias("pv"))
+        for c in cols])).alias("_u")).select("_u.column", F.explode("_u.pv").alias("_x")).select(
+        "column", F.col("_x.p").alias("p"), F.col("_x.value").alias("value"))
+
+
+def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float],
+                    map_limit: int | None = 100_000) -> DataFrame:
+    """Linear-interpolated quantiles (pandas / ``quantile_cont`` semantics) of each column.
+
+    Returns one row per (column, p): ``column, p, value``.  Nulls are ignored.
+    A column with at most ``map_limit`` distinct values (HyperLogLog estimate,
+    one cheap pass) uses the exact ``percentile`` aggregate, whose map stays
+    small; larger columns are ranked by a range sort, so no reducer ever holds
+    a map of a high-cardinality column.  ``map_limit=None`` always ranks.
+    """
+    if map_limit is None:
+        return _rank_quantiles(df, cols, probs)
+    est = df.agg(*[F.approx_count_distinct(c, 0.05).alias(c) for c in cols]).first()
+    small = [c for c in cols if est[c] <= map_limit]
+    large = [c for c in cols if c not in small]
+    parts = []
+    if small:
+        parts.append(_map_quantiles(df, small, probs))
+    if large:
+        parts.append(_rank_quantiles(df, large, probs))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 def quantile_row(df: DataFrame, cols: list[str], probs: list[float], names: list[str]) -> DataFrame:
     """Quantiles pivoted to one row per column with a named field per probability."""
     q = exact_quantiles(df, cols, probs)
