@@ -50,10 +50,12 @@ def _vectors(pdf: pd.DataFrame, col: str) -> np.ndarray:
 
 
 def knn(df: DataFrame, id_col: str, vec_col: str, k: int = 5, group_cols: list[str] | None = None,
-        pivots: int = 32, block_rows: int = 2048) -> DataFrame:
+        pivots: int = 256, block_rows: int = 2048, max_groups: int = 10_000) -> DataFrame:
     """Exact k nearest neighbours of every row among the rows of its group.
 
     Returns (group..., id, nbr_rank, nbr_id, dist); a row is not its own neighbour.
+    Groups are meant to be classes (few); pivots and cell statistics per group
+    reach the driver, so more than ``max_groups`` groups is refused.
     """
     spark = df.sparkSession
     group_cols = group_cols or []
@@ -63,7 +65,10 @@ def knn(df: DataFrame, id_col: str, vec_col: str, k: int = 5, group_cols: list[s
     # 1. pivots: the P smallest key hashes of each group, P growing with the
     # group (one cell per ``block_rows`` rows, at most ``pivots``).  A top-P
     # window (partial per map task before the shuffle), bounded and collected.
-    sizes = {r["_g"]: r["count"] for r in pts.groupBy("_g").count().collect()}  # one row per group
+    group_rows = pts.groupBy("_g").count().limit(max_groups + 1).collect()  # one row per group
+    if len(group_rows) > max_groups:
+        raise ValueError(f"knn: more than {max_groups} groups")
+    sizes = {r["_g"]: r["count"] for r in group_rows}
     n_piv = {g: int(min(pivots, max(1, -(-n // block_rows)))) for g, n in sizes.items()}
     hashed = pts.withColumn("_h", F.xxhash64("_id"))
     top = Window.partitionBy("_g").orderBy("_h", "_id")
@@ -126,11 +131,13 @@ def knn(df: DataFrame, id_col: str, vec_col: str, k: int = 5, group_cols: list[s
             theta *= 1 + _SLACK
             lower = dpp[a] - r[a] - r
             for b in np.nonzero(lower <= theta)[0]:
-                for qb in range(int(nb[a]) + 1):
-                    for cb in range(int(nb[b]) + 1):
-                        pairs.append((g, int(idx[a]), qb, int(idx[b]), cb))
-    task_schema = "_g string, _qc int, _qb int, _cc int, _cb int"
-    tasks = spark.createDataFrame(pairs, task_schema)
+                pairs.append((g, int(idx[a]), int(nb[a]), int(idx[b]), int(nb[b])))
+    # Surviving cell pairs (at most pivots^2 per group) leave the driver; Spark
+    # expands them into (query block, candidate block) tasks.
+    cell_pairs = spark.createDataFrame(pairs, "_g string, _qc int, _qn int, _cc int, _cn int")
+    tasks = (cell_pairs
+             .select("_g", "_qc", "_cc", "_cn", F.explode(F.sequence(F.lit(0), F.col("_qn"))).alias("_qb"))
+             .select("_g", "_qc", "_qb", "_cc", F.explode(F.sequence(F.lit(0), F.col("_cn"))).alias("_cb")))
     # 4. block-pair tasks: query rows and candidate rows meet by task key.
     q = cells.select("_g", F.col("_cell").alias("_qc"), F.col("_blk").alias("_qb"), "_id", "_v")
     c = cells.select("_g", F.col("_cell").alias("_cc"), F.col("_blk").alias("_cb"),
