@@ -155,3 +155,66 @@ FROM events
 def diagnostic_records_from_tables(spark: SparkSession, sf_dir: str, damaged: bool = False) -> DataFrame:
     ev = tables.load(spark, sf_dir, "events", ["event_id", "ts", "user_id", "event_type", "value"])
     return diagnostic_records(ev, damaged)
+
+
+# ---------------------------------------------------------------------------
+# Churn-shaped customers (the reference's churn.csv columns) from customer and
+# that customer's orders.  Invented but fixed mapping: a customer whose last
+# order is before 2000-09-01 has "exited"; one active after 2001-01-01 is an
+# active member.  Customers without orders get nulls (dropped by cleaning).
+# ---------------------------------------------------------------------------
+CHURN_EXIT_BEFORE = "2000-09-01 00:00:00"
+CHURN_ACTIVE_FROM = "2001-01-01 00:00:00"
+
+CHURN_SQL = f"""
+SELECT CAST(c.c_custkey + 1 AS BIGINT) AS RowNumber,
+       c.c_custkey AS CustomerId,
+       c.c_name AS Surname,
+       CAST(300 + 20 * c.c_nationkey + 10 * least(o.n_orders, 20) AS INTEGER) AS CreditScore,
+       c.c_mktsegment AS Geography,
+       CASE WHEN c.c_custkey % 2 = 0 THEN 'Female' ELSE 'Male' END AS Gender,
+       CAST(18 + floor(date_diff('day', o.first_d, o.last_d) / 60) AS INTEGER) AS Age,
+       CAST(o.n_years - 1 AS INTEGER) AS Tenure,
+       c.c_acctbal AS Balance,
+       CAST(least(o.n_urgent + 1, 4) AS INTEGER) AS NumOfProducts,
+       CAST(c.c_acctbal > 0 AS INTEGER) AS HasCrCard,
+       CAST(o.last_d >= TIMESTAMP '{CHURN_ACTIVE_FROM}' AS INTEGER) AS IsActiveMember,
+       o.total / 10 AS EstimatedSalary,
+       CAST(o.last_d < TIMESTAMP '{CHURN_EXIT_BEFORE}' AS INTEGER) AS Exited
+FROM customer c LEFT JOIN (
+  SELECT o_custkey, count(*) AS n_orders, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total,
+         min(o_orderdate) AS first_d,
+         max(o_orderdate) AS last_d, count(DISTINCT year(o_orderdate)) AS n_years,
+         sum(CASE WHEN o_orderpriority = '1-URGENT' THEN 1 ELSE 0 END) AS n_urgent
+  FROM orders GROUP BY o_custkey) o ON c.c_custkey = o.o_custkey
+"""
+
+
+def churn_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = tables.load(spark, sf_dir, "customer", ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"])
+    o = tables.load(spark, sf_dir, "orders", ["o_custkey", "o_totalprice", "o_orderdate", "o_orderpriority"])
+    per = o.groupBy("o_custkey").agg(
+        F.count(F.lit(1)).alias("n_orders"),
+        # exact decimal sum: the same double whatever the summation order
+        F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("double").alias("total"),
+        F.min("o_orderdate").alias("first_d"), F.max("o_orderdate").alias("last_d"),
+        F.count_distinct(F.year("o_orderdate")).alias("n_years"),
+        F.sum((F.col("o_orderpriority") == "1-URGENT").cast("int")).alias("n_urgent"))
+    j = c.join(per, c.c_custkey == per.o_custkey, "left")
+    ts = lambda s: F.lit(s).cast("timestamp_ntz")
+    return j.select(
+        (F.col("c_custkey") + 1).cast("bigint").alias("RowNumber"),
+        F.col("c_custkey").alias("CustomerId"),
+        F.col("c_name").alias("Surname"),
+        (300 + 20 * F.col("c_nationkey") + 10 * F.least("n_orders", F.lit(20))).cast("int").alias("CreditScore"),
+        F.col("c_mktsegment").alias("Geography"),
+        F.when(F.pmod("c_custkey", F.lit(2)) == 0, "Female").otherwise("Male").alias("Gender"),
+        (18 + F.floor(F.datediff("last_d", "first_d") / 60)).cast("int").alias("Age"),
+        (F.col("n_years") - 1).cast("int").alias("Tenure"),
+        F.col("c_acctbal").alias("Balance"),
+        F.least(F.col("n_urgent") + 1, F.lit(4)).cast("int").alias("NumOfProducts"),
+        (F.col("c_acctbal") > 0).cast("int").alias("HasCrCard"),
+        (F.col("last_d") >= ts(CHURN_ACTIVE_FROM)).cast("int").alias("IsActiveMember"),
+        (F.col("total") / 10).alias("EstimatedSalary"),
+        (F.col("last_d") < ts(CHURN_EXIT_BEFORE)).cast("int").alias("Exited"),
+    )
