@@ -15,6 +15,8 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidepool.sources.files import path_exists
+
 RUN_LOG_SCHEMA = ("run_id string, experiment string, model_name string, params map<string,string>, "
                   "metric string, value double, logged_at timestamp_ntz")
 REGISTRY_SCHEMA = "name string, version int, path string, run_id string, registered_at timestamp_ntz"
@@ -56,10 +58,9 @@ def register_model(spark: SparkSession, base: str, name: str, model: PipelineMod
                    run_id: str | None = None) -> int:
     """REG2: save under the next version of ``name``; returns the version."""
     reg_path = os.path.join(base, "registry")
-    try:
+    current = None
+    if path_exists(spark, reg_path):
         current = spark.read.parquet(reg_path).where(F.col("name") == name).agg(F.max("version")).first()[0]
-    except Exception:
-        current = None
     version = (current or 0) + 1
     path = os.path.join(base, "models", name, str(version))
     model.write().overwrite().save(path)

@@ -19,7 +19,7 @@ FEATURES_ADDED = ["NewTenure", "NewCreditsScore", "NewAgeScore", "NewBalanceScor
 ONE_HOT = ["Geography", "Gender"]
 
 
-def prepare_churn(df: DataFrame, order_col: str = "RowNumber") -> DataFrame:
+def prepare_churn(df: DataFrame, order_col: str = "RowNumber", keep_key: bool = False) -> DataFrame:
     """``df_clean`` from raw churn rows.
 
     Rows: drop any-null rows, keep the first row per (RowNumber, CustomerId) in
@@ -27,10 +27,12 @@ def prepare_churn(df: DataFrame, order_col: str = "RowNumber") -> DataFrame:
     Tenure / Age (null when Age is 0), equal-frequency scores (fixed values:
     CreditScore 6 bins, Age 8, the tie-broken rank of Balance 5, EstimatedSalary
     10), indicators of Geography and Gender appended after the other columns.
+    ``keep_key`` keeps ``CustomerId`` in front (for a repeatable split, D15).
     """
     rows = clean.keep_first(clean.drop_na(df), KEYS, [order_col])
     # Every edge, rank and level pass below reads these rows: cut them once.
-    out = rows.withColumn("_order", F.col(order_col)).drop(*DROP).checkpoint(eager=True)
+    drop = [c for c in DROP if not (keep_key and c == "CustomerId")]
+    out = rows.withColumn("_order", F.col(order_col)).drop(*drop).checkpoint(eager=True)
     out = binning.ratio(out, "Tenure", "Age", "NewTenure")
     out = binning.qcut(out, "CreditScore", 6, "NewCreditsScore")
     out = binning.qcut(out, "Age", 8, "NewAgeScore")

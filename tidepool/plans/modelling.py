@@ -11,55 +11,47 @@ from pyspark.sql import functions as F
 from pyspark.ml.functions import vector_to_array
 
 from tidepool.models import predict, registry, train
-from tidepool.operators import encode, evaluate, oversample, split
-from tidepool.operators.joins import checked_broadcast
+from tidepool.operators import churn, evaluate, oversample, split
 from tidepool.plans.registry import query
 from tidepool.session import scratch_path
 from tidepool.sinks import tables as sinks
-from tidepool.sources import tables
+from tidepool.sources import derived
 
-_SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
-FEATURES = ["price_k", "priority", "month", "acctbal_k", "nationkey"] + [f"seg_{s}" for s in _SEGMENTS]
 SEED = 12345
+TARGET = "Exited"
 
 
 def churn_frame(spark, sf_dir):
-    """Customer-order rows shaped like the churn table: numeric features,
-    one-hot segment indicators (as int) and the 0/1 target ``label``."""
-    o = tables.load(spark, sf_dir, "orders",
-                    ["o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority", "o_orderdate", "o_orderstatus"])
-    c = tables.load(spark, sf_dir, "customer", ["c_custkey", "c_acctbal", "c_nationkey", "c_mktsegment"])
-    c = encode.one_hot(c, ["c_mktsegment"], level_map={"c_mktsegment": _SEGMENTS})
-    j = o.join(checked_broadcast(c), o.o_custkey == c.c_custkey)
-    return j.select(
-        "o_orderkey",
-        (F.col("o_totalprice") / 1000.0).alias("price_k"),
-        F.substring("o_orderpriority", 1, 1).cast("int").alias("priority"),
-        F.month("o_orderdate").alias("month"),
-        (F.col("c_acctbal") / 1000.0).alias("acctbal_k"),
-        F.col("c_nationkey").alias("nationkey"),
-        *[F.col(f"c_mktsegment_{s}").cast("int").alias(f"seg_{s}") for s in _SEGMENTS],
-        (F.col("o_orderstatus") == "F").cast("int").alias("label"))
+    """``df_clean`` (with its CustomerId kept for the split) from churn-shaped customers."""
+    df = churn.prepare_churn(derived.churn_customers(spark, sf_dir), keep_key=True)
+    bools = [f.name for f in df.schema.fields if f.dataType.simpleString() == "boolean"]
+    return df.select(*[F.col(c).cast("int").alias(c) if c in bools else F.col(c) for c in df.columns])
+
+
+def features_of(df):
+    return [c for c in df.columns if c not in ("CustomerId", TARGET)]
 
 
 def prepared(spark, sf_dir):
     """Split 60/20/20 (key hash, exact sizes), SMOTE on the training part only.
-    Returns (balanced train, validation, test), each cut from lineage."""
+    Returns (balanced train, validation, test, feature columns)."""
+    frame = churn_frame(spark, sf_dir)
+    feats = features_of(frame)
     # The split reads from the rank's checkpoint; no second cut is needed.
-    f = split.split_exact(churn_frame(spark, sf_dir), ["o_orderkey"], seed=SEED)
+    f = split.split_exact(frame, ["CustomerId"], seed=SEED)
     tr = f.where(F.col("split") == "train").drop("split")
-    balanced = oversample.smote(tr, "label", FEATURES, "o_orderkey", minority=1, k=5, seed=SEED)
+    balanced = oversample.smote(tr, TARGET, feats, "CustomerId", minority=1, k=5, seed=SEED)
     balanced = balanced.drop("j", "synthetic").checkpoint(eager=True)
     val = f.where(F.col("split") == "validation").drop("split")
     test = f.where(F.col("split") == "test").drop("split")
-    return balanced, val, test
+    return balanced, val, test, feats
 
 
 def _fit_and_score(spark, sf_dir, trainer, params):
-    balanced, val, _ = prepared(spark, sf_dir)
-    model = trainer(balanced, FEATURES, "label", params)
+    balanced, val, _, feats = prepared(spark, sf_dir)
+    model = trainer(balanced, feats, TARGET, params)
     scored = model.transform(val)
-    return scored.select("o_orderkey", "label", F.col("prediction").cast("int").alias("prediction"),
+    return scored.select("CustomerId", TARGET, F.col("prediction").cast("int").alias("prediction"),
                          vector_to_array("probability")[1].alias("score"))
 
 
@@ -79,7 +71,7 @@ def train_gbt(spark, sf_dir):
 
 
 def _metrics(scored):
-    long = scored.select(F.lit("m").alias("model"), F.col("label").alias("y"),
+    long = scored.select(F.lit("m").alias("model"), F.col(TARGET).alias("y"),
                          F.col("prediction").alias("p"), "score")
     return evaluate.compare_models(long).drop("model")
 
@@ -88,16 +80,16 @@ def _metrics(scored):
 def run_log_registry(spark, sf_dir):
     """Train, log parameters and metrics (validation and training AUC), register."""
     base = scratch_path(spark, "registry")
-    balanced, val, test = prepared(spark, sf_dir)
+    balanced, val, test, feats = prepared(spark, sf_dir)
     sinks.overwrite_path(test, os.path.join(base, "tables", "df_test"))  # key + target kept (D15)
-    fitted = train.train_random_forest(balanced, FEATURES, "label", train.RF_SMALL)
+    fitted = train.train_random_forest(balanced, feats, TARGET, train.RF_SMALL)
     run_id = registry.new_run_id()
     version = registry.register_model(spark, base, "rfc1_sm", fitted, run_id)
     # Score with the registered copy: a freshly fitted model keeps its training
     # summary (and a session handle) in the scoring closure.
     model = registry.load_model(spark, base, "rfc1_sm", version)
     for part, frame in (("validation", val), ("train", balanced)):
-        s = model.transform(frame).select("label", F.col("prediction").cast("int").alias("prediction"),
+        s = model.transform(frame).select(TARGET, F.col("prediction").cast("int").alias("prediction"),
                                           vector_to_array("probability")[1].alias("score"))
         m = _metrics(s).select(*[F.col(c).alias(f"{part}_{c}") for c in ("accuracy", "roc_auc", "f1")])
         registry.log_run(spark, base, "churn", run_id, "rfc1_sm", train.RF_SMALL, m)
@@ -106,19 +98,19 @@ def run_log_registry(spark, sf_dir):
 
 def _scoring_setup(spark, sf_dir):
     base = scratch_path(spark, "scoring")
-    balanced, _, test = prepared(spark, sf_dir)
-    model = train.train_random_forest(balanced, FEATURES, "label", train.RF_SMALL)
+    balanced, _, test, feats = prepared(spark, sf_dir)
+    model = train.train_random_forest(balanced, feats, TARGET, train.RF_SMALL)
     version = registry.register_model(spark, base, "rfc1_sm", model)
     test_path = os.path.join(base, "tables", "df_test")
     sinks.overwrite_path(test, test_path)
-    return base, version, spark.read.parquet(test_path)
+    return base, version, spark.read.parquet(test_path), feats
 
 
 @query("predict_transform", "PRD1,PRD4,SRC5")
 def predict_transform(spark, sf_dir):
-    base, version, df_test = _scoring_setup(spark, sf_dir)
+    base, version, df_test, feats = _scoring_setup(spark, sf_dir)
     model = registry.load_model(spark, base, "rfc1_sm", version)
-    out = predict.predict_transform(model, df_test.select("o_orderkey", *FEATURES), FEATURES)
+    out = predict.predict_transform(model, df_test.select("CustomerId", *feats), feats)
     path = os.path.join(base, "tables", "df_test_with_predictions_v1")
     sinks.overwrite_path(out, path)
     return spark.read.parquet(path)
@@ -126,16 +118,15 @@ def predict_transform(spark, sf_dir):
 
 @query("predict_sql", "PRD2")
 def predict_sql(spark, sf_dir):
-    base, version, df_test = _scoring_setup(spark, sf_dir)
+    base, version, df_test, feats = _scoring_setup(spark, sf_dir)
     ref = f"rfc1_sm/{version}"
     ens = predict.load_ensemble(spark, registry.model_path(spark, base, "rfc1_sm", version))
     predict.register_predict_sql(spark, {ref: ens})
-    return predict.predict_sql(spark, df_test.select("o_orderkey", *FEATURES), ref, FEATURES)
+    return predict.predict_sql(spark, df_test.select("CustomerId", *feats), ref, feats)
 
 
 @query("predict_udf", "PRD3")
 def predict_udf(spark, sf_dir):
-    base, version, df_test = _scoring_setup(spark, sf_dir)
+    base, version, df_test, feats = _scoring_setup(spark, sf_dir)
     ens = predict.load_ensemble(spark, registry.model_path(spark, base, "rfc1_sm", version))
-    return df_test.select("o_orderkey", *FEATURES).withColumn(
-        "predictions", predict.udf_column(ens, FEATURES))
+    return df_test.select("CustomerId", *feats).withColumn("predictions", predict.udf_column(ens, feats))

@@ -57,9 +57,14 @@ def read_json_typed(spark: SparkSession, root: str, schema: T.StructType, multil
             .json(root))
 
 
-def landing_has(spark: SparkSession, path: str) -> bool:
-    """SRC8: is the raw file already in the landing zone? (no download is built)."""
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Does ``path`` exist on its (Hadoop-compatible) file system?"""
     jvm = spark.sparkContext._jvm
     hpath = jvm.org.apache.hadoop.fs.Path(path)
     fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     return bool(fs.exists(hpath))
+
+
+def landing_has(spark: SparkSession, path: str) -> bool:
+    """SRC8: is the raw file already in the landing zone? (no download is built)."""
+    return path_exists(spark, path)

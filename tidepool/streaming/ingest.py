@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidepool.functions import jsonlog
-from tidepool.sources.files import JSON_GLOB
+from tidepool.sources.files import JSON_GLOB, path_exists
 
 BRONZE_SCHEMA = T.StructType([
     T.StructField("RawJson", T.StringType()),
@@ -66,10 +66,7 @@ def idempotent_append(batch: DataFrame, target_path: str, key: str = "EventId")
     spark = batch.sparkSession
     batch = _event_date(batch).dropDuplicates([key])
     dates = [r[0] for r in batch.select("EventDate").distinct().collect()]  # days in the batch
-    try:
-        existing = spark.read.parquet(target_path)
-    except Exception:  # first batch: no target yet
-        existing = None
+    existing = spark.read.parquet(target_path) if path_exists(spark, target_path) else None
     if existing is not None:
         known = [d for d in dates if d is not None]
         cond = F.col("EventDate").isin(known) if known else F.lit(False)
