@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidepool.operators.joins import bounded_broadcast
 from tidepool.operators.ranking import global_rank
 
 _SLACK = 1e-9  # relative slack on bounds against rounding
@@ -173,8 +174,9 @@ def knn(df: DataFrame, id_col: str, vec_col: str, k: int = 5, group_cols: list[s
     # 5. merge: k best per query row (partial top-k before the shuffle).
     w = Window.partitionBy("_g", "_id").orderBy("dist", "_nid")
     best = cand.withColumn("nbr_rank", F.row_number().over(w)).where(F.col("nbr_rank") <= k)
+    # One row per group (at most max_groups): a bounded broadcast side.
     keys = pts.select("_g", *group_cols).distinct()
-    res = best.join(keys, "_g").select(*group_cols, F.col("_id").alias(id_col), "nbr_rank",
+    res = best.join(bounded_broadcast(keys), "_g").select(*group_cols, F.col("_id").alias(id_col), "nbr_rank",
                                        F.col("_nid").alias("nbr_id"), "dist")
     return res
 
