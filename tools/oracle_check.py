@@ -121,6 +121,8 @@ def main(argv):
                  .config("spark.ui.showConsoleProgress", "false").getOrCreate())
     else:
         spark = build_session("local[8]", 8, extra={"spark.ui.showConsoleProgress": "false"})
+    if "--ansi-off" in argv:
+        spark.conf.set("spark.sql.ansi.enabled", "false")
     spark.sparkContext.setLogLevel("ERROR")
     con = duck_connection(sf_dir)
     bad = 0
