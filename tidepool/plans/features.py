@@ -3,8 +3,6 @@ one-hot encoding and the repeatable split (PRJ4, BIN1-BIN3, ENC1-ENC2, SPL1)."""
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from tidepool.operators import binning, encode, split
 from tidepool.plans.registry import query
 from tidepool.sources import tables
