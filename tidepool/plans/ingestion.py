@@ -101,3 +101,29 @@ def list_json_files(spark, sf_dir):
     _deliver(spark, sf_dir, base)
     listed = files.list_files(spark, base)
     return listed.select(jsonlog.basename(F.col("path")).alias("name"), "length")
+
+
+@query("ingest_twice_count", "STR1,STR2,SNK7,AGG7", sql="""
+SELECT 'Access.' || event_type AS EventType, count(*) AS n_events FROM events GROUP BY event_type
+""")
+def ingest_twice_count(spark, sf_dir):
+    """Counts per event type after ingesting the same delivery twice."""
+    base = scratch_path(spark, "ingest-count")
+    root, target, ck = (os.path.join(base, x) for x in ("src", "target", "ck"))
+    _deliver(spark, sf_dir, root)
+    for _ in range(2):
+        ingest.normalise_stream(spark, root, target, ck, multiline=False)
+    return (spark.read.parquet(target).groupBy("EventType")
+            .agg(F.count(F.lit(1)).alias("n_events")))
+
+
+@query("bronze_to_silver", "SNK5,STR1,STR2,SNK8", sql=derived.diagnostic_flat_sql())
+def bronze_to_silver(spark, sf_dir):
+    """Land raw files in bronze, then normalise the bronze table into silver."""
+    base = scratch_path(spark, "medallion")
+    root = os.path.join(base, "src")
+    bronze, silver = os.path.join(base, "bronze", "diagnostics_raw"), os.path.join(base, "silver", "log_event_access")
+    _deliver(spark, sf_dir, root)
+    ingest.land_files(spark, root, bronze, os.path.join(base, "control", "ck_landing"), multiline=False)
+    ingest.normalise_bronze(spark, bronze, silver, os.path.join(base, "control", "ck_normalise"))
+    return spark.read.parquet(silver).select(*_FLAT_COLS)
