@@ -36,8 +36,8 @@ def test_exact_quantiles_match_numpy(spark):
     vals = [float(v) for v in np.random.default_rng(7).normal(size=997)]
     df = spark.createDataFrame([(v,) for v in vals] + [(None,)], "x double")
     probs = [0.0, 0.1, 0.25, 0.5, 0.9, 1.0]
-    for limit in (100_000, None):  # percentile-map path and range-rank path
-        got = {r["p"]: r["value"] for r in ranking.exact_quantiles(df, ["x"], probs, map_limit=limit).collect()}
+    for method in ("auto", "rank", "bracket"):  # percentile map, range rank, brackets
+        got = {r["p"]: r["value"] for r in ranking.exact_quantiles(df, ["x"], probs, method=method).collect()}
         for p in probs:
             assert got[p] == pytest.approx(float(np.quantile(vals, p)), rel=1e-12, abs=1e-12)
 
@@ -47,10 +47,26 @@ def test_quantile_paths_agree_on_lineitem(spark):
     cols = ["l_quantity", "l_extendedprice", "l_discount"]
     probs = [0.0, 0.2, 0.5, 0.95, 1.0]
     a = {(r[0], r[1]): r[2] for r in ranking.exact_quantiles(li, cols, probs).collect()}
-    b = {(r[0], r[1]): r[2] for r in ranking.exact_quantiles(li, cols, probs, map_limit=None).collect()}
-    assert a.keys() == b.keys()
-    for k in a:
-        assert a[k] == pytest.approx(b[k], rel=1e-12)
+    for method in ("rank", "bracket"):
+        b = {(r[0], r[1]): r[2] for r in ranking.exact_quantiles(li, cols, probs, method=method).collect()}
+        assert a.keys() == b.keys()
+        for k in a:
+            assert a[k] == pytest.approx(b[k], rel=1e-12)
+
+
+def test_bracket_quantiles_hot_value_and_fallback(spark):
+    # a third of the rows hold one value; tiny accuracy forces wide brackets
+    vals = [7.0] * 400 + [float(i) for i in range(800)]
+    df = spark.createDataFrame([(v,) for v in vals], "x double")
+    probs = [0.0, 0.3, 0.5, 0.77, 1.0]
+    got, failed = ranking._bracket_quantiles(df, ["x"], probs, accuracy=50)
+    res = {r["p"]: r["value"] for r in got.collect()} if got is not None else {}
+    for p in probs:
+        if "x" not in failed:
+            assert res[p] == pytest.approx(float(np.quantile(vals, p)), rel=1e-12)
+    full = {r["p"]: r["value"] for r in ranking.exact_quantiles(df, ["x"], probs, method="bracket").collect()}
+    for p in probs:
+        assert full[p] == pytest.approx(float(np.quantile(vals, p)), rel=1e-12)
 
 
 def test_qcut_edges_and_duplicates(spark):

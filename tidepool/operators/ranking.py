@@ -15,6 +15,7 @@ and a recomputation after an executor loss must not re-sample the bounds.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -97,26 +98,101 @@ def _map_quantiles(df: DataFrame, cols: list[str], probs: list[float]) -> DataFr
         "column", F.col("_x.p").alias("p"), F.col("_x.value").alias("value"))
 
 
+def _bracket_quantiles(df: DataFrame, cols: list[str], probs: list[float],
+                       accuracy: int = 100_000) -> tuple[DataFrame | None, list[str]]:
+    """Exact quantiles in linear passes, no full sort.
+
+    ``percentile_approx`` (rank error at most N / accuracy) gives a value bracket
+    around every needed order statistic; one pass counts the rows below each
+    bracket; only the rows inside the brackets -- about 4N / accuracy per
+    target -- are reduced to (value, count), cumulated, and the exact order
+    statistics read off.  A bracket that misses its rank (checked with the
+    counts) sends its column back to the caller for the rank method.
+    Returns (quantiles of the columns that passed, columns that failed).
+    """
+    delta = 2.0 / accuracy
+    spark = df.sparkSession
+    lo_p = [max(0.0, p - delta) for p in probs]
+    hi_p = [min(1.0, p + delta) for p in probs]
+    aggs = []
+    for c in cols:
+        x = F.col(c).cast("double")
+        aggs += [F.count(x).alias(f"{c}__n"),
+                 F.percentile_approx(x, lo_p, accuracy).alias(f"{c}__lo"),
+                 F.percentile_approx(x, hi_p, accuracy).alias(f"{c}__hi")]
+    first = df.agg(*aggs).first()  # one row: counts and brackets (bounded)
+    targets = []  # (column, t, p, n, L, U, lo_rank, hi_rank) -- ranks 0-based
+    for c in cols:
+        n = first[f"{c}__n"]
+        if not n:
+            continue
+        for t, p in enumerate(probs):
+            pos = p * (n - 1)
+            targets.append((c, t, float(p), int(n), float(first[f"{c}__lo"][t]), float(first[f"{c}__hi"][t]),
+                            int(np.floor(pos)), int(np.ceil(pos)), float(pos - np.floor(pos))))
+    if not targets:
+        return None, []
+    # Rows strictly below each bracket: one conditional count per target.
+    below_aggs = [F.sum((F.col(c).cast("double") < F.lit(L)).cast("long")).alias(f"b{i}")
+                  for i, (c, _, _, _, L, *_rest) in enumerate(targets)]
+    below_row = df.agg(*below_aggs).first()
+    tschema = ("column string, t int, p double, n long, L double, U double, lo_r long, hi_r long, "
+               "frac double, below long")
+    trows = [(*tr, int(below_row[f"b{i}"] or 0)) for i, tr in enumerate(targets)]
+    tdf = spark.createDataFrame(trows, tschema)
+    long = (df.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v")) for c in cols
+    ])).alias("_u")).select("_u.column", "_u.v").where(F.col("v").isNotNull()))
+    # Range join against len(cols) x len(probs) brackets: a bounded broadcast.
+    inside = (long.join(bounded_broadcast(tdf.select("column", "t", "L", "U")),
+                        (long["column"] == tdf["column"]) & (long["v"] >= tdf["L"]) & (long["v"] <= tdf["U"]))
+              .select(long["column"], "t", "v")
+              .groupBy("column", "t", "v").agg(F.count(F.lit(1)).alias("cnt")))
+    cum = prefix_sums(inside, ["v"], ["cnt"], ["column", "t"])
+    tot = cum.groupBy("column", "t").agg(F.sum("cnt").alias("inside"))
+    chk = tdf.join(tot, ["column", "t"], "left").withColumn("inside", F.coalesce("inside", F.lit(0)))
+    ok = (F.col("below") <= F.col("lo_r")) & (F.col("below") + F.col("inside") > F.col("hi_r"))
+    verdict = chk.select("column", "t", ok.alias("ok")).collect()  # one row per target
+    failed = sorted({r["column"] for r in verdict if not r["ok"]})
+    good = [c for c in cols if c not in failed and any(tr[0] == c for tr in targets)]
+    if not good:
+        return None, failed
+    j = cum.join(bounded_broadcast(tdf), ["column", "t"]).where(F.col("column").isin(good))
+    # value at 0-based rank R: the smallest v whose cumulative count exceeds R - below.
+    pick = lambda r: F.min(F.when(F.col("cnt_cum") > F.col(r) - F.col("below"), F.col("v")))
+    vals = j.groupBy("column", "t", "p", "frac").agg(pick("lo_r").alias("_vlo"), pick("hi_r").alias("_vhi"))
+    value = F.col("_vlo") + (F.col("_vhi") - F.col("_vlo")) * F.col("frac")
+    return vals.select("column", "p", value.alias("value")), failed
+
+
 def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float],
-                    map_limit: int | None = 100_000) -> DataFrame:
+                    map_limit: int | None = 100_000, method: str = "auto") -> DataFrame:
     """Linear-interpolated quantiles (pandas / ``quantile_cont`` semantics) of each column.
 
     Returns one row per (column, p): ``column, p, value``.  Nulls are ignored.
-    A column with at most ``map_limit`` distinct values (HyperLogLog estimate,
-    one cheap pass) uses the exact ``percentile`` aggregate, whose map stays
-    small; larger columns are ranked by a range sort, so no reducer ever holds
-    a map of a high-cardinality column.  ``map_limit=None`` always ranks.
+
+    ``method="auto"``: a column with at most ``map_limit`` distinct values
+    (HyperLogLog estimate) uses Spark's exact ``percentile`` (a small merged
+    value map); larger columns use the bracket method (linear passes, no full
+    sort) and fall back to the range-sort rank for a column whose bracket
+    misses.  ``method="rank"`` always ranks; ``"bracket"`` skips the map path.
     """
-    if map_limit is None:
+    if method == "rank" or map_limit is None and method == "auto":
         return _rank_quantiles(df, cols, probs)
-    est = df.agg(*[F.approx_count_distinct(c, 0.05).alias(c) for c in cols]).first()
-    small = [c for c in cols if est[c] <= map_limit]
+    small: list[str] = []
+    if method == "auto":
+        est = df.agg(*[F.approx_count_distinct(c, 0.05).alias(c) for c in cols]).first()
+        small = [c for c in cols if est[c] <= map_limit]
     large = [c for c in cols if c not in small]
     parts = []
     if small:
         parts.append(_map_quantiles(df, small, probs))
     if large:
-        parts.append(_rank_quantiles(df, large, probs))
+        got, failed = _bracket_quantiles(df, large, probs)
+        if got is not None:
+            parts.append(got)
+        if failed:
+            parts.append(_rank_quantiles(df, failed, probs))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
