@@ -64,8 +64,13 @@ def exact_mean(x: Column, scale: int = 6) -> Column:
     return F.sum(x.cast(f"decimal(38,{scale})")).cast("double") / F.count(x)
 
 
-def table_summary(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
-    """AGG3: count, nulls, distinct, mean, stddev, min, max per numeric column."""
+def table_summary(df: DataFrame, cols: list[str] | None = None, approx_distinct: bool = False,
+                  rsd: float = 0.01) -> DataFrame:
+    """AGG3: count, nulls, distinct, mean, stddev, min, max per numeric column.
+
+    The exact distinct count shuffles every distinct value once (partial
+    aggregation first); ``approx_distinct`` uses HyperLogLog++ instead.
+    """
     cols = cols or [c for c in df.columns if is_numeric(df, c)]
     fields = ["count", "null_count", "n_distinct", "mean", "stddev", "min", "max"]
     aggs: list[Column] = []
@@ -74,7 +79,8 @@ def table_summary(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
         aggs += [
             F.count(x).alias(f"{c}__count"),
             F.sum(x.isNull().cast("bigint")).alias(f"{c}__null_count"),
-            F.count_distinct(x).alias(f"{c}__n_distinct"),
+            (F.approx_count_distinct(x, rsd) if approx_distinct else F.count_distinct(x))
+            .alias(f"{c}__n_distinct"),
             exact_mean(F.col(c)).alias(f"{c}__mean"),
             F.stddev_samp(x).alias(f"{c}__stddev"),
             F.min(x).alias(f"{c}__min"),
