@@ -205,3 +205,13 @@ def test_smote_chunked_quota_equals_plain(spark):
     chunked = oversample.smote(df, "y", ["a"], "k", k=3, seed=4, chunk_rows=5)
     assert plain.count() == 228
     assert plain.exceptAll(chunked).count() == 0 and chunked.exceptAll(plain).count() == 0
+
+
+def test_order_statistics_match_full_rank(spark):
+    rows = [(int(v), i) for i, v in enumerate(np.random.default_rng(4).integers(0, 50, 2000))]
+    rows += [(7, 5000 + i) for i in range(700)]  # a hot value
+    df = spark.createDataFrame(rows, "x long, k long")
+    ranks = [1, 333, 900, 1500, 2700]
+    want = {r[2]: (r[0], r[1]) for r in ranking.global_rank(df, ["x", "k"], "r").collect() if r[2] in ranks}
+    for acc in (100_000, 20):  # 20: brackets miss, the full-rank fallback answers
+        assert ranking.order_statistics(df, "x", ["k"], ranks, accuracy=acc) == want

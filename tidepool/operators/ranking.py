@@ -261,3 +261,51 @@ def grouped_quantiles(df: DataFrame, value_col: str, group_cols: list[str], prob
     res = targets.join(lo, [*group_cols, "_lo"]).join(hi, [*group_cols, "_hi"])
     value = F.col("_vlo") + (F.col("_vhi") - F.col("_vlo")) * F.col("_frac")
     return res.select(*group_cols, "p", value.alias("value"))
+
+
+def order_statistics(df: DataFrame, num_col: str, tie_cols: list[str], ranks: list[int],
+                     accuracy: int = 100_000) -> dict[int, tuple]:
+    """Rows at the given 1-based ranks under the order (num_col, *tie_cols).
+
+    Selection without sorting the table: ``percentile_approx`` on ``num_col``
+    brackets each rank, one pass counts the rows below each bracket, and only
+    the rows inside a bracket (about 4N / accuracy) are ranked exactly.  A rank
+    its bracket misses is found by a full ``global_rank`` instead.  Returns
+    {rank: (num_col value, *tie values)}; only these few rows reach the driver.
+    """
+    ranks = sorted(set(int(r) for r in ranks))
+    if not ranks:
+        return {}
+    n = df.where(F.col(num_col).isNotNull()).count()
+    if n == 0:
+        return {}
+    delta = 2.0 / accuracy
+    probs = [(r - 1) / max(1, n - 1) for r in ranks]
+    lo_p = [max(0.0, p - delta) for p in probs]
+    hi_p = [min(1.0, p + delta) for p in probs]
+    x = F.col(num_col)
+    b = df.agg(F.percentile_approx(x, lo_p, accuracy).alias("lo"),
+               F.percentile_approx(x, hi_p, accuracy).alias("hi")).first()
+    below = df.agg(*[F.sum((x < F.lit(b["lo"][i])).cast("long")).alias(f"b{i}")
+                     for i in range(len(ranks))]).first()
+    out: dict[int, tuple] = {}
+    missed = []
+    cols = [num_col, *tie_cols]
+    for i, r in enumerate(ranks):
+        lo, hi, nb = b["lo"][i], b["hi"][i], int(below[f"b{i}"] or 0)
+        inside = df.where((x >= F.lit(lo)) & (x <= F.lit(hi))).select(*cols)
+        want = r - nb
+        if want < 1:
+            missed.append(r)
+            continue
+        ranked = global_rank(inside, cols, name="_r")
+        row = ranked.where(F.col("_r") == want).select(*cols).first()
+        if row is None:
+            missed.append(r)
+            continue
+        out[r] = tuple(row)
+    if missed:
+        full = global_rank(df.where(x.isNotNull()).select(*cols), cols, name="_r")
+        for row in full.where(F.col("_r").isin(missed)).select("_r", *cols).collect():
+            out[row["_r"]] = tuple(row[c] for c in cols)
+    return out

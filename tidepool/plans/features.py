@@ -103,7 +103,9 @@ def onehot_append(spark, sf_dir):
 
 
 _SPLIT_SQL = """
-WITH h AS (SELECT o_orderkey, md5('12345' || '|' || CAST(o_orderkey AS VARCHAR)) AS h FROM orders),
+WITH h AS (SELECT o_orderkey,
+                  ('0x' || substr(md5('12345' || '|' || CAST(o_orderkey AS VARCHAR)), 1, 13))::BIGINT AS h
+           FROM orders),
 r AS (SELECT o_orderkey, row_number() OVER (ORDER BY h, o_orderkey) AS rk, count(*) OVER () AS n FROM h),
 s AS (SELECT o_orderkey, rk, ceil(0.2 * n) AS n_test, ceil(0.25 * (n - ceil(0.2 * n))) AS n_val FROM r)
 SELECT o_orderkey,

@@ -37,7 +37,8 @@ def prepared(spark, sf_dir):
     Returns (balanced train, validation, test, feature columns)."""
     frame = churn_frame(spark, sf_dir)
     feats = features_of(frame)
-    # The split reads from the rank's checkpoint; no second cut is needed.
+    # df_clean is cut (checkpointed) inside prepare_churn; the split labels rows
+    # by comparison with two selected cut rows, so it is cheap to recompute.
     f = split.split_exact(frame, ["CustomerId"], seed=SEED)
     tr = f.where(F.col("split") == "train").drop("split")
     balanced = oversample.smote(tr, TARGET, feats, "CustomerId", minority=1, k=5, seed=SEED)
