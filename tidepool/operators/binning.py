@@ -13,7 +13,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidepool.operators.ranking import exact_quantiles, global_rank
+from tidepool.operators.ranking import exact_quantiles, global_rank, order_statistics
 
 
 class DuplicateEdgesError(ValueError):
@@ -55,16 +55,29 @@ def rank_first(df: DataFrame, col: str, key_cols: list[str], out_col: str = "ran
 def qcut_rank_first(df: DataFrame, col: str, key_cols: list[str], n: int, out_col: str) -> DataFrame:
     """BIN3: equal-frequency bins of the tie-broken rank.
 
-    The ranks are 1..N, so the inner edges are 1 + (N - 1) * i / n exactly and
-    need no second quantile pass.  (``ntile`` differs when N mod n != 0.)
+    The ranks are 1..N, so the inner edges are e = 1 + (N - 1) * i / n exactly,
+    and rank > e exactly when the row is at or after the row of rank
+    floor(e) + 1 under (col, *key_cols).  Those n - 1 rows are selected without
+    sorting the table (``order_statistics``) and each row is labelled by
+    comparing with them.  (``ntile`` differs when N mod n != 0.)
     """
-    ranked = rank_first(df.where(F.col(col).isNotNull()), col, key_cols, "_rank")
-    total = ranked.count()
+    x = F.col(col)
+    valid = df.where(x.isNotNull())
+    total = valid.count()
     probs = qcut_probs(n)
-    inner = [1.0 + (total - 1) * p for p in probs[1:-1]]
-    out = ranked.withColumn(out_col, label_from_edges(F.col("_rank"), inner)).drop("_rank")
-    nulls = df.where(F.col(col).isNull()).withColumn(out_col, F.lit(None).cast("int"))
-    return out.unionByName(nulls)
+    bounds = [int(np.floor(1.0 + (total - 1) * p)) + 1 for p in probs[1:-1]]
+    inside = [b for b in bounds if 1 <= b <= total]
+    stats = order_statistics(valid, col, key_cols, inside)
+    order = F.struct(x, *[F.col(c) for c in key_cols])
+    types = {f.name: f.dataType for f in df.schema.fields}
+    acc = F.lit(1)
+    for b in bounds:
+        if b > total:
+            continue  # no row reaches this rank
+        row = stats[b]
+        bound = F.struct(*[F.lit(v).cast(types[c]).alias(c) for v, c in zip(row, [col, *key_cols])])
+        acc = acc + (order >= bound).cast("int")
+    return df.withColumn(out_col, F.when(x.isNotNull(), acc))
 
 
 def ratio(df: DataFrame, num: str, den: str, out_col: str) -> DataFrame:

@@ -288,24 +288,21 @@ def order_statistics(df: DataFrame, num_col: str, tie_cols: list[str], ranks: li
                F.percentile_approx(x, hi_p, accuracy).alias("hi")).first()
     below = df.agg(*[F.sum((x < F.lit(b["lo"][i])).cast("long")).alias(f"b{i}")
                      for i in range(len(ranks))]).first()
-    out: dict[int, tuple] = {}
-    missed = []
     cols = [num_col, *tie_cols]
-    for i, r in enumerate(ranks):
-        lo, hi, nb = b["lo"][i], b["hi"][i], int(below[f"b{i}"] or 0)
-        inside = df.where((x >= F.lit(lo)) & (x <= F.lit(hi))).select(*cols)
-        want = r - nb
-        if want < 1:
-            missed.append(r)
-            continue
-        ranked = global_rank(inside, cols, name="_r")
-        row = ranked.where(F.col("_r") == want).select(*cols).first()
-        if row is None:
-            missed.append(r)
-            continue
-        out[r] = tuple(row)
+    spark = df.sparkSession
+    brackets = [(i, r, float(b["lo"][i]), float(b["hi"][i]), r - int(below[f"b{i}"] or 0))
+                for i, r in enumerate(ranks)]
+    bdf = spark.createDataFrame(brackets, "_t int, _rank long, _lo double, _hi double, _want long")
+    # All brackets ranked in one job; the bracket table has len(ranks) rows.
+    vals = df.where(x.isNotNull()).select(*cols)
+    inside = vals.join(bounded_broadcast(bdf), (x >= F.col("_lo")) & (x <= F.col("_hi")))
+    ranked = global_rank(inside.select("_t", "_want", *cols), cols, name="_r", group_cols=["_t"])
+    out: dict[int, tuple] = {}
+    for row in ranked.where(F.col("_r") == F.col("_want")).select("_t", *cols).collect():
+        out[ranks[row["_t"]]] = tuple(row[c] for c in cols)
+    missed = [r for r in ranks if r not in out]
     if missed:
-        full = global_rank(df.where(x.isNotNull()).select(*cols), cols, name="_r")
+        full = global_rank(vals, cols, name="_r")
         for row in full.where(F.col("_r").isin(missed)).select("_r", *cols).collect():
             out[row["_r"]] = tuple(row[c] for c in cols)
     return out
