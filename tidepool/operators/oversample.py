@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidepool.operators.joins import bounded_broadcast
-from tidepool.operators.ranking import global_rank
+from tidepool.operators.ranking import order_statistics
 
 _SLACK = 1e-9  # relative slack on bounds against rounding
 
@@ -186,7 +186,8 @@ def smote(df: DataFrame, label_col: str, feature_cols: list[str], key_col: str,
           **knn_opts) -> DataFrame:
     """SMOTE: add synthetic minority rows until both classes have the same count.
 
-    Each minority row (in ``md5(seed|key)`` order) is the base of
+    Each minority row (in order of a 52-bit number from ``md5(seed|key)``, ties
+    by key) is the base of
     floor(S / n_min) synthetic rows, the first S mod n_min bases one more, where
     S = n_majority - n_minority.  Synthetic row j of base b takes neighbour
     number 1 + h1 mod k and gap h2 / 2^32 from two seeded hashes of (b, j):
@@ -212,10 +213,20 @@ def smote(df: DataFrame, label_col: str, feature_cols: list[str], key_col: str,
         key_col, *feature_cols, F.array(*[F.col(c).cast("double") for c in feature_cols]).alias("_vec"))
     nbrs = knn(mino, key_col, "_vec", kk, **knn_opts).select(
         F.col(key_col).alias("_b"), "nbr_rank", F.col("nbr_id").alias("_n"))
-    h = F.md5(F.concat_ws("|", F.lit(str(seed)), F.col(key_col).cast("string")))
-    bases = global_rank(mino.withColumn("_h", h), ["_h", key_col], "_r")
+    # Base order: a 52-bit number from md5(seed|key), ties by key.  Only the
+    # row at rank S mod n_min is needed to tell who gets one more: selected,
+    # not sorted.
+    h52 = F.conv(F.substring(F.md5(F.concat_ws("|", F.lit(str(seed)), F.col(key_col).cast("string"))),
+                             1, 13), 16, 10).cast("bigint")
+    bases = mino.withColumn("_h", h52)
     per, extra = divmod(total_new, n_min)
-    quota = F.lit(per) + (F.col("_r") <= extra).cast("int")
+    plus_one = F.lit(False)
+    if extra:
+        cut = order_statistics(bases, "_h", [key_col], [extra])[extra]
+        bound = F.struct(F.lit(cut[0]).cast("bigint").alias("_h"),
+                         F.lit(cut[1]).cast(types[key_col]).alias(key_col))
+        plus_one = F.struct(F.col("_h"), F.col(key_col)) <= bound
+    quota = F.lit(per) + plus_one.cast("int")
     with_q = bases.where(quota > 0).select(F.col(key_col).alias("_b"), "_vec", quota.alias("_q"))
     if per + 1 > chunk_rows:
         # Extreme imbalance: cut each base's quota into chunks spread over

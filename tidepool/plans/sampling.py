@@ -56,7 +56,8 @@ p AS (SELECT a.o_orderkey AS b, c.o_orderkey AS n,
       FROM m a JOIN m c ON a.o_orderkey <> c.o_orderkey),
 nn AS (SELECT b, n, row_number() OVER (PARTITION BY b ORDER BY dist, n) AS nbr_rank FROM p),
 nn5 AS (SELECT * FROM nn WHERE nbr_rank <= 5),
-bases AS (SELECT m.*, row_number() OVER (ORDER BY md5('12345|' || CAST(o_orderkey AS VARCHAR)), o_orderkey) AS r
+bases AS (SELECT m.*, row_number() OVER (
+            ORDER BY ('0x' || substr(md5('12345|' || CAST(o_orderkey AS VARCHAR)), 1, 13))::BIGINT, o_orderkey) AS r
           FROM m),
 q AS (SELECT bases.*, (n_maj - n_min) // n_min + CASE WHEN r <= (n_maj - n_min) % n_min THEN 1 ELSE 0 END AS quota
       FROM bases, cnt),
