@@ -105,7 +105,7 @@ def load_ensemble(spark: SparkSession, model_path: str, model: PipelineModel | N
 
 def predict_transform(model: PipelineModel, df: DataFrame, input_cols: list[str],
                       output_col: str = "predictions") -> DataFrame:
-    """PRD1: inputs plus ``output_col`` from the fitted pipeline."""
+    """PRD1: inputs plus ``output_col`` from the fitted model."""
     return model.transform(df).select(*df.columns, F.col("prediction").alias(output_col))
 
 

@@ -20,13 +20,13 @@ RF_LARGE = {"maxDepth": 8, "featureSubsetStrategy": "6", "numTrees": 100, "seed"
 GBT = {"stepSize": 0.07, "maxIter": 100, "maxDepth": 10, "seed": 42, "lossType": "logistic"}
 
 
-def _fit(pipeline: Pipeline, df: DataFrame) -> PipelineModel:
+def _fit(stages: Pipeline, df: DataFrame) -> PipelineModel:
     """Fit and return a copy: the copy drops the training summary, which holds
     the session and would otherwise be captured by every scoring closure."""
-    return pipeline.fit(df).copy()
+    return stages.fit(df).copy()
 
 
-def _pipeline(feature_cols: list[str], estimator) -> Pipeline:
+def _assembled(feature_cols: list[str], estimator) -> Pipeline:
     assembler = VectorAssembler(inputCols=feature_cols, outputCol="features", handleInvalid="keep")
     return Pipeline(stages=[assembler, estimator])
 
@@ -38,13 +38,13 @@ def train_random_forest(df: DataFrame, feature_cols: list[str], label_col: str,
     if n is not None and n > len(feature_cols):
         p["featureSubsetStrategy"] = "all"
     est = RandomForestClassifier(featuresCol="features", labelCol=label_col, **p)
-    return _fit(_pipeline(feature_cols, est), df)
+    return _fit(_assembled(feature_cols, est), df)
 
 
 def train_gbt(df: DataFrame, feature_cols: list[str], label_col: str,
               params: dict | None = None) -> PipelineModel:
     est = GBTClassifier(featuresCol="features", labelCol=label_col, **dict(GBT, **(params or {})))
-    return _fit(_pipeline(feature_cols, est), df)
+    return _fit(_assembled(feature_cols, est), df)
 
 
 def classifier_stage(model: PipelineModel):
