@@ -237,12 +237,10 @@ def prefix_sums(df: DataFrame, order_cols: list[str], value_cols: list[str],
     return out.drop("_pid", *[f"_l_{v}" for v in value_cols], *[f"_o_{v}" for v in value_cols])
 
 
-def grouped_quantiles(df: DataFrame, value_col: str, group_cols: list[str], probs: list[float]) -> DataFrame:
-    """Exact linear-interpolated quantiles of ``value_col`` per group.
-
-    Returns (group..., p, value).  Same rank-based method as ``exact_quantiles``:
-    a hot group is still spread over many range partitions.
-    """
+def _grouped_rank_quantiles(df: DataFrame, value_col: str, group_cols: list[str],
+                            probs: list[float]) -> DataFrame:
+    """Per-group quantiles by global rank: a hot group is still spread over
+    many range partitions."""
     vals = df.select(*group_cols, F.col(value_col).cast("double").alias("v")).where(F.col("v").isNotNull())
     ranked = global_rank(vals, ["v"], name="_r", group_cols=group_cols)
     sizes = vals.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_n"))
@@ -263,6 +261,56 @@ def grouped_quantiles(df: DataFrame, value_col: str, group_cols: list[str], prob
     return res.select(*group_cols, "p", value.alias("value"))
 
 
+def grouped_quantiles(df: DataFrame, value_col: str, group_cols: list[str], probs: list[float],
+                      method: str = "bracket", accuracy: int = 10_000) -> DataFrame:
+    """Exact linear-interpolated quantiles of ``value_col`` per group -> (group..., p, value).
+
+    ``method="bracket"``: per-group ``percentile_approx`` brackets, exact counts
+    below each bracket, and only the rows inside the brackets reduced to
+    (value, count) and cumulated; groups whose bracket misses a rank are
+    recomputed by the rank method.  No list of groups reaches the driver.
+    ``method="rank"`` ranks every value (range sort).
+    """
+    if method == "rank":
+        return _grouped_rank_quantiles(df, value_col, group_cols, probs)
+    vals = df.select(*group_cols, F.col(value_col).cast("double").alias("v")).where(F.col("v").isNotNull())
+    delta = 2.0 / accuracy
+    lo_p = [max(0.0, p - delta) for p in probs]
+    hi_p = [min(1.0, p + delta) for p in probs]
+    plist = F.array(*[F.lit(float(p)) for p in probs])
+    g = vals.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_n"),
+                                      F.percentile_approx("v", lo_p, accuracy).alias("_lo"),
+                                      F.percentile_approx("v", hi_p, accuracy).alias("_hi"))
+    t = (g.select(*group_cols, "_n", F.posexplode(F.arrays_zip(plist.alias("p"), F.col("_lo").alias("lo"),
+                                                              F.col("_hi").alias("hi"))).alias("_t", "_z"))
+         .select(*group_cols, "_n", "_t", "_z.p", "_z.lo", "_z.hi")
+         .withColumn("_pos", F.col("p") * (F.col("_n") - 1))
+         .withColumn("lo_r", F.floor("_pos").cast("long"))
+         .withColumn("hi_r", F.ceil("_pos").cast("long"))
+         .withColumn("frac", F.col("_pos") - F.floor("_pos")))
+    # One row per (group, target): size-checked broadcast, else a shuffle join.
+    joined = vals.join(checked_broadcast(t.select(*group_cols, "_t", "lo", "hi")), group_cols)
+    below = joined.groupBy(*group_cols, "_t").agg(F.sum((F.col("v") < F.col("lo")).cast("long")).alias("below"))
+    inside = (joined.where((F.col("v") >= F.col("lo")) & (F.col("v") <= F.col("hi")))
+              .groupBy(*group_cols, "_t", "v").agg(F.count(F.lit(1)).alias("cnt")))
+    cum = prefix_sums(inside, ["v"], ["cnt"], [*group_cols, "_t"])
+    tot = cum.groupBy(*group_cols, "_t").agg(F.sum("cnt").alias("inside"))
+    info = (t.join(below, [*group_cols, "_t"], "left").join(tot, [*group_cols, "_t"], "left")
+            .fillna(0, ["below", "inside"]))
+    ok = (F.col("below") <= F.col("lo_r")) & (F.col("below") + F.col("inside") > F.col("hi_r"))
+    failing = info.where(~ok).select(*group_cols).distinct()
+    pick = lambda r: F.min(F.when(F.col("cnt_cum") > F.col(r) - F.col("below"), F.col("v")))
+    vals_bt = (cum.join(info.where(ok), [*group_cols, "_t"])
+               .groupBy(*group_cols, "_t", "p", "frac")
+               .agg(pick("lo_r").alias("_vlo"), pick("hi_r").alias("_vhi")))
+    value = F.col("_vlo") + (F.col("_vhi") - F.col("_vlo")) * F.col("frac")
+    good = vals_bt.select(*group_cols, "p", value.alias("value")).join(failing, group_cols, "left_anti")
+    if failing.limit(1).count() == 0:
+        return good
+    redo = _grouped_rank_quantiles(vals.join(failing, group_cols, "left_semi"), "v", group_cols, probs)
+    return good.unionByName(redo)
+
+
 def order_statistics(df: DataFrame, num_col: str, tie_cols: list[str], ranks: list[int],
                      accuracy: int = 100_000) -> dict[int, tuple]:
     """Rows at the given 1-based ranks under the order (num_col, *tie_cols).
