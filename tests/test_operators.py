@@ -213,8 +213,9 @@ def test_order_statistics_match_full_rank(spark):
     df = spark.createDataFrame(rows, "x long, k long")
     ranks = [1, 333, 900, 1500, 2700]
     want = {r[2]: (r[0], r[1]) for r in ranking.global_rank(df, ["x", "k"], "r").collect() if r[2] in ranks}
-    for acc in (100_000, 20):  # 20: brackets miss, the full-rank fallback answers
-        assert ranking.order_statistics(df, "x", ["k"], ranks, accuracy=acc) == want
+    assert ranking.order_statistics(df, "x", ["k"], ranks) == want  # small input: one sort
+    for acc in (100_000, 20):  # bracket path (forced), wide and narrow brackets
+        assert ranking.order_statistics(df, "x", ["k"], ranks, accuracy=acc, sort_below_rows=0) == want
 
 
 def test_grouped_quantiles_bracket_equals_rank(spark):
@@ -223,9 +224,10 @@ def test_grouped_quantiles_bracket_equals_rank(spark):
     rows += [(9, 1.0)] * 500 + [(9, 2.0)] * 3  # a hot group made of ties
     df = spark.createDataFrame(rows, "g int, v double")
     probs = [0.0, 0.5, 0.95, 1.0]
-    a = {(r[0], r[1]): r[2] for r in ranking.grouped_quantiles(df, "v", ["g"], probs).collect()}
+    a = {(r[0], r[1]): r[2] for r in ranking.grouped_quantiles(df, "v", ["g"], probs, method="bracket").collect()}
     b = {(r[0], r[1]): r[2] for r in ranking.grouped_quantiles(df, "v", ["g"], probs, method="rank").collect()}
-    c = {(r[0], r[1]): r[2] for r in ranking.grouped_quantiles(df, "v", ["g"], probs, accuracy=3).collect()}
+    c = {(r[0], r[1]): r[2] for r in ranking.grouped_quantiles(df, "v", ["g"], probs, method="bracket",
+                                                                 accuracy=3).collect()}
     assert a.keys() == b.keys() == c.keys()
     for k in a:
         assert a[k] == pytest.approx(b[k], rel=1e-12) and c[k] == pytest.approx(b[k], rel=1e-12)

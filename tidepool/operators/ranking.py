@@ -262,15 +262,20 @@ def _grouped_rank_quantiles(df: DataFrame, value_col: str, group_cols: list[str]
 
 
 def grouped_quantiles(df: DataFrame, value_col: str, group_cols: list[str], probs: list[float],
-                      method: str = "bracket", accuracy: int = 10_000) -> DataFrame:
+                      method: str = "auto", accuracy: int = 10_000,
+                      sort_below_rows: int = 2_000_000) -> DataFrame:
     """Exact linear-interpolated quantiles of ``value_col`` per group -> (group..., p, value).
 
     ``method="bracket"``: per-group ``percentile_approx`` brackets, exact counts
     below each bracket, and only the rows inside the brackets reduced to
     (value, count) and cumulated; groups whose bracket misses a rank are
     recomputed by the rank method.  No list of groups reaches the driver.
-    ``method="rank"`` ranks every value (range sort).
+    ``method="rank"`` ranks every value (range sort); ``"auto"`` ranks inputs
+    of at most ``sort_below_rows`` rows and brackets larger ones.
     """
+    if method == "auto":
+        small = df.where(F.col(value_col).isNotNull()).limit(sort_below_rows + 1).count() <= sort_below_rows
+        method = "rank" if small else "bracket"
     if method == "rank":
         return _grouped_rank_quantiles(df, value_col, group_cols, probs)
     vals = df.select(*group_cols, F.col(value_col).cast("double").alias("v")).where(F.col("v").isNotNull())
@@ -312,14 +317,16 @@ def grouped_quantiles(df: DataFrame, value_col: str, group_cols: list[str], prob
 
 
 def order_statistics(df: DataFrame, num_col: str, tie_cols: list[str], ranks: list[int],
-                     accuracy: int = 100_000) -> dict[int, tuple]:
+                     accuracy: int = 100_000, sort_below_rows: int = 2_000_000) -> dict[int, tuple]:
     """Rows at the given 1-based ranks under the order (num_col, *tie_cols).
 
     Selection without sorting the table: ``percentile_approx`` on ``num_col``
     brackets each rank, one pass counts the rows below each bracket, and only
     the rows inside a bracket (about 4N / accuracy) are ranked exactly.  A rank
-    its bracket misses is found by a full ``global_rank`` instead.  Returns
-    {rank: (num_col value, *tie values)}; only these few rows reach the driver.
+    its bracket misses is found by a full ``global_rank`` instead.  Inputs of
+    at most ``sort_below_rows`` rows are simply ranked (one small sort costs
+    less than the extra passes).  Returns {rank: (num_col value, *tie values)};
+    only these few rows reach the driver.
     """
     ranks = sorted(set(int(r) for r in ranks))
     if not ranks:
@@ -327,6 +334,11 @@ def order_statistics(df: DataFrame, num_col: str, tie_cols: list[str], ranks: li
     n = df.where(F.col(num_col).isNotNull()).count()
     if n == 0:
         return {}
+    cols = [num_col, *tie_cols]
+    if n <= sort_below_rows:
+        full = global_rank(df.where(F.col(num_col).isNotNull()).select(*cols), cols, name="_r")
+        return {row["_r"]: tuple(row[c] for c in cols)
+                for row in full.where(F.col("_r").isin(ranks)).select("_r", *cols).collect()}
     delta = 2.0 / accuracy
     probs = [(r - 1) / max(1, n - 1) for r in ranks]
     lo_p = [max(0.0, p - delta) for p in probs]
@@ -336,7 +348,6 @@ def order_statistics(df: DataFrame, num_col: str, tie_cols: list[str], ranks: li
                F.percentile_approx(x, hi_p, accuracy).alias("hi")).first()
     below = df.agg(*[F.sum((x < F.lit(b["lo"][i])).cast("long")).alias(f"b{i}")
                      for i in range(len(ranks))]).first()
-    cols = [num_col, *tie_cols]
     spark = df.sparkSession
     brackets = [(i, r, float(b["lo"][i]), float(b["hi"][i]), r - int(below[f"b{i}"] or 0))
                 for i, r in enumerate(ranks)]
