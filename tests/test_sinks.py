@@ -32,3 +32,10 @@ def test_layout_and_landing_check(spark, tmp_dir):
     assert not files.landing_has(spark, f"{tmp_dir}/nothing.csv")
     sinks.stamp_schema_version(spark, z["control"] + "/schema_version", "v1")
     assert files.landing_has(spark, z["control"] + "/schema_version")
+
+
+def test_overwrite_from_itself(spark, tmp_dir):
+    sinks.overwrite_path(spark.range(5).withColumnRenamed("id", "a"), f"{tmp_dir}/self")
+    df = spark.read.parquet(f"{tmp_dir}/self")
+    sinks.overwrite_path(df.selectExpr("a * 2 AS a"), f"{tmp_dir}/self")
+    assert sorted(r[0] for r in spark.read.parquet(f"{tmp_dir}/self").collect()) == [0, 2, 4, 6, 8]

@@ -10,6 +10,7 @@ written frame -- the plan does not run a second time to count.
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -71,16 +72,44 @@ def append_path(df: DataFrame, path: str, partition_cols: list[str] | None = Non
     return obs.get
 
 
+def _fs(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath, jvm
+
+
 def overwrite_path(df: DataFrame, path: str, replace_schema: bool = True, fmt: str | None = None,
                    partition_cols: list[str] | None = None) -> dict:
-    """SNK3/SNK4: overwrite a path table (the new schema replaces the old one)."""
+    """SNK3/SNK4: overwrite a path table; the new schema replaces the old one.
+
+    Parquet has no transactions, so the new version is written next to the old
+    one and switched in by two renames: readers never see a half-written table
+    (only, between the renames, briefly no table), a failed write leaves the old
+    table intact, and a frame that reads the same path can overwrite it.
+    (With Delta, ``overwriteSchema`` does this transactionally.)
+    """
+    fmt = fmt or TABLE_FORMAT
+    spark = df.sparkSession
     obs = Observation("overwrite_path")
-    w = df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").format(fmt or TABLE_FORMAT)
-    if replace_schema:
+    stage = f"{path.rstrip('/')}.__staged_{uuid.uuid4().hex[:8]}"
+    w = df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").format(fmt)
+    if fmt == "delta" and replace_schema:
         w = w.option("overwriteSchema", "true")
     if partition_cols:
         w = w.partitionBy(*partition_cols)
-    w.save(path)
+    w.save(stage)
+    fs, target, jvm = _fs(spark, path)
+    staged = jvm.org.apache.hadoop.fs.Path(stage)
+    old = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}.__old_{uuid.uuid4().hex[:8]}")
+    had_old = fs.exists(target)
+    if had_old and not fs.rename(target, old):
+        raise OSError(f"could not move {path} aside")
+    if not fs.rename(staged, target):
+        if had_old:
+            fs.rename(old, target)
+        raise OSError(f"could not switch {stage} into {path}")
+    if had_old:
+        fs.delete(old, True)
     return obs.get
 
 
