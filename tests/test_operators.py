@@ -231,3 +231,33 @@ def test_grouped_quantiles_bracket_equals_rank(spark):
     assert a.keys() == b.keys() == c.keys()
     for k in a:
         assert a[k] == pytest.approx(b[k], rel=1e-12) and c[k] == pytest.approx(b[k], rel=1e-12)
+
+
+def test_job_sessions_two_levels_equal_plain_gap_rule(spark):
+    import datetime as dt
+
+    from tidepool.operators import marts
+    base = dt.datetime(2024, 1, 1, 0, 0, 0)
+    rng = np.random.default_rng(12)
+    rows = []
+    for item, n in (("hot", 900), ("a", 40), ("b", 25)):
+        t = base
+        for _ in range(n):
+            step = int(rng.choice([60, 600, 1799, 1800, 1801, 5400]))  # around the 30-minute gap
+            t = t + dt.timedelta(seconds=step, microseconds=int(rng.integers(0, 999999)))
+            rows.append((item, t, int(rng.choice([200, 200, 500]))))
+    df = spark.createDataFrame(rows, "ItemId string, EventTimeUtc timestamp, HttpStatusCode int")
+    got = sorted((r["ItemId"], r["JobStartTime"], r["JobEndTime"], r["events"], r["failed"])
+                 for r in marts.job_sessions(df).collect())
+    want = []
+    for item in ("hot", "a", "b"):
+        ev = sorted((t, s) for i, t, s in rows if i == item)
+        cur = [ev[0][0], ev[0][0], 1, int(ev[0][1] >= 500)]
+        for t, s in ev[1:]:
+            if t - cur[1] >= dt.timedelta(seconds=1800):
+                want.append((item, *cur))
+                cur = [t, t, 1, int(s >= 500)]
+            else:
+                cur[1], cur[2], cur[3] = t, cur[2] + 1, max(cur[3], int(s >= 500))
+        want.append((item, *cur))
+    assert got == sorted(want)

@@ -58,6 +58,25 @@ def access_mart_daily(spark, sf_dir):
     return out.withColumn("p95_duration_ms", F.round("p95_duration_ms", 6))
 
 
+@query("job_daily", "DCL1", sql=f"""{_FLAT},
+e AS (SELECT ItemId, EventTimeUtc AS t, HttpStatusCode FROM flat WHERE EventTimeUtc IS NOT NULL),
+s AS (SELECT *, CASE WHEN lag(t) OVER w IS NULL OR t >= lag(t) OVER w + INTERVAL 30 MINUTE THEN 1 ELSE 0 END
+                AS new_run
+      FROM e WINDOW w AS (PARTITION BY ItemId ORDER BY t)),
+g AS (SELECT *, sum(new_run) OVER (PARTITION BY ItemId ORDER BY t, new_run DESC
+                                   ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS run FROM s),
+runs AS (SELECT ItemId, run, min(t) AS t0, max(t) AS t1,
+                max(CASE WHEN HttpStatusCode >= 500 THEN 1 ELSE 0 END) AS failed
+         FROM g GROUP BY ItemId, run)
+SELECT ItemId, CAST(t0 AS DATE) AS JobDate, count(*) AS jobs, CAST(sum(failed) AS BIGINT) AS failed_jobs,
+       sum(failed) / count(*) AS failure_rate, avg(epoch_us(t1) // 1000 - epoch_us(t0) // 1000) AS avg_duration_ms
+FROM runs GROUP BY ALL
+""")
+def job_daily(spark, sf_dir):
+    """Runs of access activity per item (30-minute gap) as job events, per day."""
+    return marts.job_daily(marts.job_sessions(_log(spark, sf_dir)))
+
+
 _ETL_RUN_SCHEMA = (
     "RunId string, SourceSystem string, WorkspaceId string, WorkspaceName string, PipelineOrJobName string, "
     "RunStartUtc timestamp, RunEndUtc timestamp, Status string, RowsRead bigint, RowsWritten bigint, "

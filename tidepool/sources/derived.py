@@ -115,7 +115,8 @@ def diagnostic_flat_sql(damaged: bool = False, duration_precision: str = "milli"
         status = "CASE WHEN event_type = 'error' THEN 500 ELSE 200 END"
         dur_explicit = "CASE WHEN event_type IN ('click', 'view') THEN CAST(round(value * 1000) AS BIGINT) END"
     if duration_precision == "milli":
-        fallback = f"epoch_ms({end}) - epoch_ms({start})"
+        # unix_millis floors to the millisecond (DuckDB's epoch_ms rounds)
+        fallback = f"epoch_us({end}) // 1000 - epoch_us({start}) // 1000"
     else:
         fallback = f"(epoch_us({end}) // 1000000 - epoch_us({start}) // 1000000) * 1000"
     return f"""
