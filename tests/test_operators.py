@@ -261,3 +261,18 @@ def test_job_sessions_two_levels_equal_plain_gap_rule(spark):
                 cur[1], cur[2], cur[3] = t, cur[2] + 1, max(cur[3], int(s >= 500))
         want.append((item, *cur))
     assert got == sorted(want)
+
+
+@pytest.mark.parametrize("parts", [1, 7, 64])
+def test_results_do_not_depend_on_partitioning(spark, parts):
+    rng = np.random.default_rng(21)
+    rows = [(i, float(rng.normal()), float(rng.normal()), 1 if rng.random() < 0.3 else 0) for i in range(400)]
+    df = spark.createDataFrame(rows, "k long, a double, b double, y int")
+    ref_smote = oversample.smote(df.coalesce(1), "y", ["a", "b"], "k", k=5, seed=3)
+    ref_split = split.split_exact(df.coalesce(1), ["k"], seed=3)
+    ref_bins = binning.qcut_rank_first(df.coalesce(1), "a", ["k"], 5, "bin")
+    moved = df.repartition(parts)
+    for ref, got in ((ref_smote, oversample.smote(moved, "y", ["a", "b"], "k", k=5, seed=3)),
+                     (ref_split, split.split_exact(moved, ["k"], seed=3)),
+                     (ref_bins, binning.qcut_rank_first(moved, "a", ["k"], 5, "bin"))):
+        assert ref.exceptAll(got).count() == 0 and got.exceptAll(ref).count() == 0
