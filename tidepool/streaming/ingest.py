@@ -50,9 +50,10 @@ def _run(writer, available_now: bool = True):
 
 
 def land_files(spark: SparkSession, root: str, bronze_path: str, checkpoint: str,
-               multiline: bool = True) -> None:
+               multiline: bool = True, max_files_per_trigger: int | None = None) -> None:
     """SNK5-SNK7: copy the text of every not-yet-seen JSON file to the bronze table."""
-    src = raw_json_stream(spark, root, multiline).withColumn("landed_at", F.current_timestamp())
+    src = (raw_json_stream(spark, root, multiline, max_files_per_trigger=max_files_per_trigger)
+           .withColumn("landed_at", F.current_timestamp()))
     _run(src.writeStream.format("parquet").option("path", bronze_path)
          .option("checkpointLocation", checkpoint).outputMode("append"))
 
@@ -121,9 +122,11 @@ def dedup_within_watermark(df: DataFrame, key: str = "EventId", event_time: str
 
 
 def dedup_stream(spark: SparkSession, root: str, target_path: str, checkpoint: str,
-                 multiline: bool = True, delay: str = "1 hour") -> None:
+                 multiline: bool = True, delay: str = "1 hour",
+                 max_files_per_trigger: int | None = None) -> None:
     """STR3 job: files -> flatten -> watermark dedup -> append-only Parquet sink."""
-    flat = jsonlog.flatten_access_log(raw_json_stream(spark, root, multiline))
+    flat = jsonlog.flatten_access_log(
+        raw_json_stream(spark, root, multiline, max_files_per_trigger=max_files_per_trigger))
     out = dedup_within_watermark(flat.where(F.col("EventTimeUtc").isNotNull()), delay=delay)
     _run(out.writeStream.format("parquet").option("path", target_path)
          .option("checkpointLocation", checkpoint).outputMode("append"))
