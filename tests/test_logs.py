@@ -3,6 +3,8 @@
 import json
 import os
 
+import pytest
+
 from tidepool.functions import jsonlog
 from tidepool.sources import files
 from tidepool.streaming import ingest
@@ -105,12 +107,14 @@ def test_multiline_ingest_twice_is_once_and_late_small_path(spark, tmp_dir):
     assert got == ["e1", "e2", "e3"]
 
 
-def test_watermark_dedup(spark, tmp_dir):
+@pytest.mark.parametrize("files_per_batch", [None, 1])
+def test_watermark_dedup(spark, tmp_dir, files_per_batch):
+    """Copies in one micro-batch or in separate ones: each event kept once."""
     src, target, ck = f"{tmp_dir}/src", f"{tmp_dir}/target", f"{tmp_dir}/ck"
     lines = "\n".join(json.dumps(d) for d in EDGE_DOCS[:4])
     _write(f"{src}/a.json", lines)
     _write(f"{src}/b.json", lines)
-    ingest.dedup_stream(spark, src, target, ck, multiline=False)
+    ingest.dedup_stream(spark, src, target, ck, multiline=False, max_files_per_trigger=files_per_batch)
     assert spark.read.parquet(target).count() == 4
 
 
