@@ -132,3 +132,16 @@ def test_bounded_micro_batches_drain_everything(spark, tmp_dir):
         _write(f"{src}/f{i:02d}.json", json.dumps(d))
     ingest.normalise_stream(spark, src, target, ck, multiline=True, max_files_per_trigger=3)
     assert spark.read.parquet(target).count() == len(EDGE_DOCS)
+
+
+def test_empty_inputs(spark, tmp_dir):
+    empty = spark.createDataFrame([], "RawJson string")
+    flat = jsonlog.flatten_access_log(empty)
+    assert flat.count() == 0
+    assert [(f.name, f.dataType) for f in flat.schema.fields] == \
+        [(f.name, f.dataType) for f in jsonlog.ACCESS_LOG_SCHEMA.fields]
+    os.makedirs(f"{tmp_dir}/src")
+    with pytest.raises(ingest.NoInputFilesError):
+        ingest.normalise_stream(spark, f"{tmp_dir}/src", f"{tmp_dir}/t", f"{tmp_dir}/ck", require_files=True)
+    ingest.normalise_stream(spark, f"{tmp_dir}/src", f"{tmp_dir}/t", f"{tmp_dir}/ck2")  # lenient: nothing
+    assert not files.path_exists(spark, f"{tmp_dir}/t")

@@ -276,3 +276,12 @@ def test_results_do_not_depend_on_partitioning(spark, parts):
                      (ref_split, split.split_exact(moved, ["k"], seed=3)),
                      (ref_bins, binning.qcut_rank_first(moved, "a", ["k"], 5, "bin"))):
         assert ref.exceptAll(got).count() == 0 and got.exceptAll(ref).count() == 0
+
+
+def test_empty_frames_stay_typed(spark):
+    df = spark.createDataFrame([], "k long, x double, c string, y int")
+    assert clean.clean_data(df, ["k"], ["k"], ["c"]).columns == ["k", "x", "y"]
+    assert profile.class_balance(df, "y").count() == 0
+    assert {r["column"]: r["n_distinct"] for r in profile.nunique(df, ["x", "c"]).collect()} == {"x": 0, "c": 0}
+    assert profile.counts_by_target(df, ["c"], "y").count() == 0
+    assert split.split_exact(df, ["k"]).count() == 0

@@ -40,6 +40,17 @@ def raw_json_stream(spark: SparkSession, root: str, multiline: bool = True, glob
     return df.select(F.col("value").alias("RawJson"), F.col("_metadata.file_path").alias("source_path"))
 
 
+class NoInputFilesError(FileNotFoundError):
+    """Strict mode: the source folder holds no matching file."""
+
+
+def _require_files(spark: SparkSession, root: str) -> None:
+    from tidepool.sources.files import list_files
+
+    if not path_exists(spark, root) or list_files(spark, root).limit(1).count() == 0:
+        raise NoInputFilesError(f"no JSON files under {root}")
+
+
 def _run(writer, available_now: bool = True):
     q = (writer.trigger(availableNow=True) if available_now else writer).start()
     q.awaitTermination()
@@ -89,12 +100,16 @@ def _persisted_append(batch: DataFrame, target_path: str) -> None:
 
 def normalise_stream(spark: SparkSession, root: str, target_path: str, checkpoint: str,
                      multiline: bool = True, duration_precision: str = "milli",
-                     max_files_per_trigger: int | None = None) -> None:
+                     max_files_per_trigger: int | None = None, require_files: bool = False) -> None:
     """STR1 + STR2: files -> 31-column access-log table, appended without duplicates.
 
     ``max_files_per_trigger`` bounds a micro-batch (the reference lists at most
     200,000 files per run); ``availableNow`` still drains every file, batch by batch.
+    ``require_files`` raises ``NoInputFilesError`` when ``root`` holds no JSON file
+    (strict mode); otherwise an empty source simply appends nothing.
     """
+    if require_files:
+        _require_files(spark, root)
     src = raw_json_stream(spark, root, multiline, max_files_per_trigger=max_files_per_trigger)
     flat = jsonlog.flatten_access_log(src, duration_precision=duration_precision)
 
