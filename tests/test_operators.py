@@ -285,3 +285,15 @@ def test_empty_frames_stay_typed(spark):
     assert {r["column"]: r["n_distinct"] for r in profile.nunique(df, ["x", "c"]).collect()} == {"x": 0, "c": 0}
     assert profile.counts_by_target(df, ["c"], "y").count() == 0
     assert split.split_exact(df, ["k"]).count() == 0
+
+
+def test_hot_value_is_split_across_range_partitions(spark):
+    """A value holding a third of the rows does not land in one partition:
+    the range bounds are sampled on (value, tiebreak)."""
+    rows = [(7.0 if i % 3 == 0 else float(i), i) for i in range(6000)]
+    df = spark.createDataFrame(rows, "x double, k long")
+    sizes = (df.repartitionByRange(16, "x", "k").groupBy(F.spark_partition_id().alias("p")).count()
+             .agg(F.max("count")).first()[0])
+    assert sizes < 2000 / 2  # the 2000 hot rows are spread over several partitions
+    ranked = ranking.global_rank(df, ["x", "k"], "r", num_partitions=16)
+    assert ranked.agg(F.max("r")).first()[0] == 6000
