@@ -35,6 +35,8 @@ def test_three_scoring_forms_agree_and_auc_floor(spark, tmp_dir):
         s = predict.predict_sql(spark, df, f"m/{v}", FEATS).select("k", F.col("predictions").alias("p2"))
         j = t.join(u, "k").join(s, "k")
         assert j.where("p1 != p2 OR p1 != p3").count() == 0
+        only = predict.predict_sql(spark, df, f"m/{v}", FEATS, keep_inputs=False)
+        assert only.columns == ["predictions"] and only.count() == df.count()
         assert j.count() == df.count()
         # save/load gives equal predictions
         f2 = fitted.transform(df).select("k", F.col("prediction").alias("p0"))

@@ -141,11 +141,16 @@ def register_predict_sql(spark: SparkSession, models: dict[str, TreeEnsemble], n
 
 
 def predict_sql(spark: SparkSession, df: DataFrame, model_ref: str, feature_cols: list[str],
-                output_col: str = "predictions") -> DataFrame:
-    """PRD2 through ``SQLTransformer`` exactly as written in SQL."""
+                output_col: str = "predictions", keep_inputs: bool = True) -> DataFrame:
+    """PRD2 through ``SQLTransformer`` exactly as written in SQL.
+
+    ``keep_inputs=False`` is the reference's statement, which returns only the
+    prediction column.
+    """
     from pyspark.ml.feature import SQLTransformer
 
-    stmt = (f"SELECT *, PREDICT('{model_ref}', {', '.join(feature_cols)}) AS {output_col} FROM __THIS__")
+    lead = "*, " if keep_inputs else ""
+    stmt = f"SELECT {lead}PREDICT('{model_ref}', {', '.join(feature_cols)}) AS {output_col} FROM __THIS__"
     return SQLTransformer(statement=stmt).transform(df)
 
 
