@@ -22,10 +22,10 @@ from pyspark.sql import functions as F
 from tidepool.operators.joins import bounded_broadcast, checked_broadcast
 from tidepool.session import checkpoint_dir
 
-def _num_partitions(df: DataFrame, n: int | None) -> int:
-    if n:
-        return n
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+def _range_partitioned(df: DataFrame, keys: list[Column], n: int | None) -> DataFrame:
+    """Range partitioning on ``keys``.  Without an explicit count AQE sizes the
+    partitions (it only merges adjacent ranges, so the order is kept)."""
+    return df.repartitionByRange(n, *keys) if n else df.repartitionByRange(*keys)
 
 
 def global_rank(df: DataFrame, order_cols: list[str | Column], name: str = "rank",
@@ -37,10 +37,9 @@ def global_rank(df: DataFrame, order_cols: list[str | Column], name: str = "rank
     """
     group_cols = group_cols or []
     checkpoint_dir(df.sparkSession)
-    n = _num_partitions(df, num_partitions)
     keys = [F.col(c) if isinstance(c, str) else c for c in group_cols] + \
            [F.col(c) if isinstance(c, str) else c for c in order_cols]
-    positioned = (df.repartitionByRange(n, *keys)
+    positioned = (_range_partitioned(df, keys, num_partitions)
                   .sortWithinPartitions(*keys)
                   .withColumn("_pid", F.spark_partition_id())
                   .withColumn("_mid", F.monotonically_increasing_id()))
@@ -218,9 +217,8 @@ def prefix_sums(df: DataFrame, order_cols: list[str], value_cols: list[str],
     """
     group_cols = group_cols or []
     checkpoint_dir(df.sparkSession)
-    n = _num_partitions(df, num_partitions)
     keys = [*group_cols, *order_cols]
-    positioned = (df.repartitionByRange(n, *keys)
+    positioned = (_range_partitioned(df, [F.col(c) for c in keys], num_partitions)
                   .withColumn("_pid", F.spark_partition_id())
                   .checkpoint(eager=True))
     local_w = (Window.partitionBy("_pid", *group_cols).orderBy(*order_cols)
