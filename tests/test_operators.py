@@ -297,3 +297,10 @@ def test_hot_value_is_split_across_range_partitions(spark):
     assert sizes < 2000 / 2  # the 2000 hot rows are spread over several partitions
     ranked = ranking.global_rank(df, ["x", "k"], "r", num_partitions=16)
     assert ranked.agg(F.max("r")).first()[0] == 6000
+
+
+def test_one_hot_vector_form(spark):
+    df = spark.createDataFrame([("b",), ("a",), ("b",)], "cat string")
+    _, out = encode.one_hot_vector(df, "cat", "v")
+    vecs = [r["v"].toArray().tolist() for r in out.collect()]
+    assert vecs == [[0.0, 1.0, 0.0], [1.0, 0.0, 0.0], [0.0, 1.0, 0.0]]  # a, b, unseen slot

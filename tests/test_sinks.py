@@ -39,3 +39,26 @@ def test_overwrite_from_itself(spark, tmp_dir):
     df = spark.read.parquet(f"{tmp_dir}/self")
     sinks.overwrite_path(df.selectExpr("a * 2 AS a"), f"{tmp_dir}/self")
     assert sorted(r[0] for r in spark.read.parquet(f"{tmp_dir}/self").collect()) == [0, 2, 4, 6, 8]
+
+
+def test_typed_json_read_mark_filter_and_views(spark, tmp_dir):
+    import json
+    import os
+
+    from pyspark.sql import types as T
+
+    from tidepool.sources import tables
+
+    os.makedirs(f"{tmp_dir}/j/b", exist_ok=True)
+    for name, doc in (("a.json", {"id": "1", "n": 2}), ("b/c.JSON", {"id": "2", "n": 3})):
+        with open(f"{tmp_dir}/j/{name}", "w") as fh:
+            fh.write(json.dumps(doc, indent=2))
+    schema = T.StructType([T.StructField("id", T.StringType()), T.StructField("n", T.LongType())])
+    got = sorted(tuple(r) for r in files.read_json_typed(spark, f"{tmp_dir}/j", schema).collect())
+    assert got == [("1", 2), ("2", 3)]
+    listed = files.list_files(spark, f"{tmp_dir}/j")
+    mark = listed.agg({"path": "max"}).first()[0]
+    assert files.newer_than(listed, mark).count() == 0
+    assert files.newer_than(listed, None).count() == 2
+    tables.register_views(spark, "/root/testdata/sf0.001", ["region"])
+    assert spark.sql("SELECT count(*) FROM region").first()[0] == 5

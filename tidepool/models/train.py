@@ -45,7 +45,3 @@ def train_gbt(df: DataFrame, feature_cols: list[str], label_col: str,
               params: dict | None = None) -> PipelineModel:
     est = GBTClassifier(featuresCol="features", labelCol=label_col, **dict(GBT, **(params or {})))
     return _fit(_assembled(feature_cols, est), df)
-
-
-def classifier_stage(model: PipelineModel):
-    return model.stages[-1]

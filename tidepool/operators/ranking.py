@@ -198,14 +198,6 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float],
     return out
 
 
-def quantile_row(df: DataFrame, cols: list[str], probs: list[float], names: list[str]) -> DataFrame:
-    """Quantiles pivoted to one row per column with a named field per probability."""
-    q = exact_quantiles(df, cols, probs)
-    aggs = [F.max(F.when(F.col("p") == float(p), F.col("value"))).alias(nm)
-            for p, nm in zip(probs, names)]
-    return q.groupBy("column").agg(*aggs)
-
-
 def prefix_sums(df: DataFrame, order_cols: list[str], value_cols: list[str],
                 group_cols: list[str] | None = None, suffix: str = "_cum",
                 num_partitions: int | None = None) -> DataFrame:
