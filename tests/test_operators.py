@@ -304,3 +304,12 @@ def test_one_hot_vector_form(spark):
     _, out = encode.one_hot_vector(df, "cat", "v")
     vecs = [r["v"].toArray().tolist() for r in out.collect()]
     assert vecs == [[0.0, 1.0, 0.0], [1.0, 0.0, 0.0], [0.0, 1.0, 0.0]]  # a, b, unseen slot
+
+
+def test_format_strings(spark):
+    from tidepool.operators import report
+    df = spark.createDataFrame([(1234567.456,)], "x double")
+    row = df.select(report.format_value(F.col("x"), "0").alias("a"),
+                    report.format_value(F.col("x"), "#,0").alias("b"),
+                    report.format_value(F.col("x"), "0.00").alias("c")).first()
+    assert (row.a, row.b, row.c) == ("1234567", "1,234,567", "1234567.46")

@@ -51,6 +51,33 @@ def default_aggregation(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.groupBy(*keys).agg(*measures)
 
 
+def format_value(c: Column, fmt: str) -> Column:
+    """FN13: render a number with a semantic-model format string.
+
+    Supported: ``0`` (integer, no grouping), ``#,0`` (integer with thousands
+    separators) and ``0.00``-style fixed decimals.
+    """
+    if fmt == "0":
+        return F.format_string("%d", F.round(c).cast("long"))
+    if fmt == "#,0":
+        return F.format_number(c, 0)
+    if fmt.startswith("0.") and set(fmt[2:]) == {"0"}:
+        return F.format_string(f"%.{len(fmt) - 2}f", c.cast("double"))
+    raise ValueError(f"unsupported format string {fmt!r}")
+
+
+def default_aggregation_formatted(df: DataFrame, columns: list[str]) -> DataFrame:
+    """AGG9 + FN13: metadata-driven aggregation with each measure rendered by
+    its source column's ``formatString``."""
+    out = default_aggregation(df, columns)
+    for c in columns:
+        meta = df.schema[c].metadata
+        how, fmt = meta.get("summarizeBy", "none"), meta.get("formatString")
+        if how != "none" and fmt:
+            out = out.withColumn(f"{how}_{c}", format_value(F.col(f"{how}_{c}"), fmt))
+    return out
+
+
 def top_n(df: DataFrame, n: int, order_by: list[str] | None = None) -> DataFrame:
     """SRT2/SRT3: the first ``n`` rows under an explicit order (the limit is the feature)."""
     cols = order_by or df.columns

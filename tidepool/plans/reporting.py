@@ -22,7 +22,7 @@ def report_sum_desc(spark, sf_dir):
                                "id", "sum", descending=True, alias="sum_id")
 
 
-@query("default_agg_by_metadata", "AGG9,FN13", sql=f"""
+@query("default_agg_by_metadata", "AGG9", sql=f"""
 {_ACCOUNTS_CTE}
 SELECT Category, Company_Name, CAST(SUM(id) AS BIGINT) AS sum_id
 FROM accounts
@@ -39,3 +39,14 @@ SELECT * FROM accounts ORDER BY id LIMIT 5
 """)
 def topn_rows(spark, sf_dir):
     return report.top_n(tables.accounts(spark, sf_dir), 5, ["id"])
+
+
+@query("report_formatted", "AGG9,FN13", sql=f"""
+{_ACCOUNTS_CTE}
+SELECT Category, CAST(CAST(SUM(id) AS BIGINT) AS VARCHAR) AS sum_id
+FROM accounts
+GROUP BY Category
+""")
+def report_formatted(spark, sf_dir):
+    acc = tables.accounts(spark, sf_dir)
+    return report.default_aggregation_formatted(acc, ["Category", "id"])

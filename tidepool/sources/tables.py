@@ -84,7 +84,12 @@ def accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
         .alias("Estimated_Revenue_USD"),
         (F.col("p_size") * 10).cast("string").alias("Production_Capacity"),
     )
+    # The semantic model's column properties (id: sum, format "0").
     summarize = {"id": "sum"}
+    formats = {"id": "0"}
     for field in df.schema.fields:
-        df = df.withMetadata(field.name, {"summarizeBy": summarize.get(field.name, "none")})
+        meta = {"summarizeBy": summarize.get(field.name, "none")}
+        if field.name in formats:
+            meta["formatString"] = formats[field.name]
+        df = df.withMetadata(field.name, meta)
     return df
