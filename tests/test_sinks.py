@@ -62,3 +62,12 @@ def test_typed_json_read_mark_filter_and_views(spark, tmp_dir):
     assert files.newer_than(listed, None).count() == 2
     tables.register_views(spark, "/root/testdata/sf0.001", ["region"])
     assert spark.sql("SELECT count(*) FROM region").first()[0] == 5
+
+
+def test_bootstrap_declared_tables(spark, tmp_dir):
+    prefix = f"b{uuid.uuid4().hex[:6]}_"
+    names = sinks.bootstrap_tables(spark, tmp_dir, prefix)
+    assert sinks.bootstrap_tables(spark, tmp_dir, prefix) == names  # rerun is a no-op
+    widths = {n[len(prefix):]: len(spark.table(n).columns) for n in names}
+    assert widths == {"log_event_access": 31, "log_job_event": 21, "log_etl_run": 14,
+                      "dim_workspace": 6, "dim_item": 6, "dim_principal": 5}

@@ -77,12 +77,6 @@ def job_daily(spark, sf_dir):
     return marts.job_daily(marts.job_sessions(_log(spark, sf_dir)))
 
 
-_ETL_RUN_SCHEMA = (
-    "RunId string, SourceSystem string, WorkspaceId string, WorkspaceName string, PipelineOrJobName string, "
-    "RunStartUtc timestamp, RunEndUtc timestamp, Status string, RowsRead bigint, RowsWritten bigint, "
-    "FilesProcessed bigint, ErrorMessage string, CommitHash string, IngestedTimeUtc timestamp")
-
-
 @query("etl_run_log", "DCL2,SNK10", sql="""
 SELECT 'Succeeded' AS Status, count(*) AS RowsRead, count(*) AS RowsWritten FROM events
 """)
@@ -104,5 +98,5 @@ def etl_run_log(spark, sf_dir):
     run = [(uuid.uuid4().hex, "derived-events", None, None, "normalise_access_log", start, end, "Succeeded",
             int(read_obs.get["n"]), int(written["rows"]), None, None, None, end)]
     log_path = os.path.join(base, "log_etl_run")
-    spark.createDataFrame(run, _ETL_RUN_SCHEMA).write.mode("append").parquet(log_path)
+    spark.createDataFrame(run, sinks.DECLARED_TABLES["log_etl_run"]).write.mode("append").parquet(log_path)
     return spark.read.parquet(log_path).select("Status", "RowsRead", "RowsWritten")

@@ -22,6 +22,29 @@ from tidepool.sources.tables import TABLE_FORMAT
 ZONES = ("control", "bronze", "silver", "gold")
 
 
+# The declared logging and dimension tables (column name and type,
+# in table order).  log_event_access is the 31-column form (functions.jsonlog).
+DECLARED_TABLES = {
+    "log_job_event": (
+        "Timestamp TIMESTAMP, ItemId STRING, ItemKind STRING, ItemName STRING, WorkspaceId STRING, "
+        "WorkspaceName STRING, CapacityId STRING, DurationMs BIGINT, ExecutingPrincipalId STRING, "
+        "ExecutingPrincipalType STRING, WorkspaceMonitoringTableName STRING, JobInstanceId STRING, "
+        "JobInvokeType STRING, JobType STRING, JobStatus STRING, JobDefinitionObjectId STRING, "
+        "JobScheduleTime TIMESTAMP, JobStartTime TIMESTAMP, JobEndTime TIMESTAMP, IngestedTimeUtc TIMESTAMP, "
+        "RawJson STRING"),
+    "log_etl_run": (
+        "RunId STRING, SourceSystem STRING, WorkspaceId STRING, WorkspaceName STRING, PipelineOrJobName STRING, "
+        "RunStartUtc TIMESTAMP, RunEndUtc TIMESTAMP, Status STRING, RowsRead BIGINT, RowsWritten BIGINT, "
+        "FilesProcessed BIGINT, ErrorMessage STRING, CommitHash STRING, IngestedTimeUtc TIMESTAMP"),
+    "dim_workspace": ("WorkspaceId STRING, WorkspaceName STRING, CapacityId STRING, Environment STRING, "
+                      "Owner STRING, UpdatedAtUtc TIMESTAMP"),
+    "dim_item": ("ItemId STRING, ItemKind STRING, ItemName STRING, WorkspaceId STRING, Domain STRING, "
+                 "UpdatedAtUtc TIMESTAMP"),
+    "dim_principal": ("PrincipalId STRING, PrincipalType STRING, PrincipalUpn STRING, DisplayName STRING, "
+                      "UpdatedAtUtc TIMESTAMP"),
+}
+
+
 class SchemaMismatchError(ValueError):
     pass
 
@@ -41,6 +64,22 @@ def create_table_if_absent(spark: SparkSession, name: str, schema: T.StructType,
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({cols}) USING {fmt or TABLE_FORMAT}{part}{loc}")
 
 
+def bootstrap_tables(spark: SparkSession, base: str, prefix: str = "") -> list[str]:
+    """SNK1: create the access-log table and the five declared tables if absent,
+    each at ``<base>/silver/<name>``; safe to rerun.  Returns the table names."""
+    from tidepool.functions.jsonlog import ACCESS_LOG_SCHEMA
+
+    silver = layout(base)["silver"]
+    schemas = {"log_event_access": ACCESS_LOG_SCHEMA,
+               **{n: T.StructType.fromDDL(ddl) for n, ddl in DECLARED_TABLES.items()}}
+    names = []
+    for name, schema in schemas.items():
+        full = f"{prefix}{name}"
+        create_table_if_absent(spark, full, schema, location=f"{silver}/{name}")
+        names.append(full)
+    return names
+
+
 def check_schema(df: DataFrame, target: T.StructType) -> None:
     want = [(f.name, f.dataType) for f in target.fields]
     have = [(f.name, f.dataType) for f in df.schema.fields]
