@@ -33,12 +33,14 @@ SELECT EventId, EventTimeUtc, EventType, DurationMs, HttpStatusCode
 FROM ({derived.diagnostic_flat_sql()})
 """)
 def catalog_table_append(spark, sf_dir):
-    """CREATE TABLE IF NOT EXISTS (31 columns) in the silver zone, checked append, SQL scan."""
-    zones = sinks.layout(scratch_path(spark, "lake"))
-    name = f"log_event_access_{uuid.uuid4().hex[:8]}"
-    sinks.create_table_if_absent(spark, name, jsonlog.ACCESS_LOG_SCHEMA,
-                                 location=os.path.join(zones["silver"], "log_event_access"))
-    sinks.create_table_if_absent(spark, name, jsonlog.ACCESS_LOG_SCHEMA)  # idempotent
+    """Bootstrap the six tables (CREATE TABLE IF NOT EXISTS, twice: idempotent),
+    stamp the schema version, checked append to the access log, SQL scan."""
+    base = scratch_path(spark, "lake")
+    zones = sinks.layout(base)
+    prefix = f"t{uuid.uuid4().hex[:8]}_"
+    sinks.bootstrap_tables(spark, base, prefix)
+    sinks.bootstrap_tables(spark, base, prefix)
+    name = f"{prefix}log_event_access"
     sinks.stamp_schema_version(spark, os.path.join(zones["control"], "schema_version"), "access-log v1")
     flat = jsonlog.flatten_access_log(derived.diagnostic_records_from_tables(spark, sf_dir))
     sinks.append_table(flat, name)
