@@ -313,3 +313,12 @@ def test_format_strings(spark):
                     report.format_value(F.col("x"), "#,0").alias("b"),
                     report.format_value(F.col("x"), "0.00").alias("c")).first()
     assert (row.a, row.b, row.c) == ("1234567", "1,234,567", "1234567.46")
+
+
+def test_qcut_fit_on_train(spark):
+    train_rows = spark.createDataFrame([(float(i),) for i in range(1, 101)], "x double")
+    all_rows = spark.createDataFrame([(-5.0,), (10.0,), (50.5,), (500.0,)], "x double")
+    got = [r["b"] for r in binning.qcut(all_rows, "x", 4, "b", fit_df=train_rows).orderBy("x").collect()]
+    # edges 1, 25.75, 50.5, 75.25, 100 from the training rows; bins are closed
+    # on the right, so 50.5 is in bin 2
+    assert got == [1, 1, 2, 4]

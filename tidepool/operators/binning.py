@@ -40,9 +40,14 @@ def qcut_edges(df: DataFrame, col: str, n: int) -> list[float]:
     return edges
 
 
-def qcut(df: DataFrame, col: str, n: int, out_col: str) -> DataFrame:
-    """BIN1: label 1..n by equal-frequency bins of ``col``."""
-    edges = qcut_edges(df, col, n)
+def qcut(df: DataFrame, col: str, n: int, out_col: str, fit_df: DataFrame | None = None) -> DataFrame:
+    """BIN1: label 1..n by equal-frequency bins of ``col``.
+
+    Edges come from ``df`` itself (the reference's choice, D17) or, with
+    ``fit_df``, from another frame such as the training split; values outside
+    the fitted range fall into the first or last bin.
+    """
+    edges = qcut_edges(fit_df if fit_df is not None else df, col, n)
     return df.withColumn(out_col, label_from_edges(F.col(col), edges[1:-1]))
 
 
