@@ -55,7 +55,8 @@ def confusion_normalised(df: DataFrame, model: str = "model", y: str = "y", p: s
 
 
 def classification_report(df: DataFrame, model: str = "model", y: str = "y", p: str = "p") -> DataFrame:
-    """EVL2: precision, recall, F1, support per class, then macro and weighted averages."""
+    """EVL2: precision, recall, F1, support per class, the accuracy line, then
+    macro and weighted averages (the layout of the usual classification report)."""
     c = confusion_cells(df, model, y, p)
     tn, fp, fn, tp = (F.col(x) for x in ("tn", "fp", "fn", "tp"))
 
@@ -80,7 +81,12 @@ def classification_report(df: DataFrame, model: str = "model", y: str = "y", p:
         (F.sum(F.col("recall") * F.col("support")) / F.sum("support")).alias("recall"),
         F.sum("support").alias("support"),
         (F.sum(F.col("f1") * F.col("support")) / F.sum("support")).alias("f1"))
-    return rows.unionByName(macro).unionByName(weighted)
+    # The accuracy line: f1 column holds the accuracy, support all rows.
+    acc = c.select(model, F.lit("accuracy").alias("label"),
+                   F.lit(None).cast("double").alias("precision"), F.lit(None).cast("double").alias("recall"),
+                   (tn + fp + fn + tp).alias("support"),
+                   _ratio(tn + tp, tn + fp + fn + tp).alias("f1"))
+    return rows.unionByName(acc).unionByName(macro).unionByName(weighted)
 
 
 def roc_auc(df: DataFrame, model: str = "model", y: str = "y", score: str = "score") -> DataFrame:

@@ -91,6 +91,9 @@ pcf AS (SELECT *, {_div('2 * precision * recall', 'precision + recall')} AS f1 F
 report AS (
   SELECT model, label, precision, recall, support, f1 FROM pcf
   UNION ALL
+  SELECT model, 'accuracy', CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE), tn + fp + fn + tp,
+         {_div('tn + tp', 'tn + fp + fn + tp')} FROM cells
+  UNION ALL
   SELECT model, 'macro avg', sum(precision) / 2, sum(recall) / 2, CAST(sum(support) AS BIGINT), sum(f1) / 2
   FROM pcf GROUP BY model
   UNION ALL
