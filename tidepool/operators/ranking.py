@@ -1,16 +1,21 @@
-"""Global ranking and exact quantiles without a one-task window.
+"""Ranks, running sums, exact quantiles and order statistics without a
+one-task window.
 
 ``Window.orderBy(x)`` without ``partitionBy`` moves every row into a single
-task.  Instead rows are range-partitioned on the sort key (Spark samples the
-key, so a value holding a third of the rows is still split by the tiebreak
-columns), sorted within each partition, numbered locally, and the per-partition
-counts -- one row per partition (and group) -- are turned into offsets that
-are joined back: broadcast when ungrouped (bounded by the partition count),
-size-checked before broadcast when grouped.
+task.  ``global_rank`` and ``prefix_sums`` instead range-partition on the sort
+key (Spark samples the key, so a value holding a third of the rows is still
+split by the tiebreak columns), number or sum inside each partition, and join
+back per-partition offsets (one row per partition -- and group -- broadcast
+when ungrouped, size-checked when grouped).  The range-partitioned frame is cut
+with ``checkpoint()`` into the shared checkpoint folder: counts and positions
+must come from the same partitioning, and a recomputation after an executor
+loss must not re-sample the bounds.
 
-The range-partitioned frame is cut with ``checkpoint()`` into the shared
-checkpoint folder: counts and positions must come from the same partitioning,
-and a recomputation after an executor loss must not re-sample the bounds.
+Where only a few ranks matter -- quantiles, split points, bin boundaries --
+nothing is sorted: ``percentile_approx`` brackets each rank, exact counts locate
+it, and only the rows inside the narrow brackets are ranked
+(``exact_quantiles``, ``grouped_quantiles``, ``order_statistics``), with the
+full rank as the fallback for a bracket that misses.
 """
 
 from __future__ import annotations
