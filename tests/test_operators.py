@@ -322,3 +322,22 @@ def test_qcut_fit_on_train(spark):
     # edges 1, 25.75, 50.5, 75.25, 100 from the training rows; bins are closed
     # on the right, so 50.5 is in bin 2
     assert got == [1, 1, 2, 4]
+
+
+def test_prefix_sums_across_arrow_batches(spark):
+    import pandas as pd
+    rng = np.random.default_rng(31)
+    rows = [(str(g), float(x), int(c)) for g, x, c in zip(rng.choice(["a", "b", "c"], 500),
+                                                          rng.integers(0, 50, 500), rng.integers(1, 5, 500))]
+    df = spark.createDataFrame(rows, "g string, x double, c long").groupBy("g", "x").agg(F.sum("c").alias("c"))
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")  # groups span many batches
+    try:
+        for parts in (None, 1, 5):
+            got = {(r["g"], r["x"]): r["c_cum"]
+                   for r in ranking.prefix_sums(df, ["x"], ["c"], ["g"], num_partitions=parts).collect()}
+            pdf = df.toPandas().sort_values(["g", "x"])
+            pdf["cum"] = pdf.groupby("g")["c"].cumsum()
+            assert got == {(g, x): c for g, x, c in zip(pdf["g"], pdf["x"], pdf["cum"])}
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)

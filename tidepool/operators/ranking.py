@@ -21,8 +21,10 @@ full rank as the fallback for a bracket that misses.
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidepool.operators.joins import bounded_broadcast, checked_broadcast
 from tidepool.session import checkpoint_dir
@@ -208,19 +210,20 @@ def prefix_sums(df: DataFrame, order_cols: list[str], value_cols: list[str],
                 num_partitions: int | None = None) -> DataFrame:
     """Inclusive running sums of ``value_cols`` under ``order_cols`` (within groups).
 
-    Same layout as ``global_rank``: range partitions (checkpointed), running
-    sums inside each partition, per-partition totals turned into offsets and
-    broadcast back (one row per partition and group).
+    Same layout as ``global_rank``: range partitions (sorted, checkpointed),
+    running sums inside each partition, per-partition totals turned into
+    offsets and joined back (one row per partition and group).  The in-partition
+    sums are an Arrow-batched pass over the already sorted partition, so the
+    range exchange is the only shuffle of the rows.
     """
     group_cols = group_cols or []
     checkpoint_dir(df.sparkSession)
     keys = [*group_cols, *order_cols]
     positioned = (_range_partitioned(df, [F.col(c) for c in keys], num_partitions)
+                  .sortWithinPartitions(*keys)
                   .withColumn("_pid", F.spark_partition_id())
                   .checkpoint(eager=True))
-    local_w = (Window.partitionBy("_pid", *group_cols).orderBy(*order_cols)
-               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    local = positioned.select("*", *[F.sum(v).over(local_w).alias(f"_l_{v}") for v in value_cols])
+    local = _local_running_sums(positioned, group_cols, value_cols)
     totals = positioned.groupBy("_pid", *group_cols).agg(*[F.sum(v).alias(f"_t_{v}") for v in value_cols])
     before = Window.partitionBy(*group_cols).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select("_pid", *group_cols, *[
@@ -232,6 +235,37 @@ def prefix_sums(df: DataFrame, order_cols: list[str], value_cols: list[str],
     return out.drop("_pid", *[f"_l_{v}" for v in value_cols], *[f"_o_{v}" for v in value_cols])
 
 
+def _local_running_sums(positioned: DataFrame, group_cols: list[str], value_cols: list[str]) -> DataFrame:
+    """Running sums of ``value_cols`` per group inside each partition, in the
+    partition's (sorted) row order; groups are contiguous there."""
+    base = positioned.schema
+    out_schema = T.StructType(list(base.fields) + [
+        T.StructField(f"_l_{v}", base[v].dataType) for v in value_cols])
+
+    def run(batches):
+        prev_key, prev_tot = None, None
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            if group_cols:
+                grp = pdf.groupby(group_cols, sort=False, dropna=False)
+                first_key = tuple(pdf[group_cols].iloc[0])
+                lead = (pdf[group_cols] == pd.Series(first_key, index=group_cols)).all(axis=1)
+                for v in value_cols:
+                    cs = grp[v].cumsum()
+                    if prev_key is not None and first_key == prev_key:
+                        cs = cs + lead.astype(cs.dtype) * prev_tot[v]  # the group spans the batch edge
+                    pdf[f"_l_{v}"] = cs
+                prev_key = tuple(pdf[group_cols].iloc[-1])
+            else:
+                for v in value_cols:
+                    pdf[f"_l_{v}"] = pdf[v].cumsum() + (prev_tot[v] if prev_tot else 0)
+            prev_tot = {v: pdf[f"_l_{v}"].iloc[-1] for v in value_cols}
+            yield pdf
+
+    return positioned.mapInPandas(run, out_schema)
+
+
 def _grouped_rank_quantiles(df: DataFrame, value_col: str, group_cols: list[str],
                             probs: list[float]) -> DataFrame:
     """Per-group quantiles by global rank: a hot group is still spread over
