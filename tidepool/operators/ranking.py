@@ -182,6 +182,7 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float],
     value map); larger columns use the bracket method (linear passes, no full
     sort) and fall back to the range-sort rank for a column whose bracket
     misses.  ``method="rank"`` always ranks; ``"bracket"`` skips the map path.
+    The input is scanned several times: cut an expensive input first.
     """
     if method == "rank" or map_limit is None and method == "auto":
         return _rank_quantiles(df, cols, probs)
@@ -300,7 +301,8 @@ def grouped_quantiles(df: DataFrame, value_col: str, group_cols: list[str], prob
     (value, count) and cumulated; groups whose bracket misses a rank are
     recomputed by the rank method.  No list of groups reaches the driver.
     ``method="rank"`` ranks every value (range sort); ``"auto"`` ranks inputs
-    of at most ``sort_below_rows`` rows and brackets larger ones.
+    of at most ``sort_below_rows`` rows and brackets larger ones.  The input is
+    scanned several times: cut an expensive input (``checkpoint()``) first.
     """
     if method == "auto":
         small = df.where(F.col(value_col).isNotNull()).limit(sort_below_rows + 1).count() <= sort_below_rows
@@ -355,7 +357,8 @@ def order_statistics(df: DataFrame, num_col: str, tie_cols: list[str], ranks: li
     its bracket misses is found by a full ``global_rank`` instead.  Inputs of
     at most ``sort_below_rows`` rows are simply ranked (one small sort costs
     less than the extra passes).  Returns {rank: (num_col value, *tie values)};
-    only these few rows reach the driver.
+    only these few rows reach the driver.  The input is scanned several times:
+    cut an expensive input first.
     """
     ranks = sorted(set(int(r) for r in ranks))
     if not ranks:
