@@ -93,41 +93,13 @@ def _rank_quantiles(df: DataFrame, cols: list[str], probs: list[float]) -> DataF
     return res.select("column", "p", value.alias("value"))
 
 
-def _map_quantiles(df: DataFrame, cols: list[str], probs: list[float]) -> DataFrame:
-    """Quantiles with Spark's exact ``percentile`` (a value -> count map per
-    column, merged from partial maps): linear in the rows, no sort."""
-    plist = F.array(*[F.lit(float(p)) for p in probs])
-    row = df.agg(*[F.percentile(F.col(c).cast("double"), plist).alias(c) for c in cols])
-    return row.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column"), F.arrays_zip(plist.alias("p"), F.col(c).alias("value")).alias("pv"))
-        for c in cols])).alias("_u")).select("_u.column", F.explode("_u.pv").alias("_x")).select(
-        "column", F.col("_x.p").alias("p"), F.col("_x.value").alias("value"))
-
-
-def _bracket_quantiles(df: DataFrame, cols: list[str], probs: list[float],
-                       accuracy: int = 100_000) -> tuple[DataFrame | None, list[str]]:
-    """Exact quantiles in linear passes, no full sort.
-
-    ``percentile_approx`` (rank error at most N / accuracy) gives a value bracket
-    around every needed order statistic; one pass counts the rows below each
-    bracket; only the rows inside the brackets -- about 4N / accuracy per
-    target -- are reduced to (value, count), cumulated, and the exact order
-    statistics read off.  A bracket that misses its rank (checked with the
-    counts) sends its column back to the caller for the rank method.
-    Returns (quantiles of the columns that passed, columns that failed).
-    """
-    delta = 2.0 / accuracy
+def _bracket_stage(df: DataFrame, cols: list[str], probs: list[float], first,
+                   below) -> tuple[DataFrame | None, list[str]]:
+    """Given counts and brackets (``first``) and rows below each bracket
+    (``below``), rank only the rows inside the brackets.  Returns (quantiles of
+    the columns whose brackets hit, columns whose brackets missed)."""
     spark = df.sparkSession
-    lo_p = [max(0.0, p - delta) for p in probs]
-    hi_p = [min(1.0, p + delta) for p in probs]
-    aggs = []
-    for c in cols:
-        x = F.col(c).cast("double")
-        aggs += [F.count(x).alias(f"{c}__n"),
-                 F.percentile_approx(x, lo_p, accuracy).alias(f"{c}__lo"),
-                 F.percentile_approx(x, hi_p, accuracy).alias(f"{c}__hi")]
-    first = df.agg(*aggs).first()  # one row: counts and brackets (bounded)
-    targets = []  # (column, t, p, n, L, U, lo_rank, hi_rank) -- ranks 0-based
+    targets = []
     for c in cols:
         n = first[f"{c}__n"]
         if not n:
@@ -135,17 +107,13 @@ def _bracket_quantiles(df: DataFrame, cols: list[str], probs: list[float],
         for t, p in enumerate(probs):
             pos = p * (n - 1)
             targets.append((c, t, float(p), int(n), float(first[f"{c}__lo"][t]), float(first[f"{c}__hi"][t]),
-                            int(np.floor(pos)), int(np.ceil(pos)), float(pos - np.floor(pos))))
+                            int(np.floor(pos)), int(np.ceil(pos)), float(pos - np.floor(pos)),
+                            int(below[f"{c}__b{t}"] or 0)))
     if not targets:
         return None, []
-    # Rows strictly below each bracket: one conditional count per target.
-    below_aggs = [F.sum((F.col(c).cast("double") < F.lit(L)).cast("long")).alias(f"b{i}")
-                  for i, (c, _, _, _, L, *_rest) in enumerate(targets)]
-    below_row = df.agg(*below_aggs).first()
     tschema = ("column string, t int, p double, n long, L double, U double, lo_r long, hi_r long, "
                "frac double, below long")
-    trows = [(*tr, int(below_row[f"b{i}"] or 0)) for i, tr in enumerate(targets)]
-    tdf = spark.createDataFrame(trows, tschema)
+    tdf = spark.createDataFrame(targets, tschema)
     long = (df.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v")) for c in cols
     ])).alias("_u")).select("_u.column", "_u.v").where(F.col("v").isNotNull()))
@@ -171,8 +139,50 @@ def _bracket_quantiles(df: DataFrame, cols: list[str], probs: list[float],
     return vals.select("column", "p", value.alias("value")), failed
 
 
+def _bracket_quantiles(df: DataFrame, cols: list[str], probs: list[float],
+                       accuracy: int = 100_000) -> tuple[DataFrame | None, list[str]]:
+    """Exact quantiles in linear passes, no full sort.
+
+    ``percentile_approx`` (rank error at most N / accuracy) gives a value bracket
+    around every needed order statistic; one pass counts the rows below each
+    bracket; only the rows inside the brackets -- about 4N / accuracy per
+    target -- are reduced to (value, count), cumulated, and the exact order
+    statistics read off.  A bracket that misses its rank (checked with the
+    counts) sends its column back to the caller for the rank method.
+    """
+    first = df.agg(*_bracket_aggs(cols, probs, accuracy)).first()
+    below = df.agg(*_below_aggs(cols, probs, first)).first()
+    return _bracket_stage(df, cols, probs, first, below)
+
+
+def _bracket_aggs(cols: list[str], probs: list[float], accuracy: int) -> list[Column]:
+    delta = 2.0 / accuracy
+    lo_p = [max(0.0, p - delta) for p in probs]
+    hi_p = [min(1.0, p + delta) for p in probs]
+    aggs = []
+    for c in cols:
+        x = F.col(c).cast("double")
+        aggs += [F.count(x).alias(f"{c}__n"),
+                 F.percentile_approx(x, lo_p, accuracy).alias(f"{c}__lo"),
+                 F.percentile_approx(x, hi_p, accuracy).alias(f"{c}__hi")]
+    return aggs
+
+
+def _below_aggs(cols: list[str], probs: list[float], first) -> list[Column]:
+    """Rows strictly below each bracket: one conditional count per target."""
+    aggs = []
+    for c in cols:
+        if not first[f"{c}__n"]:
+            continue
+        for t in range(len(probs)):
+            aggs.append(F.sum((F.col(c).cast("double") < F.lit(float(first[f"{c}__lo"][t]))).cast("long"))
+                        .alias(f"{c}__b{t}"))
+    return aggs
+
+
 def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float],
-                    map_limit: int | None = 100_000, method: str = "auto") -> DataFrame:
+                    map_limit: int | None = 100_000, method: str = "auto",
+                    accuracy: int = 100_000) -> DataFrame:
     """Linear-interpolated quantiles (pandas / ``quantile_cont`` semantics) of each column.
 
     Returns one row per (column, p): ``column, p, value``.  Nulls are ignored.
@@ -182,24 +192,37 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float],
     value map); larger columns use the bracket method (linear passes, no full
     sort) and fall back to the range-sort rank for a column whose bracket
     misses.  ``method="rank"`` always ranks; ``"bracket"`` skips the map path.
-    The input is scanned several times: cut an expensive input first.
+    Scans: one for estimates, counts and brackets of every column; one for the
+    exact maps and the below-bracket counts; one for the rows inside the
+    brackets.  Cut an expensive input (``checkpoint()``) first.
     """
     if method == "rank" or map_limit is None and method == "auto":
         return _rank_quantiles(df, cols, probs)
-    small: list[str] = []
+    aggs = _bracket_aggs(cols, probs, accuracy)
     if method == "auto":
-        est = df.agg(*[F.approx_count_distinct(c, 0.05).alias(c) for c in cols]).first()
-        small = [c for c in cols if est[c] <= map_limit]
+        aggs += [F.approx_count_distinct(c, 0.05).alias(f"{c}__nd") for c in cols]
+    first = df.agg(*aggs).first()
+    small = [c for c in cols if method == "auto" and first[f"{c}__nd"] <= map_limit]
     large = [c for c in cols if c not in small]
+    plist = F.array(*[F.lit(float(p)) for p in probs])
+    second_aggs = [F.percentile(F.col(c).cast("double"), plist).alias(f"{c}__pct") for c in small]
+    second_aggs += _below_aggs(large, probs, first)
     parts = []
-    if small:
-        parts.append(_map_quantiles(df, small, probs))
-    if large:
-        got, failed = _bracket_quantiles(df, large, probs)
-        if got is not None:
-            parts.append(got)
-        if failed:
-            parts.append(_rank_quantiles(df, failed, probs))
+    if second_aggs:
+        second = df.agg(*second_aggs).first()
+        if small:
+            # Exact values of the small columns: len(small) x len(probs) scalars.
+            rows = [(c, float(p), (second[f"{c}__pct"] or [None] * len(probs))[i])
+                    for c in small for i, p in enumerate(probs)]
+            parts.append(df.sparkSession.createDataFrame(rows, "column string, p double, value double"))
+        if large:
+            got, failed = _bracket_stage(df, large, probs, first, second)
+            if got is not None:
+                parts.append(got)
+            if failed:
+                parts.append(_rank_quantiles(df, failed, probs))
+    if not parts:
+        return df.sparkSession.createDataFrame([], "column string, p double, value double")
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
