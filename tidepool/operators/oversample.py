@@ -191,7 +191,8 @@ def smote(df: DataFrame, label_col: str, feature_cols: list[str], key_col: str,
     floor(S / n_min) synthetic rows, the first S mod n_min bases one more, where
     S = n_majority - n_minority.  Synthetic row j of base b takes neighbour
     number 1 + h1 mod k and gap h2 / 2^32 from two seeded hashes of (b, j):
-    x = x_b + gap * (x_nbr - x_b).  Integer features are cast back (truncation).
+    x = x_b + gap * (x_nbr - x_b).  Integer and boolean features are cast back
+    by truncation (a boolean is true only when both parents are).
     Output: original rows with ``synthetic = false`` (j = -1) plus the new rows.
     """
     counts = {r[0]: r[1] for r in df.groupBy(label_col).count().collect()}  # one row per class
@@ -249,6 +250,8 @@ def smote(df: DataFrame, label_col: str, feature_cols: list[str], key_col: str,
     cols = []
     for i, c in enumerate(feature_cols):
         x = F.col("_vec")[i] + F.col("_gap") * (F.col("_nvec")[i] - F.col("_vec")[i])
+        if isinstance(types[c], T.BooleanType):
+            x = x.cast("int")  # truncate like integer features, then back to boolean
         cols.append(x.cast(types[c]).alias(c))
     syn_out = syn.select(F.col("_b").alias(key_col), "j", *cols,
                          F.lit(minority).cast(types[label_col]).alias(label_col),
