@@ -341,3 +341,15 @@ def test_prefix_sums_across_arrow_batches(spark):
             assert got == {(g, x): c for g, x, c in zip(pdf["g"], pdf["x"], pdf["cum"])}
     finally:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+
+
+def test_smote_boolean_features_truncate(spark):
+    rng = np.random.default_rng(17)
+    rows = [(i, float(rng.normal()), bool(i % 2), 1 if i < 20 else 0) for i in range(100)]
+    df = spark.createDataFrame(rows, "k long, a double, flag boolean, y int")
+    out = oversample.smote(df, "y", ["a", "flag"], "k", k=3, seed=2)
+    assert out.schema["flag"].dataType.simpleString() == "boolean"
+    parents = {r["k"]: r["flag"] for r in df.where("y = 1").collect()}
+    # a synthetic flag is true only when its base row's flag is true (and its neighbour's)
+    for r in out.where("synthetic AND flag").collect():
+        assert parents[r["k"]]
