@@ -123,6 +123,8 @@ def main(argv):
         spark = build_session("local[8]", 8, extra={"spark.ui.showConsoleProgress": "false"})
     if "--ansi-off" in argv:
         spark.conf.set("spark.sql.ansi.enabled", "false")
+    if "--aqe-off" in argv:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
     spark.sparkContext.setLogLevel("ERROR")
     con = duck_connection(sf_dir)
     bad = 0
