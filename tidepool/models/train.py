@@ -20,10 +20,28 @@ RF_LARGE = {"maxDepth": 8, "featureSubsetStrategy": "6", "numTrees": 100, "seed"
 GBT = {"stepSize": 0.07, "maxIter": 100, "maxDepth": 10, "seed": 42, "lossType": "logistic"}
 
 
+ROWS_PER_PARTITION = 1_000_000
+
+
+def _right_sized(df: DataFrame) -> DataFrame:
+    """Tree training runs one pass per level and round over every input
+    partition: a small frame left with hundreds of shuffle partitions would
+    launch hundreds of tasks per pass.  Coalesce to about one partition per
+    million rows, but never below the cluster's parallelism nor above the
+    current count."""
+    current = df.rdd.getNumPartitions()
+    parallelism = df.sparkSession.sparkContext.defaultParallelism
+    if current <= parallelism:
+        return df
+    rows = df.count()
+    target = max(parallelism, -(-rows // ROWS_PER_PARTITION))
+    return df.coalesce(target) if target < current else df
+
+
 def _fit(stages: Pipeline, df: DataFrame) -> PipelineModel:
     """Fit and return a copy: the copy drops the training summary, which holds
     the session and would otherwise be captured by every scoring closure."""
-    return stages.fit(df).copy()
+    return stages.fit(_right_sized(df)).copy()
 
 
 def _assembled(feature_cols: list[str], estimator) -> Pipeline:
