@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidepool.llm import packing, token_store
+from tidepool.llm import packing, simhash, token_store
 from tidepool.llm.encoding import public_tokenizer
+from tidepool.shipping import ship
 from tidepool.sources.tables import load
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -17,8 +19,13 @@ SQL: dict[str, str] = {}
 
 
 def _query(fn: QueryFn) -> QueryFn:
-    QUERIES[fn.__name__] = fn
-    return fn
+    @wraps(fn)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship(spark)
+        return fn(spark, sf_dir)
+
+    QUERIES[fn.__name__] = run
+    return run
 
 
 @_query
@@ -27,6 +34,13 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(load(spark, sf_dir, "documents", ["doc_id", "text"]), public_tokenizer(), end_id=0, capacity=2048)
 
 
+@_query
+def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint of every document (3-word shingles) and its component over links of at most 3 bits."""
+    found = simhash.near_duplicates(simhash.fingerprints(load(spark, sf_dir, "documents", ["doc_id", "text"]), shingle=3), max_bits=3)
+    return found.select("doc_id", simhash.hexadecimal("fp").alias("fingerprint"), "component_id")
+
+
 @_query
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents' ids (end id 2) through bit-packed files and back."""
