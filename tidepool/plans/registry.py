@@ -10,9 +10,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidepool.shipping import ship
+
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
 
@@ -35,7 +38,12 @@ def query(name: str, ids: tuple[str, ...] | str = (), sql: str | None = None):
     def deco(fn: QueryFn) -> QueryFn:
         if name in REGISTRY:
             raise ValueError(f"query {name!r} registered twice")
-        REGISTRY[name] = Query(name, fn, sql.strip() if sql else None, tuple(ids))
+        @wraps(fn)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship(spark)
+            return fn(spark, sf_dir)
+
+        REGISTRY[name] = Query(name, run, sql.strip() if sql else None, tuple(ids))
         return fn
 
     return deco
