@@ -7,7 +7,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidepool.llm import packing, simhash, token_store
+from tidepool.llm import packing, quality, simhash, token_store
 from tidepool.llm.encoding import public_tokenizer
 from tidepool.shipping import ship
 from tidepool.sources.tables import load
@@ -34,6 +34,13 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(load(spark, sf_dir, "documents", ["doc_id", "text"]), public_tokenizer(), end_id=0, capacity=2048)
 
 
+@_query
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rule statistics of every document, the base rules, and the isolation forest's verdict."""
+    found, name = quality.judged(load(spark, sf_dir, "documents", ["doc_id", "text"]), load(spark, sf_dir, "labels", ["doc_id", "quality"]))
+    return found.select("doc_id", f"{name}.*")
+
+
 @_query
 def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint of every document (3-word shingles) and its component over links of at most 3 bits."""
