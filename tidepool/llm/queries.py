@@ -6,8 +6,9 @@ from collections.abc import Callable
 from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidepool.llm import packing, quality, simhash, token_store
+from tidepool.llm import packing, quality, simhash, token_store, toxicity
 from tidepool.llm.encoding import public_tokenizer
 from tidepool.shipping import ship
 from tidepool.sources.tables import load
@@ -52,3 +53,11 @@ def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents' ids (end id 2) through bit-packed files and back."""
     return token_store.token_ids(spark, load(spark, sf_dir, "documents", ["doc_id", "text"]), public_tokenizer(), end_id=2)
+
+
+@_query
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document, learned from the labelled rows that aren't held out."""
+    found, name = toxicity.scored(load(spark, sf_dir, "documents", ["doc_id", "text"]), load(spark, sf_dir, "labels", ["doc_id", "toxic"]))
+    return found.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), F.col(name).alias("score"),
+                        (F.col(name) >= toxicity.PREDICTED).cast("int").alias("predicted"))
