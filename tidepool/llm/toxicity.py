@@ -5,14 +5,14 @@
    several different contexts (so that copies of one document teach nothing).
 2. Matching.  The lexicon is a trie.  Its intersection with the Levenshtein
    automaton of up to ``edits`` errors per term is run as one deterministic
-   automaton whose states are built when first met.  A term of 5 letters may
+   automaton whose states are built when first met.  A word of 5 letters may
    have one error, one of 9 letters two; stems match any ending, without errors.
 3. Context.  The words around a match tell quotation (quote marks, verbs of
    saying) from address (you, ...) and from neither.
-4. Score.  Every kind of match has the share of toxic documents among the
-   labelled ones that hold it, smoothed; misspelt forms that clean labelled
-   documents hold too are thereby harmless.  Strong matches add up, of the weak
-   ones the strongest counts; no match gives the share among those without any.
+4. Score.  A match weighs as much as the share of matches of its term (exact, or
+   misspelt) that lie in toxic labelled documents, less in quotation.  A text's
+   weight, also relative to what toxic texts of its length have, goes through a
+   logistic curve fitted on the sample.
 
 Each worker keeps the verdicts of word forms it has met, up to a bound.
 
@@ -25,10 +25,11 @@ from __future__ import annotations
 
 import math
 import re
-from collections import Counter, defaultdict
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -41,7 +42,7 @@ FIT_ROWS = 12_000
 STEM_LENGTHS = range(4, 9)
 MIN_CONTEXTS = 4
 MIN_ENDINGS = 4
-MIN_PRECISION = 0.95
+MIN_PRECISION = 0.5
 #: Terms that chance alone may put into the lexicon.
 CHANCE_TERMS = 0.5
 #: Words on each side of a match that are its context.
@@ -55,9 +56,11 @@ SAYING = frozenset("said says say saying called calls quote quoted quotes wrote
                    "sagte sagt nannte zitat wort dit dire citation mot dijo dice cita palabra".split())
 ADDRESS = frozenset("you your you're youre yours u ur yourself du dich dein deine ihr euch tu te toi vous votre tú ti usted eres".split())
 QUOTED, NEUTRAL, DIRECT = 0, 1, 2
-#: Share of toxic documents assumed for an exact match in each context, as so many documents' evidence.
-PRIOR = {QUOTED: 0.35, NEUTRAL: 0.9, DIRECT: 0.95}
-PRIOR_WEIGHT = 2.0
+#: What a match weighs in each context, times the weight of its term.
+CONTEXT_WEIGHT = {QUOTED: 0.35, NEUTRAL: 1.0, DIRECT: 1.0}
+#: Share assumed for a term with no matches in the sample, as so many matches' evidence: exact, one error, more.
+PRIOR = (0.9, 0.6, 0.5)
+PRIOR_WEIGHT = 1.0
 
 _EDGE = re.compile(r"^[\W_]+|[\W_]+$")
 
@@ -183,23 +186,37 @@ def matches(text: str | None, forms: Forms) -> list[tuple[int, str, str, int]]:
 @dataclass
 class Model:
     terms: tuple[str, ...] = ()
-    none: float = 0.01  # score of no match
-    exact: dict[int, float] = field(default_factory=lambda: dict(PRIOR))  # by context
-    forms: dict[str, tuple[int, int]] = field(default_factory=dict)  # misspelt form: toxic, all labelled documents with it
-    unseen: float = 0.5  # of a misspelt form in no labelled document
-
-    def weight(self, errors: int, form: str, where: int) -> float:
-        if not errors:
-            return self.exact[where]
-        toxic, n = self.forms.get(form, (0, 0))
-        share = (toxic + self.unseen) / (n + 1)
-        return share * self.exact[where] / max(self.exact.values())
-
-    def score(self, found: list[tuple[int, str, str, int]]) -> float:
-        weights = [self.weight(e, form, where) for e, _, form, where in found]
-        strong = 1 - math.prod(1 - w for w in weights if w >= 0.5)
-        weak = max((w for w in weights if w < 0.5), default=0.0)
-        return min(1.0, max(self.none, strong, weak))
+    weights: dict[tuple[int, str], float] = field(default_factory=dict)  # by errors and term
+    usual: tuple[float, float] = (1.0, 0.0)  # weight of a toxic text: at no length, and more per word
+    curve: tuple[float, float, float] = (math.log(0.01), 0.0, 0.0)
+
+    def weight(self, found: list[tuple[int, str, str, int]]) -> float:
+        return sum(self.weights.get((e, term), PRIOR[min(e, 2)]) * CONTEXT_WEIGHT[where] for e, term, _, where in found)
+
+    def score(self, text: str | None, forms: Forms) -> float:
+        found = matches(text, forms)
+        x = _inputs(np.array([self.weight(found)]), np.array([len((text or "").split()) if found else 0]), self.usual)
+        return float(1 / (1 + np.exp(-(x @ np.array(self.curve))[0])))
+
+
+def _inputs(weight: np.ndarray, words: np.ndarray, usual: tuple[float, float]) -> np.ndarray:
+    """What the curve is fitted on: one, the weight (up to 3), and its share of a toxic text's (up to 2)."""
+    share = weight / (usual[0] + usual[1] * words)
+    return np.stack([np.ones(len(weight)), np.minimum(weight, 3.0), np.minimum(share, 2.0)], axis=1)
+
+
+def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.02, steps: int = 50) -> np.ndarray:
+    """Coefficients of a logistic curve by Newton's method."""
+    w = np.zeros(x.shape[1])
+    penalty = np.diag([ridge / 10, *[ridge] * (x.shape[1] - 1)])
+    for _ in range(steps):
+        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+        gradient = x.T @ (p - y) + penalty @ w
+        step = np.linalg.solve((x * (p * (1 - p) + 1e-9)[:, None]).T @ x + penalty, gradient)
+        w -= step * min(1.0, 4.0 / max(np.abs(step).max(), 1e-12))
+        if np.abs(step).max() < 1e-6:
+            break
+    return w
 
 
 def _terms(word: str) -> list[str]:
@@ -276,19 +293,17 @@ def lexicon(rows: DataFrame) -> tuple[str, ...]:
     others = rows.where("toxic = 0").select("t").mapInArrow(clean, "term string, n bigint").groupBy("term").agg(F.sum("n").alias("n"))
     against = {r.term: r.n for r in others.collect()}
     base = n_toxic / n_all
-    good = {
-        term: n for term, (n, _) in found.items()
-        if n / (n + against.get(term, 0)) >= MIN_PRECISION and _tail(n, n + against.get(term, 0), base) * len(found) < CHANCE_TERMS
-    }
-    stems: list[str] = []
-    for stem in sorted((t for t in good if t.endswith("*")), key=len):
-        if not any(stem.startswith(s[:-1]) for s in stems):
-            longer = stem
-            while more := [t for t in good if t.endswith("*") and len(t) == len(longer) + 1 and t.startswith(longer[:-1]) and good[t] == good[longer]]:
-                longer = min(more)
-            stems.append(longer)
-    words = [t for t in good if not t.endswith("*") and not any(t.startswith(s[:-1]) for s in stems)]
-    return tuple(sorted(stems + words))
+    gain = {}
+    for term, (n, _) in found.items():
+        m = against.get(term, 0)
+        if n / (n + m) >= MIN_PRECISION and _tail(n, n + m, base) * len(found) < CHANCE_TERMS:
+            gain[term] = n * math.log((n + 0.5) / (n_toxic + 1) * (n_all - n_toxic + 1) / (m + 0.5))
+    chosen: list[str] = []
+    for term in sorted(gain, key=lambda t: (-gain[t], t)):  # of terms that hold each other, the one that tells most
+        stem = term.rstrip("*")
+        if not any((c.endswith("*") and stem.startswith(c[:-1])) or (term.endswith("*") and c.startswith(stem)) for c in chosen):
+            chosen.append(term)
+    return tuple(sorted(chosen))
 
 
 def fit(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", toxic_col: str = "toxic",
@@ -296,30 +311,46 @@ def fit(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     """Lexicon and weights from at most ``fit_rows`` labelled documents."""
     rows = sample(documents, labels, fit_rows, id_col, text_col, toxic_col)
     terms = lexicon(rows)
-    schema = pa.schema([("toxic", pa.int32()), ("errors", pa.int32()), ("form", pa.string()), ("place", pa.int32())])
+    schema = pa.schema([("toxic", pa.int32()), ("doc", pa.int64()), ("words", pa.int64()), ("errors", pa.int32()),
+                        ("term", pa.string()), ("place", pa.int32()), ("n", pa.int64())])
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forms = Forms(Automaton(terms))
 
         def out(batch):
-            for toxic, text in zip(batch["toxic"].to_pylist(), batch["t"].to_pylist()):
-                kinds = {(e, form if e else "", where) for e, _, form, where in matches(text, forms)}
-                yield from ((toxic, *kind) for kind in kinds or {(-1, "", NEUTRAL)})
+            for toxic, doc, text in zip(batch["toxic"].to_pylist(), batch["doc"].to_pylist(), batch["t"].to_pylist()):
+                kinds = Counter((e, term, where) for e, term, _, where in matches(text, forms))
+                words = len((text or "").split())
+                yield from ((toxic, doc, words, *kind, n) for kind, n in (kinds or {(-1, "", NEUTRAL): 0}).items())
 
         for batch in batches:
             yield from common.batches(out(batch), schema)
 
-    counts = rows.mapInArrow(find, "toxic int, errors int, form string, place int").groupBy("toxic", "errors", "form", "place").count().collect()
-    exact: dict[int, list[float]] = {where: [PRIOR[where] * PRIOR_WEIGHT, PRIOR_WEIGHT] for where in PRIOR}
-    none = [1.0, 100.0]
-    misspelt: dict[str, list[int]] = defaultdict(lambda: [0, 0])
-    for toxic, errors, form, where, n in counts:
-        into = none if errors < 0 else misspelt[form] if errors else exact[where]
-        into[0] += toxic * n
-        into[1] += n
-    once = [toxic for toxic, n in misspelt.values() if n == 1]
-    return Model(terms, none[0] / none[1], {w: t / n for w, (t, n) in exact.items()},
-                 {form: (t, n) for form, (t, n) in misspelt.items()}, (sum(once) + 0.5) / (len(once) + 1))
+    numbered = rows.select("toxic", F.monotonically_increasing_id().alias("doc"), "t")
+    # At most a row per sampled document and term: the sample bounds it.
+    table = numbered.mapInArrow(find, "toxic int, doc bigint, words bigint, errors int, term string, place int, n bigint").toPandas()
+    return _weighed(terms, table)
+
+
+def _weighed(terms: tuple[str, ...], table: pd.DataFrame) -> Model:
+    """Weights and curve from the matches of the sample."""
+    if not len(table) or table["toxic"].nunique() < 2:
+        return Model(terms)
+    hits = table[table["errors"] >= 0].assign(bad=lambda t: t["n"] * t["toxic"])
+    sums = hits.groupby(["errors", "term"])[["bad", "n"]].sum()
+    weights = {(int(e), term): float((bad + PRIOR[min(int(e), 2)] * PRIOR_WEIGHT) / (n + PRIOR_WEIGHT)) for (e, term), bad, n in sums.itertuples()}
+    each = [w * CONTEXT_WEIGHT[p] * n for w, p, n in zip(
+        (weights.get((e, t), 0.0) for e, t in zip(table["errors"], table["term"])), table["place"], table["n"])]
+    docs = table.assign(weight=each).groupby("doc").agg(toxic=("toxic", "max"), words=("words", "max"), weight=("weight", "sum"))
+    weight, words, toxic = docs["weight"].to_numpy(float), docs["words"].to_numpy(float), docs["toxic"].to_numpy(float)
+    some = (toxic == 1) & (weight > 0)
+    usual = (1.0, 0.0)
+    if some.sum() >= 3:
+        scale = np.sqrt(words[some] + 60)  # long texts vary more
+        design = np.stack([np.ones(some.sum()), words[some]], axis=1) / scale[:, None]
+        at_none, per_word = np.linalg.lstsq(design, weight[some] / scale, rcond=None)[0]
+        usual = (float(np.clip(at_none, 0.5, 5)), float(np.clip(per_word, 0, 0.2)))
+    return Model(terms, weights, usual, tuple(float(c) for c in _logistic(_inputs(weight, words, usual), toxic)))
 
 
 def score(text, model: Model):
@@ -328,7 +359,7 @@ def score(text, model: Model):
     def scores(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         forms = Forms(Automaton(model.terms))
         for texts in parts:
-            yield pd.Series([model.score(matches(t, forms)) for t in texts], dtype="float64")
+            yield pd.Series([model.score(t, forms) for t in texts], dtype="float64")
 
     return scores(text)
 
