@@ -16,7 +16,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 #: Rows per Arrow batch.  Texts may be long: a batch is held whole on both sides
 #: of the Python boundary, and Spark bounds it by rows only.
-ARROW_ROWS = 512
+ARROW_ROWS = 1024
 
 
 def prepare(spark: SparkSession) -> None:

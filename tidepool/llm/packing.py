@@ -191,8 +191,8 @@ def pieces(df: DataFrame, tokenizer: str, end_id: int, capacity: int, id_col: st
         enc, part, seen = encoder(tokenizer), TaskContext.get().partitionId(), Counter()
 
         def rows(batch):
-            for doc_id, raw in zip(batch.column(0).to_pylist(), enc.encode([t or "" for t in batch.column(1).to_pylist()])):
-                raw += end
+            for doc_id, ids in zip(batch.column(0).to_pylist(), enc.encode(batch.column(1))):
+                raw = ids.tobytes() + end
                 n = len(raw) // 4
                 ends = [*range(n % capacity or capacity, n, capacity), n]
                 for k, (a, b) in enumerate(zip([0, *ends], ends)):

@@ -179,10 +179,10 @@ def write_token_files(df: DataFrame, tokenizer: str, end_id: int, id_col: str =
             if writer is None:
                 filesystem, where = common.store_files(path)
                 filesystem.create_dir(where.rpartition("/")[0], recursive=True)
-                out = filesystem.open_output_stream(where)
+                out = filesystem.open_output_stream(where, compression=None)
                 writer = TokenWriter(out, width(max(enc.vocab_size, end_id + 1)), block_ids)
-            for doc_id, raw in zip(batch.column(0).to_pylist(), enc.encode([t or "" for t in batch.column(1).to_pylist()])):
-                writer.add(doc_id, np.concatenate([np.frombuffer(raw, "<u4"), end]))
+            for doc_id, ids in zip(batch.column(0).to_pylist(), enc.encode(batch.column(1))):
+                writer.add(doc_id, np.concatenate((ids, end)))
         if writer is not None:
             writer.close()
             out.close()
