@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidepool.llm import packing, quality, simhash, token_store, toxicity
+from tidepool.llm import mixing, packing, quality, simhash, token_store, toxicity, warc
 from tidepool.llm.encoding import public_tokenizer
 from tidepool.shipping import ship
 from tidepool.sources.tables import load
@@ -42,6 +42,32 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", f"{name}.*")
 
 
+@_query
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page through WARC archives and back."""
+    index = warc.write_archives(load(spark, sf_dir, "pages", ["page_id", "url", "html"]))
+    return warc.read_records(index).drop("url")
+
+
+SQL["op4_warc"] = """
+WITH p AS (
+    SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages
+), f AS (
+    SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS low FROM p
+)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 100 AND page_id <> low THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 100 AND page_id <> low THEN low END AS refers_to
+FROM f
+"""
+
+
+@_query
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the mix takes of every document, its source's size and target."""
+    return mixing.taken_words(load(spark, sf_dir, "documents", ["doc_id", "text", "source"]))
+
+
 @_query
 def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint of every document (3-word shingles) and its component over links of at most 3 bits."""
