@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidepool.llm import mixing, packing, quality, simhash, token_store, toxicity, warc
+from tidepool.llm import hnsw, mixing, packing, quality, simhash, token_store, toxicity, warc
 from tidepool.llm.encoding import public_tokenizer
 from tidepool.shipping import ship
 from tidepool.sources.tables import load
@@ -87,3 +87,10 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     found, name = toxicity.scored(load(spark, sf_dir, "documents", ["doc_id", "text"]), load(spark, sf_dir, "labels", ["doc_id", "toxic"]))
     return found.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), F.col(name).alias("score"),
                         (F.col(name) >= toxicity.PREDICTED).cast("int").alias("predicted"))
+
+
+@_query
+def op10_hnsw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors found for every vec_id divisible by 20."""
+    rows = hnsw.valid(load(spark, sf_dir, "embeddings", ["vec_id", "embedding"]))
+    return hnsw.nearest(hnsw.build_index(rows, k=20), rows.where("id % 20 = 0"), k=20)
