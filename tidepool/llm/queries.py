@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidepool.llm import hnsw, mixing, packing, quality, simhash, token_store, toxicity, warc
+from tidepool.llm import hnsw, mixing, packing, quality, simhash, token_counts, token_store, toxicity, warc
 from tidepool.llm.encoding import public_tokenizer
 from tidepool.shipping import ship
 from tidepool.sources.tables import load
@@ -68,6 +68,12 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken_words(load(spark, sf_dir, "documents", ["doc_id", "text", "source"]))
 
 
+@_query
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pre-tokens, tokens and best unigram score of every document."""
+    return token_counts.token_counts(load(spark, sf_dir, "documents", ["doc_id", "text"]), public_tokenizer("piece_bpe_32k.model"))
+
+
 @_query
 def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint of every document (3-word shingles) and its component over links of at most 3 bits."""
