@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidepool.llm import hnsw, mixing, packing, quality, simhash, token_counts, token_store, toxicity, warc
+from tidepool.llm import hnsw, mixing, packing, quality, simhash, token_counts, token_store, toxicity, url_filters, warc
 from tidepool.llm.encoding import public_tokenizer
 from tidepool.shipping import ship
 from tidepool.sources.tables import load
@@ -29,6 +29,82 @@ def _query(fn: QueryFn) -> QueryFn:
     return run
 
 
+# Dated lists derived from the pages: which hosts, domains and pages join and leave a list, and when, follows from
+# their MD5; captures are fetched on days that follow from their id.
+_DAY = "date_add(DATE '2024-01-01', CAST({} AS INT))"
+
+
+def _dated_lists(captures: DataFrame) -> DataFrame:
+    def number(name: str):
+        return F.conv(F.substring(F.md5(name), 1, 4), 16, 10).cast("int")
+
+    def entry(rows: DataFrame, list_: str, verdict: str, action: str, day: str) -> DataFrame:
+        return rows.select(F.lit(list_).alias("list"), F.lit(verdict).alias("verdict"), "pattern", F.lit(action).alias("action"), F.expr(_DAY.format(day)).alias("dated"))
+
+    names = captures.select(url_filters.host(F.col("url")).alias("host"), url_filters.page(F.col("url")).alias("page"))
+    hosts = names.select(F.col("host").alias("pattern")).distinct().withColumn("n", number("pattern"))
+    parents = (
+        names.where(r"host LIKE '%.%.%.%'").select(F.substring_index("host", ".", -3).alias("pattern")).distinct().withColumn("n", number("pattern"))
+    )
+    pages = names.select(F.col("page").alias("pattern")).distinct().withColumn("n", number("pattern"))
+    parts = [
+        entry(hosts.where("n % 4 = 0"), "spam", "block", "add", "n % 200"),
+        entry(hosts.where("n % 8 = 0"), "spam", "block", "remove", "n % 200 + 60"),
+        entry(hosts.where("n % 16 = 0"), "spam", "block", "add", "n % 200 + 120"),
+        entry(parents.where("n % 5 = 0"), "domains", "block", "add", "n % 300"),
+        entry(hosts.where("n % 6 = 1"), "partners", "allow", "add", "n % 250"),
+        entry(pages.where("n % 50 = 0"), "takedown", "block", "add", "n % 365"),
+        entry(pages.where("n % 50 = 0"), "takedown", "block", "remove", "n % 365 + 20"),
+    ]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
+@_query
+def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page by the list entries active on the day it was fetched."""
+    captures = load(spark, sf_dir, "pages", ["page_id", "url"]).withColumn("fetched", F.expr(_DAY.format("page_id * 37 % 366")))
+    return url_filters.judge(captures, _dated_lists(captures)).select("page_id", "fetched", "filter.*")
+
+
+SQL["op1_url_filters"] = r"""
+WITH c AS (
+    SELECT page_id, DATE '2024-01-01' + CAST(page_id * 37 % 366 AS INT) AS fetched,
+           regexp_replace(regexp_extract(lower(coalesce(url, '')), '^[a-z][a-z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:]*)', 1), '\.+$', '') AS host,
+           regexp_replace(regexp_extract(lower(coalesce(url, '')), '^[a-z][a-z0-9+.\-]*://[^/?#]*([^?#]*)', 1), '/+$', '') AS path
+    FROM pages
+), named AS (SELECT *, host || path AS page FROM c
+), hosts AS (SELECT pattern, ('0x' || substr(md5(pattern), 1, 4))::INT AS n FROM (SELECT DISTINCT host AS pattern FROM named)
+), parents AS (
+    SELECT pattern, ('0x' || substr(md5(pattern), 1, 4))::INT AS n
+    FROM (SELECT DISTINCT array_to_string(string_split(host, '.')[-3:], '.') AS pattern FROM named WHERE host LIKE '%.%.%.%')
+), urls AS (SELECT pattern, ('0x' || substr(md5(pattern), 1, 4))::INT AS n FROM (SELECT DISTINCT page AS pattern FROM named)
+), entries AS (
+    SELECT 'spam' AS list, 1 AS side, pattern, 'add' AS action, DATE '2024-01-01' + n % 200 AS dated FROM hosts WHERE n % 4 = 0
+    UNION ALL SELECT 'spam', 1, pattern, 'remove', DATE '2024-01-01' + (n % 200 + 60) FROM hosts WHERE n % 8 = 0
+    UNION ALL SELECT 'spam', 1, pattern, 'add', DATE '2024-01-01' + (n % 200 + 120) FROM hosts WHERE n % 16 = 0
+    UNION ALL SELECT 'domains', 1, pattern, 'add', DATE '2024-01-01' + n % 300 FROM parents WHERE n % 5 = 0
+    UNION ALL SELECT 'partners', 0, pattern, 'add', DATE '2024-01-01' + n % 250 FROM hosts WHERE n % 6 = 1
+    UNION ALL SELECT 'takedown', 1, pattern, 'add', DATE '2024-01-01' + n % 365 FROM urls WHERE n % 50 = 0
+    UNION ALL SELECT 'takedown', 1, pattern, 'remove', DATE '2024-01-01' + (n % 365 + 20) FROM urls WHERE n % 50 = 0
+), active AS (
+    SELECT list, side, pattern, dated AS since, action, lead(dated) OVER (PARTITION BY list, side, pattern ORDER BY dated) AS until FROM entries
+), valid AS (SELECT * FROM active WHERE action = 'add'
+), probes AS (
+    SELECT page_id, fetched, host, array_to_string(string_split(host, '.')[i:], '.') AS pattern, len(string_split(host, '.')) - i + 1 AS specificity
+    FROM (SELECT *, unnest(range(1, greatest(len(string_split(host, '.')) - 1, 1) + 1)) AS i FROM named WHERE host <> '')
+    UNION ALL SELECT page_id, fetched, host, page, 1000 FROM named WHERE host <> '' AND path <> ''
+), ranked AS (
+    SELECT p.page_id, v.*, row_number() OVER (PARTITION BY p.page_id ORDER BY p.specificity DESC, v.side, v.since, v.list) AS k
+    FROM probes p JOIN valid v ON p.pattern = v.pattern AND p.fetched >= v.since AND (v.until IS NULL OR p.fetched < v.until)
+)
+SELECT n.page_id, n.fetched, n.host, coalesce(r.side = 1, false) AS blocked, r.list, r.pattern, r.since
+FROM named n LEFT JOIN ranked r ON n.page_id = r.page_id AND r.k = 1
+"""
+
+
 @_query
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in sequences of at most 2048 tokens; each document ends with id 0."""
