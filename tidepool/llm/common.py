@@ -45,6 +45,11 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def gathered(df: DataFrame) -> DataFrame:
+    """At most four output files per core for small rows that come from a shuffle (no shuffle, no merging of its partitions' sorts)."""
+    return df.coalesce(4 * df.sparkSession.sparkContext.defaultParallelism)
+
+
 def free_name(df: DataFrame, wanted: str) -> str:
     """``wanted``, with underscores added until no column of ``df`` has that name."""
     taken = {c.lower() for c in df.columns}

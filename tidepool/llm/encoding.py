@@ -18,10 +18,10 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Default bounds of the piece cache of one Python worker.
-CACHE_PIECES = 500_000
+CACHE_PIECES = 400_000
 CACHE_PIECE_CHARS = 64
 #: Texts are encoded in groups of about so many bytes; longer ones in cuts.
-GROUP_BYTES = 4_000_000
+GROUP_BYTES = 2_500_000
 
 #: Marks the cuts; a text that has it (or an added token of the vocabulary) is encoded whole.
 CUT = "\x1f"

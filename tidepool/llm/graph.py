@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidepool.llm.common import stored
+from tidepool.llm.common import gathered, stored
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -17,10 +17,10 @@ def components(edges: DataFrame) -> DataFrame:
     longest path.  Each round is a stored table, and no node's neighbours ever
     meet in one row.  A table of no edges gives no rows.
     """
-    now = stored(_oriented(edges), "edges")
+    now = stored(gathered(_oriented(edges)), "edges")
     state = _state(now)
     while True:
-        now = stored(_small_star(_large_star(now)), "edges")
+        now = stored(gathered(_small_star(_large_star(now))), "edges")
         before, state = state, _state(now)
         if state == before:
             return now.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(

@@ -169,7 +169,7 @@ def taken_words(documents: DataFrame, **how) -> DataFrame:
     goals = targets(sized)
     taken = mix(sized, goals, **how).groupBy("row").agg(F.sum("words").alias("taken"))
     by_source = goals.select("key", "source_size", "target")
-    return (
+    return common.gathered(
         sized.join(taken, "row", "left").join(by_source, "key")
         .select("doc_id", "source", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("bigint").alias("taken"))
     )

@@ -9,9 +9,9 @@ number of documents) comes to the driver, where
 2. multiplicative weights lower the weight of each length by the share of it
    that the configuration covers, and the next configuration is priced;
 3. the configurations' fractional counts are rounded down, those that waste
-   least first, as long as the waste stays within what the bound on the number
-   of sequences leaves; best fit decreasing packs what is left, whole classes
-   of equal bins at a time.
+   least first, and best fit decreasing packs what is left, whole classes of
+   equal bins at a time.  How much waste a configuration may have is tried at
+   several levels; the plan of fewest sequences stays.
 
 Each length then has a list of runs of places.  A piece's rank among the pieces
 of its length (its count inside its task, plus those of earlier tasks) names
@@ -39,9 +39,8 @@ from tidepool.llm.encoding import encoder
 
 Config = tuple[tuple[int, int], ...]  # (length, copies)
 
-#: Steps of the multiplicative weights, and their rate.
+#: Steps of the multiplicative weights.
 STEPS = 800
-RATE = 1.0
 
 PIECE = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, part int, nth bigint"
 PLACED = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, sequence_id bigint, offset bigint"
@@ -65,27 +64,33 @@ def knapsack(lengths: np.ndarray, values: np.ndarray, capacity: int) -> dict[int
     return dict(out)
 
 
-def fractional(histogram: np.ndarray, steps: int = STEPS, rate: float = RATE) -> tuple[dict[Config, float], float]:
-    """Fractional configuration counts, and the smallest share of a length that they cover."""
+def fractional(histogram: np.ndarray, steps: int = STEPS) -> dict[Config, float]:
+    """Fractional configuration counts that cover the lengths, as far as ``steps`` go.
+
+    The fewer lengths there are, the smaller a step and the faster the weights
+    fall: with few lengths the choice of partners matters, with many the fill.
+    """
     capacity = len(histogram) - 1
     lengths = np.flatnonzero(histogram)
     if not len(lengths):
-        return {}, 1.0
+        return {}
     demand = histogram[lengths].astype(float)
     covered = np.zeros(len(lengths))
+    share = min(1.0, max(0.02, 2 * len(lengths) / steps))  # of a length's demand that a step covers at most
+    rate = min(30.0, 1 / share)
     out: dict[Config, float] = {}
     for _ in range(steps):
         left = covered < 1 - 1e-9
         if not left.any():
             break
-        # Weights start at the area a length takes up, per piece its length.
-        copies = knapsack(lengths, lengths * np.exp(-rate * covered) * left, capacity)
+        # Weights start at a piece's length, squared: long pieces have few partners and choose first.
+        copies = knapsack(lengths, lengths.astype(float) ** 2 * np.exp(-rate * covered) * left, capacity)
         at, n = np.array(list(copies)), np.array(list(copies.values()))
-        times = min((demand[at] / n).min(), ((1 - covered[at]) * demand[at] / n).max())
+        times = min(share * (demand[at] / n).min(), ((1 - covered[at]) * demand[at] / n).max())
         covered[at] += times * n / demand[at]
         config = tuple(sorted((int(lengths[i]), c) for i, c in copies.items()))
         out[config] = out.get(config, 0.0) + times
-    return out, float(covered.min())
+    return out
 
 
 def best_fit(histogram: np.ndarray) -> Counter[Config]:
@@ -120,32 +125,38 @@ def best_fit(histogram: np.ndarray) -> Counter[Config]:
     return out
 
 
-def plan(histogram: np.ndarray, steps: int = STEPS, rate: float = RATE) -> list[tuple[Config, int]]:
-    """Configurations with whole counts that pack exactly ``histogram`` (index: length, up to the capacity)."""
+def rounded(histogram: np.ndarray, found: dict[Config, float], spare: int) -> Counter[Config]:
+    """Whole counts: of configurations that waste at most ``spare``, rounded down, then best fit for the rest."""
     capacity = len(histogram) - 1
-    rest = histogram.astype(np.int64).copy()
+    rest = histogram.copy()
     out: Counter[Config] = Counter()
-    if rest[capacity]:
-        out[((capacity, 1),)] = int(rest[capacity])
-        rest[capacity] = 0
-    found, covered = fractional(rest, steps, rate)
-    volume = int((rest * np.arange(capacity + 1)).sum())
-    bound = -(-volume // capacity)
-    if covered >= 1 - 1e-6:
-        bound = max(bound, int(np.ceil(sum(found.values()) - 1e-6)))
-    waste = bound * capacity - volume
-    spare = {config: capacity - sum(length * n for length, n in config) for config in found}
-    for config in sorted(found, key=lambda c: (spare[c], -found[c], c)):
+    waste = {config: capacity - sum(length * n for length, n in config) for config in found}
+    for config in sorted((c for c in found if waste[c] <= spare), key=lambda c: (waste[c], -found[c], c)):
         count = min(int(found[config] + 1e-9), *(int(rest[length]) // n for length, n in config))
-        if spare[config]:
-            count = min(count, waste // spare[config])
         if count > 0:
             out[config] += count
-            waste -= count * spare[config]
             for length, n in config:
                 rest[length] -= count * n
     out.update(best_fit(rest))
-    return sorted(out.items())
+    return out
+
+
+def plan(histogram: np.ndarray, steps: int = STEPS) -> list[tuple[Config, int]]:
+    """Configurations with whole counts that pack exactly ``histogram`` (index: length, up to the capacity)."""
+    capacity = len(histogram) - 1
+    rest = histogram.astype(np.int64).copy()
+    full = int(rest[capacity])
+    rest[capacity] = 0
+    found = fractional(rest, steps)
+    bound = -(-int((rest * np.arange(capacity + 1)).sum()) // capacity)
+    best: Counter[Config] | None = None
+    for spare in [0, *(2**k for k in range(capacity.bit_length()))]:
+        tried = rounded(rest, found, spare)
+        if best is None or tried.total() < best.total():
+            best = tried
+        if best.total() == bound:
+            break
+    return sorted(best.items()) + ([(((capacity, 1),), full)] if full else [])
 
 
 def runs(packed: list[tuple[Config, int]], capacity: int) -> dict[str, np.ndarray]:
@@ -208,13 +219,13 @@ def pieces(df: DataFrame, tokenizer: str, end_id: int, capacity: int, id_col: st
     return common.stored(rows.mapInArrow(cut, PIECE + ", ids binary" * with_ids), "pieces")
 
 
-def pack(cut: DataFrame, capacity: int, steps: int = STEPS, rate: float = RATE) -> DataFrame:
+def pack(cut: DataFrame, capacity: int, steps: int = STEPS) -> DataFrame:
     """``sequence_id`` and ``offset`` for every row of ``pieces``."""
     counts = cut.groupBy("length", "part").agg(F.count("*").alias("n"))
     histogram = np.zeros(capacity + 1, dtype=np.int64)
     for length, n in cut.groupBy("length").count().collect():  # at most `capacity` rows
         histogram[length] = n
-    table = runs(plan(histogram, steps, rate), capacity)
+    table = runs(plan(histogram, steps), capacity)
     before = F.sum("n").over(Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1))  # a row per task
     first = counts.select("length", "part", F.coalesce(before, F.lit(0)).alias("first"))
     with_ids = "ids" in cut.columns
@@ -230,7 +241,7 @@ def pack(cut: DataFrame, capacity: int, steps: int = STEPS, rate: float = RATE)
                 yield pa.RecordBatch.from_pydict(out)
 
     ranked = cut.join(first, ["length", "part"]).withColumn("rank", F.col("first") + F.col("nth"))
-    return ranked.select(*kept, "rank", *["ids"] * with_ids).mapInArrow(lookup, PLACED + ", ids binary" * with_ids)
+    return common.gathered(ranked.select(*kept, "rank", *["ids"] * with_ids)).mapInArrow(lookup, PLACED + ", ids binary" * with_ids)
 
 
 def pack_documents(df: DataFrame, tokenizer: str, end_id: int = 0, capacity: int = 2048, with_ids: bool = False) -> DataFrame:

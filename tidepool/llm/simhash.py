@@ -25,7 +25,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidepool.llm import common
@@ -155,13 +155,30 @@ def links(distinct: DataFrame, max_bits: int) -> DataFrame:
 
 
 def near_duplicates(fps: DataFrame, max_bits: int = 3) -> DataFrame:
-    """``fingerprints`` with ``component_id``: the smallest id that a row reaches over links of at most ``max_bits`` bits."""
-    distinct = common.stored(fps.groupBy("fp").agg(F.min("doc_id").alias("low")), "distinct-fingerprints")
+    """``fingerprints`` with ``component_id``, the smallest id that a row reaches over links of at most ``max_bits`` bits, and ``root``, the smallest such fingerprint."""
+    distinct = common.stored(common.gathered(fps.groupBy("fp").agg(F.min("doc_id").alias("low"))), "distinct-fingerprints")
     roots = components(links(distinct.select("fp"), max_bits)).withColumnRenamed("node", "fp")
     linked = distinct.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     lowest = linked.groupBy("root").agg(F.min("low").alias("component_id"))
-    by_fp = linked.select("fp", "root").join(lowest, "root").select("fp", "component_id")
-    return fps.join(by_fp, "fp")
+    by_fp = linked.select("fp", "root").join(lowest, "root")
+    return common.gathered(fps.join(by_fp, "fp"))
+
+
+def deduplicated(df: DataFrame, shingle: int = 3, max_bits: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row of every component: that with the smallest id (of rows without ids, or with one id, the smallest hash of the text)."""
+    found = near_duplicates(fingerprints(df, shingle, id_col, text_col), max_bits)
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash"))
+    kept = found.groupBy("root").agg(first.alias("row")).select(F.xxhash64("row.doc_id", "row.text_hash").alias("key"), F.col("row.doc_id").alias("kept_id"))
+    # The key of a row is known before and after: nothing has to number the rows.
+    id_, text = common.column(df, id_col).cast("bigint"), common.column(df, text_col)
+    others = [common.column(df, c) for c in df.columns if c not in (id_col, text_col)]
+    rest = F.xxhash64(F.to_json(F.struct(*others))) if others else F.lit(0)
+    rows = df.select(F.struct("*").alias("document"), id_.alias("id"), F.xxhash64(id_, F.xxhash64(text)).alias("key"), rest.alias("others"))
+    same = Window.partitionBy("key", "id").orderBy("others")
+    return (
+        rows.join(kept, "key").where(F.col("id").eqNullSafe(F.col("kept_id")))
+        .withColumn("nth", F.row_number().over(same)).where("nth = 1").select("document.*")
+    )
 
 
 def hexadecimal(fp):

@@ -22,6 +22,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidepool.llm import common
+
 HOST = r"^[a-z][a-z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:]*)"
 PATH = r"^[a-z][a-z0-9+.\-]*://[^/?#]*([^?#]*)"
 
@@ -86,4 +88,5 @@ def judge(captures: DataFrame, entries: DataFrame, url_col: str = "url", time_co
     entry = F.coalesce("page_entry", "host_entry")
     verdict = F.struct(F.col("host"), F.coalesce(entry["side"] == 1, F.lit(False)).alias("blocked"), entry["list"].alias("list"),
                        entry["pattern"].alias("pattern"), entry["since"].alias("since"))
-    return seen.join(hosts, ["host", "fetched"], "left").join(pages, ["page", "fetched"], "left").select("capture.*", verdict.alias("filter"))
+    judged = seen.join(hosts, ["host", "fetched"], "left").join(pages, ["page", "fetched"], "left")
+    return common.gathered(judged.select("capture.*", verdict.alias("filter")))

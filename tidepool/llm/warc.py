@@ -126,7 +126,7 @@ def write_archives(pages: DataFrame, id_col: str = "page_id", url_col: str = "ur
         if out is not None:
             out.close()
 
-    return common.stored(decided.mapInArrow(write, INDEX), "warc-index")
+    return common.stored(common.gathered(decided).mapInArrow(write, INDEX), "warc-index")
 
 
 def read_records(index: DataFrame, with_payload: bool = False) -> DataFrame:
@@ -167,4 +167,4 @@ def read_records(index: DataFrame, with_payload: bool = False) -> DataFrame:
         yield from common.batches(rows(), schema, 256 if with_payload else 4096)
 
     ordered = index.select("archive", "offset", "length", "url").repartitionByRange("archive", "offset").sortWithinPartitions("archive", "offset")
-    return ordered.mapInArrow(read, RECORD + ", payload binary" * with_payload)
+    return common.gathered(ordered).mapInArrow(read, RECORD + ", payload binary" * with_payload)
