@@ -123,15 +123,17 @@ def _typed(c: Column, typ: str) -> Column:
 def flatten_access_log(df: DataFrame, raw_col: str = "RawJson",
                        ingested: Column | None = None,
                        duration_precision: str = "milli",
-                       keep_raw: bool = True) -> DataFrame:
+                       keep_raw: bool = True, carry: list[str] | None = None) -> DataFrame:
     """PRJ1: raw JSON text column -> the 31-column typed access-log table.
 
     The document is parsed once; ``DurationMs`` prefers the explicit field and
-    falls back to end - start (FN5/FN6).  ``ingested`` defaults to
+    falls back to end - start (FN5/FN6).  ``carry`` names columns of ``df`` to keep
+    behind them.  ``ingested`` defaults to
     ``current_timestamp()`` (FN7).
     """
     parsed = F.from_json(F.col(raw_col), RAW_STRUCT)
-    base = df.select(parsed.alias("_j"), F.col(raw_col).alias("_raw"))
+    carry = carry or []
+    base = df.select(parsed.alias("_j"), F.col(raw_col).alias("_raw"), *carry)
     exprs: list[Column] = []
     for name, path, typ in ACCESS_LOG_COLUMNS:
         if name == "IngestedTimeUtc":
@@ -152,7 +154,7 @@ def flatten_access_log(df: DataFrame, raw_col: str = "RawJson",
                                     duration_ms(start, end, duration_precision)).alias(name))
             continue
         exprs.append(_typed(field, typ).alias(name))
-    return base.select(*exprs)
+    return base.select(*exprs, *carry)
 
 
 def flatten_access_log_paths(df: DataFrame, raw_col: str = "RawJson",

@@ -1,7 +1,8 @@
 """Classifier evaluation on a scored long table (EVL1-EVL6).
 
-Input: one row per (model, example) with the true class ``y`` (0/1), the
-predicted class ``p`` and a score.  Every metric is an aggregation grouped by
+Input: one row per (model, example) with the true class ``y``, the predicted
+class ``p`` and a score.  Classes are those found in the data (any number); the
+binary forms (cells, AUC) raise on classes other than 0 and 1.  Every metric is an aggregation grouped by
 model, so comparing models (EVL6) is the same job as evaluating one.  Ratios
 follow the usual zero-division rule: 0 when the denominator is 0.
 """
@@ -25,26 +26,45 @@ def accuracy(df: DataFrame, model: str = "model", y: str = "y", p: str = "p") ->
 
 
 def confusion_matrix(df: DataFrame, model: str = "model", y: str = "y", p: str = "p",
-                     classes: tuple = (0, 1)) -> DataFrame:
-    """EVL3: counts per (model, actual, predicted), zero cells included."""
+                     classes: tuple | None = None) -> DataFrame:
+    """EVL3: counts per (model, actual, predicted), zero cells included.
+
+    Classes are those that occur as actual or predicted in any model; a stated
+    list raises on others.  One scan: the grid is built from the cell counts.
+    """
     counts = df.groupBy(model, F.col(y).alias("actual"), F.col(p).alias("predicted")).agg(
         F.count(F.lit(1)).alias("count"))
-    cls = F.array(*[F.lit(c) for c in classes])
-    grid = (df.select(model).distinct()
-            .select(model, F.explode(cls).alias("actual"))
-            .select(model, "actual", F.explode(cls).alias("predicted")))
-    return (grid.join(counts, [model, "actual", "predicted"], "left")
-            .select(model, "actual", "predicted", F.coalesce("count", F.lit(0)).alias("count")))
+    cell = F.struct(model, "actual", "predicted", "count")
+    # One row that holds the cells: at most models x classes^2 entries.
+    table = counts.agg(F.collect_list(cell).alias("cells"), F.array_sort(F.array_union(
+        F.collect_set("actual"), F.collect_set("predicted"))).alias("classes"))
+    if classes is not None:
+        stated = F.array(*[F.lit(c) for c in classes])
+        other = F.size(F.array_except("classes", stated)) > 0
+        table = table.withColumn("classes", F.when(other, F.raise_error(F.concat(
+            F.lit("classes beyond the stated ones: "), F.col("classes").cast("string")))).otherwise(stated))
+    grid = (table.select("cells", "classes", F.explode(F.array_distinct(F.transform("cells", lambda c: c[model]))).alias(model))
+            .select("cells", "classes", model, F.explode("classes").alias("actual"))
+            .select("cells", model, "actual", F.explode("classes").alias("predicted")))
+    found = F.filter("cells", lambda c: c[model].eqNullSafe(F.col(model)) & (c["actual"] == F.col("actual"))
+                     & (c["predicted"] == F.col("predicted")))
+    return grid.select(model, "actual", "predicted", F.coalesce(F.get(found, F.lit(0))["count"], F.lit(0)).alias("count"))
+
+
+def _binary(y: str, p: str) -> Column:
+    """True, or an error where a class is neither 0 nor 1."""
+    ok = F.col(y).isin(0, 1) & F.col(p).isin(0, 1)
+    return F.when(ok, F.lit(True)).otherwise(F.raise_error(F.lit("binary metrics need classes 0 and 1")).cast("boolean"))
 
 
 def confusion_cells(df: DataFrame, model: str = "model", y: str = "y", p: str = "p") -> DataFrame:
-    """EVL3 read out as tn, fp, fn, tp per model (binary)."""
-    yy, pp = F.col(y), F.col(p)
+    """EVL3 read out as tn, fp, fn, tp per model; other classes than 0 and 1 raise."""
+    yy, pp, ok = F.col(y), F.col(p), _binary(y, p)
     return df.groupBy(model).agg(
-        F.sum(((yy == 0) & (pp == 0)).cast("bigint")).alias("tn"),
-        F.sum(((yy == 0) & (pp == 1)).cast("bigint")).alias("fp"),
-        F.sum(((yy == 1) & (pp == 0)).cast("bigint")).alias("fn"),
-        F.sum(((yy == 1) & (pp == 1)).cast("bigint")).alias("tp"))
+        F.sum((ok & (yy == 0) & (pp == 0)).cast("bigint")).alias("tn"),
+        F.sum((ok & (yy == 0) & (pp == 1)).cast("bigint")).alias("fp"),
+        F.sum((ok & (yy == 1) & (pp == 0)).cast("bigint")).alias("fn"),
+        F.sum((ok & (yy == 1) & (pp == 1)).cast("bigint")).alias("tp"))
 
 
 def confusion_normalised(df: DataFrame, model: str = "model", y: str = "y", p: str = "p") -> DataFrame:
@@ -55,38 +75,36 @@ def confusion_normalised(df: DataFrame, model: str = "model", y: str = "y", p: s
 
 
 def classification_report(df: DataFrame, model: str = "model", y: str = "y", p: str = "p") -> DataFrame:
-    """EVL2: precision, recall, F1, support per class, the accuracy line, then
-    macro and weighted averages (the layout of the usual classification report)."""
-    c = confusion_cells(df, model, y, p)
-    tn, fp, fn, tp = (F.col(x) for x in ("tn", "fp", "fn", "tp"))
-
-    def per_class(label, t_pos, f_pos, f_neg, support):
-        prec = _ratio(t_pos, t_pos + f_pos)
-        rec = _ratio(t_pos, t_pos + f_neg)
-        return F.struct(F.lit(label).alias("label"), prec.alias("precision"), rec.alias("recall"),
-                        support.alias("support"))
-
-    rows = c.select(model, F.explode(F.array(
-        per_class("0", tn, fn, fp, tn + fp),
-        per_class("1", tp, fp, fn, tp + fn))).alias("r")).select(model, "r.*")
-    rows = rows.withColumn("f1", _ratio(2 * F.col("precision") * F.col("recall"),
-                                        F.col("precision") + F.col("recall")))
-    macro = rows.groupBy(model).agg(
-        F.lit("macro avg").alias("label"),
-        (F.sum("precision") / 2).alias("precision"), (F.sum("recall") / 2).alias("recall"),
-        F.sum("support").alias("support"), (F.sum("f1") / 2).alias("f1"))
-    weighted = rows.groupBy(model).agg(
-        F.lit("weighted avg").alias("label"),
-        (F.sum(F.col("precision") * F.col("support")) / F.sum("support")).alias("precision"),
-        (F.sum(F.col("recall") * F.col("support")) / F.sum("support")).alias("recall"),
-        F.sum("support").alias("support"),
-        (F.sum(F.col("f1") * F.col("support")) / F.sum("support")).alias("f1"))
+    """EVL2: precision, recall, F1, support per class (any number of classes),
+    the accuracy line, then macro and weighted averages."""
+    cm = confusion_matrix(df, model, y, p)
+    hit = F.when(F.col("actual") == F.col("predicted"), F.col("count")).otherwise(0)
+    each = cm.select(model, F.explode(F.array(
+        F.struct(F.col("actual").alias("label"), F.col("count").alias("support"), F.lit(0).cast("bigint").alias("called"), hit.alias("right")),
+        F.struct(F.col("predicted").alias("label"), F.lit(0).cast("bigint").alias("support"), F.col("count").alias("called"),
+                 F.lit(0).cast("bigint").alias("right")))).alias("c")).select(model, "c.*")
+    sums = each.groupBy(model, "label").agg(*[F.sum(c).alias(c) for c in ("support", "called", "right")])
+    rows = (sums.withColumn("precision", _ratio(F.col("right"), F.col("called")))
+            .withColumn("recall", _ratio(F.col("right"), F.col("support")))
+            .withColumn("f1", _ratio(2 * F.col("precision") * F.col("recall"), F.col("precision") + F.col("recall")))
+            .withColumn("label", F.col("label").cast("string")))
+    weight = F.sum("support")
+    summary = rows.groupBy(model).agg(
+        (F.sum("precision") / F.count("label")).alias("mp"), (F.sum("recall") / F.count("label")).alias("mr"),
+        (F.sum("f1") / F.count("label")).alias("mf"),
+        *[_ratio(F.sum(F.col(c) * F.col("support")), weight).alias(f"w_{c}") for c in ("precision", "recall", "f1")],
+        _ratio(F.sum("right"), weight).alias("acc"), weight.alias("support"))
+    none = F.lit(None).cast("double")
+
+    def line(label: str, precision: Column, recall: Column, f1: Column) -> Column:
+        return F.struct(F.lit(label).alias("label"), precision.alias("precision"), recall.alias("recall"),
+                        F.col("support"), f1.alias("f1"))
+
     # The accuracy line: f1 column holds the accuracy, support all rows.
-    acc = c.select(model, F.lit("accuracy").alias("label"),
-                   F.lit(None).cast("double").alias("precision"), F.lit(None).cast("double").alias("recall"),
-                   (tn + fp + fn + tp).alias("support"),
-                   _ratio(tn + tp, tn + fp + fn + tp).alias("f1"))
-    return rows.unionByName(acc).unionByName(macro).unionByName(weighted)
+    lines = summary.select(model, F.explode(F.array(
+        line("accuracy", none, none, F.col("acc")), line("macro avg", F.col("mp"), F.col("mr"), F.col("mf")),
+        line("weighted avg", F.col("w_precision"), F.col("w_recall"), F.col("w_f1")))).alias("l")).select(model, "l.*")
+    return rows.select(model, "label", "precision", "recall", "support", "f1").unionByName(lines)
 
 
 def roc_auc(df: DataFrame, model: str = "model", y: str = "y", score: str = "score") -> DataFrame:
@@ -95,6 +113,7 @@ def roc_auc(df: DataFrame, model: str = "model", y: str = "y", score: str = "sco
     AUC = sum over distinct scores s of pos(s) * (neg(< s) + neg(s) / 2), over P * N.
     Rows are first reduced to one per (model, score); the running count of
     negatives is a range-partitioned prefix sum, so no task sees all scores.
+    A model whose rows are all of one class has no AUC: null.
     """
     per_score = df.groupBy(model, score).agg(
         F.sum(F.col(y).cast("bigint")).alias("pos"),
@@ -102,7 +121,7 @@ def roc_auc(df: DataFrame, model: str = "model", y: str = "y", score: str = "sco
     cum = prefix_sums(per_score, [score], ["neg"], [model])
     part = F.col("pos") * ((F.col("neg_cum") - F.col("neg")) + F.col("neg") * 0.5)
     return cum.groupBy(model).agg(
-        (F.sum(part) / (F.sum("pos") * F.sum("neg"))).alias("roc_auc"))
+        F.try_divide(F.sum(part.cast("double")), F.sum("pos").cast("double") * F.sum("neg").cast("double")).alias("roc_auc"))
 
 
 def compare_models(df: DataFrame, model: str = "model", y: str = "y", p: str = "p",

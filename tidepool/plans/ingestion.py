@@ -94,13 +94,101 @@ def stream_dedup(spark, sf_dir):
     return spark.read.parquet(target).select("EventId", "EventTimeUtc")
 
 
-@query("list_json_files", "SRC3,FLT3,SRT4,AGG7")
+@query("list_json_files", "SRC3,FLT3,SRT4,AGG7,SRC8", sql=f"""
+SELECT delivery, true AS exists_, true AS json_only, true AS sorted_, count(*) AS n_docs FROM (
+  SELECT CASE WHEN ts < TIMESTAMP '{SECOND_DELIVERY_FROM}' THEN 'delivery_1' ELSE 'delivery_2' END AS delivery FROM events)
+GROUP BY delivery
+""")
 def list_json_files(spark, sf_dir):
-    """Recursive, case-insensitive discovery of the delivered JSON files."""
+    """Recursive discovery of the delivered JSON files, sorted; documents per delivery folder."""
     base = scratch_path(spark, "listing")
     _deliver(spark, sf_dir, base)
     listed = files.list_files(spark, base)
-    return listed.select(jsonlog.basename(F.col("path")).alias("name"), "length")
+    names = [r[0] for r in listed.select("path").collect()]  # a row per file of the fixture
+    folder = F.element_at(F.split("path", "/"), -2)
+    docs = spark.read.text(names).select(F.input_file_name().alias("path"))
+    return docs.groupBy(folder.alias("delivery")).agg(
+        F.lit(files.path_exists(spark, base)).alias("exists_"),
+        F.lit(all(n.lower().endswith(".json") for n in names)).alias("json_only"),
+        F.lit(names == sorted(names)).alias("sorted_"), F.count(F.lit(1)).alias("n_docs"))
+
+
+def _unnamed(df):
+    """Documents of odd events without their id."""
+    return df.withColumn("id", F.when(F.col("id").cast("bigint") % 2 == 0, F.col("id")))
+
+
+@query("ingest_events_without_id", "STR1,STR2,D5", sql="""
+SELECT CASE WHEN event_id % 2 = 0 THEN CAST(event_id AS VARCHAR) END AS EventId, ts AS EventTimeUtc, 'item-' || CAST(user_id AS VARCHAR) AS ItemId
+FROM events
+""")
+def ingest_events_without_id(spark, sf_dir):
+    """Half of the documents have no id: all are kept, and a replay with a fresh checkpoint adds none."""
+    base = scratch_path(spark, "no-id")
+    root, target = os.path.join(base, "src"), os.path.join(base, "target")
+    _unnamed(derived.diagnostic_docs(_events(spark, sf_dir))).write.json(root)
+    for run in range(2):
+        ingest.normalise_stream(spark, root, target, os.path.join(base, f"ck_{run}"), multiline=False)
+    return spark.read.parquet(target).select("EventId", "EventTimeUtc", "ItemId")
+
+
+@query("ingest_id_on_two_dates", "STR1,STR2,D5,D11", sql="""
+SELECT CAST(event_id AS VARCHAR) AS EventId, ts AS EventTimeUtc FROM events
+""")
+def ingest_id_on_two_dates(spark, sf_dir):
+    """Every event comes again a week later under the same id: the first delivery's row stays alone."""
+    base = scratch_path(spark, "two-dates")
+    root, target, ck = (os.path.join(base, x) for x in ("src", "target", "ck"))
+    ev = _events(spark, sf_dir)
+    _write_docs(ev, os.path.join(root, "first"))
+    ingest.normalise_stream(spark, root, target, ck, multiline=False)
+    _write_docs(ev.withColumn("ts", F.col("ts") + F.expr("INTERVAL 7 DAYS")), os.path.join(root, "later"))
+    ingest.normalise_stream(spark, root, target, ck, multiline=False)
+    return spark.read.parquet(target).select("EventId", "EventTimeUtc")
+
+
+@query("stream_dedup_malformed_time", "STR3", sql="""
+SELECT CAST(event_id AS VARCHAR) AS EventId, CASE WHEN event_id % 7 NOT IN (1, 2) THEN ts END AS EventTimeUtc
+FROM events
+""")
+def stream_dedup_malformed_time(spark, sf_dir):
+    """Events whose time can't be read have no place in the watermark, and are kept."""
+    base = scratch_path(spark, "dedup-damaged")
+    root, target, ck = (os.path.join(base, x) for x in ("src", "target", "ck"))
+    derived.diagnostic_docs(_events(spark, sf_dir), damaged=True).write.json(root)
+    ingest.dedup_stream(spark, root, target, ck, multiline=False)
+    return spark.read.parquet(target).select("EventId", "EventTimeUtc")
+
+
+@query("files_newer_than_mark", "FLT2,SRC3,SNK6,FN7", sql=f"""
+SELECT CAST(event_id AS VARCHAR) AS EventId, true AS stamped FROM events WHERE ts >= TIMESTAMP '{SECOND_DELIVERY_FROM}'
+""")
+def files_newer_than_mark(spark, sf_dir):
+    """Only files whose path comes after the first delivery's last one; every row has its ingestion time."""
+    base = scratch_path(spark, "newer")
+    _deliver(spark, sf_dir, base, "first")
+    mark = files.list_files(spark, base).agg(F.max("path")).first()[0]
+    _deliver(spark, sf_dir, base, "second")
+    listed = files.newer_than(files.list_files(spark, base), mark)
+    names = [r[0] for r in listed.select("path").collect()]  # a row per file of the fixture
+    flat = jsonlog.flatten_access_log(spark.read.text(names).withColumnRenamed("value", "RawJson"))
+    return flat.select("EventId", F.col("IngestedTimeUtc").isNotNull().alias("stamped"))
+
+
+@query("multi_line_documents", "SRC4,PRJ1", sql="""
+SELECT CAST(event_id AS VARCHAR) AS EventId, 'Access.' || event_type AS EventType, 'item-' || CAST(user_id AS VARCHAR) AS ItemId FROM events
+""")
+def multi_line_documents(spark, sf_dir):
+    """Files that hold pretty-printed documents over many lines (an array of up to 1,000 each), read by the multi-line reader."""
+    base = scratch_path(spark, "multi-line")
+    docs = derived.diagnostic_docs(_events(spark, sf_dir))
+    text = F.to_json(F.struct(*docs.columns), {"pretty": "true"})
+    group = F.floor(F.col("id").cast("bigint") / 1000)
+    arrays = docs.select(group.alias("g"), text.alias("t")).groupBy("g").agg(
+        F.concat(F.lit("[\n"), F.concat_ws(",\n", F.collect_list("t")), F.lit("\n]")).alias("value"))
+    arrays.write.partitionBy("g").text(base)
+    typed = files.read_json_typed(spark, base, jsonlog.RAW_STRUCT, multiline=True, glob="*.txt")
+    return typed.select(F.col("id").alias("EventId"), F.col("type").alias("EventType"), F.col("data.itemId").alias("ItemId"))
 
 
 @query("ingest_twice_count", "STR1,STR2,SNK7,AGG7", sql="""

@@ -5,14 +5,15 @@ The file source's checkpoint records every file it has processed, so each
 file is read once even when a later file has a smaller path (D3) or two files
 share a base name (D4); ``trigger(availableNow=True)`` makes a scheduled job
 of it.  The normalising sink is a ``foreachBatch`` that appends only events
-whose ``EventId`` is not in the target yet, reading the target pruned to the
-event dates of the batch -- rerunning a batch after a failure appends nothing
-twice.
+whose ``EventKey`` is not in the target yet: the ``EventId``, or for events
+without one the file, the text and its occurrence there.  Of the target only
+that one column is read, over all dates (an id may come back with another
+time) -- rerunning a batch after a failure appends nothing twice.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,9 +27,17 @@ BRONZE_SCHEMA = T.StructType([
 ])
 
 
+# A first run over a backlog is cut into micro-batches of about this size.
+MAX_BYTES_PER_TRIGGER = 4 << 30
+
+
 def raw_json_stream(spark: SparkSession, root: str, multiline: bool = True, glob: str = JSON_GLOB,
                     max_files_per_trigger: int | None = None) -> DataFrame:
-    """STR1 source: new JSON files under ``root`` as (RawJson, source_path)."""
+    """STR1 source: new JSON files under ``root`` as (RawJson, source_path).
+
+    A micro-batch holds ``max_files_per_trigger`` files, or without that limit
+    about ``MAX_BYTES_PER_TRIGGER``.
+    """
     reader = (spark.readStream.format("text")
               .option("recursiveFileLookup", "true")
               .option("pathGlobFilter", glob))
@@ -36,6 +45,8 @@ def raw_json_stream(spark: SparkSession, root: str, multiline: bool = True, glob
         reader = reader.option("wholetext", "true")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    else:
+        reader = reader.option("maxBytesPerTrigger", str(MAX_BYTES_PER_TRIGGER))
     df = reader.load(root)
     return df.select(F.col("value").alias("RawJson"), F.col("_metadata.file_path").alias("source_path"))
 
@@ -69,33 +80,32 @@ def land_files(spark: SparkSession, root: str, bronze_path: str, checkpoint: str
          .option("checkpointLocation", checkpoint).outputMode("append"))
 
 
-def _event_date(df: DataFrame) -> DataFrame:
-    return df.withColumn("EventDate", F.to_date("EventTimeUtc"))
+def event_keys(batch: DataFrame, key: str = "EventId", path: str = "source_path") -> DataFrame:
+    """``batch`` with ``EventKey``, one row per key: of events with one id the
+    first by time and text; of events without an id all, told apart by file,
+    text and occurrence."""
+    order = [c for c in ("EventTimeUtc", "RawJson", path) if c in batch.columns and c != key] or [key]
+    told = [F.col(c) for c in batch.columns if c not in (key, "IngestedTimeUtc")]
+    own = F.coalesce(F.concat(F.lit("id:"), F.col(key).cast("string")),
+                     F.concat(F.lit("text:"), F.sha2(F.to_json(F.struct(*told)), 256)))
+    unnamed = F.col(key).isNull()
+    return (batch.withColumn("EventKey", own)
+            .withColumn("_n", F.row_number().over(Window.partitionBy("EventKey").orderBy(*order)))
+            .where(unnamed | (F.col("_n") == 1))
+            .withColumn("EventKey", F.when(unnamed, F.concat_ws(":", "EventKey", F.col("_n").cast("string")))
+                        .otherwise(F.col("EventKey"))).drop("_n"))
+
 
+def idempotent_append(batch: DataFrame, target_path: str, key: str = "EventId") -> None:
+    """STR2: append the events whose key is not yet in the target (partitioned by date).
 
-def idempotent_append(batch: DataFrame, target_path: str, key: str = "EventId") -> int:
-    """STR2: append rows whose ``key`` is not yet in the target (date-partitioned)."""
+    ``rebalance`` clusters the rows by date and splits large dates, so a batch
+    writes few files per date."""
     spark = batch.sparkSession
-    batch = _event_date(batch).dropDuplicates([key])
-    dates = [r[0] for r in batch.select("EventDate").distinct().collect()]  # days in the batch
-    existing = spark.read.parquet(target_path) if path_exists(spark, target_path) else None
-    if existing is not None:
-        known = [d for d in dates if d is not None]
-        cond = F.col("EventDate").isin(known) if known else F.lit(False)
-        if any(d is None for d in dates):
-            cond = cond | F.col("EventDate").isNull()
-        batch = batch.join(existing.where(cond).select(key), key, "left_anti")
-    batch.write.mode("append").partitionBy("EventDate").parquet(target_path)
-    return len(dates)
-
-
-def _persisted_append(batch: DataFrame, target_path: str) -> None:
-    # The micro-batch is read three times (dates, anti-join, write): keep it.
-    batch.persist()
-    try:
-        idempotent_append(batch, target_path)
-    finally:
-        batch.unpersist()
+    batch = event_keys(batch.withColumn("EventDate", F.to_date("EventTimeUtc")), key).drop("source_path")
+    if path_exists(spark, target_path):
+        batch = batch.join(spark.read.parquet(target_path).select("EventKey"), "EventKey", "left_anti")
+    batch.hint("rebalance", "EventDate").write.mode("append").partitionBy("EventDate").parquet(target_path)
 
 
 def normalise_stream(spark: SparkSession, root: str, target_path: str, checkpoint: str,
@@ -111,10 +121,10 @@ def normalise_stream(spark: SparkSession, root: str, target_path: str, checkpoin
     if require_files:
         _require_files(spark, root)
     src = raw_json_stream(spark, root, multiline, max_files_per_trigger=max_files_per_trigger)
-    flat = jsonlog.flatten_access_log(src, duration_precision=duration_precision)
+    flat = jsonlog.flatten_access_log(src, duration_precision=duration_precision, carry=["source_path"])
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        _persisted_append(batch, target_path)
+        idempotent_append(batch, target_path)
 
     _run(flat.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint))
 
@@ -122,10 +132,10 @@ def normalise_stream(spark: SparkSession, root: str, target_path: str, checkpoin
 def normalise_bronze(spark: SparkSession, bronze_path: str, target_path: str, checkpoint: str) -> None:
     """STR1 from the bronze table instead of the raw files."""
     src = spark.readStream.schema(BRONZE_SCHEMA).parquet(bronze_path)
-    flat = jsonlog.flatten_access_log(src)
+    flat = jsonlog.flatten_access_log(src, carry=["source_path"])
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        _persisted_append(batch, target_path)
+        idempotent_append(batch, target_path)
 
     _run(flat.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint))
 
@@ -139,9 +149,13 @@ def dedup_within_watermark(df: DataFrame, key: str = "EventId", event_time: str
 def dedup_stream(spark: SparkSession, root: str, target_path: str, checkpoint: str,
                  multiline: bool = True, delay: str = "1 hour",
                  max_files_per_trigger: int | None = None) -> None:
-    """STR3 job: files -> flatten -> watermark dedup -> append-only Parquet sink."""
+    """STR3 job: files -> flatten -> watermark dedup -> append-only Parquet sink.
+
+    Events without a valid time have no place in the watermark: they are
+    appended as they come."""
     flat = jsonlog.flatten_access_log(
         raw_json_stream(spark, root, multiline, max_files_per_trigger=max_files_per_trigger))
-    out = dedup_within_watermark(flat.where(F.col("EventTimeUtc").isNotNull()), delay=delay)
+    timed = F.col("EventTimeUtc").isNotNull()
+    out = dedup_within_watermark(flat.where(timed), delay=delay).unionByName(flat.where(~timed))
     _run(out.writeStream.format("parquet").option("path", target_path)
          .option("checkpointLocation", checkpoint).outputMode("append"))
