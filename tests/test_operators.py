@@ -213,9 +213,15 @@ def test_order_statistics_match_full_rank(spark):
     df = spark.createDataFrame(rows, "x long, k long")
     ranks = [1, 333, 900, 1500, 2700]
     want = {r[2]: (r[0], r[1]) for r in ranking.global_rank(df, ["x", "k"], "r").collect() if r[2] in ranks}
-    assert ranking.order_statistics(df, "x", ["k"], ranks) == want  # small input: one sort
-    for acc in (100_000, 20):  # bracket path (forced), wide and narrow brackets
-        assert ranking.order_statistics(df, "x", ["k"], ranks, accuracy=acc, sort_below_rows=0) == want
+    for acc in (100_000, 20):  # wide and narrow brackets
+        assert ranking.order_statistics(df, "x", ["k"], ranks, accuracy=acc) == want
+    big = 2**53
+    typed = df.select("k", (F.col("x") + big).alias("long"), F.expr("date_add(DATE '2020-01-01', CAST(x AS INT))").alias("date"),
+                      F.expr("timestamp_micros(x * 1000003)").alias("timestamp"), F.expr("TIMESTAMP_NTZ '2020-01-01 00:00:00' + make_dt_interval(0, 0, 0, x)").alias("ntz"),
+                      (F.col("x") / 7).cast("decimal(30,12)").alias("decimal"), F.lpad(F.col("x").cast("string"), 4, "0").alias("text"))
+    for c in ("long", "date", "timestamp", "ntz", "decimal", "text"):
+        want = {r[2]: (r[0], r[1]) for r in ranking.global_rank(typed.select(c, "k"), [c, "k"], "r").collect() if r[2] in ranks}
+        assert ranking.order_statistics(typed, c, ["k"], ranks, accuracy=50) == want, c
 
 
 def test_grouped_quantiles_bracket_equals_rank(spark):

@@ -13,6 +13,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 # The three reference configurations.
 RF_SMALL = {"maxDepth": 4, "featureSubsetStrategy": "4", "numTrees": 100, "seed": 1, "minInstancesPerNode": 1}
@@ -20,28 +21,22 @@ RF_LARGE = {"maxDepth": 8, "featureSubsetStrategy": "6", "numTrees": 100, "seed"
 GBT = {"stepSize": 0.07, "maxIter": 100, "maxDepth": 10, "seed": 42, "lossType": "logistic"}
 
 
-ROWS_PER_PARTITION = 1_000_000
+# Input partitions of a fit.  Bagging is seeded per partition, so the layout is
+# part of the model: a stated number, whatever the cluster.
+FIT_PARTITIONS = 8
 
 
-def _right_sized(df: DataFrame) -> DataFrame:
-    """Tree training runs one pass per level and round over every input
-    partition: a small frame left with hundreds of shuffle partitions would
-    launch hundreds of tasks per pass.  Coalesce to about one partition per
-    million rows, but never below the cluster's parallelism nor above the
-    current count."""
-    current = df.rdd.getNumPartitions()
-    parallelism = df.sparkSession.sparkContext.defaultParallelism
-    if current <= parallelism:
-        return df
-    rows = df.count()
-    target = max(parallelism, -(-rows // ROWS_PER_PARTITION))
-    return df.coalesce(target) if target < current else df
+def _laid_out(df: DataFrame, partitions: int) -> DataFrame:
+    """Rows dealt by their own hash and sorted by it: the same layout, and so the
+    same model, however ``df`` was partitioned."""
+    mixed = F.xxhash64(*[F.col(c) for c in df.columns])
+    return (df.withColumn("_h", mixed).repartition(partitions, "_h").sortWithinPartitions("_h", *df.columns).drop("_h"))
 
 
-def _fit(stages: Pipeline, df: DataFrame) -> PipelineModel:
+def _fit(stages: Pipeline, df: DataFrame, partitions: int) -> PipelineModel:
     """Fit and return a copy: the copy drops the training summary, which holds
     the session and would otherwise be captured by every scoring closure."""
-    return stages.fit(_right_sized(df)).copy()
+    return stages.fit(_laid_out(df, partitions)).copy()
 
 
 def _assembled(feature_cols: list[str], estimator) -> Pipeline:
@@ -50,16 +45,16 @@ def _assembled(feature_cols: list[str], estimator) -> Pipeline:
 
 
 def train_random_forest(df: DataFrame, feature_cols: list[str], label_col: str,
-                        params: dict | None = None) -> PipelineModel:
+                        params: dict | None = None, partitions: int = FIT_PARTITIONS) -> PipelineModel:
     p = dict(RF_SMALL, **(params or {}))
     n = int(p["featureSubsetStrategy"]) if str(p["featureSubsetStrategy"]).isdigit() else None
     if n is not None and n > len(feature_cols):
         p["featureSubsetStrategy"] = "all"
     est = RandomForestClassifier(featuresCol="features", labelCol=label_col, **p)
-    return _fit(_assembled(feature_cols, est), df)
+    return _fit(_assembled(feature_cols, est), df.select(*feature_cols, label_col), partitions)
 
 
 def train_gbt(df: DataFrame, feature_cols: list[str], label_col: str,
-              params: dict | None = None) -> PipelineModel:
+              params: dict | None = None, partitions: int = FIT_PARTITIONS) -> PipelineModel:
     est = GBTClassifier(featuresCol="features", labelCol=label_col, **dict(GBT, **(params or {})))
-    return _fit(_assembled(feature_cols, est), df)
+    return _fit(_assembled(feature_cols, est), df.select(*feature_cols, label_col), partitions)

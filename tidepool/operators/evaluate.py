@@ -48,7 +48,7 @@ def confusion_matrix(df: DataFrame, model: str = "model", y: str = "y", p: str =
             .select("cells", model, "actual", F.explode("classes").alias("predicted")))
     found = F.filter("cells", lambda c: c[model].eqNullSafe(F.col(model)) & (c["actual"] == F.col("actual"))
                      & (c["predicted"] == F.col("predicted")))
-    return grid.select(model, "actual", "predicted", F.coalesce(F.get(found, F.lit(0))["count"], F.lit(0)).alias("count"))
+    return grid.select(model, "actual", "predicted", F.coalesce(F.get(found, F.lit(0))["count"], F.lit(0)).cast("bigint").alias("count"))
 
 
 def _binary(y: str, p: str) -> Column:

@@ -1,45 +1,12 @@
-"""Join helpers: broadcast only behind a proven size bound."""
+"""Join helpers: a broadcast hint only for a side whose size is bounded by construction.
+
+Other joins have no hint: AQE broadcasts a side by its real bytes, and splits hot keys.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-# Largest side we hand to broadcast() after counting it.
-DEFAULT_BROADCAST_ROWS = 1_000_000
-DEFAULT_BROADCAST_BYTES = 256 * 1024 * 1024
-
-# Per-value size estimates (Spark's own defaults for variable-width types).
-_FIXED = {T.BooleanType: 1, T.ByteType: 1, T.ShortType: 2, T.IntegerType: 4, T.LongType: 8,
-          T.FloatType: 4, T.DoubleType: 8, T.DateType: 4, T.TimestampType: 8, T.TimestampNTZType: 8}
-
-
-def row_bytes(schema: T.StructType) -> int:
-    """Estimated bytes per row: fixed widths, 20 per string/binary, 32 for other
-    variable-width values, plus 8 per field of row overhead."""
-    total = 0
-    for f in schema.fields:
-        dt = f.dataType
-        size = next((v for k, v in _FIXED.items() if isinstance(dt, k)), None)
-        if size is None:
-            size = row_bytes(dt) if isinstance(dt, T.StructType) else (20 if isinstance(
-                dt, (T.StringType, T.BinaryType)) else 8 * 4)
-        total += size + 8  # plus row/offset overhead per field
-    return total
-
-
-def checked_broadcast(small: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
-                      max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
-    """``broadcast(small)`` if it has at most ``max_rows`` rows and an estimated
-    size under ``max_bytes``; else ``small`` as is (the optimizer plans a shuffle join).
-
-    The count stops one row past the bound, so the check is cheap even when the
-    side turns out large.
-    """
-    limit = min(max_rows, max(1, max_bytes // max(1, row_bytes(small.schema))))
-    n = small.limit(limit + 1).count()
-    return F.broadcast(small) if n <= limit else small
 
 
 def bounded_broadcast(small: DataFrame) -> DataFrame:

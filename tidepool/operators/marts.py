@@ -7,7 +7,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidepool.operators.joins import checked_broadcast
 from tidepool.operators.ranking import grouped_quantiles
 
 
@@ -20,9 +19,9 @@ def latest_per_key(df: DataFrame, keys: list[str], time_col: str, tiebreak: list
             .withColumnRenamed(time_col, out_time))
 
 
-def enrich(facts: DataFrame, dim: DataFrame, key: str, max_dim_rows: int = 1_000_000) -> DataFrame:
-    """DCL3: left join a dimension, broadcast only below ``max_dim_rows``."""
-    return facts.join(checked_broadcast(dim, max_dim_rows), key, "left")
+def enrich(facts: DataFrame, dim: DataFrame, key: str) -> DataFrame:
+    """DCL3: left join a dimension; no hint, so AQE broadcasts it by its real bytes or splits hot keys."""
+    return facts.join(dim, key, "left")
 
 
 def access_mart_daily(log: DataFrame) -> DataFrame:
@@ -41,20 +40,20 @@ def access_mart_daily(log: DataFrame) -> DataFrame:
 
 
 def job_sessions(log: DataFrame, key: str = "ItemId", time_col: str = "EventTimeUtc",
-                 gap_seconds: int = 1800, bucket: str = "hour") -> DataFrame:
+                 gap_seconds: int = 1800) -> DataFrame:
     """DCL1 source: runs of activity per ``key`` -- consecutive events less than
     ``gap_seconds`` apart belong to one run (Spark ``session_window``).
 
-    Two exact levels so that a hot key is not one task: sessions are first
-    built inside (key, time bucket) -- a hot key spreads over its buckets --
-    and the partial sessions are then merged by a second ``session_window``
-    whose gap is each partial session's own span plus ``gap_seconds``: two
-    partials merge exactly when the gap rule would join their events.
+    Two exact levels so that a hot key is not one task.  Events are first
+    aggregated by (key, half gap of time): any two events of one half gap are in
+    one run, and the sums are partly formed before the shuffle.  The spans are
+    then merged by a ``session_window`` whose gap is each span's own length plus
+    ``gap_seconds``: two spans merge exactly when the gap rule would join their
+    events.
     """
     ev = log.where(F.col(time_col).isNotNull())
-    gap = f"{gap_seconds} seconds"
-    part = ev.groupBy(key, F.date_trunc(bucket, time_col).alias("_b"),
-                      F.session_window(time_col, gap).alias("_s")).agg(
+    half = F.floor(F.unix_micros(F.col(time_col).cast("timestamp")) / F.lit(gap_seconds * 500_000))
+    part = ev.groupBy(key, half.alias("_b")).agg(
         F.min(time_col).alias("_t0"), F.max(time_col).alias("_t1"),
         F.count(F.lit(1)).alias("_n"),
         F.max((F.col("HttpStatusCode") >= 500).cast("int")).alias("_f"))

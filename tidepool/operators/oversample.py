@@ -28,7 +28,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidepool.operators.joins import bounded_broadcast
 from tidepool.operators.ranking import order_statistics
 
 _SLACK = 1e-9  # relative slack on bounds against rounding
@@ -51,12 +50,12 @@ def _vectors(pdf: pd.DataFrame, col: str) -> np.ndarray:
 
 
 def knn(df: DataFrame, id_col: str, vec_col: str, k: int = 5, group_cols: list[str] | None = None,
-        pivots: int = 256, block_rows: int = 2048, max_groups: int = 10_000) -> DataFrame:
+        pivots: int = 256, block_rows: int = 2048) -> DataFrame:
     """Exact k nearest neighbours of every row among the rows of its group.
 
     Returns (group..., id, nbr_rank, nbr_id, dist); a row is not its own neighbour.
-    Groups are meant to be classes (few); pivots and cell statistics per group
-    reach the driver, so more than ``max_groups`` groups is refused.
+    Groups are meant to be classes (few): pivots and cell statistics per group
+    reach the driver.  Vectors must hold no null or NaN.
     """
     spark = df.sparkSession
     group_cols = group_cols or []
@@ -66,20 +65,16 @@ def knn(df: DataFrame, id_col: str, vec_col: str, k: int = 5, group_cols: list[s
     # 1. pivots: the P smallest key hashes of each group, P growing with the
     # group (one cell per ``block_rows`` rows, at most ``pivots``).  A top-P
     # window (partial per map task before the shuffle), bounded and collected.
-    group_rows = pts.groupBy("_g").count().limit(max_groups + 1).collect()  # one row per group
-    if len(group_rows) > max_groups:
-        raise ValueError(f"knn: more than {max_groups} groups")
-    sizes = {r["_g"]: r["count"] for r in group_rows}
-    n_piv = {g: int(min(pivots, max(1, -(-n // block_rows)))) for g, n in sizes.items()}
     hashed = pts.withColumn("_h", F.xxhash64("_id"))
     top = Window.partitionBy("_g").orderBy("_h", "_id")
-    # A literal limit lets Spark plan the partial WindowGroupLimit.
-    piv_rows = (hashed.withColumn("_pr", F.row_number().over(top))
-                .where(F.col("_pr") <= pivots).select("_g", "_pr", "_v").collect())
+    sizes = pts.groupBy("_g").agg(F.least(F.lit(pivots), F.ceil(F.count(F.lit(1)) / block_rows)).alias("_np"))
+    # A literal limit lets Spark plan the partial WindowGroupLimit; only a
+    # group's own number of pivots is collected.
+    piv_rows = (hashed.withColumn("_pr", F.row_number().over(top)).where(F.col("_pr") <= pivots)
+                .join(sizes, "_g").where(F.col("_pr") <= F.col("_np")).select("_g", "_pr", "_v").collect())
     piv: dict[str, np.ndarray] = {}
     for r in sorted(piv_rows, key=lambda r: (r["_g"], r["_pr"])):
-        if r["_pr"] <= n_piv[r["_g"]]:
-            piv.setdefault(r["_g"], []).append(r["_v"])
+        piv.setdefault(r["_g"], []).append(r["_v"])
     piv = {g: np.asarray(v, dtype=np.float64) for g, v in piv.items()}
 
     assign_schema = T.StructType([T.StructField("_g", T.StringType()), T.StructField("_id", df.schema[id_col].dataType),
@@ -106,11 +101,9 @@ def knn(df: DataFrame, id_col: str, vec_col: str, k: int = 5, group_cols: list[s
     stats = cells.groupBy("_g", "_cell").agg(F.count(F.lit(1)).alias("n"), F.max("_dp").alias("r")).collect()
     # Sub-blocks: a cell of n rows is cut into ceil(n / block_rows) hash blocks.
     nblk = {(s["_g"], s["_cell"]): max(1, -(-s["n"] // block_rows)) for s in stats}
-    nblk_map = F.create_map(*[x for (g, c), b in nblk.items()
-                              for x in (F.concat(F.lit(g), F.lit("#"), F.lit(str(c))), F.lit(b))])
-    cells = cells.withColumn("_blk", F.pmod(F.xxhash64("_id", F.lit(1)),
-                                            nblk_map[F.concat("_g", F.lit("#"), F.col("_cell").cast("string"))])
-                             .cast("int"))
+    blocks = spark.createDataFrame([(g, c, b) for (g, c), b in nblk.items()], "_g string, _cell int, _nb int")
+    cells = (cells.join(blocks, ["_g", "_cell"])
+             .withColumn("_blk", F.pmod(F.xxhash64("_id", F.lit(1)), F.col("_nb")).cast("int")).drop("_nb"))
     # 3. prune cell pairs with the triangle inequality.
     pairs = []
     by_g: dict[str, list] = {}
@@ -152,11 +145,12 @@ def knn(df: DataFrame, id_col: str, vec_col: str, k: int = 5, group_cols: list[s
     id_type = df.schema[id_col].dataType.simpleString()
     out_schema = f"_g string, _id {id_type}, _nid {id_type}, dist double"
 
-    # Keep every candidate within the k-th best distance of the block (ties
-    # included), so the final tie-break by neighbour id is exact.
-    def block_knn_ties(qp: pd.DataFrame, cp: pd.DataFrame) -> pd.DataFrame:
+    # The k best of the block by (distance, id): what lies beyond the k-th can't
+    # be among the k best of all blocks, however many points lie at one distance.
+    def block_knn(qp: pd.DataFrame, cp: pd.DataFrame) -> pd.DataFrame:
         if len(qp) == 0 or len(cp) == 0:
             return pd.DataFrame({"_g": pd.Series([], dtype=object), "_id": [], "_nid": [], "dist": []})
+        cp = cp.sort_values("_cid")  # stable sorts by distance then leave ties in id order
         qv, cv = _vectors(qp, "_v"), _vectors(cp, "_cv")
         qid, cid = qp["_id"].to_numpy(), cp["_cid"].to_numpy()
         outs = []
@@ -165,24 +159,28 @@ def knn(df: DataFrame, id_col: str, vec_col: str, k: int = 5, group_cols: list[s
             d[qid[s:s + 256][:, None] == cid[None, :]] = np.inf
             kk = min(k, d.shape[1])
             kth = np.partition(d, kk - 1, axis=1)[:, kk - 1:kk]
-            rows, cols = np.nonzero((d <= kth) & np.isfinite(d))
+            # Below the k-th distance all; at it the smallest ids that still fit.
+            less, equal = d < kth, d == kth
+            room = kk - less.sum(axis=1, keepdims=True)
+            keep = (less | (equal & (np.cumsum(equal, axis=1) <= room))) & np.isfinite(d)
+            rows, cols = np.nonzero(keep)
             outs.append(pd.DataFrame({"_g": qp["_g"].iloc[0], "_id": qid[s:s + 256][rows],
                                       "_nid": cid[cols], "dist": d[rows, cols]}))
         return pd.concat(outs, ignore_index=True)
 
-    cand = qt.groupBy(*tkey).cogroup(ct.groupBy(*tkey)).applyInPandas(block_knn_ties, out_schema)
+    cand = qt.groupBy(*tkey).cogroup(ct.groupBy(*tkey)).applyInPandas(block_knn, out_schema)
     # 5. merge: k best per query row (partial top-k before the shuffle).
     w = Window.partitionBy("_g", "_id").orderBy("dist", "_nid")
     best = cand.withColumn("nbr_rank", F.row_number().over(w)).where(F.col("nbr_rank") <= k)
-    # One row per group (at most max_groups): a bounded broadcast side.
     keys = pts.select("_g", *group_cols).distinct()
-    res = best.join(bounded_broadcast(keys), "_g").select(*group_cols, F.col("_id").alias(id_col), "nbr_rank",
+    res = best.join(keys, "_g").select(*group_cols, F.col("_id").alias(id_col), "nbr_rank",
                                        F.col("_nid").alias("nbr_id"), "dist")
     return res
 
 
 def smote(df: DataFrame, label_col: str, feature_cols: list[str], key_col: str,
           minority=None, k: int = 5, seed: int = 12345, chunk_rows: int = 100_000,
+          missing: float | None = None,
           **knn_opts) -> DataFrame:
     """SMOTE: add synthetic minority rows until both classes have the same count.
 
@@ -193,6 +191,10 @@ def smote(df: DataFrame, label_col: str, feature_cols: list[str], key_col: str,
     number 1 + h1 mod k and gap h2 / 2^32 from two seeded hashes of (b, j):
     x = x_b + gap * (x_nbr - x_b).  Integer and boolean features are cast back
     by truncation (a boolean is true only when both parents are).
+
+    A null or NaN feature of a minority row has no distance: with ``missing`` it
+    counts as that value (and stays null in the original row), without it raises.
+    A minority of k rows or fewer raises: it has no k neighbours.
     Output: original rows with ``synthetic = false`` (j = -1) plus the new rows.
     """
     counts = {r[0]: r[1] for r in df.groupBy(label_col).count().collect()}  # one row per class
@@ -203,15 +205,22 @@ def smote(df: DataFrame, label_col: str, feature_cols: list[str], key_col: str,
     majority = next(c for c in counts if c != minority)
     n_min, n_maj = counts[minority], counts[majority]
     total_new = n_maj - n_min
-    kk = min(k, n_min - 1)
+    kk = k
     types = {f.name: f.dataType for f in df.schema.fields}
     base_out = df.select(F.col(key_col), F.lit(-1).alias("j"),
                          *[F.col(c) for c in feature_cols], F.col(label_col),
                          F.lit(False).alias("synthetic"))
-    if total_new <= 0 or kk < 1:
+    if total_new <= 0:
         return base_out
-    mino = df.where(F.col(label_col) == F.lit(minority)).select(
-        key_col, *feature_cols, F.array(*[F.col(c).cast("double") for c in feature_cols]).alias("_vec"))
+    if n_min <= k:
+        raise ValueError(f"SMOTE with {k} neighbours needs more than {k} minority rows, found {n_min}")
+    values = [F.col(c).cast("double") for c in feature_cols]
+    if missing is not None:
+        values = [F.when(x.isNull() | F.isnan(x), F.lit(float(missing))).otherwise(x) for x in values]
+    mino = df.where(F.col(label_col) == F.lit(minority)).select(key_col, *feature_cols, F.array(*values).alias("_vec"))
+    bad = mino.where(F.exists("_vec", lambda x: x.isNull() | F.isnan(x))).limit(1).count()
+    if bad:
+        raise ValueError("SMOTE: a feature is null or NaN; state `missing`")
     nbrs = knn(mino, key_col, "_vec", kk, **knn_opts).select(
         F.col(key_col).alias("_b"), "nbr_rank", F.col("nbr_id").alias("_n"))
     # Base order: a 52-bit number from md5(seed|key), ties by key.  Only the

@@ -58,30 +58,27 @@ def column_roles(df: DataFrame, target: str, max_categorical: int = 5,
     return counts.withColumn("role", role)
 
 
-def exact_mean(x: Column, scale: int = 6) -> Column:
-    """Mean from an exact decimal sum: the same double whatever the partitioning
-    or summation order (a double sum changes in the last bits with both)."""
-    return F.sum(x.cast(f"decimal(38,{scale})")).cast("double") / F.count(x)
-
-
 def table_summary(df: DataFrame, cols: list[str] | None = None, approx_distinct: bool = False,
                   rsd: float = 0.01) -> DataFrame:
-    """AGG3: count, nulls, distinct, mean, stddev, min, max per numeric column.
+    """AGG3: count, nulls, distinct per column; mean, stddev, min, max of numeric ones (null for others).
+
+    The mean is that of the doubles: its last bits depend on the order of summation.
 
     The exact distinct count shuffles every distinct value once (partial
     aggregation first); ``approx_distinct`` uses HyperLogLog++ instead.
     """
-    cols = cols or [c for c in df.columns if is_numeric(df, c)]
+    cols = cols or df.columns
     fields = ["count", "null_count", "n_distinct", "mean", "stddev", "min", "max"]
     aggs: list[Column] = []
     for c in cols:
-        x = F.col(c).cast("double")
+        own = F.col(c)
+        x = own.cast("double") if is_numeric(df, c) else F.lit(None).cast("double")
         aggs += [
-            F.count(x).alias(f"{c}__count"),
-            F.sum(x.isNull().cast("bigint")).alias(f"{c}__null_count"),
-            (F.approx_count_distinct(x, rsd) if approx_distinct else F.count_distinct(x))
+            F.count(own).alias(f"{c}__count"),
+            F.count_if(own.isNull()).alias(f"{c}__null_count"),
+            (F.approx_count_distinct(own, rsd) if approx_distinct else F.count_distinct(own))
             .alias(f"{c}__n_distinct"),
-            exact_mean(F.col(c)).alias(f"{c}__mean"),
+            F.avg(x).alias(f"{c}__mean"),
             F.stddev_samp(x).alias(f"{c}__stddev"),
             F.min(x).alias(f"{c}__min"),
             F.max(x).alias(f"{c}__max"),

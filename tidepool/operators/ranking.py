@@ -5,8 +5,8 @@ one-task window.
 task.  ``global_rank`` and ``prefix_sums`` instead range-partition on the sort
 key (Spark samples the key, so a value holding a third of the rows is still
 split by the tiebreak columns), number or sum inside each partition, and join
-back per-partition offsets (one row per partition -- and group -- broadcast
-when ungrouped, size-checked when grouped).  The range-partitioned frame is cut
+back per-partition offsets (one row per partition, broadcast; with groups one
+per partition and group, joined as AQE finds best).  The range-partitioned frame is cut
 with ``checkpoint()`` into the shared checkpoint folder: counts and positions
 must come from the same partitioning, and a recomputation after an executor
 loss must not re-sample the bounds.
@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidepool.operators.joins import bounded_broadcast, checked_broadcast
+from tidepool.operators.joins import bounded_broadcast
 from tidepool.session import checkpoint_dir
 
 def _range_partitioned(df: DataFrame, keys: list[Column], n: int | None) -> DataFrame:
@@ -53,15 +53,14 @@ def global_rank(df: DataFrame, order_cols: list[str | Column], name: str = "rank
     positioned = positioned.checkpoint(eager=True)
     counts = positioned.groupBy("_pid", *group_cols).agg(
         F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_first_mid"))
-    # One row per (partition, group): bounded by num_partitions x groups.
     offsets = counts.withColumn(
         "_offset",
         F.coalesce(F.sum("_n").over(Window.partitionBy(*group_cols).orderBy("_pid")
                                     .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
     ).select("_pid", *group_cols, "_offset", "_first_mid")
     # Without groups the offsets table has one row per partition (bounded);
-    # with groups it has about partitions + groups rows, so its size is checked.
-    side = bounded_broadcast(offsets) if not group_cols else checked_broadcast(offsets)
+    # with groups it grows with them, and AQE chooses the join by its real size.
+    side = bounded_broadcast(offsets) if not group_cols else offsets
     out = positioned.join(side, ["_pid", *group_cols])
     # Rows of one group inside one partition are contiguous in sort order, so
     # position within the group = _mid - first _mid of that group there.
@@ -114,13 +113,12 @@ def _bracket_stage(df: DataFrame, cols: list[str], probs: list[float], first,
     tschema = ("column string, t int, p double, n long, L double, U double, lo_r long, hi_r long, "
                "frac double, below long")
     tdf = spark.createDataFrame(targets, tschema)
-    long = (df.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v")) for c in cols
-    ])).alias("_u")).select("_u.column", "_u.v").where(F.col("v").isNotNull()))
-    # Range join against len(cols) x len(probs) brackets: a bounded broadcast.
-    inside = (long.join(bounded_broadcast(tdf.select("column", "t", "L", "U")),
-                        (long["column"] == tdf["column"]) & (long["v"] >= tdf["L"]) & (long["v"] <= tdf["U"]))
-              .select(long["column"], "t", "v")
+    # A row goes into the brackets that hold one of its values: tested before the explode.
+    held = F.array(*[
+        F.when((F.col(c).cast("double") >= low) & (F.col(c).cast("double") <= high),
+               F.struct(F.lit(c).alias("column"), F.lit(t).alias("t"), F.col(c).cast("double").alias("v")))
+        for c, t, _, _, low, high, *_ in targets])
+    inside = (df.select(F.explode(F.filter(held, lambda h: h.isNotNull())).alias("_h")).select("_h.*")
               .groupBy("column", "t", "v").agg(F.count(F.lit(1)).alias("cnt")))
     cum = prefix_sums(inside, ["v"], ["cnt"], ["column", "t"])
     tot = cum.groupBy("column", "t").agg(F.sum("cnt").alias("inside"))
@@ -180,53 +178,23 @@ def _below_aggs(cols: list[str], probs: list[float], first) -> list[Column]:
     return aggs
 
 
-def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float],
-                    map_limit: int | None = 100_000, method: str = "auto",
+def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], method: str = "bracket",
                     accuracy: int = 100_000) -> DataFrame:
     """Linear-interpolated quantiles (pandas / ``quantile_cont`` semantics) of each column.
 
     Returns one row per (column, p): ``column, p, value``.  Nulls are ignored.
 
-    ``method="auto"``: a column with at most ``map_limit`` distinct values
-    (HyperLogLog estimate) uses Spark's exact ``percentile`` (a small merged
-    value map); larger columns use the bracket method (linear passes, no full
-    sort) and fall back to the range-sort rank for a column whose bracket
-    misses.  ``method="rank"`` always ranks; ``"bracket"`` skips the map path.
-    Scans: one for estimates, counts and brackets of every column; one for the
-    exact maps and the below-bracket counts; one for the rows inside the
-    brackets.  Cut an expensive input (``checkpoint()``) first.
+    ``method="bracket"``, at every size: linear passes, no full sort, and the
+    range-sort rank for a column whose bracket misses; ``"rank"`` always ranks.
+    Cut an expensive input (``checkpoint()``) first: it is scanned three times.
     """
-    if method == "rank" or map_limit is None and method == "auto":
+    if method == "rank":
         return _rank_quantiles(df, cols, probs)
-    aggs = _bracket_aggs(cols, probs, accuracy)
-    if method == "auto":
-        aggs += [F.approx_count_distinct(c, 0.05).alias(f"{c}__nd") for c in cols]
-    first = df.agg(*aggs).first()
-    small = [c for c in cols if method == "auto" and first[f"{c}__nd"] <= map_limit]
-    large = [c for c in cols if c not in small]
-    plist = F.array(*[F.lit(float(p)) for p in probs])
-    second_aggs = [F.percentile(F.col(c).cast("double"), plist).alias(f"{c}__pct") for c in small]
-    second_aggs += _below_aggs(large, probs, first)
-    parts = []
-    if second_aggs:
-        second = df.agg(*second_aggs).first()
-        if small:
-            # Exact values of the small columns: len(small) x len(probs) scalars.
-            rows = [(c, float(p), (second[f"{c}__pct"] or [None] * len(probs))[i])
-                    for c in small for i, p in enumerate(probs)]
-            parts.append(df.sparkSession.createDataFrame(rows, "column string, p double, value double"))
-        if large:
-            got, failed = _bracket_stage(df, large, probs, first, second)
-            if got is not None:
-                parts.append(got)
-            if failed:
-                parts.append(_rank_quantiles(df, failed, probs))
+    got, failed = _bracket_quantiles(df, cols, probs, accuracy)
+    parts = ([got] if got is not None else []) + ([_rank_quantiles(df, failed, probs)] if failed else [])
     if not parts:
         return df.sparkSession.createDataFrame([], "column string, p double, value double")
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 
 def prefix_sums(df: DataFrame, order_cols: list[str], value_cols: list[str],
@@ -252,7 +220,7 @@ def prefix_sums(df: DataFrame, order_cols: list[str], value_cols: list[str],
     before = Window.partitionBy(*group_cols).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select("_pid", *group_cols, *[
         F.coalesce(F.sum(f"_t_{v}").over(before), F.lit(0)).alias(f"_o_{v}") for v in value_cols])
-    side = bounded_broadcast(offsets) if not group_cols else checked_broadcast(offsets)
+    side = bounded_broadcast(offsets) if not group_cols else offsets
     out = local.join(side, ["_pid", *group_cols])
     for v in value_cols:
         out = out.withColumn(f"{v}{suffix}", F.col(f"_o_{v}") + F.col(f"_l_{v}"))
@@ -315,21 +283,16 @@ def _grouped_rank_quantiles(df: DataFrame, value_col: str, group_cols: list[str]
 
 
 def grouped_quantiles(df: DataFrame, value_col: str, group_cols: list[str], probs: list[float],
-                      method: str = "auto", accuracy: int = 10_000,
-                      sort_below_rows: int = 2_000_000) -> DataFrame:
+                      method: str = "bracket", accuracy: int = 10_000) -> DataFrame:
     """Exact linear-interpolated quantiles of ``value_col`` per group -> (group..., p, value).
 
     ``method="bracket"``: per-group ``percentile_approx`` brackets, exact counts
     below each bracket, and only the rows inside the brackets reduced to
     (value, count) and cumulated; groups whose bracket misses a rank are
     recomputed by the rank method.  No list of groups reaches the driver.
-    ``method="rank"`` ranks every value (range sort); ``"auto"`` ranks inputs
-    of at most ``sort_below_rows`` rows and brackets larger ones.  The input is
-    scanned several times: cut an expensive input (``checkpoint()``) first.
+    ``method="rank"`` ranks every value (range sort).  The input is scanned
+    several times: cut an expensive input (``checkpoint()``) first.
     """
-    if method == "auto":
-        small = df.where(F.col(value_col).isNotNull()).limit(sort_below_rows + 1).count() <= sort_below_rows
-        method = "rank" if small else "bracket"
     if method == "rank":
         return _grouped_rank_quantiles(df, value_col, group_cols, probs)
     vals = df.select(*group_cols, F.col(value_col).cast("double").alias("v")).where(F.col("v").isNotNull())
@@ -347,8 +310,8 @@ def grouped_quantiles(df: DataFrame, value_col: str, group_cols: list[str], prob
          .withColumn("lo_r", F.floor("_pos").cast("long"))
          .withColumn("hi_r", F.ceil("_pos").cast("long"))
          .withColumn("frac", F.col("_pos") - F.floor("_pos")))
-    # One row per (group, target): size-checked broadcast, else a shuffle join.
-    joined = vals.join(checked_broadcast(t.select(*group_cols, "_t", "lo", "hi")), group_cols)
+    # One row per (group, target): AQE broadcasts it if it is small.
+    joined = vals.join(t.select(*group_cols, "_t", "lo", "hi"), group_cols)
     below = joined.groupBy(*group_cols, "_t").agg(F.sum((F.col("v") < F.col("lo")).cast("long")).alias("below"))
     inside = (joined.where((F.col("v") >= F.col("lo")) & (F.col("v") <= F.col("hi")))
               .groupBy(*group_cols, "_t", "v").agg(F.count(F.lit(1)).alias("cnt")))
@@ -370,50 +333,50 @@ def grouped_quantiles(df: DataFrame, value_col: str, group_cols: list[str], prob
     return good.unionByName(redo)
 
 
+def _same_type(value: str, typ: T.DataType) -> Column:
+    """A literal of ``typ`` from its text (no detour over a Python or double value)."""
+    return F.lit(value).cast(typ)
+
+
 def order_statistics(df: DataFrame, num_col: str, tie_cols: list[str], ranks: list[int],
-                     accuracy: int = 100_000, sort_below_rows: int = 2_000_000) -> dict[int, tuple]:
+                     accuracy: int = 100_000) -> dict[int, tuple]:
     """Rows at the given 1-based ranks under the order (num_col, *tie_cols).
 
-    Selection without sorting the table: ``percentile_approx`` on ``num_col``
-    brackets each rank, one pass counts the rows below each bracket, and only
-    the rows inside a bracket (about 4N / accuracy) are ranked exactly.  A rank
-    its bracket misses is found by a full ``global_rank`` instead.  Inputs of
-    at most ``sort_below_rows`` rows are simply ranked (one small sort costs
-    less than the extra passes).  Returns {rank: (num_col value, *tie values)};
-    only these few rows reach the driver.  The input is scanned several times:
-    cut an expensive input first.
+    One way for every size and every ordered type: ``percentile_approx`` on
+    ``num_col`` brackets each rank (in the column's own type), one pass counts
+    the rows below each bracket, and only the rows inside a bracket (about
+    4N / accuracy, or those that share its value) are ranked exactly.  A rank
+    its bracket misses is found by a full ``global_rank``, as are all ranks of a
+    type without percentiles (text, boolean).  Returns {rank: (num_col value,
+    *tie values)}; only these few rows reach the driver.  The input is scanned
+    several times: cut an expensive input first.
     """
     ranks = sorted(set(int(r) for r in ranks))
     if not ranks:
         return {}
-    n = df.where(F.col(num_col).isNotNull()).count()
-    if n == 0:
-        return {}
     cols = [num_col, *tie_cols]
-    if n <= sort_below_rows:
-        full = global_rank(df.where(F.col(num_col).isNotNull()).select(*cols), cols, name="_r")
-        return {row["_r"]: tuple(row[c] for c in cols)
-                for row in full.where(F.col("_r").isin(ranks)).select("_r", *cols).collect()}
-    delta = 2.0 / accuracy
-    probs = [(r - 1) / max(1, n - 1) for r in ranks]
-    lo_p = [max(0.0, p - delta) for p in probs]
-    hi_p = [min(1.0, p + delta) for p in probs]
     x = F.col(num_col)
-    b = df.agg(F.percentile_approx(x, lo_p, accuracy).alias("lo"),
-               F.percentile_approx(x, hi_p, accuracy).alias("hi")).first()
-    below = df.agg(*[F.sum((x < F.lit(b["lo"][i])).cast("long")).alias(f"b{i}")
-                     for i in range(len(ranks))]).first()
-    spark = df.sparkSession
-    brackets = [(i, r, float(b["lo"][i]), float(b["hi"][i]), r - int(below[f"b{i}"] or 0))
-                for i, r in enumerate(ranks)]
-    bdf = spark.createDataFrame(brackets, "_t int, _rank long, _lo double, _hi double, _want long")
-    # All brackets ranked in one job; the bracket table has len(ranks) rows.
     vals = df.where(x.isNotNull()).select(*cols)
-    inside = vals.join(bounded_broadcast(bdf), (x >= F.col("_lo")) & (x <= F.col("_hi")))
-    ranked = global_rank(inside.select("_t", "_want", *cols), cols, name="_r", group_cols=["_t"])
+    typ = df.schema[num_col].dataType
     out: dict[int, tuple] = {}
-    for row in ranked.where(F.col("_r") == F.col("_want")).select("_t", *cols).collect():
-        out[ranks[row["_t"]]] = tuple(row[c] for c in cols)
+    if isinstance(typ, (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)):
+        n = vals.count()
+        if n == 0:
+            return {}
+        delta = 2.0 / accuracy
+        probs = [(r - 1) / max(1, n - 1) for r in ranks]
+        edge = [F.percentile_approx(x, [min(1.0, max(0.0, p + d)) for p in probs], accuracy).cast("array<string>")
+                for d in (-delta, delta)]
+        low, high = vals.agg(*[e.alias(f"e{i}") for i, e in enumerate(edge)]).first()
+        lows, highs = ([_same_type(v, typ) for v in side] for side in (low, high))
+        below = vals.agg(*[F.coalesce(F.sum((x < lo).cast("long")), F.lit(0)) for lo in lows]).first()
+        # One entry per rank; a row goes into the brackets that hold it.
+        brackets = F.array(*[F.when((x >= lo) & (x <= hi), F.struct(F.lit(i).alias("_t"), F.lit(r - below[i]).alias("_want")))
+                             for i, (r, lo, hi) in enumerate(zip(ranks, lows, highs))])
+        inside = vals.select(*cols, F.explode(F.filter(brackets, lambda b: b.isNotNull())).alias("_b")).select("_b.*", *cols)
+        ranked = global_rank(inside, cols, name="_r", group_cols=["_t"])
+        for row in ranked.where(F.col("_r") == F.col("_want")).select("_t", *cols).collect():
+            out[ranks[row["_t"]]] = tuple(row[c] for c in cols)
     missed = [r for r in ranks if r not in out]
     if missed:
         full = global_rank(vals, cols, name="_r")

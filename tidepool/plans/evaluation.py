@@ -9,7 +9,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidepool.operators import evaluate
-from tidepool.operators.joins import checked_broadcast
 from tidepool.plans.registry import query
 from tidepool.sources import tables
 
@@ -30,8 +29,7 @@ scored AS (SELECT model, doc_id, y, CAST(score AS DOUBLE) AS score,
 def scored(spark, sf_dir):
     labels = tables.load(spark, sf_dir, "labels", ["doc_id", "toxic"])
     docs = tables.load(spark, sf_dir, "documents", ["doc_id", "n_chars", "lang"])
-    # Labels cover a subset of documents; broadcast them only below the bound.
-    d = docs.join(checked_broadcast(labels), "doc_id").select(
+    d = docs.join(labels, "doc_id").select(
         "doc_id", F.col("toxic").alias("y"), "n_chars", "lang")
     n = F.col("n_chars").cast("double")
     rules = F.array(
@@ -145,3 +143,69 @@ FROM acc JOIN auc USING (model) JOIN report r ON r.model = acc.model AND r.label
 """)
 def model_compare(spark, sf_dir):
     return evaluate.compare_models(scored(spark, sf_dir))
+
+
+# Three classes: an order's status as actual class, a rule on its number as the
+# predicted one; the model is the priority.  "P" is never predicted for urgent orders.
+_ORDERS_SQL = """
+WITH scored AS (SELECT substr(o_orderpriority, 1, 1) AS model, o_orderstatus AS y,
+                       CASE WHEN o_orderkey % 3 = 0 THEN 'F' WHEN o_orderkey % 3 = 1 OR o_orderpriority = '1-URGENT' THEN 'O' ELSE 'P' END AS p
+                FROM orders),
+classes AS (SELECT y AS c FROM scored UNION SELECT p FROM scored),
+cnt AS (SELECT model, y AS actual, p AS predicted, count(*) AS count FROM scored GROUP BY ALL),
+cm AS (SELECT m.model, a.c AS actual, b.c AS predicted, coalesce(cnt.count, 0) AS count
+       FROM (SELECT DISTINCT model FROM scored) m CROSS JOIN classes a CROSS JOIN classes b
+       LEFT JOIN cnt ON cnt.model = m.model AND cnt.actual = a.c AND cnt.predicted = b.c)
+"""
+
+
+def _orders(spark, sf_dir):
+    o = tables.load(spark, sf_dir, "orders", ["o_orderkey", "o_orderpriority", "o_orderstatus"])
+    third = F.pmod("o_orderkey", F.lit(3))
+    p = F.when(third == 0, "F").when((third == 1) | (F.col("o_orderpriority") == "1-URGENT"), "O").otherwise("P")
+    return o.select(F.substring("o_orderpriority", 1, 1).alias("model"), F.col("o_orderstatus").alias("y"), p.alias("p"))
+
+
+@query("confusion_three_classes", "EVL3,EVL5", sql=_ORDERS_SQL + """
+SELECT model, actual, predicted, count,
+       CASE WHEN sum(count) OVER w = 0 THEN 0.0 ELSE CAST(count AS DOUBLE) / CAST(sum(count) OVER w AS DOUBLE) END AS share
+FROM cm WINDOW w AS (PARTITION BY model, actual)
+""")
+def confusion_three_classes(spark, sf_dir):
+    return evaluate.confusion_normalised(_orders(spark, sf_dir))
+
+
+@query("report_three_classes", "EVL2", sql=_ORDERS_SQL + f"""
+, pc AS (SELECT c.c AS label, m.model, sum(CASE WHEN actual = c AND predicted = c THEN count ELSE 0 END) AS tp,
+                sum(CASE WHEN predicted = c THEN count ELSE 0 END) AS called, sum(CASE WHEN actual = c THEN count ELSE 0 END) AS support
+         FROM cm m CROSS JOIN classes c GROUP BY ALL),
+r AS (SELECT model, label, {_div('tp', 'called')} AS precision, {_div('tp', 'support')} AS recall, support, tp FROM pc),
+f AS (SELECT *, {_div('2 * precision * recall', 'precision + recall')} AS f1 FROM r),
+report AS (
+  SELECT model, label, precision, recall, support, f1 FROM f
+  UNION ALL SELECT model, 'accuracy', NULL, NULL, sum(support), sum(tp) / sum(support) FROM f GROUP BY model
+  UNION ALL SELECT model, 'macro avg', avg(precision), avg(recall), sum(support), avg(f1) FROM f GROUP BY model
+  UNION ALL SELECT model, 'weighted avg', sum(precision * support) / sum(support), sum(recall * support) / sum(support),
+                   sum(support), sum(f1 * support) / sum(support) FROM f GROUP BY model)
+SELECT model, label, round(precision, 9) AS precision, round(recall, 9) AS recall, CAST(support AS BIGINT) AS support, round(f1, 9) AS f1 FROM report
+""")
+def report_three_classes(spark, sf_dir):
+    rep = evaluate.classification_report(_orders(spark, sf_dir))
+    return rep.withColumns({c: F.round(c, 9) for c in ("precision", "recall", "f1")})
+
+
+@query("roc_auc_one_class", "EVL4", sql="""
+WITH s AS (SELECT l_returnflag AS model, CAST(l_returnflag = 'R' OR (l_returnflag = 'A' AND l_linenumber > 2) AS INTEGER) AS y, l_quantity AS score FROM lineitem),
+ps AS (SELECT model, score, sum(y) AS pos, sum(1 - y) AS neg FROM s GROUP BY ALL),
+c AS (SELECT *, sum(neg) OVER (PARTITION BY model ORDER BY score ROWS UNBOUNDED PRECEDING) AS cum FROM ps)
+SELECT model, CASE WHEN sum(pos) = 0 OR sum(neg) = 0 THEN NULL
+                   ELSE round(CAST(sum(pos * (cum - neg + neg * 0.5)) AS DOUBLE) / (CAST(sum(pos) AS DOUBLE) * CAST(sum(neg) AS DOUBLE)), 9) END AS roc_auc
+FROM c GROUP BY model
+""")
+def roc_auc_one_class(spark, sf_dir):
+    """Return flag R is all positive, N all negative: no AUC; A has both."""
+    li = tables.load(spark, sf_dir, "lineitem", ["l_returnflag", "l_linenumber", "l_quantity"])
+    flag = F.col("l_returnflag")
+    y = (flag == "R") | ((flag == "A") & (F.col("l_linenumber") > 2))
+    auc = evaluate.roc_auc(li.select(flag.alias("model"), y.cast("int").alias("y"), F.col("l_quantity").alias("score")))
+    return auc.withColumn("roc_auc", F.round("roc_auc", 9))

@@ -87,7 +87,7 @@ _LI_NUM = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
 _SUMMARY_SQL = "\nUNION ALL ".join(
     f"SELECT '{c}' AS \"column\", count({c}) AS count, CAST(count(*) - count({c}) AS BIGINT) AS null_count, "
-    f"count(DISTINCT {c}) AS n_distinct, CAST(sum(CAST({c} AS DECIMAL(38,6))) AS DOUBLE) / count({c}) AS mean, "
+    f"count(DISTINCT {c}) AS n_distinct, round(avg({c}), 10) AS mean, "
     f"round(stddev_samp({c}), 6) AS stddev, CAST(min({c}) AS DOUBLE) AS min, CAST(max({c}) AS DOUBLE) AS max "
     f"FROM lineitem" for c in _LI_NUM)
 
@@ -96,7 +96,20 @@ _SUMMARY_SQL = "\nUNION ALL ".join(
 def table_summary(spark, sf_dir):
     li = tables.load(spark, sf_dir, "lineitem", _LI_NUM)
     s = profile.table_summary(li, _LI_NUM)
-    return s.withColumn("stddev", F.round("stddev", 6))
+    return s.withColumns({"mean": F.round("mean", 10), "stddev": F.round("stddev", 6)})
+
+
+@query("table_summary_all_columns", "AGG3", sql="\nUNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", count({x}) AS count, CAST(count(*) - count({x}) AS BIGINT) AS null_count, count(DISTINCT {x}) AS n_distinct, "
+    + (f"round(avg({x}), 15) AS mean, round(stddev_samp({x}), 15) AS stddev, CAST(min({x}) AS DOUBLE) AS min, CAST(max({x}) AS DOUBLE) AS max"
+       if num else "CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE)") + " FROM part"
+    for c, x, num in [("tiny", "(p_retailprice * 1e-11)", True), ("p_name", "p_name", False), ("p_type", "p_type", False), ("odd", "nullif(p_brand, 'Brand#13')", False)]))
+def table_summary_all_columns(spark, sf_dir):
+    """Text columns too, one with nulls, and a measure far below 1e-6."""
+    part = tables.load(spark, sf_dir, "part", ["p_name", "p_type", "p_brand", "p_retailprice"])
+    part = part.select((F.col("p_retailprice") * 1e-11).alias("tiny"), "p_name", "p_type", F.nullif("p_brand", F.lit("Brand#13")).alias("odd"))
+    s = profile.table_summary(part)
+    return s.withColumns({c: F.round(c, 15) for c in ("mean", "stddev")})
 
 
 def _quantile_sql(c: str) -> str:

@@ -82,3 +82,20 @@ def smote_balanced(spark, sf_dir):
     f = order_features(spark, sf_dir)
     return oversample.smote(f, "label", ["price_k", "priority", "month"], "o_orderkey", minority=1,
                             k=5, seed=12345)
+
+
+# The same with holes: the price of every fifth order and the month of every
+# seventh are null; a hole counts as 0 in distances and new rows.
+_HOLES = (_SMOTE_SQL.replace(
+    "o_totalprice / 1000.0 AS price_k", "CASE WHEN o_orderkey % 5 <> 0 THEN o_totalprice / 1000.0 END AS price_k").replace(
+    "CAST(month(o_orderdate) AS INTEGER) AS month", "CASE WHEN o_orderkey % 7 <> 0 THEN CAST(month(o_orderdate) AS INTEGER) END AS month").replace(
+    "m AS (SELECT * FROM f WHERE label = 1)", "m AS (SELECT o_orderkey, coalesce(price_k, 0) AS price_k, priority, coalesce(month, 0) AS month, label FROM f WHERE label = 1)"))
+
+
+@query("smote_with_nulls", "SMP2", sql=_HOLES)
+def smote_with_nulls(spark, sf_dir):
+    """Features with nulls: none of the synthetic rows is lost."""
+    f = order_features(spark, sf_dir)
+    key = F.col("o_orderkey")
+    f = f.withColumns({"price_k": F.when(key % 5 != 0, F.col("price_k")), "month": F.when(key % 7 != 0, F.col("month"))})
+    return oversample.smote(f, "label", ["price_k", "priority", "month"], "o_orderkey", minority=1, k=5, seed=12345, missing=0.0)

@@ -21,9 +21,8 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    # Broadcast joins are requested explicitly, behind a size check
-    # (tidepool.operators.joins.checked_broadcast); keep the automatic
-    # threshold at Spark's default so the optimizer may still pick it.
+    # Joins carry no hint unless a side is bounded by construction: the
+    # automatic threshold stays at Spark's default and AQE picks by real bytes.
 }
 
 
