@@ -157,8 +157,9 @@ def mix(sized: DataFrame, goals: DataFrame, block_words: int = BLOCK_WORDS, shar
     """The mix: a row per slot and document part in it: ``shard``, ``position``, ``pass``, ``row``, ``doc_id``, ``in_doc`` (first word), ``words``."""
     dealt = slots(draws(goals, block_words, seed), block_words, shard_slots, seed).withColumnRenamed("words", "limit")
     taken = F.least(F.col("n"), F.col("limit") - F.col("in_block"))
+    # The hint keeps the slots from a broadcast: what Spark knows of their size is from before they are made.
     return (
-        dealt.join(parts(sized, block_words), ["key", "block"]).withColumn("words", taken).where("words > 0")
+        dealt.hint("merge").join(parts(sized, block_words), ["key", "block"]).withColumn("words", taken).where("words > 0")
         .select("shard", "position", "key", "block", "pass", "row", "doc_id", "in_doc", "words")
     )
 
@@ -171,7 +172,7 @@ def taken_words(documents: DataFrame, **how) -> DataFrame:
     by_source = goals.select("key", "source_size", "target")
     return common.gathered(
         sized.join(taken, "row", "left").join(by_source, "key")
-        .select("doc_id", "source", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("bigint").alias("taken"))
+        .select("doc_id", "source", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("bigint").alias("taken")), sized.count()
     )
 
 
@@ -195,7 +196,6 @@ def mixed_documents(documents: DataFrame, **how) -> DataFrame:
     if "n_chars" in documents.columns:
         document = document.withField("n_chars", F.when(whole, F.col("document.n_chars")).otherwise(F.length("cut").cast("bigint")))
     joined = table.select("row", "size", "document").join(spans, "row")
-    return (
+    return common.gathered(
         joined.withColumn("words", F.when(~whole, words)).withColumn("cut", F.when(~whole, cut))
-        .select(document.alias("document")).select("document.*")
-    )
+        .select(document.alias("document")).select("document.*"), table.count())
