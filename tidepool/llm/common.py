@@ -18,6 +18,9 @@ WORD = r"[^\x20\x09-\x0D]+"
 #: of the Python boundary, and Spark bounds it by rows only.
 ARROW_ROWS = 1024
 
+#: Rows of a partition in ``gathered``.
+PARTITION_ROWS = 20_000
+
 
 def prepare(spark: SparkSession) -> None:
     """Lower the Arrow batch size of the session if it is above ``ARROW_ROWS``."""
@@ -45,9 +48,13 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def gathered(df: DataFrame) -> DataFrame:
-    """At most four output files per core for small rows that come from a shuffle (no shuffle, no merging of its partitions' sorts)."""
-    return df.coalesce(4 * df.sparkSession.sparkContext.defaultParallelism)
+def gathered(df: DataFrame, rows: int = 0) -> DataFrame:
+    """Fewer partitions, and so files, behind a shuffle: two per core, but no fewer than one per ``PARTITION_ROWS`` rows.
+
+    Nothing is shuffled again, and each partition of the shuffle is still sorted
+    on its own.  ``rows``: known number of rows, if they are wide or many.
+    """
+    return df.coalesce(max(2 * df.sparkSession.sparkContext.defaultParallelism, -(-rows // PARTITION_ROWS)))
 
 
 def free_name(df: DataFrame, wanted: str) -> str:

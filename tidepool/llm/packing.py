@@ -225,7 +225,7 @@ def pack(cut: DataFrame, capacity: int, steps: int = STEPS) -> DataFrame:
     histogram = np.zeros(capacity + 1, dtype=np.int64)
     for length, n in cut.groupBy("length").count().collect():  # at most `capacity` rows
         histogram[length] = n
-    table = runs(plan(histogram, steps), capacity)
+    table, n_pieces = runs(plan(histogram, steps), capacity), int(histogram.sum())
     before = F.sum("n").over(Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1))  # a row per task
     first = counts.select("length", "part", F.coalesce(before, F.lit(0)).alias("first"))
     with_ids = "ids" in cut.columns
@@ -241,7 +241,7 @@ def pack(cut: DataFrame, capacity: int, steps: int = STEPS) -> DataFrame:
                 yield pa.RecordBatch.from_pydict(out)
 
     ranked = cut.join(first, ["length", "part"]).withColumn("rank", F.col("first") + F.col("nth"))
-    return common.gathered(ranked.select(*kept, "rank", *["ids"] * with_ids)).mapInArrow(lookup, PLACED + ", ids binary" * with_ids)
+    return common.gathered(ranked.select(*kept, "rank", *["ids"] * with_ids), n_pieces).mapInArrow(lookup, PLACED + ", ids binary" * with_ids)
 
 
 def pack_documents(df: DataFrame, tokenizer: str, end_id: int = 0, capacity: int = 2048, with_ids: bool = False) -> DataFrame:

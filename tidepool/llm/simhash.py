@@ -109,8 +109,9 @@ def links(distinct: DataFrame, max_bits: int) -> DataFrame:
     ])).alias("k")).select("fp", "k.choice", "k.key")
     shared = keyed.groupBy("choice", "key").agg(F.count("*").alias("n")).where("n > 1")
     chunks = F.ceil(F.col("n") / CHUNK).cast("int")
+    # The hint keeps the keys from a broadcast: Spark knows their size from before the explode.
     member = (
-        keyed.join(shared, ["choice", "key"])
+        keyed.hint("merge").join(shared, ["choice", "key"])
         .withColumn("mine", F.pmod(F.xxhash64("fp"), chunks).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), chunks - 1)))
         .select("choice", "key", F.least("mine", "other").alias("a"), F.greatest("mine", "other").alias("b"), "fp")
@@ -161,12 +162,13 @@ def near_duplicates(fps: DataFrame, max_bits: int = 3) -> DataFrame:
     linked = distinct.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     lowest = linked.groupBy("root").agg(F.min("low").alias("component_id"))
     by_fp = linked.select("fp", "root").join(lowest, "root")
-    return common.gathered(fps.join(by_fp, "fp"))
+    return common.gathered(fps.join(by_fp, "fp"), fps.count())
 
 
 def deduplicated(df: DataFrame, shingle: int = 3, max_bits: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row of every component: that with the smallest id (of rows without ids, or with one id, the smallest hash of the text)."""
-    found = near_duplicates(fingerprints(df, shingle, id_col, text_col), max_bits)
+    fps = fingerprints(df, shingle, id_col, text_col)
+    found = near_duplicates(fps, max_bits)
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash"))
     kept = found.groupBy("root").agg(first.alias("row")).select(F.xxhash64("row.doc_id", "row.text_hash").alias("key"), F.col("row.doc_id").alias("kept_id"))
     # The key of a row is known before and after: nothing has to number the rows.
@@ -175,10 +177,9 @@ def deduplicated(df: DataFrame, shingle: int = 3, max_bits: int = 3, id_col: str
     rest = F.xxhash64(F.to_json(F.struct(*others))) if others else F.lit(0)
     rows = df.select(F.struct("*").alias("document"), id_.alias("id"), F.xxhash64(id_, F.xxhash64(text)).alias("key"), rest.alias("others"))
     same = Window.partitionBy("key", "id").orderBy("others")
-    return (
+    return common.gathered(
         rows.join(kept, "key").where(F.col("id").eqNullSafe(F.col("kept_id")))
-        .withColumn("nth", F.row_number().over(same)).where("nth = 1").select("document.*")
-    )
+        .withColumn("nth", F.row_number().over(same)).where("nth = 1").select("document.*"), fps.count())
 
 
 def hexadecimal(fp):
