@@ -105,8 +105,25 @@ def load_ensemble(spark: SparkSession, model_path: str, model: PipelineModel | N
 
 def predict_transform(model: PipelineModel, df: DataFrame, input_cols: list[str],
                       output_col: str = "predictions") -> DataFrame:
-    """PRD1: inputs plus ``output_col`` from the fitted model."""
-    return model.transform(df).select(*df.columns, F.col("prediction").alias(output_col))
+    """PRD1: inputs plus ``output_col`` from the fitted model.
+
+    ``input_cols`` are the model's features in its own order, whatever their
+    names in ``df``.
+    """
+    wanted = model.stages[0].getInputCols()
+    if len(input_cols) != len(wanted):
+        raise ValueError(f"the model has {len(wanted)} features, {len(input_cols)} columns are given")
+    row = df.select(F.struct("*").alias("_row"), *[F.col(c).alias(w) for c, w in zip(input_cols, wanted)])
+    return model.transform(row).select("_row.*", F.col("prediction").alias(output_col))
+
+
+def model_transformer(spark: SparkSession, base: str, name: str, version: int, input_cols: list[str],
+                      output_col: str = "predictions"):
+    """PRD1 as one object: a function from a table to the table with predictions of a registered model."""
+    from tidepool.models.registry import load_model
+
+    model = load_model(spark, base, name, version)
+    return lambda df: predict_transform(model, df, input_cols, output_col)
 
 
 def _scorer(ensemble: TreeEnsemble):

@@ -1,8 +1,10 @@
 """Model registry and run log as tables (REG1, REG2).
 
-A registered model is a saved ``PipelineModel`` under ``<base>/<name>/<version>``
-plus one row in the ``registry`` table; every training run appends its
-parameters and metrics to the ``run_log`` table (one row per metric).
+A registered model is a ``PipelineModel`` saved under its run id, never
+overwritten, plus one row in the ``registry`` table.  A version number is taken
+by the exclusive creation of a file, so two trainings at once get two numbers.
+Every training run appends its parameters and metrics to the ``run_log`` table
+(one row per metric).
 """
 
 from __future__ import annotations
@@ -15,8 +17,6 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidepool.sources.files import path_exists
-
 RUN_LOG_SCHEMA = ("run_id string, experiment string, model_name string, params map<string,string>, "
                   "metric string, value double, logged_at timestamp_ntz")
 REGISTRY_SCHEMA = "name string, version int, path string, run_id string, registered_at timestamp_ntz"
@@ -54,18 +54,27 @@ def log_run(spark: SparkSession, base: str, experiment: str, run_id: str, model_
     return out
 
 
+def _take_version(spark: SparkSession, base: str, name: str) -> int:
+    """The next free version of ``name``: its marker file is created or belongs to another training."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(os.path.join(base, "versions", name))
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(folder)
+    version = 1 + max((int(f.getPath().getName()) for f in fs.listStatus(folder)), default=0)
+    while not fs.createNewFile(jvm.org.apache.hadoop.fs.Path(folder, str(version))):
+        version += 1
+    return version
+
+
 def register_model(spark: SparkSession, base: str, name: str, model: PipelineModel,
                    run_id: str | None = None) -> int:
-    """REG2: save under the next version of ``name``; returns the version."""
-    reg_path = os.path.join(base, "registry")
-    current = None
-    if path_exists(spark, reg_path):
-        current = spark.read.parquet(reg_path).where(F.col("name") == name).agg(F.max("version")).first()[0]
-    version = (current or 0) + 1
-    path = os.path.join(base, "models", name, str(version))
-    model.write().overwrite().save(path)
+    """REG2: save ``model`` under its run id and give it the next version of ``name``; returns the version."""
+    run_id = run_id or new_run_id()
+    path = os.path.join(base, "models", name, run_id)
+    model.write().save(path)
+    version = _take_version(spark, base, name)
     spark.createDataFrame([(name, version, path, run_id, _now())], REGISTRY_SCHEMA) \
-        .write.mode("append").parquet(reg_path)
+        .write.mode("append").parquet(os.path.join(base, "registry"))
     return version
 
 
@@ -79,3 +88,12 @@ def model_path(spark: SparkSession, base: str, name: str, version: int) -> str:
 
 def load_model(spark: SparkSession, base: str, name: str, version: int) -> PipelineModel:
     return PipelineModel.load(model_path(spark, base, name, version))
+
+
+def load_model_of_run(spark: SparkSession, base: str, run_id: str, name: str | None = None) -> PipelineModel:
+    """The model that a training run registered (by ``name``, where it registered several)."""
+    rows = spark.read.parquet(os.path.join(base, "registry")).where(F.col("run_id") == run_id)
+    paths = (rows.where(F.col("name") == name) if name else rows).select("path").limit(2).collect()
+    if len(paths) != 1:
+        raise KeyError(f"run {run_id} registered {'no' if not paths else 'more than one'} model" + (f" {name}" if name else ""))
+    return PipelineModel.load(paths[0][0])
