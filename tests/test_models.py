@@ -63,3 +63,32 @@ def test_scoring_after_observe_in_same_session(spark, tmp_dir):
     model = train.train_random_forest(df, FEATS, "y", {"numTrees": 5})
     out = model.transform(df).select(vector_to_array("probability")[1].alias("p"))
     assert out.checkpoint(eager=True).count() == 300
+
+
+def test_model_does_not_depend_on_partitions(spark):
+    df = _separable(spark, 600)
+    got = []
+    for n in (4, 16):
+        model = train.train_random_forest(df.repartition(n, F.rand(n)), FEATS, "y", {"numTrees": 10})
+        got.append({r.k: r.p for r in model.transform(df).select("k", vector_to_array("probability")[1].alias("p")).collect()})
+    assert got[0] == got[1]
+
+
+def test_versions_runs_and_renamed_columns(spark, tmp_dir):
+    import pytest
+
+    df = _separable(spark, 200)
+    one, two = (train.train_random_forest(df, FEATS, "y", {"numTrees": 3, "seed": s}) for s in (1, 2))
+    assert [registry.register_model(spark, tmp_dir, "m", m, r) for m, r in ((one, "r1"), (two, "r2"))] == [1, 2]
+    with pytest.raises(Exception):  # a run's model is never overwritten
+        registry.register_model(spark, tmp_dir, "m", two, "r1")
+    by_run, by_version = registry.load_model_of_run(spark, tmp_dir, "r2"), registry.load_model(spark, tmp_dir, "m", 2)
+    with pytest.raises(KeyError):
+        registry.load_model_of_run(spark, tmp_dir, "r9")
+    renamed = df.select("k", F.col("a").alias("x"), F.col("b").alias("y_"), F.col("c").alias("prediction"))
+    want = {r.k: r.prediction for r in by_run.transform(df).collect()}
+    out = predict.predict_transform(by_version, renamed, ["x", "y_", "prediction"], "p")
+    assert out.columns == [*renamed.columns, "p"] and {r.k: r.p for r in out.collect()} == want
+    with pytest.raises(ValueError):
+        predict.predict_transform(by_version, renamed, ["x"])
+    assert predict.model_transformer(spark, tmp_dir, "m", 2, FEATS)(df).count() == 200

@@ -359,3 +359,43 @@ def test_smote_boolean_features_truncate(spark):
     # a synthetic flag is true only when its base row's flag is true (and its neighbour's)
     for r in out.where("synthetic AND flag").collect():
         assert parents[r["k"]]
+
+
+def test_metrics_of_any_classes(spark):
+    rows = [("m", 0, 0), ("m", 2, 0), ("m", 2, 2), ("n", 1, 1)]
+    df = spark.createDataFrame(rows, "model string, y int, p int")
+    cells = {(r.model, r.actual, r.predicted): r["count"] for r in evaluate.confusion_matrix(df).collect()}
+    assert len(cells) == 2 * 9 and sum(cells.values()) == 4 and cells["m", 2, 0] == 1 and cells["n", 1, 1] == 1
+    with pytest.raises(Exception, match="beyond the stated"):
+        evaluate.confusion_matrix(df, classes=(0, 1)).collect()
+    with pytest.raises(Exception, match="classes 0 and 1"):
+        evaluate.confusion_cells(df).collect()
+    one = spark.createDataFrame([("m", 1, 0.5), ("m", 1, 0.7)], "model string, y int, score double")
+    assert evaluate.roc_auc(one).first()["roc_auc"] is None
+
+
+def test_smote_refuses_holes_and_too_few_rows(spark):
+    rows = [(i, float(i), None if i == 3 else 1.0, int(i < 10)) for i in range(40)]
+    df = spark.createDataFrame(rows, "k long, a double, b double, y int")
+    with pytest.raises(ValueError, match="null or NaN"):
+        oversample.smote(df, "y", ["a", "b"], "k")
+    out = oversample.smote(df, "y", ["a", "b"], "k", missing=0.0)
+    assert out.where("y = 1").count() == out.where("y = 0").count() == 30
+    with pytest.raises(ValueError, match="more than 5"):
+        oversample.smote(df.where("k < 4 OR k >= 10"), "y", ["a", "b"], "k", missing=0.0)
+
+
+def test_neighbours_of_equal_points(spark):
+    """Points at one distance: k rows per point and block at most, the smallest ids first."""
+    df = spark.createDataFrame([(i, [1.0, 2.0]) for i in range(60)], "id long, v array<double>")
+    got = oversample.knn(df, "id", "v", k=3, pivots=4, block_rows=16).collect()
+    assert len(got) == 180
+    for i in range(60):
+        assert [r.nbr_id for r in sorted((r for r in got if r.id == i), key=lambda r: r.nbr_rank)] == [x for x in range(4) if x != i][:3]
+
+
+def test_summary_of_text_and_tiny_values(spark):
+    df = spark.createDataFrame([(1e-7, "a"), (3e-7, None), (None, "a")], "x double, t string")
+    got = {r["column"]: r for r in profile.table_summary(df).collect()}
+    assert got["x"]["mean"] == pytest.approx(2e-7) and got["t"]["mean"] is None
+    assert (got["t"]["count"], got["t"]["null_count"], got["t"]["n_distinct"]) == (2, 1, 1)

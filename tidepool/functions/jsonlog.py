@@ -79,14 +79,13 @@ def _raw_struct_schema() -> T.StructType:
 RAW_STRUCT = _raw_struct_schema()
 
 
-def j(raw: Column | str, path: str) -> Column:
-    """FN1: JSON path extract as text (objects come back as their JSON text)."""
-    return F.get_json_object(F.col(raw) if isinstance(raw, str) else raw, path)
+def extract(df: DataFrame, paths: dict[str, str], raw_col: str = "RawJson") -> DataFrame:
+    """FN1: a few values of a JSON text column as text, by column name and path
+    (objects come back as their JSON text); other columns of ``df`` are dropped.
 
-
-def to_ts(c: Column) -> Column:
-    """FN3: ISO-8601 text to timestamp; null instead of an error when malformed."""
-    return F.try_to_timestamp(c)
+    Each path parses the document once more: for many, use the one-parse flatten.
+    """
+    return df.select(*[F.get_json_object(raw_col, path).alias(name) for name, path in paths.items()])
 
 
 def duration_ms(start: Column, end: Column, precision: str = "milli") -> Column:
@@ -116,7 +115,7 @@ def _typed(c: Column, typ: str) -> Column:
     if typ == "string":
         return c
     if typ == "timestamp":
-        return to_ts(c)
+        return F.try_to_timestamp(c)
     return c.try_cast(typ)
 
 
@@ -148,8 +147,8 @@ def flatten_access_log(df: DataFrame, raw_col: str = "RawJson",
         for p in parts[1:]:
             field = field.getField(p)
         if name == "DurationMs":
-            start = to_ts(F.col("_j.data.accessStartTime"))
-            end = to_ts(F.col("_j.data.accessEndTime"))
+            start = F.try_to_timestamp(F.col("_j.data.accessStartTime"))
+            end = F.try_to_timestamp(F.col("_j.data.accessEndTime"))
             exprs.append(F.coalesce(field.try_cast("bigint"),
                                     duration_ms(start, end, duration_precision)).alias(name))
             continue
@@ -157,27 +156,6 @@ def flatten_access_log(df: DataFrame, raw_col: str = "RawJson",
     return base.select(*exprs, *carry)
 
 
-def flatten_access_log_paths(df: DataFrame, raw_col: str = "RawJson",
-                             duration_precision: str = "milli") -> DataFrame:
-    """The same table through one ``get_json_object`` per path (FN1 form).
-
-    Kept as the path-by-path reference form; ``flatten_access_log`` is the
-    one-parse form used by the ingestion jobs.
-    """
-    exprs: list[Column] = []
-    for name, path, typ in ACCESS_LOG_COLUMNS:
-        if path is None:
-            continue
-        if name == "DurationMs":
-            start = to_ts(j(raw_col, "$.data.accessStartTime"))
-            end = to_ts(j(raw_col, "$.data.accessEndTime"))
-            exprs.append(F.coalesce(j(raw_col, path).try_cast("bigint"),
-                                    duration_ms(start, end, duration_precision)).alias(name))
-            continue
-        exprs.append(_typed(j(raw_col, path), typ).alias(name))
-    return df.select(*exprs)
-
-
 def rebuild_raw_json(df: DataFrame, out_col: str = "RawJson", keep_nulls: bool = False) -> DataFrame:
     """FN2: serialise every column of a parsed record back to JSON text.
 

@@ -76,7 +76,7 @@ def land_bronze_twice(spark, sf_dir):
     for _ in range(2):
         ingest.land_files(spark, root, bronze, ck, multiline=False)
     b = spark.read.parquet(bronze)
-    return (b.select(jsonlog.j("RawJson", "$.type").alias("EventType"))
+    return (jsonlog.extract(b, {"EventType": "$.type"})
             .groupBy("EventType").agg(F.count(F.lit(1)).alias("n_docs")))
 
 

@@ -19,7 +19,7 @@ FROM events
 """)
 def json_extract_props(spark, sf_dir):
     ev = tables.load(spark, sf_dir, "events", ["event_id", "props"])
-    k = jsonlog.j("props", "$.k")
+    k = F.get_json_object("props", "$.k")
     return ev.select("event_id", k.alias("k_text"), k.try_cast("int").alias("k"))
 
 
@@ -29,10 +29,15 @@ def json_typed_flatten(spark, sf_dir):
     return jsonlog.flatten_access_log(raw).select(*_FLAT_COLS)
 
 
-@query("json_path_flatten", "FN1,PRJ1", sql=derived.diagnostic_flat_sql())
-def json_path_flatten(spark, sf_dir):
+@query("json_path_extract", "FN1,FN3,PRJ1", sql=f"""
+SELECT EventId, EventTimeUtc, ItemId, CAST(HttpStatusCode AS VARCHAR) AS status, CorrelationId FROM ({derived.diagnostic_flat_sql()})
+""")
+def json_path_extract(spark, sf_dir):
+    """A few values by path, the time typed."""
     raw = derived.diagnostic_records_from_tables(spark, sf_dir)
-    return jsonlog.flatten_access_log_paths(raw)
+    few = jsonlog.extract(raw, {"EventId": "$.id", "EventTimeUtc": "$.time", "ItemId": "$.data.itemId",
+                                "status": "$.data.httpStatusCode", "CorrelationId": "$.data.correlationId"})
+    return few.withColumn("EventTimeUtc", F.try_to_timestamp("EventTimeUtc"))
 
 
 @query("duration_seconds_form", "FN5,FN6", sql=f"""
