@@ -22,8 +22,9 @@ GBT = {"stepSize": 0.07, "maxIter": 100, "maxDepth": 10, "seed": 42, "lossType":
 
 
 # Input partitions of a fit.  Bagging is seeded per partition, so the layout is
-# part of the model: a stated number, whatever the cluster.
-FIT_PARTITIONS = 8
+# part of the model: a stated number, whatever the cluster.  Every level of every
+# tree is a pass of so many tasks; state more for tables that need them.
+FIT_PARTITIONS = 4
 
 
 def _laid_out(df: DataFrame, partitions: int) -> DataFrame:

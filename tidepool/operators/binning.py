@@ -40,6 +40,19 @@ def qcut_edges(df: DataFrame, col: str, n: int) -> list[float]:
     return edges
 
 
+def qcut_many(df: DataFrame, bins: dict[str, tuple[int, str]]) -> DataFrame:
+    """BIN1 for several columns, ``{column: (n, output column)}``: all edges from one quantile call."""
+    probs = sorted({p for n, _ in bins.values() for p in qcut_probs(n)})
+    found = {(r["column"], r["p"]): r["value"] for r in exact_quantiles(df.select(*bins), list(bins), probs).collect()}
+    added = {}
+    for col, (n, out_col) in bins.items():
+        edges = [found[col, p] for p in qcut_probs(n) if (col, p) in found]
+        if len(set(edges)) != len(edges):
+            raise DuplicateEdgesError(f"bin edges of {col!r} are not unique: {edges}")
+        added[out_col] = label_from_edges(F.col(col), edges[1:-1])
+    return df.withColumns(added)
+
+
 def qcut(df: DataFrame, col: str, n: int, out_col: str, fit_df: DataFrame | None = None) -> DataFrame:
     """BIN1: label 1..n by equal-frequency bins of ``col``.
 

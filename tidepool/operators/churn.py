@@ -34,9 +34,8 @@ def prepare_churn(df: DataFrame, order_col: str = "RowNumber", keep_key: bool =
     drop = [c for c in DROP if not (keep_key and c == "CustomerId")]
     out = rows.withColumn("_order", F.col(order_col)).drop(*drop).checkpoint(eager=True)
     out = binning.ratio(out, "Tenure", "Age", "NewTenure")
-    out = binning.qcut(out, "CreditScore", 6, "NewCreditsScore")
-    out = binning.qcut(out, "Age", 8, "NewAgeScore")
+    out = binning.qcut_many(out, {"CreditScore": (6, "NewCreditsScore"), "Age": (8, "NewAgeScore"),
+                                  "EstimatedSalary": (10, "NewEstSalaryScore")})
     out = binning.qcut_rank_first(out, "Balance", ["_order"], 5, "NewBalanceScore")
-    out = binning.qcut(out, "EstimatedSalary", 10, "NewEstSalaryScore")
     lead = [c for c in out.columns if c != "_order" and c not in FEATURES_ADDED]
     return encode.one_hot(out.select(*lead, *FEATURES_ADDED), ONE_HOT)

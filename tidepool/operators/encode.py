@@ -8,8 +8,9 @@ Indicator names are ``<column>_<level>``; a null value gives all-false.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 class TooManyLevelsError(ValueError):
@@ -25,6 +26,19 @@ def levels(df: DataFrame, col: str, max_levels: int = 1000) -> list:
     return [r[0] for r in rows]
 
 
+def text_levels(df: DataFrame, cols: list[str], max_levels: int = 1000) -> dict[str, list]:
+    """``levels`` of several text columns in one scan."""
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).alias("v")) for c in cols]))
+    long = df.select(pairs.alias("_p")).select("_p.*").where("v IS NOT NULL").distinct()
+    some = long.withColumn("n", F.row_number().over(Window.partitionBy("c").orderBy("v"))).where(F.col("n") <= max_levels + 1)
+    out: dict[str, list] = {c: [] for c in cols}
+    for r in sorted(some.collect()):  # at most max_levels + 1 per column
+        out[r["c"]].append(r["v"])
+    if over := [c for c in cols if len(out[c]) > max_levels]:
+        raise TooManyLevelsError(f"{over[0]!r} has more than {max_levels} levels")
+    return out
+
+
 def _indicators(col: str, lv: list, sep: str):
     return [F.coalesce(F.col(col) == F.lit(v), F.lit(False)).alias(f"{col}{sep}{v}") for v in lv]
 
@@ -34,6 +48,9 @@ def one_hot(df: DataFrame, cols: list[str], in_place: bool = False, sep: str = "
     """ENC1 (``in_place=True``): indicators take the source column's position.
     ENC2 (default): source columns dropped, indicators appended in column order."""
     level_map = dict(level_map or {})
+    text = [c for c in cols if c not in level_map and df.schema[c].dataType == T.StringType()]
+    if text:
+        level_map |= text_levels(df, text, max_levels)
     for c in cols:
         if c not in level_map:
             level_map[c] = levels(df, c, max_levels)
