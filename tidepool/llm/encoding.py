@@ -18,7 +18,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Default bounds of the piece cache of one Python worker.
-CACHE_PIECES = 400_000
+CACHE_PIECES = 700_000
 CACHE_PIECE_CHARS = 64
 #: Texts are encoded in groups of about so many bytes; longer ones in cuts.
 GROUP_BYTES = 2_500_000
