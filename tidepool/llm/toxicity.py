@@ -2,7 +2,7 @@
 
 1. Lexicon.  From a bounded, repeatable sample of labelled documents: words and
    word stems that occur in toxic documents far oftener than chance allows, in
-   several different contexts (so that copies of one document teach nothing).
+   different contexts (so that copies of one document teach nothing).
 2. Matching.  The lexicon is a trie.  Its intersection with the Levenshtein
    automaton of up to ``edits`` errors per term is run as one deterministic
    automaton whose states are built when first met.  A word of 5 letters may
@@ -40,7 +40,9 @@ from tidepool.llm import common
 #: Labelled documents that are learned from, at most: those of the smallest hashes of their ids.
 FIT_ROWS = 12_000
 STEM_LENGTHS = range(4, 9)
+#: Different pairs of neighbours that a term needs: so many, and this share of the toxic documents that hold it.
 MIN_CONTEXTS = 4
+CONTEXT_SHARE = 0.5
 MIN_ENDINGS = 4
 MIN_PRECISION = 0.5
 #: Terms that chance alone may put into the lexicon.
@@ -259,15 +261,17 @@ def lexicon(rows: DataFrame) -> tuple[str, ...]:
     n_all, n_toxic = rows.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
     if not 0 < n_toxic < n_all:
         return ()
-    held = pa.schema([("term", pa.string()), ("word", pa.string()), ("doc", pa.int64()), ("around", pa.int64())])
+    held = pa.schema([("term", pa.string()), ("word", pa.string()), ("doc", pa.int64()), ("around", pa.string())])
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def out(batch):
             for doc, text in zip(batch["doc"].to_pylist(), batch["t"].to_pylist()):
                 words = [bare(w) for w in (text or "").lower().split()]
                 for w, before, after in zip(words, ["", *words], [*words[1:], ""]):
+                    # In a run of one word its neighbours say nothing.
+                    around = None if w in (before, after) else f"{before} {after}"
                     for term in _terms(w):
-                        yield term, w, doc, hash((before, after)) & 0x7FFFFFFF
+                        yield term, w, doc, around
 
         for batch in batches:
             yield from common.batches(out(batch), held)
@@ -275,9 +279,9 @@ def lexicon(rows: DataFrame) -> tuple[str, ...]:
     doc = F.monotonically_increasing_id()
     toxic = rows.where("toxic = 1").select(doc.alias("doc"), F.col("t"))
     seen = (
-        toxic.mapInArrow(spread, "term string, word string, doc bigint, around bigint").groupBy("term")
+        toxic.mapInArrow(spread, "term string, word string, doc bigint, around string").groupBy("term")
         .agg(F.countDistinct("doc").alias("n"), F.countDistinct("around").alias("contexts"), F.countDistinct("word").alias("endings"))
-        .where(F.col("contexts") >= MIN_CONTEXTS)
+        .where(F.col("contexts") >= F.greatest(F.lit(MIN_CONTEXTS), F.col("n") * CONTEXT_SHARE))
     )
     found = {r.term: (r.n, r.endings) for r in seen.collect() if not r.term.endswith("*") or r.endings >= MIN_ENDINGS}
     counted = pa.schema([("term", pa.string()), ("n", pa.int64())])
@@ -299,7 +303,7 @@ def lexicon(rows: DataFrame) -> tuple[str, ...]:
         if n / (n + m) >= MIN_PRECISION and _tail(n, n + m, base) * len(found) < CHANCE_TERMS:
             gain[term] = n * math.log((n + 0.5) / (n_toxic + 1) * (n_all - n_toxic + 1) / (m + 0.5))
     chosen: list[str] = []
-    for term in sorted(gain, key=lambda t: (-gain[t], t)):  # of terms that hold each other, the one that tells most
+    for term in sorted(gain, key=lambda t: (-gain[t], -len(t), t)):  # of terms that hold each other, the one that tells most
         stem = term.rstrip("*")
         if not any((c.endswith("*") and stem.startswith(c[:-1])) or (term.endswith("*") and c.startswith(stem)) for c in chosen):
             chosen.append(term)
