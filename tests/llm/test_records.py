@@ -51,6 +51,8 @@ def test_archives_round_trip(spark):
     payload = {str(r[0]): (r[2] or "").encode() for r in ROWS if r[0] is not None}
     assert all(r.payload == (payload[str(r.page_id)] if r.record_type == "response" else b"") for r in out if r.page_id is not None)
     assert {r.url for r in out} == {r[1] for r in ROWS}
+    again = warc.read_records(index.repartition(8, "offset"))  # sorted runs that a task holds one after the other
+    assert sorted(str(r) for r in again.collect()) == sorted(str(r) for r in again.coalesce(1).collect()) and again.count() == len(ROWS)
     part = warc.read_records(index.where("page_id IN (2, 11)")).collect()  # selected records alone
     assert sorted(r.page_id for r in part) == [2, 11]
     for r in index.select("archive").distinct().collect():  # any gzip reader can read an archive through
@@ -173,3 +175,18 @@ def test_few_and_no_vectors(spark):
     assert [(r.query_id, r["rank"], r.vec_id, r.score) for r in sorted(out, key=lambda r: r["rank"])] == [(20, 1, 1, 0.5), (20, 2, 2, -1.0)]
     none = hnsw.valid(table.limit(0))
     assert hnsw.nearest(hnsw.build_index(none, k=20), none, k=20).count() == 0
+
+
+def test_runs_in_one_task(spark, monkeypatch):
+    """Several sorted runs of one archive in a task, the later bytes first: every record is read once."""
+    monkeypatch.setattr(common, "gathered", lambda df, rows=0: df.coalesce(1))
+    rows = [(k, f"u{k}", f"<p>{k}</p>" * 30, "d", 1) for k in range(300)]
+    index = warc.write_archives(spark.createDataFrame(rows, PAGES))
+    assert index.select("archive").distinct().count() == 1
+    backwards = index.withColumn("offset", index["offset"])
+    out = warc.read_records(backwards).collect()
+    assert sorted(r.page_id for r in out) == list(range(300))
+    turned = spark.createDataFrame(sorted(index.collect(), key=lambda r: -r.offset), index.schema)
+    monkeypatch.setattr(type(turned), "sortWithinPartitions", lambda self, *a, **k: self.coalesce(1))
+    monkeypatch.setattr(type(turned), "repartitionByRange", lambda self, *a, **k: self)
+    assert sorted(r.page_id for r in warc.read_records(turned).collect()) == list(range(300))

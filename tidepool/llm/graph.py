@@ -8,19 +8,19 @@ from pyspark.sql import functions as F
 from tidepool.llm.common import gathered, stored
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, nodes: int = 0) -> DataFrame:
     """``(node, root)`` of every node of an edge: ``root`` is the smallest node it reaches.
 
     ``edges`` has two bigint columns ``u`` and ``v``, in any direction, repeats
-    and loops allowed.  Every round replaces a node's neighbours by links to the
+    and loops allowed; ``nodes``, if known, sizes the tables.  Every round replaces a node's neighbours by links to the
     smallest of them; the number of rounds grows with the logarithm of the
     longest path.  Each round is a stored table, and no node's neighbours ever
     meet in one row.  A table of no edges gives no rows.
     """
-    now = stored(gathered(_oriented(edges)), "edges")
+    now = stored(gathered(_oriented(edges), nodes), "edges")
     state = _state(now)
     while True:
-        now = stored(gathered(_small_star(_large_star(now))), "edges")
+        now = stored(gathered(_small_star(_large_star(now)), nodes), "edges")
         before, state = state, _state(now)
         if state == before:
             return now.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(

@@ -196,7 +196,7 @@ def build_index(rows: DataFrame, k: int, shard_rows: int = SHARD_ROWS) -> DataFr
     copies = Window.partitionBy("vec").orderBy("id")
     nodes = common.stored(common.gathered(
         rows.distinct().withColumn("nth", F.row_number().over(copies)).where(F.col("nth") <= k + 1)
-        .groupBy("vec").agg(F.sort_array(F.collect_list("id")).alias("ids"))), "hnsw-nodes")
+        .groupBy("vec").agg(F.sort_array(F.collect_list("id")).alias("ids")), rows.count()), "hnsw-nodes")
     n_shards = max(1, -(-nodes.count() // shard_rows))
     dealt = nodes.select(F.pmod(F.xxhash64("vec"), F.lit(n_shards)).cast("int").alias("shard"), "vec", "ids")
     schema = pa.schema([("shard", pa.int32()), ("node", pa.int32()), ("vec", pa.list_(pa.float64())), ("ids", pa.list_(pa.int64())),
@@ -247,7 +247,8 @@ def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray
 def nearest(index: DataFrame, queries: DataFrame, k: int, ef: int = EF_SEARCH) -> DataFrame:
     """The ``k`` nearest rows found for every query (``id``, ``vec``), without the query's own id."""
     n_shards = (index.agg(F.max("shard")).first()[0] or 0) + 1
-    groups = max(1, -(-queries.count() // QUERY_GROUP))
+    n_queries = queries.count()
+    groups = max(1, -(-n_queries // QUERY_GROUP))
     asked = (
         queries.distinct().withColumn("part", F.pmod(F.xxhash64("id"), F.lit(groups)).cast("int"))
         .select(F.explode(F.sequence(F.lit(0), F.lit(n_shards - 1))).alias("shard"), "part", F.lit(None).cast("int").alias("node"), "vec", F.array("id").alias("ids"), F.lit(None).cast("array<array<int>>").alias("layers"))
@@ -289,7 +290,7 @@ def nearest(index: DataFrame, queries: DataFrame, k: int, ef: int = EF_SEARCH) -
     met = held.unionByName(asked).repartitionByRange(n_shards * groups, *cell).sortWithinPartitions(*cell, F.col("node").asc_nulls_last())
     found = met.mapInArrow(search, "query_id bigint, vec_id bigint, score double").groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return common.gathered(found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score"))
+    return common.gathered(found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score"), n_queries * k)
 
 
 def _graph(nodes: list[tuple[np.ndarray, list[list[int]]]]) -> Graph:

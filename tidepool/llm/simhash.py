@@ -157,8 +157,8 @@ def links(distinct: DataFrame, max_bits: int) -> DataFrame:
 
 def near_duplicates(fps: DataFrame, max_bits: int = 3) -> DataFrame:
     """``fingerprints`` with ``component_id``, the smallest id that a row reaches over links of at most ``max_bits`` bits, and ``root``, the smallest such fingerprint."""
-    distinct = common.stored(common.gathered(fps.groupBy("fp").agg(F.min("doc_id").alias("low"))), "distinct-fingerprints")
-    roots = components(links(distinct.select("fp"), max_bits)).withColumnRenamed("node", "fp")
+    distinct = common.stored(common.gathered(fps.groupBy("fp").agg(F.min("doc_id").alias("low")), fps.count()), "distinct-fingerprints")
+    roots = components(links(distinct.select("fp"), max_bits), distinct.count()).withColumnRenamed("node", "fp")
     linked = distinct.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     lowest = linked.groupBy("root").agg(F.min("low").alias("component_id"))
     by_fp = linked.select("fp", "root").join(lowest, "root")

@@ -89,4 +89,4 @@ def judge(captures: DataFrame, entries: DataFrame, url_col: str = "url", time_co
     verdict = F.struct(F.col("host"), F.coalesce(entry["side"] == 1, F.lit(False)).alias("blocked"), entry["list"].alias("list"),
                        entry["pattern"].alias("pattern"), entry["since"].alias("since"))
     judged = seen.join(hosts, ["host", "fetched"], "left").join(pages, ["page", "fetched"], "left")
-    return common.gathered(judged.select("capture.*", verdict.alias("filter")))
+    return common.gathered(judged.select("capture.*", verdict.alias("filter")), captures.count())

@@ -126,7 +126,7 @@ def write_archives(pages: DataFrame, id_col: str = "page_id", url_col: str = "ur
         if out is not None:
             out.close()
 
-    return common.stored(common.gathered(decided).mapInArrow(write, INDEX), "warc-index")
+    return common.stored(common.gathered(decided, pages.count()).mapInArrow(write, INDEX), "warc-index")
 
 
 def read_records(index: DataFrame, with_payload: bool = False) -> DataFrame:
@@ -136,11 +136,11 @@ def read_records(index: DataFrame, with_payload: bool = False) -> DataFrame:
     schema = pa.schema(fields)
 
     def ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
-        """Index rows by shared byte range, in archive order."""
+        """Index rows by shared byte range; a task may hold several sorted runs, so a step back ends a range too."""
         held: list[tuple] = []
         for batch in batches:
             for row in zip(*(batch[c].to_pylist() for c in ("archive", "offset", "length", "url"))):
-                if held and (row[0] != held[0][0] or row[1] - (held[-1][1] + held[-1][2]) > GAP_BYTES or row[1] + row[2] - held[0][1] > RANGE_BYTES):
+                if held and (row[0] != held[0][0] or row[1] < held[-1][1] + held[-1][2] or row[1] - (held[-1][1] + held[-1][2]) > GAP_BYTES or row[1] + row[2] - held[0][1] > RANGE_BYTES):
                     yield held
                     held = []
                 held.append(row)
@@ -167,4 +167,4 @@ def read_records(index: DataFrame, with_payload: bool = False) -> DataFrame:
         yield from common.batches(rows(), schema, 256 if with_payload else 4096)
 
     ordered = index.select("archive", "offset", "length", "url").repartitionByRange("archive", "offset").sortWithinPartitions("archive", "offset")
-    return common.gathered(ordered).mapInArrow(read, RECORD + ", payload binary" * with_payload)
+    return common.gathered(ordered, index.count()).mapInArrow(read, RECORD + ", payload binary" * with_payload)
