@@ -183,3 +183,21 @@ def test_token_counts_of_real_words(spark, counter):
             n, s = counter.words[w]
             want = segmented(w, score, counter.byte)
             assert n == want[0] and s == pytest.approx(want[1]), w
+
+
+def test_copies_and_repeats_teach_nothing(spark):
+    """A lexicon term needs varied neighbours: words of one toxic text in many copies, or of runs, are none."""
+    draw = np.random.default_rng(5)
+    common_words = [f"word{i}" for i in range(60)]
+    rows = []
+    for k in range(240):
+        words = list(draw.choice(common_words, 30))
+        toxic = k % 4 == 0
+        if toxic:
+            words.insert(int(draw.integers(0, 30)), "slurry")
+        rows.append((int(toxic), " ".join(words)))
+    copy = " ".join(draw.choice(common_words, 20)) + " innocent bystander stands here"
+    rows += [(1, copy + f" tail{k}") for k in range(40)] + [(1, "again " * 20 + f"end{k % 3} " * 9) for k in range(20)]
+    terms = toxicity.lexicon(spark.createDataFrame(rows, "toxic int, t string"))
+    assert "slurry" in terms
+    assert not {"innocent", "bystander", "stands", "again"} & set(terms) and len(terms) <= 3
