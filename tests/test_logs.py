@@ -128,6 +128,25 @@ def test_watermark_dedup(spark, tmp_dir, files_per_batch):
     assert spark.read.parquet(target).count() == 4
 
 
+@pytest.mark.parametrize("files_per_batch", [None, 1])
+def test_watermark_dedup_of_files_in_falling_time(spark, tmp_dir, files_per_batch):
+    """Files that come in falling event time lose no event; copies, late or not, stay out, events without id or time stay in."""
+    src, target = f"{tmp_dir}/src", f"{tmp_dir}/target"
+
+    def doc(name, hour):
+        return {k: v for k, v in (("id", name), ("time", hour and f"2024-01-15T{hour:02d}:30:00Z"), ("type", "Access.Read")) if v}
+
+    days = [[doc("e20", 20), doc("e20", 20), doc("x20", 20)], [doc("e14", 14), doc("x20", 20)],
+            [doc("e08", 8), doc(None, 8), doc(None, 8), doc("no-time", None)], [doc("e08", 8), doc("e14", 14), doc("e21", 21)]]
+    for n, docs in enumerate(days):
+        _write(f"{src}/{n}.json", "\n".join(map(json.dumps, docs)))
+        os.utime(f"{src}/{n}.json", (1_700_000_000 + n, 1_700_000_000 + n))
+    for run in range(2):  # a second checkpoint replays every file
+        ingest.dedup_stream(spark, src, target, f"{tmp_dir}/ck{run}", multiline=False, max_files_per_trigger=files_per_batch)
+        got = sorted(str(r[0]) for r in spark.read.parquet(target).select("EventId").collect())
+        assert got == ["None", "None", "e08", "e14", "e20", "e21", "no-time", "x20"]
+
+
 def test_rebuild_keeps_values(spark):
     df = spark.createDataFrame([(1, None, 2.5)], "a long, b string, c double")
     out = jsonlog.rebuild_raw_json(df).select("RawJson").first()[0]

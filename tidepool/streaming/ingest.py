@@ -13,6 +13,7 @@ time) -- rerunning a batch after a failure appends nothing twice.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -140,22 +141,55 @@ def normalise_bronze(spark: SparkSession, bronze_path: str, target_path: str, ch
     _run(flat.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint))
 
 
-def dedup_within_watermark(df: DataFrame, key: str = "EventId", event_time: str = "EventTimeUtc",
-                           delay: str = "1 hour") -> DataFrame:
-    """STR3: drop repeated ``key`` with state bounded by the event-time watermark."""
-    return df.withWatermark(event_time, delay).dropDuplicatesWithinWatermark([key])
+def append_within_watermark(batch: DataFrame, target_path: str, delay: str = "1 hour") -> None:
+    """STR3: append the events of ``batch`` that the target does not have yet.
+
+    The watermark is the target's latest event less ``delay``.  An event from it
+    on is compared with the target's events of up to ``delay`` before it, where
+    every copy within ``delay`` lies; an older one with all of the target, so that
+    being late loses none.  Events without a time or id are told apart as in
+    ``event_keys``: a replay of the batch appends none of them twice."""
+    spark = batch.sparkSession
+    time = F.col("EventTimeUtc")
+    batch = (event_keys(batch.withColumn("_id", F.when(time.isNotNull(), F.col("EventId"))), "_id")
+             .drop("_id", "source_path"))
+    if not path_exists(spark, target_path):
+        batch.write.mode("append").parquet(target_path)
+        return
+    if path_exists(spark, f"{target_path}/_spark_metadata"):
+        raise ValueError(f"{target_path} was written by a file sink, whose log hides other files: take a new target and checkpoint")
+    seen = (spark.read.schema("EventKey string, EventTimeUtc timestamp").parquet(target_path)
+            .select("EventKey", time.alias("_seen")))
+    micros = seen.agg(F.unix_micros(F.max("_seen") - F.expr(f"INTERVAL {delay}"))).first()[0]
+    batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        late, recent = F.lit(True), F.lit(False)
+        if micros is not None:
+            mark = F.timestamp_micros(F.lit(micros))
+            late = F.coalesce(time < mark, F.lit(True))
+            recent = F.coalesce(F.col("_seen") >= mark - F.expr(f"INTERVAL {delay}"), F.lit(False))
+        if batch.where(late).isEmpty():
+            seen = seen.where(recent)
+        fresh = (batch.withColumn("_late", late).alias("b")
+                 .join(seen.withColumn("_recent", recent).alias("s"),
+                       (F.col("b.EventKey") == F.col("s.EventKey")) & (F.col("_late") | F.col("_recent")), "left_anti"))
+        fresh.drop("_late").write.mode("append").parquet(target_path)
+    finally:
+        batch.unpersist()
 
 
 def dedup_stream(spark: SparkSession, root: str, target_path: str, checkpoint: str,
                  multiline: bool = True, delay: str = "1 hour",
                  max_files_per_trigger: int | None = None) -> None:
-    """STR3 job: files -> flatten -> watermark dedup -> append-only Parquet sink.
-
-    Events without a valid time have no place in the watermark: they are
-    appended as they come."""
-    flat = jsonlog.flatten_access_log(
-        raw_json_stream(spark, root, multiline, max_files_per_trigger=max_files_per_trigger))
-    timed = F.col("EventTimeUtc").isNotNull()
-    out = dedup_within_watermark(flat.where(timed), delay=delay).unionByName(flat.where(~timed))
-    _run(out.writeStream.format("parquet").option("path", target_path)
-         .option("checkpointLocation", checkpoint).outputMode("append"))
+    """STR3 job: files -> flatten -> dedup within the watermark -> Parquet.
+
+    Every event is kept once, however the files fall into micro-batches and in
+    whatever order of time they come; those without a valid time have no place
+    in the watermark and are appended as they come."""
+    src = raw_json_stream(spark, root, multiline, max_files_per_trigger=max_files_per_trigger)
+    flat = jsonlog.flatten_access_log(src, carry=["source_path"])
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        append_within_watermark(batch, target_path, delay)
+
+    _run(flat.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint))
