@@ -201,3 +201,25 @@ def test_copies_and_repeats_teach_nothing(spark):
     terms = toxicity.lexicon(spark.createDataFrame(rows, "toxic int, t string"))
     assert "slurry" in terms
     assert not {"innocent", "bystander", "stands", "again"} & set(terms) and len(terms) <= 3
+
+
+def test_misspellings_in_labels_keep_the_word(spark):
+    """Spellings of a word are no endings of a stem: the word stays and may have errors; a stem may, too."""
+    draw = np.random.default_rng(11)
+    common_words = [f"word{i}" for i in range(60)]
+    spellings = ["trash"] * 60 + ["trasj", "trasch", "trashh", "trasx", "trazsh", "tash", "trush", "traxsh", "trasy"]
+    inflected = [f"grobian{end}" for end in ("", "isch", "erei", "ismus", "entum", "hafte", "ische")]
+    rows = []
+    for k in range(1200):
+        words = list(draw.choice(common_words, 30))
+        if k % 4 == 0:
+            words.insert(int(draw.integers(0, 30)), str(draw.choice(spellings if k % 8 else inflected)))
+        rows.append((int(k % 4 == 0), " ".join(words)))
+    terms = toxicity.lexicon(spark.createDataFrame(rows, "toxic int, t string"))
+    assert "trash" in terms and not [t for t in terms if t.startswith("tra") and t.endswith("*")]
+    automaton = toxicity.Automaton(terms)
+    assert all(automaton.match(w) for w in ("trash", "tash", "trxsh", "trrash", "xtrash"))
+    assert any(t.endswith("*") and "grobian".startswith(t[:-1]) for t in terms)
+    assert automaton.match("grobianisieren")[0] == 0 and automaton.match("grbianisieren")[0] == 1
+    both = toxicity.Automaton(["idiot", "idiot*"])
+    assert [both.match(w) for w in ("idiot", "idiotxyz", "idotxyz", "idt")] == [(0, "idiot"), (0, "idiot*"), (1, "idiot*"), None]

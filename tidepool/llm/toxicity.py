@@ -2,11 +2,14 @@
 
 1. Lexicon.  From a bounded, repeatable sample of labelled documents: words and
    word stems that occur in toxic documents far oftener than chance allows, in
-   different contexts (so that copies of one document teach nothing).
+   different contexts (so that copies of one document teach nothing).  A stem
+   needs different endings, of which misspellings of a word are none, and stands
+   beside the words that it covers.
 2. Matching.  The lexicon is a trie.  Its intersection with the Levenshtein
    automaton of up to ``edits`` errors per term is run as one deterministic
    automaton whose states are built when first met.  A word of 5 letters may
-   have one error, one of 9 letters two; stems match any ending, without errors.
+   have one error, one of 9 letters two; stems may have errors by their own
+   length and match any ending.
 3. Context.  The words around a match tell quotation (quote marks, verbs of
    saying) from address (you, ...) and from neither.
 4. Score.  A match weighs as much as the share of matches of its term (exact, or
@@ -25,6 +28,7 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -44,6 +48,8 @@ STEM_LENGTHS = range(4, 9)
 MIN_CONTEXTS = 4
 CONTEXT_SHARE = 0.5
 MIN_ENDINGS = 4
+#: Times that a word must be as frequent as a form within its errors for that form to be its misspelling.
+RARER = 10
 MIN_PRECISION = 0.5
 #: Terms that chance alone may put into the lexicon.
 CHANCE_TERMS = 0.5
@@ -68,8 +74,9 @@ _EDGE = re.compile(r"^[\W_]+|[\W_]+$")
 
 
 def edits(term: str) -> int:
-    """Errors that a term may have."""
-    return 0 if term.endswith("*") or len(term) < 5 else 1 if len(term) < 9 else 2
+    """Errors that a term may have; a stem without its ending."""
+    n = len(term.rstrip("*"))
+    return 0 if n < 5 else 1 if n < 9 else 2
 
 
 def bare(word: str) -> str:
@@ -81,12 +88,14 @@ class Automaton:
     """The lexicon trie intersected with Levenshtein automata, made deterministic as it runs.
 
     A state is a set of (trie node, errors so far).  ``match`` gives (errors,
-    term) of the best term that a word spells, or None.
+    term) of the best term that a word spells, or None: the fewest errors, then
+    words before stems.
     """
 
     def __init__(self, terms):
         self.child: list[dict[str, int]] = [{}]
-        self.term: list[str | None] = [None]
+        self.word: list[str | None] = [None]
+        self.stem: list[str | None] = [None]
         self.most: list[int] = [0]  # errors allowed by some term at or below the node
         for term in sorted(terms):
             stem, k, node = term.rstrip("*"), edits(term), 0
@@ -95,16 +104,17 @@ class Automaton:
                 if c not in self.child[node]:
                     self.child[node][c] = len(self.child)
                     self.child.append({})
-                    self.term.append(None)
+                    self.word.append(None)
+                    self.stem.append(None)
                     self.most.append(0)
                 node = self.child[node][c]
                 self.most[node] = max(self.most[node], k)
-            if self.term[node] is None or term.endswith("*"):
-                self.term[node] = term
+            (self.stem if term.endswith("*") else self.word)[node] = term
         self.ids: dict[frozenset, int] = {}
         self.sets: list[frozenset] = []
         self.step: list[dict[str, int]] = []
-        self.found: list[tuple[int, str] | None] = []
+        self.found: list[tuple[int, str] | None] = []  # the best word that ends here
+        self.begun: list[tuple[int, str] | None] = []  # the best stem that ends here
         self.dead = self._state(set())
         self.start = self._state({(0, 0)})
 
@@ -121,8 +131,9 @@ class Automaton:
             self.ids[key] = len(self.sets)
             self.sets.append(key)
             self.step.append({})
-            ends = [(e, self.term[n]) for n, e in key if self.term[n] and e <= edits(self.term[n])]
-            self.found.append(min(ends) if ends else None)
+            for best, terms in ((self.found, self.word), (self.begun, self.stem)):
+                ends = [(e, terms[n]) for n, e in key if terms[n] and e <= edits(terms[n])]
+                best.append(min(ends) if ends else None)
         return self.ids[key]
 
     def _next(self, state: int, c: str) -> int:
@@ -137,14 +148,16 @@ class Automaton:
 
     def match(self, word: str) -> tuple[int, str] | None:
         state, step = self.start, self.step
+        stem = None
         for c in word:
             state = step[state].get(c, -1) if c in step[state] else self._next(state, c)
             if state == self.dead:
-                return None
-            best = self.found[state]
-            if best and best[1].endswith("*"):
-                return best
-        return self.found[state]
+                return stem
+            best = self.begun[state]
+            if best and (stem is None or best < stem):
+                stem = best
+        whole = self.found[state]
+        return whole if whole and (stem is None or whole[0] <= stem[0]) else stem
 
 
 class Forms(dict):
@@ -302,14 +315,51 @@ def lexicon(rows: DataFrame) -> tuple[str, ...]:
         m = against.get(term, 0)
         if n / (n + m) >= MIN_PRECISION and _tail(n, n + m, base) * len(found) < CHANCE_TERMS:
             gain[term] = n * math.log((n + 0.5) / (n_toxic + 1) * (n_all - n_toxic + 1) / (m + 0.5))
+    order = sorted(gain, key=lambda t: (-gain[t], -len(t), t))
+    endings = _endings(toxic, {t: found[t][0] for t in order if not t.endswith("*")}, {t for t in order if t.endswith("*")})
     chosen: list[str] = []
-    for term in sorted(gain, key=lambda t: (-gain[t], -len(t), t)):  # of terms that hold each other, the one that tells most
-        stem = term.rstrip("*")
-        if not any((c.endswith("*") and stem.startswith(c[:-1])) or (term.endswith("*") and c.startswith(stem)) for c in chosen):
+    for term in order:  # all words; of stems that hold each other or a word, the one that tells most
+        stem = term[:-1]
+        if not term.endswith("*") or (endings.get(term, 0) >= MIN_ENDINGS and not any(
+                c.startswith(stem) or (c.endswith("*") and stem.startswith(c[:-1])) for c in chosen)):
             chosen.append(term)
     return tuple(sorted(chosen))
 
 
+def _endings(toxic: DataFrame, words: dict[str, int], stems: set[str]) -> dict[str, int]:
+    """Different forms of each stem in toxic documents, without the misspellings of ``words`` (with their documents).
+
+    A misspelling lies within the errors of a word that is ``RARER`` times as frequent."""
+    if not stems:
+        return {}
+    held, counted = pa.schema([("word", pa.string())]), pa.schema([("term", pa.string())])
+    often = sorted(words, key=lambda w: (-words[w], w))
+    falling = [-words[w] for w in often]
+
+    def forms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = ((w,) for text in batch["t"].to_pylist() for w in {bare(w) for w in (text or "").lower().split()}
+                     if not stems.isdisjoint(_terms(w)))
+            yield from common.batches(found, held)
+
+    def apart(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of_first: dict[int, Automaton] = {}
+
+        def out(batch):
+            for word, n in zip(batch["word"].to_pylist(), batch["n"].to_pylist()):
+                first = bisect_right(falling, -RARER * n)
+                if first not in of_first:
+                    of_first[first] = Automaton(often[:first])
+                if not of_first[first].match(word):
+                    yield from ((term,) for term in stems.intersection(_terms(word)))
+
+        for batch in batches:
+            yield from common.batches(out(batch), counted)
+
+    documents = toxic.select("t").mapInArrow(forms, "word string").groupBy("word").agg(F.count("*").alias("n"))
+    return {r.term: r.n for r in documents.mapInArrow(apart, "term string").groupBy("term").agg(F.count("*").alias("n")).collect()}
+
+
 def fit(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", toxic_col: str = "toxic",
         fit_rows: int = FIT_ROWS) -> Model:
     """Lexicon and weights from at most ``fit_rows`` labelled documents."""
