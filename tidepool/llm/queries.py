@@ -8,10 +8,10 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidepool.llm import hnsw, mixing, packing, quality, simhash, token_counts, token_store, toxicity, url_filters, warc
+from tidepool.llm import exact_dedup, fill_in_middle, hnsw, mixing, packing, quality, simhash, token_counts, token_store, toxicity, url_filters, warc
 from tidepool.llm.encoding import public_tokenizer
 from tidepool.shipping import ship
-from tidepool.sources.tables import load
+from tidepool.sources.tables import load, table_path
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -176,3 +176,50 @@ def op10_hnsw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 nearest vectors found for every vec_id divisible by 20."""
     rows = hnsw.valid(load(spark, sf_dir, "embeddings", ["vec_id", "embedding"]))
     return hnsw.nearest(hnsw.build_index(rows, k=20), rows.where("id % 20 = 0"), k=20)
+
+
+@_query
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document cut at two unit ends and put around the markers, and back again."""
+    found, name = fill_in_middle.fill_in_middle(load(spark, sf_dir, "documents", ["doc_id", "text"]))
+    made = F.col(name)
+    back = fill_in_middle.restored(made["output"], made["form"])
+    return found.select("doc_id", f"{name}.n", f"{name}.form", f"{name}.prefix_chars", f"{name}.middle_chars",
+                        F.sha2(made["output"], 256).alias("output_sha256"), F.sha2(back, 256).alias("restored_sha256"))
+
+
+SQL["op12_fill_in_middle"] = r"""
+WITH d AS (
+    SELECT doc_id, coalesce(text, '') AS t, sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h,
+           regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS units
+    FROM documents
+), c AS (
+    SELECT doc_id, t, units, len(units) AS n, ('0x' || substr(h, 1, 8))::BIGINT % (len(units) + 1) AS a, ('0x' || substr(h, 9, 8))::BIGINT % (len(units) + 1) AS b,
+           CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR ('0x' || substr(h, 17, 8))::BIGINT % 100 >= 50 THEN 'plain'
+                WHEN ('0x' || substr(h, 25, 8))::BIGINT % 100 < 80 THEN 'spm' ELSE 'psm' END AS form
+    FROM d
+), p AS (
+    SELECT doc_id, t, n, form, array_to_string(units[1:least(a, b)], '') AS pre, array_to_string(units[least(a, b) + 1:greatest(a, b)], '') AS mid,
+           array_to_string(units[greatest(a, b) + 1:], '') AS suf
+    FROM c
+)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form, CAST(CASE WHEN form <> 'plain' THEN length(pre) END AS BIGINT) AS prefix_chars,
+       CAST(CASE WHEN form <> 'plain' THEN length(mid) END AS BIGINT) AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256,
+       sha256(pre || mid || suf) AS restored_sha256
+FROM p
+"""
+
+
+@_query
+def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's group of texts that are equal but for blanks, through the stateful stream."""
+    found = exact_dedup.deduplicated(spark, exact_dedup.stream_of(table_path(sf_dir, "documents")))
+    return found.select("doc_id", "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
+
+
+SQL["op13_exact_dedup"] = r"""
+WITH n AS (SELECT doc_id, coalesce(text, '') AS t, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS c FROM documents)
+SELECT doc_id, first_value(doc_id) OVER w AS keep_id, count(*) OVER (PARTITION BY c) AS group_size, row_number() OVER w = 1 AS kept, sha256(c) AS text_sha256
+FROM n WINDOW w AS (PARTITION BY c ORDER BY length(t) DESC, doc_id NULLS LAST)
+"""
