@@ -1,32 +1,35 @@
 """Exact deduplication as a stream: keyed state on disk that never expires, and full bytes checked on every hit.
 
-Two streaming queries, each with its own checkpoint.
+Two streaming queries, each with its own checkpoint, and a check.
 
 ``land`` reads the documents as they arrive.  A task takes the blanks out of each
 text, hashes what is left and writes it, once for all equal texts of the task,
 into a content file in the shared folder; per document it yields the digest, the
 stable identifier (id, and the place in the task's output) and the locator
 (file, offset, length) of the content.  Only these narrow rows are kept in the
-table.
+landed table.
 
-``settle`` reads that table.  Each task first folds its rows to one per locator,
-so a group of copies costs a row per landing task, however large it is.  They
-meet by digest in a stateful operator whose state lives in RocksDB, is uploaded
-with every micro-batch and never expires: the locator of the first content, the
-best row so far and the number of rows.  A digest seen before is a hit: both
-contents are read back and compared byte by byte, and a digest whose bytes
-differ opens another variant of that digest.  So equal digests alone never drop a
-text.
+``settle`` reads that table into a stateful aggregation keyed by digest.  Its
+state lies in RocksDB, goes to the checkpoint with every micro-batch and never
+expires: the locator of the first content, the identifier of the best row and the
+number of rows.  Rows are aggregated before they are shuffled, so that a group of
+copies costs a row per task, however large it is.  Every micro-batch puts out
+the new state of the digests that it touched.
+
+``check`` then takes every content that came to a digest seen before, a hit,
+and compares it byte by byte with the first one.  Digests alone thus never drop a
+text: where bytes differ, that digest's texts are told apart by their bytes.
 
 A later run over the same folder goes on where the last one ended; ``resolved``
 gives every landed document its group.
 
-Files that a lost or repeated task attempt wrote are named by no row.  Content
-files are read by nobody once a run has ended, except by later runs.
+Every micro-batch writes a folder of its own, and writes it anew when it is
+repeated.  Content files that a lost task attempt wrote are named by no row; they
+all are read only by the runs that follow.
 
 Defined cases: a null text is an empty one; texts of blanks only are equal to
 it; of equal texts the longest original stays, then the smallest id (null
-last), then the first landed of rows that are alike, so exactly one row of a
+last), then the first place of rows that are alike, so exactly one row of a
 group is kept, of repeated rows too; no documents give no rows; other columns
 are not read, so their names don't matter; texts are written and compared whole,
 one at a time.
@@ -42,26 +45,26 @@ import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidepool.llm import common
 
 BLANKS = b" \t\n\v\f\r"
 CODEC = "zstd"
-#: Bytes of new input of a micro-batch of ``land``.
+#: Bytes of new input of a micro-batch of ``land``, and of distinct texts that one of its tasks remembers.
 TRIGGER_BYTES = 64 << 30
-#: Locators that a task of ``settle`` folds at once, and bytes of distinct texts that a task of ``land`` remembers.
-FOLD_ROWS = 50_000
 HELD_BYTES = 64 << 20
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 LANDED = "doc_id bigint, chars bigint, digest string, place bigint, file string, at bigint, stored bigint, length bigint"
-_FOLDED = LANDED + ", rows bigint"
-SETTLED = "digest string, file string, at bigint, variant int, keep_id bigint, keep_file string, keep_place bigint, group_size bigint"
-# One entry per variant in each array: locator of the first content, best row, number of rows.
-_STATE = ("files array<string>, ats array<bigint>, stored array<bigint>, lengths array<bigint>, chars array<bigint>, "
-          "ids array<bigint>, places array<bigint>, keep_files array<string>, sizes array<bigint>")
+LANDED_SCHEMA = pa.schema([("doc_id", pa.int64()), ("chars", pa.int64()), ("digest", pa.string()), ("place", pa.int64()), ("file", pa.string()),
+                           ("at", pa.int64()), ("stored", pa.int64()), ("length", pa.int64())])
+_LOCATOR = "struct<batch: bigint, file: string, at: bigint, stored: bigint, length: bigint>"
+_BEST = "struct<shortness: bigint, unnamed: boolean, doc_id: bigint, file: string, place: bigint>"
+SETTLED = f"digest string, group_size bigint, best {_BEST}, first {_LOCATOR}"
+#: Where bytes of equal digests differ: each content's variant of its digest, its rows and the best of them.
+VARIANTS = f"digest string, file string, at bigint, variant int, rows bigint, best {_BEST}"
 
 
 def sha256(content: bytes) -> str:
@@ -103,7 +106,7 @@ def _landed(documents: DataFrame, folder: str, id_col: str, text_col: str, diges
                         filesystem, path = common.store_files(uri)
                         filesystem.create_dir(path.rpartition("/")[0], recursive=True)
                         out = filesystem.open_output_stream(path, compression=None)
-                    raw = pa.compress(content, codec=CODEC, asbytes=True) if content else b""
+                    raw = pa.compress(content, codec=CODEC, asbytes=True) if content else b"\0"  # an offset of its own
                     out.write(raw)
                     known = (uri, end, len(raw), len(content))
                     end += len(raw)
@@ -113,83 +116,31 @@ def _landed(documents: DataFrame, folder: str, id_col: str, text_col: str, diges
                     held[name, content] = known
                 rows.append((doc_id, n, name, place, *known))
                 place += 1
-            yield from common.batches(iter(rows), schema)
+            yield from common.batches(iter(rows), LANDED_SCHEMA)
         if out is not None:
             out.close()
 
-    schema = pa.schema([("doc_id", pa.int64()), ("chars", pa.int64()), ("digest", pa.string()), ("place", pa.int64()), ("file", pa.string()),
-                        ("at", pa.int64()), ("stored", pa.int64()), ("length", pa.int64())])
     rows = documents.select(common.column(documents, id_col).cast("bigint").alias("id"), common.column(documents, text_col).cast("string").alias("t"))
     return rows.mapInArrow(write, LANDED)
 
 
-def _before(chars: int, doc_id: int | None, file: str, place: int) -> tuple:
-    """Sort key of the row that stays: most code points, smallest id (null last), then the place."""
-    return -chars, doc_id is None, doc_id or 0, file, place
+def _best() -> Column:
+    """Order of the rows of a group: the smallest stays (most code points, smallest id with null last, first place)."""
+    return F.struct((-F.col("chars")).alias("shortness"), F.col("doc_id").isNull().alias("unnamed"), F.col("doc_id"), F.col("file"), F.col("place"))
 
 
-def _folded(landed: DataFrame) -> DataFrame:
-    """One row per locator and turn: its best row, and how many there are."""
-    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best: dict[tuple, tuple] = {}
-        for batch in batches:
-            for row in zip(*(c.to_pylist() for c in batch.columns)):
-                key = row[2], row[4], row[5]
-                seen = best.get(key)
-                if seen is None:
-                    best[key] = (*row, 1)
-                elif _before(row[1], row[0], row[4], row[3]) < _before(seen[1], seen[0], seen[4], seen[3]):
-                    best[key] = (*row, seen[-1] + 1)
-                else:
-                    best[key] = (*seen[:-1], seen[-1] + 1)
-            if len(best) > FOLD_ROWS:
-                yield from common.batches(iter(best.values()), schema)
-                best = {}
-        yield from common.batches(iter(best.values()), schema)
-
-    schema = pa.schema([("doc_id", pa.int64()), ("chars", pa.int64()), ("digest", pa.string()), ("place", pa.int64()), ("file", pa.string()),
-                        ("at", pa.int64()), ("stored", pa.int64()), ("length", pa.int64()), ("rows", pa.int64())])
-    return landed.mapInArrow(fold, _FOLDED)
-
-
-def _settle(key: tuple, frames: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-    """One digest's new rows against its state."""
-    files, ats, stored, lengths, chars, ids, places, keep_files, sizes = map(list, state.get) if state.exists else ([] for _ in range(9))
-    contents, own = Contents(), {}
-
-    def content(file: str, at: int, n: int, length: int) -> bytes:
-        if (file, at) not in own:
-            own[file, at] = contents.read(file, at, n, length)
-        return own[file, at]
-
-    where: dict[tuple, int] = {}
-    for frame in frames:
-        for row in frame.itertuples(index=False):
-            locator, doc_id = (row.file, int(row.at)), None if pd.isna(row.doc_id) else int(row.doc_id)
-            v = where.get(locator)
-            if v is None:
-                for v in range(len(files)):
-                    # A hit: the digest alone doesn't make texts equal, their bytes do.
-                    if (files[v], ats[v]) == locator or lengths[v] == row.length and content(files[v], ats[v], stored[v], lengths[v]) == contents.read(row.file, int(row.at), int(row.stored), int(row.length)):
-                        break
-                else:
-                    v = len(files)
-                    for column, value in zip((files, ats, stored, lengths, chars, ids, places, keep_files, sizes),
-                                             (row.file, int(row.at), int(row.stored), int(row.length), int(row.chars), doc_id, int(row.place), row.file, 0)):
-                        column.append(value)
-                where[locator] = v
-            sizes[v] += int(row.rows)
-            if _before(int(row.chars), doc_id, row.file, int(row.place)) < _before(chars[v], ids[v], keep_files[v], places[v]):
-                chars[v], ids[v], places[v], keep_files[v] = int(row.chars), doc_id, int(row.place), row.file
-    state.update((files, ats, stored, lengths, chars, ids, places, keep_files, sizes))
-    yield pd.DataFrame({
-        "digest": [key[0]] * len(where), "file": [f for f, _ in where], "at": [a for _, a in where], "variant": list(where.values()),
-        "keep_id": pd.array([ids[v] for v in where.values()], dtype="Int64"), "keep_file": [keep_files[v] for v in where.values()],
-        "keep_place": [places[v] for v in where.values()], "group_size": [sizes[v] for v in where.values()]})
-
-
-def _drained(df: DataFrame, path: str, checkpoint: str) -> None:
-    query = df.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start()
+def _settled(landed: DataFrame) -> DataFrame:
+    """State of every digest of the stream that a micro-batch touches."""
+    locator = F.struct("batch", "file", "at", "stored", "length")
+    return landed.groupBy("digest").agg(F.count("*").alias("group_size"), F.min(_best()).alias("best"), F.min(locator).alias("first"))
+
+
+def _drained(df: DataFrame, mode: str, folder: str, checkpoint: str) -> None:
+    """Run a query over all that is there; micro-batch n goes to ``folder/batch=n``."""
+    def write(batch: DataFrame, n: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{folder}/batch={n}")
+
+    query = df.writeStream.foreachBatch(write).outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
 
 
@@ -202,6 +153,68 @@ def _stateful(spark: SparkSession) -> SparkSession:
     return own
 
 
+def _groups(spark: SparkSession, base: str) -> DataFrame:
+    """The last state of every digest: a group only grows, so it is the one of the largest size."""
+    settled = spark.read.schema(SETTLED).parquet(f"{base}/settled")
+    return settled.groupBy("digest").agg(F.max(F.struct("group_size", "best", "first")).alias("g")).select("digest", "g.*")
+
+
+def _landed_rows(spark: SparkSession, base: str, after: int = -1) -> DataFrame:
+    """Landed rows, of micro-batches later than ``after``."""
+    return spark.read.schema(LANDED + ", batch bigint").parquet(f"{base}/landed").where(F.col("batch") > after)
+
+
+def _check(spark: SparkSession, base: str) -> None:
+    """Compare the contents of unchecked hits with their digest's first; write the variants of digests where one differs."""
+    done = spark.read.parquet(f"{base}/checked").agg(F.max("batch")).first()[0] if _exists(f"{base}/checked") else -1
+    last = _landed_rows(spark, base, done).agg(F.max("batch")).first()[0]
+    if last is None:
+        return
+    new = _landed_rows(spark, base, done).select("digest", "file", "at", "stored", "length").distinct()
+    firsts = _groups(spark, base).where("group_size > 1").select("digest", "first")
+    locator = [F.col(f"first.{c}").alias(f"first_{c}") for c in ("file", "at", "stored", "length")]
+    hits = new.join(firsts, "digest").where("file <> first.file OR at <> first.at").select("digest", "file", "at", "stored", "length", *locator)
+
+    def differing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows():
+            own, first, known, content = Contents(), Contents(), None, b""
+            for batch in batches:
+                for digest, file, at, stored, length, *locator in zip(*(c.to_pylist() for c in batch.columns)):
+                    if length == locator[3] and locator != known:
+                        known, content = locator, first.read(*locator)
+                    if length != locator[3] or own.read(file, at, stored, length) != content:
+                        yield (digest,)
+
+        yield from common.batches(rows(), pa.schema([("digest", pa.string())]))
+
+    # Dealt by file: a task reads a few files in order, and the hits of one digest are spread.
+    ordered = hits.repartitionByRange("file", "at").sortWithinPartitions("file", "at")
+    ordered.mapInArrow(differing, "digest string").distinct().write.mode("overwrite").parquet(f"{base}/differing/batch={last}")
+    differ = spark.read.schema("digest string").parquet(f"{base}/differing").distinct()
+    if not differ.isEmpty():
+        rows = _landed_rows(spark, base).join(differ, "digest")
+        folded = rows.groupBy("digest", "file", "at", "stored", "length").agg(F.count("*").alias("rows"), F.min(_best()).alias("best"))
+        told = folded.groupBy("digest").applyInPandas(_told_apart, "digest string, file string, at bigint, variant int")
+        (told.join(folded.select("file", "at", "rows", "best"), ["file", "at"]).select("digest", "file", "at", "variant", "rows", "best")
+         .write.mode("overwrite").parquet(f"{base}/variants/batch={last}"))
+    spark.range(1).select(F.lit(last).cast("bigint").alias("batch")).write.mode("append").parquet(f"{base}/checked")
+
+
+def _told_apart(key: tuple, contents: pd.DataFrame) -> pd.DataFrame:
+    """The contents of one digest by their bytes: the first of each variant is read again for each of the same length."""
+    reader, first, variants = Contents(), [], []
+    for row in contents.sort_values(["file", "at"]).itertuples(index=False):
+        content = reader.read(row.file, int(row.at), int(row.stored), int(row.length))
+        for v, other in enumerate(first):
+            if other[3] == row.length and reader.read(*other) == content:
+                break
+        else:
+            v = len(first)
+            first.append((row.file, int(row.at), int(row.stored), int(row.length)))
+        variants.append((key[0], row.file, int(row.at), v))
+    return pd.DataFrame(variants, columns=["digest", "file", "at", "variant"])
+
+
 def _exists(uri: str) -> bool:
     from pyarrow import fs
 
@@ -210,31 +223,34 @@ def _exists(uri: str) -> bool:
 
 
 def run(spark: SparkSession, documents: Callable[[SparkSession], DataFrame], base: str, id_col: str = "doc_id", text_col: str = "text",
-        digest: Callable[[bytes], str] = sha256, locators_per_trigger: int | None = None) -> None:
+        digest: Callable[[bytes], str] = sha256, files_per_trigger: int | None = None) -> None:
     """Drain what is new in the stream ``documents(session)`` into the tables below ``base`` (a URI in the shared folder)."""
     own = _stateful(spark)
-    landed = f"{base}/landed"
-    _drained(_landed(documents(own), f"{base}/contents", id_col, text_col, digest), landed, f"{base}/landing-checkpoint")
-    if not _exists(landed):
+    _drained(_landed(documents(own), f"{base}/contents", id_col, text_col, digest), "append", f"{base}/landed", f"{base}/landing-checkpoint")
+    if not _exists(f"{base}/landed"):
         return
-    new = own.readStream.schema(LANDED)
-    if locators_per_trigger:
-        new = new.option("maxFilesPerTrigger", str(locators_per_trigger))
-    settled = _folded(new.parquet(landed)).groupBy("digest").applyInPandasWithState(_settle, SETTLED, _STATE, "append", "NoTimeout")
-    _drained(settled, f"{base}/settled", f"{base}/settling-checkpoint")
+    new = own.readStream.schema(LANDED + ", batch bigint")
+    if files_per_trigger:
+        new = new.option("maxFilesPerTrigger", str(files_per_trigger))
+    _drained(_settled(new.parquet(f"{base}/landed")), "update", f"{base}/settled", f"{base}/settling-checkpoint")
+    _check(spark, base)
 
 
 def resolved(spark: SparkSession, base: str) -> DataFrame:
     """Every landed document with its group: ``doc_id``, ``keep_id``, ``group_size``, ``kept``, ``digest``, ``variant``."""
     if not _exists(f"{base}/settled"):
         return spark.createDataFrame([], "doc_id bigint, keep_id bigint, group_size bigint, kept boolean, digest string, variant int")
-    landed = spark.read.schema(LANDED).parquet(f"{base}/landed").select("doc_id", "digest", "place", "file", "at")
-    settled = spark.read.schema(SETTLED).parquet(f"{base}/settled")
-    # A group's size only grows: its last state is the row with the largest.
-    groups = settled.groupBy("digest", "variant").agg(F.max(F.struct("group_size", "keep_id", "keep_file", "keep_place")).alias("g"))
-    locators = settled.select("digest", "variant", "file", "at").distinct().join(groups, ["digest", "variant"]).select("file", "at", "variant", "g")
-    kept = (F.col("file") == F.col("g.keep_file")) & (F.col("place") == F.col("g.keep_place"))
-    return landed.join(locators, ["file", "at"]).select("doc_id", "g.keep_id", "g.group_size", kept.alias("kept"), "digest", "variant")
+    landed = _landed_rows(spark, base).select("doc_id", "digest", "place", "file", "at")
+    # By way of the contents: a digest with very many rows has few of them, and each has the rows of one task at most.
+    contents = landed.select("digest", "file", "at").distinct().join(_groups(spark, base), "digest").select("digest", "file", "at", F.lit(0).alias("variant"), "group_size", "best")
+    if _exists(f"{base}/variants"):
+        told = spark.read.schema(VARIANTS + ", batch bigint").parquet(f"{base}/variants")
+        last = told.groupBy("digest", "file", "at").agg(F.max(F.struct("batch", "variant", "rows", "best")).alias("t")).select("digest", "file", "at", "t.*").drop("batch")
+        groups = last.groupBy("digest", "variant").agg(F.sum("rows").alias("group_size"), F.min("best").alias("best"))
+        apart = last.select("digest", "file", "at", "variant").join(groups, ["digest", "variant"])
+        contents = contents.join(apart.select("digest").distinct(), "digest", "left_anti").unionByName(apart)
+    kept = (F.col("file") == F.col("best.file")) & (F.col("place") == F.col("best.place"))
+    return landed.drop("digest").join(contents, ["file", "at"]).select("doc_id", F.col("best.doc_id").alias("keep_id"), "group_size", kept.alias("kept"), "digest", "variant")
 
 
 def drop_contents(base: str) -> None:

@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidepool.llm import exact_dedup, fill_in_middle, hnsw, mixing, packing, quality, simhash, token_counts, token_store, toxicity, url_filters, warc
+from tidepool.llm import exact_dedup, fill_in_middle, hnsw, mixing, packing, prefix_trie, quality, simhash, token_counts, token_store, toxicity, url_filters, warc
 from tidepool.llm.encoding import public_tokenizer
 from tidepool.shipping import ship
 from tidepool.sources.tables import load, table_path
@@ -178,6 +178,47 @@ def op10_hnsw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hnsw.nearest(hnsw.build_index(rows, k=20), rows.where("id % 20 = 0"), k=20)
 
 
+@_query
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The nodes of the prefix trie of all rebuilt conversations."""
+    turns = prefix_trie.ordered_turns(load(spark, sf_dir, "conversations", ["conv_id", "turn", "role", "text"]))
+    return prefix_trie.trie(*prefix_trie.rebuilt(turns))
+
+
+SQL["op11_prefix_trie"] = r"""
+WITH crc AS (
+    SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, [0, 0, 0, 0, 0, 0, 0, 0]),
+           lambda a, b: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END)) AS steps
+), named AS (
+    SELECT conv_id AS c, turn, length(coalesce(text, '')) AS chars,
+           sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || ':' || coalesce(text, '')) AS t
+    FROM conversations WHERE conv_id IS NOT NULL
+), turns AS (SELECT c, t, chars, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, t) AS r FROM named
+), convs AS (
+    SELECT c, xor(list_reduce(list_prepend(4294967295, list_transform(string_split(CAST(c AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))),
+                              lambda a, b: xor(a >> 8, steps[(xor(a, b) & 255) + 1])), 4294967295) % 6 AS h
+    FROM (SELECT DISTINCT c FROM turns), crc
+), rows AS (
+    SELECT v.c, 0 AS part, r, t, chars FROM convs v JOIN turns b ON b.c = v.c - v.c % 100 AND b.r <= v.h
+    UNION ALL SELECT v.c, 1, r, t, chars FROM convs v JOIN turns o ON o.c = v.c AND o.r > v.h
+), placed AS (SELECT c, t, chars, row_number() OVER (PARTITION BY c ORDER BY part, r) AS d FROM rows
+), paths AS (
+    SELECT c, d, sha256(string_agg(t, ',') OVER (PARTITION BY c ORDER BY d)) AS node, chars FROM placed
+    UNION ALL SELECT c, 0, 'root', 0 FROM convs
+), nodes AS (SELECT node, d, min(c) AS c, count(*) AS n, any_value(chars) AS chars FROM paths GROUP BY node, d
+), up AS (SELECT u.node, m.c AS parent, p.node AS parent_node FROM nodes u JOIN paths p ON p.c = u.c AND p.d = u.d - 1 JOIN nodes m ON m.node = p.node
+), kids AS (SELECT parent_node AS node, count(*) AS n_children FROM up GROUP BY ALL
+), totals AS (
+    SELECT p.node, sum(CASE WHEN k.node IS NULL THEN 1 ELSE 0 END) AS leaves, sum((u.n - 1) * u.chars) AS saved
+    FROM nodes u JOIN paths p ON p.c = u.c AND p.d <= u.d LEFT JOIN kids k ON k.node = u.node GROUP BY p.node
+), last AS (SELECT c, max(d) AS d FROM paths GROUP BY c
+), ends AS (SELECT p.node, sha256(string_agg(CAST(p.c AS VARCHAR), ',' ORDER BY p.c)) AS ends FROM paths p JOIN last USING (c, d) GROUP BY p.node)
+SELECT n.c AS conv_id, n.d AS depth, up.parent AS parent_conv_id, n.n AS n_convs, coalesce(n_children, 0) AS n_children,
+       CAST(leaves AS BIGINT) AS n_leaves, CAST(saved AS BIGINT) AS saved_tokens, coalesce(ends, sha256('')) AS ends_sha256
+FROM nodes n JOIN totals USING (node) LEFT JOIN up USING (node) LEFT JOIN kids USING (node) LEFT JOIN ends USING (node)
+"""
+
+
 @_query
 def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document cut at two unit ends and put around the markers, and back again."""
