@@ -12,8 +12,9 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tidepool.operators.ranking import exact_quantiles, global_rank, order_statistics
+from tidepool.operators.ranking import exact_quantiles, global_rank, number, order_statistics
 
 
 class DuplicateEdgesError(ValueError):
@@ -25,7 +26,8 @@ def qcut_probs(n: int) -> list[float]:
 
 
 def label_from_edges(x: Column, inner_edges: list[float]) -> Column:
-    """1 + number of inner edges < x; null stays null."""
+    """1 + number of inner edges < x; null stays null, and NaN becomes null."""
+    x = number(x)
     acc = F.lit(1)
     for e in inner_edges:
         acc = acc + (x > F.lit(float(e))).cast("int")
@@ -80,7 +82,8 @@ def qcut_rank_first(df: DataFrame, col: str, key_cols: list[str], n: int, out_co
     comparing with them.  (``ntile`` differs when N mod n != 0.)
     """
     x = F.col(col)
-    valid = df.where(x.isNotNull())
+    present = number(x).isNotNull() if isinstance(df.schema[col].dataType, (T.FloatType, T.DoubleType)) else x.isNotNull()
+    valid = df.where(present)
     total = valid.count()
     probs = qcut_probs(n)
     bounds = [int(np.floor(1.0 + (total - 1) * p)) + 1 for p in probs[1:-1]]
@@ -95,7 +98,7 @@ def qcut_rank_first(df: DataFrame, col: str, key_cols: list[str], n: int, out_co
         row = stats[b]
         bound = F.struct(*[F.lit(v).cast(types[c]).alias(c) for v, c in zip(row, [col, *key_cols])])
         acc = acc + (order >= bound).cast("int")
-    return df.withColumn(out_col, F.when(x.isNotNull(), acc))
+    return df.withColumn(out_col, F.when(present, acc))
 
 
 def ratio(df: DataFrame, num: str, den: str, out_col: str) -> DataFrame:

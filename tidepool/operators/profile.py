@@ -4,7 +4,7 @@ Every profile is one or two aggregation jobs over the whole table with
 map-side partial aggregation; wide results are unpivoted afterwards (on one
 row per column, so the unpivot is free).  Nothing is collected: per-column
 ranges and quartiles stay in the plan as one-row-per-column tables joined back
-by broadcast (bounded by the number of columns).
+by broadcast (bounded by the number of columns).  NaN is left out as null is.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidepool.operators.ranking import exact_quantiles
+from tidepool.operators.ranking import exact_quantiles, number
 
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 
@@ -22,6 +22,13 @@ def is_numeric(df: DataFrame, col: str) -> bool:
     return isinstance(df.schema[col].dataType, _NUMERIC)
 
 
+def present(df: DataFrame, col: str) -> Column:
+    """The column, NaN made null."""
+    if isinstance(df.schema[col].dataType, (T.FloatType, T.DoubleType)):
+        return F.nanvl(F.col(col), F.lit(None).cast(df.schema[col].dataType))
+    return F.col(col)
+
+
 def _unpivot_one_row(row_df: DataFrame, cols: list[str], fields: list[str]) -> DataFrame:
     """One wide row with ``<col>__<field>`` columns -> one row per column."""
     structs = [F.struct(F.lit(c).alias("column"), *[F.col(f"{c}__{f}").alias(f) for f in fields])
@@ -38,9 +45,9 @@ def nunique(df: DataFrame, cols: list[str] | None = None, approx: bool = False,
     """
     cols = cols or df.columns
     if approx:
-        aggs = [F.approx_count_distinct(c, rsd).alias(f"{c}__n_distinct") for c in cols]
+        aggs = [F.approx_count_distinct(present(df, c), rsd).alias(f"{c}__n_distinct") for c in cols]
     else:
-        aggs = [F.count_distinct(c).alias(f"{c}__n_distinct") for c in cols]
+        aggs = [F.count_distinct(present(df, c)).alias(f"{c}__n_distinct") for c in cols]
     return _unpivot_one_row(df.agg(*aggs), cols, ["n_distinct"])
 
 
@@ -71,7 +78,7 @@ def table_summary(df: DataFrame, cols: list[str] | None = None, approx_distinct:
     fields = ["count", "null_count", "n_distinct", "mean", "stddev", "min", "max"]
     aggs: list[Column] = []
     for c in cols:
-        own = F.col(c)
+        own = present(df, c)
         x = own.cast("double") if is_numeric(df, c) else F.lit(None).cast("double")
         aggs += [
             F.count(own).alias(f"{c}__count"),
@@ -99,22 +106,25 @@ def five_number(df: DataFrame, cols: list[str]) -> DataFrame:
 
 def boxplot_stats(df: DataFrame, cols: list[str], whis: float = 1.5) -> DataFrame:
     """AGG4: box-plot statistics: quartiles, IQR, whiskers (most extreme values
-    within ``whis`` IQR of the box) and the number of outliers beyond them."""
-    quart = five_number(df, cols).select("column", "q1", "median", "q3")
-    long = df.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v")) for c in cols
-    ])).alias("_u")).select("_u.*").where(F.col("v").isNotNull())
-    # quart has one row per column: a bounded broadcast side.
-    j = long.join(F.broadcast(quart), "column")
-    iqr = F.col("q3") - F.col("q1")
-    lo_fence = F.col("q1") - F.lit(whis) * iqr
-    hi_fence = F.col("q3") + F.lit(whis) * iqr
-    inside = (F.col("v") >= lo_fence) & (F.col("v") <= hi_fence)
-    return j.groupBy("column", "q1", "median", "q3").agg(
-        F.min(F.when(inside, F.col("v"))).alias("whisker_low"),
-        F.max(F.when(inside, F.col("v"))).alias("whisker_high"),
-        F.sum((~inside).cast("bigint")).alias("n_outliers"),
-    ).withColumn("iqr", F.col("q3") - F.col("q1"))
+    within ``whis`` IQR of the box) and the number of outliers beyond them.
+
+    The quartiles (three numbers per column) become literals of one last pass of
+    conditional aggregates: no row is copied per column.
+    """
+    quartiles = {r["column"]: r for r in five_number(df, cols).collect()}  # a row per column
+    known = [c for c in cols if c in quartiles]
+    fields = "column string, q1 double, median double, q3 double, whisker_low double, whisker_high double, n_outliers bigint, iqr double"
+    if not known:
+        return df.sparkSession.createDataFrame([], fields)
+    aggs, box = [], []
+    for c in known:
+        q, x = quartiles[c], number(c)
+        iqr = q["q3"] - q["q1"]
+        inside = x.between(F.lit(q["q1"] - whis * iqr), F.lit(q["q3"] + whis * iqr))
+        aggs += [F.min(F.when(inside, x)).alias(f"{c}__low"), F.max(F.when(inside, x)).alias(f"{c}__high"), F.count_if(~inside).alias(f"{c}__n")]
+        box.append(F.struct(F.lit(c).alias("column"), F.lit(q["q1"]).alias("q1"), F.lit(q["median"]).alias("median"), F.lit(q["q3"]).alias("q3"),
+                            F.col(f"{c}__low").alias("whisker_low"), F.col(f"{c}__high").alias("whisker_high"), F.col(f"{c}__n").alias("n_outliers"), F.lit(iqr).alias("iqr")))
+    return df.agg(*aggs).select(F.explode(F.array(*box)).alias("b")).select("b.*")
 
 
 def histogram(df: DataFrame, cols: list[str], bins: int = 20) -> DataFrame:
@@ -122,10 +132,10 @@ def histogram(df: DataFrame, cols: list[str], bins: int = 20) -> DataFrame:
 
     Width = (max - min) / bins; the last bin is closed on the right.  A constant
     column gets the range (v - 0.5, v + 0.5) like numpy.  Empty bins appear
-    with count 0.
+    with count 0; nulls and NaN are in none.
     """
     long = df.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v")) for c in cols
+        F.struct(F.lit(c).alias("column"), number(c).alias("v")) for c in cols
     ])).alias("_u")).select("_u.*").where(F.col("v").isNotNull())
     rng = long.groupBy("column").agg(F.min("v").alias("_mn"), F.max("v").alias("_mx"))
     rng = (rng.withColumn("_lo0", F.when(F.col("_mn") == F.col("_mx"), F.col("_mn") - 0.5)

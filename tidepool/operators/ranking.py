@@ -16,6 +16,8 @@ nothing is sorted: ``percentile_approx`` brackets each rank, exact counts locate
 it, and only the rows inside the narrow brackets are ranked
 (``exact_quantiles``, ``grouped_quantiles``, ``order_statistics``), with the
 full rank as the fallback for a bracket that misses.
+
+Null groups are groups like any other.  NaN is left out wherever null is (``number``).
 """
 
 from __future__ import annotations
@@ -26,9 +28,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidepool.operators.joins import bounded_broadcast
+from tidepool.operators.joins import bounded_broadcast, null_safe_join
 from tidepool.session import checkpoint_dir
 
+
+def number(col: str | Column) -> Column:
+    """The column as a double; NaN is null."""
+    return F.nanvl((F.col(col) if isinstance(col, str) else col).cast("double"), F.lit(None).cast("double"))
+
+
 def _range_partitioned(df: DataFrame, keys: list[Column], n: int | None) -> DataFrame:
     """Range partitioning on ``keys``.  Without an explicit count AQE sizes the
     partitions (it only merges adjacent ranges, so the order is kept)."""
@@ -61,7 +69,7 @@ def global_rank(df: DataFrame, order_cols: list[str | Column], name: str = "rank
     # Without groups the offsets table has one row per partition (bounded);
     # with groups it grows with them, and AQE chooses the join by its real size.
     side = bounded_broadcast(offsets) if not group_cols else offsets
-    out = positioned.join(side, ["_pid", *group_cols])
+    out = null_safe_join(positioned, side, ["_pid", *group_cols])
     # Rows of one group inside one partition are contiguous in sort order, so
     # position within the group = _mid - first _mid of that group there.
     out = out.withColumn(name, F.col("_offset") + (F.col("_mid") - F.col("_first_mid")) + 1)
@@ -98,18 +106,20 @@ def _bracket_stage(df: DataFrame, cols: list[str], probs: list[float], first,
     (``below``), rank only the rows inside the brackets.  Returns (quantiles of
     the columns whose brackets hit, columns whose brackets missed)."""
     spark = df.sparkSession
-    targets = []
-    for c in cols:
-        n = first[f"{c}__n"]
+    targets, extremes = [], []
+    for i, c in enumerate(cols):
+        n = first[f"n{i}"]
         if not n:
             continue
-        for t, p in enumerate(probs):
+        extremes += [(c, float(p), float(first[f"min{i}"] if p == 0 else first[f"max{i}"])) for p in probs if p in (0, 1)]
+        for t, p in _inner(probs):
             pos = p * (n - 1)
-            targets.append((c, t, float(p), int(n), float(first[f"{c}__lo"][t]), float(first[f"{c}__hi"][t]),
+            targets.append((c, t, float(p), int(n), float(first[f"lo{i}"][t]), float(first[f"hi{i}"][t]),
                             int(np.floor(pos)), int(np.ceil(pos)), float(pos - np.floor(pos)),
-                            int(below[f"{c}__b{t}"] or 0)))
+                            int(below[f"b{i}_{t}"] or 0)))
+    ends = spark.createDataFrame(extremes, "column string, p double, value double") if extremes else None
     if not targets:
-        return None, []
+        return ends, []
     tschema = ("column string, t int, p double, n long, L double, U double, lo_r long, hi_r long, "
                "frac double, below long")
     tdf = spark.createDataFrame(targets, tschema)
@@ -129,12 +139,15 @@ def _bracket_stage(df: DataFrame, cols: list[str], probs: list[float], first,
     good = [c for c in cols if c not in failed and any(tr[0] == c for tr in targets)]
     if not good:
         return None, failed
+    if ends is not None:
+        ends = ends.where(F.col("column").isin(good))
     j = cum.join(bounded_broadcast(tdf), ["column", "t"]).where(F.col("column").isin(good))
     # value at 0-based rank R: the smallest v whose cumulative count exceeds R - below.
     pick = lambda r: F.min(F.when(F.col("cnt_cum") > F.col(r) - F.col("below"), F.col("v")))
     vals = j.groupBy("column", "t", "p", "frac").agg(pick("lo_r").alias("_vlo"), pick("hi_r").alias("_vhi"))
     value = F.col("_vlo") + (F.col("_vhi") - F.col("_vlo")) * F.col("frac")
-    return vals.select("column", "p", value.alias("value")), failed
+    found = vals.select("column", "p", value.alias("value"))
+    return (found if ends is None else found.unionByName(ends)), failed
 
 
 def _bracket_quantiles(df: DataFrame, cols: list[str], probs: list[float],
@@ -149,45 +162,47 @@ def _bracket_quantiles(df: DataFrame, cols: list[str], probs: list[float],
     counts) sends its column back to the caller for the rank method.
     """
     first = df.agg(*_bracket_aggs(cols, probs, accuracy)).first()
-    below = df.agg(*_below_aggs(cols, probs, first)).first()
+    counts = _below_aggs(cols, probs, first)
+    below = df.agg(*counts).first() if counts else None
     return _bracket_stage(df, cols, probs, first, below)
 
 
+def _inner(probs: list[float]) -> list[tuple[int, float]]:
+    """Numbered probabilities other than 0 and 1, whose quantiles are the extremes."""
+    return [(t, p) for t, p in enumerate(p for p in probs if p not in (0, 1))]
+
+
 def _bracket_aggs(cols: list[str], probs: list[float], accuracy: int) -> list[Column]:
+    """Count, extremes, and both ends of all brackets of a column from one sketch."""
     delta = 2.0 / accuracy
-    lo_p = [max(0.0, p - delta) for p in probs]
-    hi_p = [min(1.0, p + delta) for p in probs]
+    inner = [p for _, p in _inner(probs)]
     aggs = []
-    for c in cols:
+    for i, c in enumerate(cols):
         x = F.col(c).cast("double")
-        aggs += [F.count(x).alias(f"{c}__n"),
-                 F.percentile_approx(x, lo_p, accuracy).alias(f"{c}__lo"),
-                 F.percentile_approx(x, hi_p, accuracy).alias(f"{c}__hi")]
+        aggs += [F.count(x).alias(f"n{i}"), F.min(x).alias(f"min{i}"), F.max(x).alias(f"max{i}")]
+        if inner:
+            ends = F.percentile_approx(x, [max(0.0, p - delta) for p in inner] + [min(1.0, p + delta) for p in inner], accuracy)
+            aggs += [F.slice(ends, 1, len(inner)).alias(f"lo{i}"), F.slice(ends, len(inner) + 1, len(inner)).alias(f"hi{i}")]
     return aggs
 
 
 def _below_aggs(cols: list[str], probs: list[float], first) -> list[Column]:
     """Rows strictly below each bracket: one conditional count per target."""
-    aggs = []
-    for c in cols:
-        if not first[f"{c}__n"]:
-            continue
-        for t in range(len(probs)):
-            aggs.append(F.sum((F.col(c).cast("double") < F.lit(float(first[f"{c}__lo"][t]))).cast("long"))
-                        .alias(f"{c}__b{t}"))
-    return aggs
+    return [F.count_if(F.col(c).cast("double") < F.lit(float(first[f"lo{i}"][t]))).alias(f"b{i}_{t}")
+            for i, c in enumerate(cols) if first[f"n{i}"] for t, _ in _inner(probs)]
 
 
 def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], method: str = "bracket",
                     accuracy: int = 100_000) -> DataFrame:
     """Linear-interpolated quantiles (pandas / ``quantile_cont`` semantics) of each column.
 
-    Returns one row per (column, p): ``column, p, value``.  Nulls are ignored.
+    Returns one row per (column, p): ``column, p, value``.  Nulls and NaN are left out.
 
     ``method="bracket"``, at every size: linear passes, no full sort, and the
     range-sort rank for a column whose bracket misses; ``"rank"`` always ranks.
     Cut an expensive input (``checkpoint()``) first: it is scanned three times.
     """
+    df = df.select(*[number(c).alias(c) for c in cols])
     if method == "rank":
         return _rank_quantiles(df, cols, probs)
     got, failed = _bracket_quantiles(df, cols, probs, accuracy)
@@ -221,7 +236,7 @@ def prefix_sums(df: DataFrame, order_cols: list[str], value_cols: list[str],
     offsets = totals.select("_pid", *group_cols, *[
         F.coalesce(F.sum(f"_t_{v}").over(before), F.lit(0)).alias(f"_o_{v}") for v in value_cols])
     side = bounded_broadcast(offsets) if not group_cols else offsets
-    out = local.join(side, ["_pid", *group_cols])
+    out = null_safe_join(local, side, ["_pid", *group_cols])
     for v in value_cols:
         out = out.withColumn(f"{v}{suffix}", F.col(f"_o_{v}") + F.col(f"_l_{v}"))
     return out.drop("_pid", *[f"_l_{v}" for v in value_cols], *[f"_o_{v}" for v in value_cols])
@@ -241,14 +256,15 @@ def _local_running_sums(positioned: DataFrame, group_cols: list[str], value_cols
                 continue
             if group_cols:
                 grp = pdf.groupby(group_cols, sort=False, dropna=False)
-                first_key = tuple(pdf[group_cols].iloc[0])
-                lead = (pdf[group_cols] == pd.Series(first_key, index=group_cols)).all(axis=1)
+                keys = pdf[group_cols].astype(object).where(pdf[group_cols].notna(), None)  # null equals null
+                first_key = tuple(keys.iloc[0])
+                lead = np.logical_and.reduce([[x == first for x in keys[c]] for c, first in zip(group_cols, first_key)])
                 for v in value_cols:
                     cs = grp[v].cumsum()
                     if prev_key is not None and first_key == prev_key:
                         cs = cs + lead.astype(cs.dtype) * prev_tot[v]  # the group spans the batch edge
                     pdf[f"_l_{v}"] = cs
-                prev_key = tuple(pdf[group_cols].iloc[-1])
+                prev_key = tuple(keys.iloc[-1])
             else:
                 for v in value_cols:
                     pdf[f"_l_{v}"] = pdf[v].cumsum() + (prev_tot[v] if prev_tot else 0)
@@ -262,7 +278,7 @@ def _grouped_rank_quantiles(df: DataFrame, value_col: str, group_cols: list[str]
                             probs: list[float]) -> DataFrame:
     """Per-group quantiles by global rank: a hot group is still spread over
     many range partitions."""
-    vals = df.select(*group_cols, F.col(value_col).cast("double").alias("v")).where(F.col("v").isNotNull())
+    vals = df.select(*group_cols, number(value_col).alias("v")).where(F.col("v").isNotNull())
     ranked = global_rank(vals, ["v"], name="_r", group_cols=group_cols)
     sizes = vals.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_n"))
     plist = F.array(*[F.lit(float(p)) for p in probs])
@@ -274,10 +290,10 @@ def _grouped_rank_quantiles(df: DataFrame, value_col: str, group_cols: list[str]
     need = targets.select(*group_cols, F.explode(F.array("_lo", "_hi")).alias("_r")).distinct()
     # `need` has at most 2 x len(probs) rows per group: it grows with the number
     # of groups, so it joins by shuffle (no broadcast without a bound).
-    picked = ranked.join(need, [*group_cols, "_r"]).select(*group_cols, "_r", "v")
+    picked = null_safe_join(ranked, need, [*group_cols, "_r"]).select(*group_cols, "_r", "v")
     lo = picked.select(*group_cols, F.col("_r").alias("_lo"), F.col("v").alias("_vlo"))
     hi = picked.select(*group_cols, F.col("_r").alias("_hi"), F.col("v").alias("_vhi"))
-    res = targets.join(lo, [*group_cols, "_lo"]).join(hi, [*group_cols, "_hi"])
+    res = null_safe_join(null_safe_join(targets, lo, [*group_cols, "_lo"]), hi, [*group_cols, "_hi"])
     value = F.col("_vlo") + (F.col("_vhi") - F.col("_vlo")) * F.col("_frac")
     return res.select(*group_cols, "p", value.alias("value"))
 
@@ -295,14 +311,14 @@ def grouped_quantiles(df: DataFrame, value_col: str, group_cols: list[str], prob
     """
     if method == "rank":
         return _grouped_rank_quantiles(df, value_col, group_cols, probs)
-    vals = df.select(*group_cols, F.col(value_col).cast("double").alias("v")).where(F.col("v").isNotNull())
+    vals = df.select(*group_cols, number(value_col).alias("v")).where(F.col("v").isNotNull())
     delta = 2.0 / accuracy
     lo_p = [max(0.0, p - delta) for p in probs]
     hi_p = [min(1.0, p + delta) for p in probs]
     plist = F.array(*[F.lit(float(p)) for p in probs])
-    g = vals.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_n"),
-                                      F.percentile_approx("v", lo_p, accuracy).alias("_lo"),
-                                      F.percentile_approx("v", hi_p, accuracy).alias("_hi"))
+    ends = F.percentile_approx("v", lo_p + hi_p, accuracy)
+    g = vals.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_n"), F.slice(ends, 1, len(probs)).alias("_lo"),
+                                      F.slice(ends, len(probs) + 1, len(probs)).alias("_hi"))
     t = (g.select(*group_cols, "_n", F.posexplode(F.arrays_zip(plist.alias("p"), F.col("_lo").alias("lo"),
                                                               F.col("_hi").alias("hi"))).alias("_t", "_z"))
          .select(*group_cols, "_n", "_t", "_z.p", "_z.lo", "_z.hi")
@@ -311,25 +327,26 @@ def grouped_quantiles(df: DataFrame, value_col: str, group_cols: list[str], prob
          .withColumn("hi_r", F.ceil("_pos").cast("long"))
          .withColumn("frac", F.col("_pos") - F.floor("_pos")))
     # One row per (group, target): AQE broadcasts it if it is small.
-    joined = vals.join(t.select(*group_cols, "_t", "lo", "hi"), group_cols)
+    joined = null_safe_join(vals, t.select(*group_cols, "_t", "lo", "hi"), group_cols)
     below = joined.groupBy(*group_cols, "_t").agg(F.sum((F.col("v") < F.col("lo")).cast("long")).alias("below"))
     inside = (joined.where((F.col("v") >= F.col("lo")) & (F.col("v") <= F.col("hi")))
               .groupBy(*group_cols, "_t", "v").agg(F.count(F.lit(1)).alias("cnt")))
     cum = prefix_sums(inside, ["v"], ["cnt"], [*group_cols, "_t"])
     tot = cum.groupBy(*group_cols, "_t").agg(F.sum("cnt").alias("inside"))
-    info = (t.join(below, [*group_cols, "_t"], "left").join(tot, [*group_cols, "_t"], "left")
-            .fillna(0, ["below", "inside"]))
+    by_target = [*group_cols, "_t"]
+    info = null_safe_join(null_safe_join(t, below, by_target, "left"), tot, by_target, "left").fillna(0, ["below", "inside"])
     ok = (F.col("below") <= F.col("lo_r")) & (F.col("below") + F.col("inside") > F.col("hi_r"))
     failing = info.where(~ok).select(*group_cols).distinct()
     pick = lambda r: F.min(F.when(F.col("cnt_cum") > F.col(r) - F.col("below"), F.col("v")))
-    vals_bt = (cum.join(info.where(ok), [*group_cols, "_t"])
+    vals_bt = (null_safe_join(cum, info.where(ok), by_target)
                .groupBy(*group_cols, "_t", "p", "frac")
                .agg(pick("lo_r").alias("_vlo"), pick("hi_r").alias("_vhi")))
     value = F.col("_vlo") + (F.col("_vhi") - F.col("_vlo")) * F.col("frac")
-    good = vals_bt.select(*group_cols, "p", value.alias("value")).join(failing, group_cols, "left_anti")
-    if failing.limit(1).count() == 0:
+    good = vals_bt.select(*group_cols, "p", value.alias("value"))
+    if failing.isEmpty():
         return good
-    redo = _grouped_rank_quantiles(vals.join(failing, group_cols, "left_semi"), "v", group_cols, probs)
+    good = null_safe_join(good, failing, group_cols, "left_anti")
+    redo = _grouped_rank_quantiles(null_safe_join(vals, failing, group_cols, "left_semi"), "v", group_cols, probs)
     return good.unionByName(redo)
 
 
@@ -356,8 +373,9 @@ def order_statistics(df: DataFrame, num_col: str, tie_cols: list[str], ranks: li
         return {}
     cols = [num_col, *tie_cols]
     x = F.col(num_col)
-    vals = df.where(x.isNotNull()).select(*cols)
     typ = df.schema[num_col].dataType
+    present = x.isNotNull() & ~F.isnan(x) if isinstance(typ, (T.FloatType, T.DoubleType)) else x.isNotNull()
+    vals = df.where(present).select(*cols)
     out: dict[int, tuple] = {}
     if isinstance(typ, (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)):
         n = vals.count()
@@ -365,9 +383,9 @@ def order_statistics(df: DataFrame, num_col: str, tie_cols: list[str], ranks: li
             return {}
         delta = 2.0 / accuracy
         probs = [(r - 1) / max(1, n - 1) for r in ranks]
-        edge = [F.percentile_approx(x, [min(1.0, max(0.0, p + d)) for p in probs], accuracy).cast("array<string>")
-                for d in (-delta, delta)]
-        low, high = vals.agg(*[e.alias(f"e{i}") for i, e in enumerate(edge)]).first()
+        ends = [min(1.0, max(0.0, p + d)) for d in (-delta, delta) for p in probs]
+        edge = vals.agg(F.percentile_approx(x, ends, accuracy).cast("array<string>")).first()[0]
+        low, high = edge[: len(ranks)], edge[len(ranks):]
         lows, highs = ([_same_type(v, typ) for v in side] for side in (low, high))
         below = vals.agg(*[F.coalesce(F.sum((x < lo).cast("long")), F.lit(0)) for lo in lows]).first()
         # One entry per rank; a row goes into the brackets that hold it.

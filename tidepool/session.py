@@ -12,7 +12,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every session of ours wants; a cluster may override any of them.
 DEFAULT_CONF = {
@@ -21,6 +21,7 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.ui.enabled": "false",  # a batch library opens no web page of its own accord
     # Joins carry no hint unless a side is bounded by construction: the
     # automatic threshold stays at Spark's default and AQE picks by real bytes.
 }
@@ -64,9 +65,33 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+# Scratch folders of this driver, by application: what ``release`` deletes.
+_SCRATCH: dict[str, list[str]] = {}
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique folder under the shared checkpoint folder."""
+    """A fresh, unique folder under the shared checkpoint folder; it lives until ``release``."""
     base = checkpoint_dir(spark)
     if base.startswith("file:"):
         base = base[len("file:"):]
-    return os.path.join(base, "scratch", f"{name}-{uuid.uuid4().hex[:12]}")
+    path = os.path.join(base, "scratch", f"{name}-{uuid.uuid4().hex[:12]}")
+    _SCRATCH.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def stored(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Cut the lineage with a columnar table in the shared folder: what several passes read is computed once,
+    later passes read only their columns, and a lost executor costs nothing that is in the table."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("errorifexists").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession) -> int:
+    """Delete every scratch folder of this application; frames that read them must be written by then.  Returns how many."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    paths = _SCRATCH.pop(spark.sparkContext.applicationId, [])
+    for path in paths:
+        folder = jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(conf).delete(folder, True)
+    return len(paths)
