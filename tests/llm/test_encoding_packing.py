@@ -9,6 +9,8 @@ import pytest
 
 from tidepool.llm import encoding, packing, token_store
 from tidepool.llm.encoding import Encoder, public_tokenizer
+from tidepool.llm.queries import QUERIES
+from tidepool.sources.tables import load
 
 ODD = ["\x1f", ",", "...", "a,", "é!?", " ", "  ", "\n", "\n\n", " \n", "\t", "a", "the", "'s", "<|endoftext|>", "é", "1", "23",
        "\xa0", " ", "!", "\x1c", "中文", " <|end", "word", "Ω,", "\r\n"]
@@ -103,7 +105,7 @@ def check_plan(histogram, packed):
 def test_plans_pack_everything_tightly(seed):
     draw = np.random.default_rng(seed)
     histogram = np.bincount(draw.integers(1, 129, 3000) if seed else draw.integers(60, 70, 3000), minlength=129)
-    n = check_plan(histogram, packing.plan(histogram, steps=200))
+    n = check_plan(histogram, packing.plan(histogram))
     bound = -(-int((histogram * np.arange(129)).sum()) // 128)
     if not seed:  # a pair has one of 60 to 63, or two 64s
         bound = int(histogram.sum() - histogram[60:64].sum() - histogram[64] // 2)
@@ -117,6 +119,50 @@ def test_plan_where_best_fit_loses():
     assert check_plan(histogram, packing.plan(histogram)) == -(-(600 + 400 + 600) // 12)
 
 
+def test_a_thousand_lengths_where_best_fit_alone_is_worse():
+    """All lengths come three to a full sequence: configurations cover all of them, and take fewer sequences than best fit."""
+    draw = np.random.default_rng(0)
+    a, b = draw.integers(300, 980, (2, 3000))
+    histogram = np.bincount(np.concatenate((a, b, 2048 - a - b)), minlength=2049)
+    assert np.count_nonzero(histogram) >= 1000
+    covered = np.zeros(2049)
+    for config, times in packing.fractional(histogram).items():
+        for length, n in config:
+            covered[length] += n * times
+    assert np.allclose(covered, histogram)
+    assert check_plan(histogram, packing.plan(histogram)) < packing.best_fit(histogram).total()
+
+
+def test_the_packing_query(spark, enc):
+    """``op2`` over its table, against pieces cut one document after the other."""
+    sf = "/root/testdata/sf0.001"
+    out = QUERIES["op2_best_fit_packing"](spark, sf).collect()
+    want = []
+    for d in load(spark, sf, "documents").collect():
+        ids = ids_of(enc, d.text, 0)
+        cuts = [0, *range(len(ids) % 2048 or 2048, len(ids), 2048), len(ids)]
+        want += [(d.doc_id, k, a, b - a, zlib.crc32(ids[a:b])) for k, (a, b) in enumerate(zip(cuts, cuts[1:]))]
+    assert sorted((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in out) == sorted(want)
+    used = {}
+    for r in sorted(out, key=lambda r: (r.sequence_id, r.offset)):
+        assert r.offset == used.get(r.sequence_id, 0)
+        used[r.sequence_id] = r.offset + r.length
+    assert max(used.values()) <= 2048 and len(used) <= -(-sum(used.values()) // 2048) * 1.01 + 1
+
+
+def test_the_token_file_query(spark, enc):
+    """``op8`` over its table, against ids encoded one document after the other."""
+    sf = "/root/testdata/sf0.001"
+    at = 0
+    got = {r.doc_id: r for r in QUERIES["op8_token_files"](spark, sf).collect()}
+    for d in sorted(load(spark, sf, "documents").collect(), key=lambda d: d.doc_id):
+        ids = ids_of(enc, d.text, 2)
+        r = got.pop(d.doc_id)
+        assert (r.start, r.n_tokens, r.ids_crc32) == (at, len(ids), zlib.crc32(ids))
+        at += len(ids)
+    assert not got
+
+
 @pytest.mark.parametrize("with_ids", [False, True])
 def test_packing(spark, enc, with_ids):
     rows = [(k, t, 1) for k, t in enumerate(TEXTS)] + [(None, "no id", 1)] + [(100 + k % 50, "some words " * (k % 40), 1) for k in range(300)]

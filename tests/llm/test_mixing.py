@@ -3,6 +3,7 @@
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -100,6 +101,77 @@ def test_slots_and_shards(spark):
     assert len({share[s, "=a"] for s in whole}) > 3 and all(30 < share[s, "=a"] < 62 for s in whole)
 
 
+def test_shard_counts_are_a_draw_without_replacement(spark, monkeypatch):
+    """Rows and columns of the counts add up exactly, and counts vary as draws do; draws are numbered through the shards."""
+    monkeypatch.setattr(mixing, "SHARD_CHUNK", 3)
+    docs = spark.createDataFrame([(k, "w " * 40, "abc"[k % 3], 0, 1, "k", 0.5, 2, "x") for k in range(900)], DOCS)
+    drawn = mixing.draws(mixing.targets(mixing.sizes(docs)), 4, 1)
+    want = {r.key: r.slots for r in drawn.collect()}
+    counts = mixing.shard_counts(drawn, 256, 1).collect()
+    total = sum(want.values())
+    by_key, by_shard = Counter(), Counter()
+    for r in counts:
+        by_key[r.key] += r.n
+        by_shard[r.shard] += r.n
+    assert by_key == want and [by_shard[s] for s in sorted(by_shard)] == [256] * (total // 256) + [total % 256] * (total % 256 > 0)
+    for key in want:
+        at = 0
+        for r in sorted((r for r in counts if r.key == key), key=lambda r: r.shard):
+            assert r.before == at
+            at += r.n
+        p, whole = want[key] / total, [r.n for r in counts if r.key == key and by_shard[r.shard] == 256]
+        spread = (256 * p * (1 - p)) ** 0.5
+        assert 0.5 * spread < np.std(whole) < 1.5 * spread and max(abs(n - 256 * p) for n in whole) < 5 * spread
+
+
+def test_the_deal_by_brute_force(spark):
+    """Slots from counts: the k-th draw of a source is block permuted(k) of its pass, at its own place of the shard."""
+    docs = spark.createDataFrame([(k, "w " * (3 + k % 9), "ab"[k % 2], 0, 1, "k", 0.5, 2, "x") for k in range(60)], DOCS)
+    drawn = mixing.draws(mixing.targets(mixing.sizes(docs)), 4, 1)
+    sources = {r.key: r for r in drawn.collect()}
+    counts = mixing.shard_counts(drawn, 16, 1).collect()
+    asked = [(r.key, r.before + i, (r.before + i) % sources[r.key].blocks, (r.before + i) // sources[r.key].blocks, sources[r.key].blocks, r.shard, r.lead + i) for r in counts for i in range(r.n)]
+    df = spark.createDataFrame(asked, "key string, k bigint, nth bigint, pass bigint, blocks bigint, shard bigint, i bigint")
+    total = len(asked)
+    size = F.least(F.lit(16), F.lit(total) - F.col("shard") * 16)
+    df = df.withColumn("block", mixing.permuted(F.col("nth"), F.col("blocks"), F.lit(1), F.col("key"), F.col("pass")))
+    df = df.withColumn("position", F.col("shard") * 16 + mixing.permuted(F.col("i"), size.cast("bigint"), F.lit(1), F.lit("shard"), F.col("shard")))
+    want = sorted((r.shard, r.position, r.key, r["pass"], r.block) for r in df.collect())
+    got = sorted((r.shard, r.position, r.key, r["pass"], r.block) for r in mixing.slots(drawn, 4, 16, 1).collect())
+    assert got == want and [p for _, p, *_ in got] == list(range(total))
+
+
+def test_slots_are_made_in_many_tasks(spark):
+    """A plan test: the slots behind the explosion are in a stated number of partitions, which later merging leaves alone."""
+    docs = spark.createDataFrame([(k, "w " * 40, "ab"[k % 2], 0, 1, "k", 0.5, 2, "x") for k in range(400)], DOCS)
+    drawn = mixing.draws(mixing.targets(mixing.sizes(docs)), 4, 1)
+    made = mixing.slots(drawn, 4, 256, 1)
+    assert made.groupBy(F.spark_partition_id()).count().count() >= spark.sparkContext.defaultParallelism
+    assert mixing.tasks(spark, 10**9) == -(-10**9 // mixing.TASK_SLOTS)
+
+
+def test_one_id_on_very_many_rows(spark, monkeypatch):
+    """One id (and one text) on most rows is spread over chunks, and all words are dealt with."""
+    monkeypatch.setattr(mixing, "CHUNK_ROWS", 50)
+    rows = [(7, "same words here", "a", 5, 1, "k", 0.5, 2, "x")] * 700 + [(k, f"other words {k}", "b", 5, 1, "k", 0.5, 2, "x") for k in range(300)]
+    docs = spark.createDataFrame(rows, DOCS)
+    check(rows, mixing.taken_words(docs, block_words=8).collect())
+    sized = mixing.sizes(docs)
+    parts = mixing.parts(sized, 8).groupBy("key", "block").agg(F.sum("n").alias("n")).collect()
+    assert sum(r.n for r in parts) == 700 * 3 + 300 * 3 and max(r.n for r in parts) == 8
+
+
+def test_mixed_documents_lie_in_the_order_of_the_mix(spark):
+    docs = spark.createDataFrame([(k, " ".join(f"d{k}w{i}" for i in range(64)), "ab"[k % 2], 0, 1, "k", 0.5, 2, "x") for k in range(200)], DOCS)
+    place = {}
+    sized = mixing.sizes(docs)
+    for r in mixing.mix(sized, mixing.targets(sized), block_words=64).collect():
+        place.setdefault((r.doc_id, r["pass"]), []).append(r.position)
+    out = mixing.mixed_documents(docs, block_words=64).withColumn("p", F.spark_partition_id()).withColumn("i", F.monotonically_increasing_id()).orderBy("p", "i").collect()
+    firsts = sorted((min(v), k[0]) for k, v in place.items())
+    assert [r.doc_id for r in out] == [d for _, d in firsts]
+
+
 @pytest.mark.parametrize("block", [2, 256])
 def test_mixed_documents(spark, block):
     docs = spark.createDataFrame(ODD, DOCS)

@@ -168,6 +168,37 @@ def test_copies_and_odd_vectors(spark, shard_rows):
     assert set(found) == {i for i, _ in rows if i % 20 == 0}
 
 
+def test_one_id_on_very_many_near_vectors(spark):
+    """An id that fills a query's list leaves no place empty: the list grows until it holds enough ids."""
+    draw = np.random.default_rng(1)
+    near = [(1, (np.array([1.0, 0, 0, 0]) + draw.normal(scale=0.01, size=4)).tolist()) for _ in range(400)]
+    others = [(100 + i, draw.normal(scale=0.2, size=4).tolist()) for i in range(301)]
+    rows = [(0, [1.0, 0.0, 0.0, 0.0]), *near, *others]
+    table = hnsw.valid(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>"))
+    out = sorted(hnsw.nearest(hnsw.build_index(table, k=20), table.where("id = 0"), k=20).collect(), key=lambda r: r["rank"])
+    best = {}
+    for i, v in rows[1:]:
+        best[i] = max(best.get(i, -9.0), v[0])
+    want = sorted(best.items(), key=lambda x: (-x[1], x[0]))[:20]
+    assert len(out) == 20 and out[0].vec_id == 1 and len({r.vec_id for r in out} & {i for i, _ in want}) >= 19
+
+
+def test_shards_grow_with_the_table():
+    assert [hnsw.rows_of_shard(n) for n in (100, 16_384, 1_000_000, 10**9)] == [8192, 8192, 64_000, 131_072]
+
+
+@pytest.mark.parametrize("shard_rows", [300, 1500])
+def test_recall_at_two_shard_sizes(spark, shard_rows):
+    draw = np.random.default_rng(4)
+    vectors = draw.normal(size=(3000, 16)) * draw.uniform(0.5, 2, (3000, 1))
+    table = hnsw.valid(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id bigint, embedding array<double>"))
+    found = {}
+    for r in hnsw.nearest(hnsw.build_index(table, k=20, shard_rows=shard_rows), table.where("id % 20 = 0"), k=20).collect():
+        found.setdefault(r.query_id, set()).add(r.vec_id)
+    hits = sum(len(found[q] & set([i for i in np.argsort(-(vectors @ vectors[q]), kind="stable") if i != q][:20])) for q in range(0, 3000, 20))
+    assert hits >= 0.9 * 150 * 20
+
+
 def test_few_and_no_vectors(spark):
     table = spark.createDataFrame([(20, [1.0, 0.0]), (1, [0.5, 0.5]), (2, [-1.0, 0.0])], "vec_id bigint, embedding array<float>")
     valid = hnsw.valid(table)

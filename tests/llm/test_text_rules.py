@@ -5,7 +5,9 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from tidepool.llm import quality, token_counts, toxicity
 from tidepool.llm.encoding import public_tokenizer
@@ -185,6 +187,79 @@ def test_token_counts_of_real_words(spark, counter):
             assert n == want[0] and s == pytest.approx(want[1]), w
 
 
+def test_nul_characters_count(spark, counter):
+    """U+0000 at a word's end, and within, in words that share a trie and in long ones."""
+    words = ["a", "a\0", "a\0\0", "a\0b", "\0", "\0" * 60, "b" * 60 + "\0"]
+    counter.words = {"": (0, 0.0)}
+    score = token_counts.scores(token_counts.vocabulary(public_tokenizer("piece_bpe_32k.model")))
+    n, tokens, total = counter.texts(pa.array(words))
+    for w, count, s in zip(words, tokens.tolist(), total.tolist()):
+        want = segmented(w, score, counter.byte)
+        assert count == want[0] and s == pytest.approx(want[1]), repr(w)
+
+
+def test_the_token_count_query(spark, counter):
+    score = token_counts.scores(token_counts.vocabulary(public_tokenizer("piece_bpe_32k.model")))
+    known = {}
+    got = {r.doc_id: r for r in QUERIES["op6_token_counts"](spark, SF).collect()}
+    for d in load(spark, SF, "documents").collect():
+        words = WORD.findall(d.text or "")
+        for w in words:
+            known[w] = known.get(w) or segmented(w, score, counter.byte)
+        r = got.pop(d.doc_id)
+        assert (r.n_pretokens, r.n_tokens) == (len(words), sum(known[w][0] for w in words)) and r.score == pytest.approx(sum(known[w][1] for w in words))
+    assert not got
+
+
+def test_one_labelled_id_on_very_many_documents(spark):
+    """The learning samples are bounded in rows and bytes: one document of each id, and none of the longest."""
+    many = spark.range(3000).select(F.lit(7).cast("bigint").alias("doc_id"), F.concat(F.lit("text number "), F.col("id").cast("string")).alias("text"))
+    others = spark.createDataFrame([(8, "a b c"), (9, "x" * (toxicity.FIT_BYTES + 1)), (10, None), (None, "no id")], "doc_id bigint, text string")
+    docs = many.unionByName(others)
+    labels = spark.createDataFrame([(i, 1, 0) for i in (7, 8, 9, 10)] + [(7, 1, 0)], "doc_id bigint, toxic int, quality int")
+    rows = toxicity.sample(docs, labels, 10, "doc_id", "text", "toxic").collect()
+    learned = [i for i in (7, 8, 10) if zlib.crc32(str(i).encode()) % 3 != 1]
+    assert len(rows) == len(learned)
+    again = toxicity.sample(docs.repartition(7), labels, 10, "doc_id", "text", "toxic").collect()
+    assert sorted(map(str, rows)) == sorted(map(str, again))
+    found, name = quality.judged(docs, labels)
+    assert found.count() == 3004
+
+
+def test_path_lengths_by_brute_force():
+    """Scores against trees walked node by node; the length of a leaf's path is the splits above it and what is expected of its rows."""
+    draw = np.random.default_rng(2)
+    x = np.round(draw.normal(size=(400, 4)), 1)
+    rates = (0, 2, 3)
+    forest = quality.grow(x, rates, trees=7, rows=100, depth=6)
+    for row, got in zip(x[:80], forest.score(x[:80])):
+        lengths = []
+        for t in range(7):
+            node, level = 0, 0
+            while forest.feature[t, node] >= 0:
+                right = row[rates[forest.feature[t, node]]] >= forest.value[t, node]
+                node, level = forest.left[t, node] + int(right), level + 1
+            held = forest.path[t, node] - level
+            assert level <= 6 and held >= 0
+            lengths.append(level + held)
+        assert got == pytest.approx(2 ** (-np.mean(lengths) / forest.norm))
+    # A tree's leaves hold its 100 rows: their expected lengths add up from the numbers in them.
+    harmonic = lambda n: 0.0 if n < 2 else 1.0 if n == 2 else 2 * (np.log(n - 1) + 0.5772156649) - 2 * (n - 1) / n
+    possible = [harmonic(n) for n in range(101)]
+    assert all(min(abs(forest.path[t, leaf] - level - p) for p in possible) < 1e-9 for t in range(7) for leaf, level in leaves_of(forest, t))
+
+
+def leaves_of(forest, t):
+    open_, out = [(0, 0)], []
+    while open_:
+        node, level = open_.pop()
+        if forest.feature[t, node] < 0:
+            out.append((node, level))
+        else:
+            open_ += [(forest.left[t, node], level + 1), (forest.left[t, node] + 1, level + 1)]
+    return out
+
+
 def test_copies_and_repeats_teach_nothing(spark):
     """A lexicon term needs varied neighbours: words of one toxic text in many copies, or of runs, are none."""
     draw = np.random.default_rng(5)

@@ -6,7 +6,7 @@ import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidepool.session import checkpoint_dir
@@ -70,6 +70,20 @@ def column(df: DataFrame, name: str):
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def one_per_id(documents: DataFrame, id_col: str, text_col: str, chosen: DataFrame, most_bytes: int) -> DataFrame:
+    """For a learning sample: ``t`` of one document of each of ``chosen``'s ids ``k`` (a bounded number), with ``chosen``'s columns.
+
+    Of rows with one id that with the smallest hash of its text; texts above
+    ``most_bytes`` are not learned from.  So rows and bytes are bounded, however
+    many documents have one id.
+    """
+    text = column(documents, text_col)
+    rows = documents.select(column(documents, id_col).cast("bigint").alias("k"), text.alias("t"))
+    rows = rows.where(F.coalesce(F.octet_length("t"), F.lit(0)) <= most_bytes).join(F.broadcast(chosen), "k")
+    first = Window.partitionBy("k").orderBy(F.xxhash64("t"), "t")  # a top-1, taken before the shuffle too
+    return rows.withColumn("nth_", F.row_number().over(first)).where("nth_ = 1").drop("nth_")
+
+
 def words_of(text: str) -> list[bytes]:
     """Words of a text as UTF-8 bytes: ``bytes.split`` splits at exactly the six ASCII blanks of ``WORD``."""
     return text.encode("utf-8").split()

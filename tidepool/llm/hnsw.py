@@ -2,7 +2,7 @@
 
 Equal vectors are one node that lists its smallest ids (one more than a search
 returns: no other copy can be among the nearest, since ties go to smaller ids).
-Nodes are dealt to shards of about ``SHARD_ROWS`` by a hash.  Each shard's graph
+Nodes are dealt to shards by a hash (``rows_of_shard``).  Each shard's graph
 is built by one task, in batches that double up to ``BATCH``: a batch searches
 the graph so far in lockstep, picks diverse neighbours, and the neighbours are
 linked back and pruned.  Inner product becomes a metric through one more
@@ -10,12 +10,14 @@ coordinate that gives all nodes the same norm.  The index is a table: a row per
 node with its vector, ids and a flat neighbour array per layer.
 
 A search task holds one shard and streams a group of queries through it; the
-candidates are scored in double precision on the original vectors.  The merge is
+candidates are scored in double precision on the original vectors, and each id
+counts once, with its best.  A query for which the list holds fewer ids than
+wanted is searched again with a longer one.  The merge is
 a ranking per query over a bounded number of rows per shard.
 
 Defined cases: vectors that are null, all zero, or hold a null, NaN or infinite
 component take no part, nor do those of another length than the commonest
-(ties: the longer); equal rows count once; one id with several vectors has them
+(ties: the longer); equal rows count once; other columns are not read; one id with several vectors has them
 all as candidates, and all as queries (each result then is of the best of them);
 a null id takes no part; no valid vectors give no rows.
 """
@@ -31,8 +33,10 @@ from pyspark.sql import functions as F
 
 from tidepool.llm import common
 
-SHARD_ROWS = 8192
-QUERY_GROUP = 20_000
+#: Nodes of a shard: the larger the table the more, so that each query meets fewer shards, within what one task can hold.
+LEAST_SHARD, MOST_SHARD = 8192, 131_072
+#: Queries that are worth a copy of a shard of their own, at least.
+QUERY_GROUP = 2_000
 #: Neighbours of a node in the upper layers (twice as many in the lowest), and list lengths of building and searching.
 LINKS = 16
 EF_BUILD = 80
@@ -189,7 +193,12 @@ def valid(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding"
     return rows.where(F.size("vec") == (length["n"] if length else 0))
 
 
-def build_index(rows: DataFrame, k: int, shard_rows: int = SHARD_ROWS) -> DataFrame:
+def rows_of_shard(nodes: int) -> int:
+    """Nodes of a shard for a table of so many: 64 times the root, within bounds."""
+    return min(MOST_SHARD, max(LEAST_SHARD, int(64 * nodes**0.5)))
+
+
+def build_index(rows: DataFrame, k: int, shard_rows: int | None = None) -> DataFrame:
     """The stored index over ``valid`` rows for searches of ``k`` nearest: a row per node."""
     spark = rows.sparkSession
     common.prepare(spark)
@@ -197,7 +206,8 @@ def build_index(rows: DataFrame, k: int, shard_rows: int = SHARD_ROWS) -> DataFr
     nodes = common.stored(common.gathered(
         rows.distinct().withColumn("nth", F.row_number().over(copies)).where(F.col("nth") <= k + 1)
         .groupBy("vec").agg(F.sort_array(F.collect_list("id")).alias("ids")), rows.count()), "hnsw-nodes")
-    n_shards = max(1, -(-nodes.count() // shard_rows))
+    n_nodes = nodes.count()
+    n_shards = max(1, -(-n_nodes // (shard_rows or rows_of_shard(n_nodes))))
     dealt = nodes.select(F.pmod(F.xxhash64("vec"), F.lit(n_shards)).cast("int").alias("shard"), "vec", "ids")
     schema = pa.schema([("shard", pa.int32()), ("node", pa.int32()), ("vec", pa.list_(pa.float64())), ("ids", pa.list_(pa.int64())),
                         ("layers", pa.list_(pa.list_(pa.int32())))])
@@ -248,7 +258,9 @@ def nearest(index: DataFrame, queries: DataFrame, k: int, ef: int = EF_SEARCH) -
     """The ``k`` nearest rows found for every query (``id``, ``vec``), without the query's own id."""
     n_shards = (index.agg(F.max("shard")).first()[0] or 0) + 1
     n_queries = queries.count()
-    groups = max(1, -(-n_queries // QUERY_GROUP))
+    # A task streams its queries through one loaded shard.  Copies of a shard only fill the cores, however many the queries.
+    cores = queries.sparkSession.sparkContext.defaultParallelism
+    groups = max(1, min(-(-2 * cores // n_shards), -(-n_queries // QUERY_GROUP)))
     asked = (
         queries.distinct().withColumn("part", F.pmod(F.xxhash64("id"), F.lit(groups)).cast("int"))
         .select(F.explode(F.sequence(F.lit(0), F.lit(n_shards - 1))).alias("shard"), "part", F.lit(None).cast("int").alias("node"), "vec", F.array("id").alias("ids"), F.lit(None).cast("array<array<int>>").alias("layers"))
@@ -278,12 +290,17 @@ def nearest(index: DataFrame, queries: DataFrame, k: int, ef: int = EF_SEARCH) -
         def answers(graph, ids, waiting):
             for i in range(0, len(waiting) if graph else 0, BATCH):
                 part = waiting[i: i + BATCH]
-                asked = np.stack([v for _, v in part])
-                for (own, vec), found in zip(part, graph.search(asked, ef)):
-                    found = found[found >= 0]
-                    score = graph.vectors[found] @ vec
-                    best = sorted((-s, i) for s, at in zip(score.tolist(), found.tolist()) for i in ids[at] if i != own)[:k]
-                    yield from ((own, i, -s) for s, i in best)
+                width = ef
+                while part:
+                    again = []
+                    for (own, vec), found in zip(part, graph.search(np.stack([v for _, v in part]), width)):
+                        found = found[found >= 0]
+                        best = best_ids(graph.vectors[found] @ vec, [ids[at] for at in found.tolist()], own, k)
+                        if len(best) < k and len(found) < len(graph.points) and width < len(graph.points):
+                            again.append((own, vec))  # few ids hold all that was found: a longer list
+                        else:
+                            yield from ((own, i, s) for s, i in best)
+                    part, width = again, width * 4
 
         yield from common.batches(rows(), schema)
 
@@ -293,6 +310,16 @@ def nearest(index: DataFrame, queries: DataFrame, k: int, ef: int = EF_SEARCH) -
     return common.gathered(found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score"), n_queries * k)
 
 
+def best_ids(score: np.ndarray, ids: list[list[int]], own: int, k: int) -> list[tuple[float, int]]:
+    """The ``k`` best (score, id), each id once with its best score, without ``own``; ties to smaller ids."""
+    best: dict[int, float] = {}
+    for s, held in zip(score.tolist(), ids):
+        for i in held:
+            if i != own and s > best.get(i, -np.inf):
+                best[i] = s
+    return sorted(((s, i) for i, s in best.items()), key=lambda x: (-x[0], x[1]))[:k]
+
+
 def _graph(nodes: list[tuple[np.ndarray, list[list[int]]]]) -> Graph:
     """A graph from its nodes' vectors and neighbours, in node order."""
     layers = []

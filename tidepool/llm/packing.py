@@ -4,10 +4,14 @@ Documents are encoded and cut into pieces of at most ``capacity`` tokens.  Only
 the histogram of piece lengths (at most ``capacity`` numbers, whatever the
 number of documents) comes to the driver, where
 
-1. a configuration (a multiset of lengths that fits a sequence) is priced by a
-   knapsack dynamic programme under the current weights of the lengths;
-2. multiplicative weights lower the weight of each length by the share of it
-   that the configuration covers, and the next configuration is priced;
+1. each step fills the table of a knapsack dynamic programme under the current
+   weights of the lengths, which prices the best filling of every room;
+2. every length that is not yet covered is put into a configuration (a multiset of
+   lengths that fits a sequence) with the best filling of the room it leaves, and
+   that configuration takes a share of the length's demand, as far as its other
+   lengths last; multiplicative weights then lower the weight of each length by
+   the share of it that is covered.  Steps go on until all demand is covered,
+   with shares that grow, so their number follows from the histogram;
 3. the configurations' fractional counts are rounded down, those that waste
    least first, and best fit decreasing packs what is left, whole classes of
    equal bins at a time.  How much waste a configuration may have is tried at
@@ -18,8 +22,10 @@ of its length (its count inside its task, plus those of earlier tasks) names
 its place: a lookup, with no sort and nothing that depends on one hot length.
 
 Defined cases: a null text is an empty one, of the end token alone; null and
-repeated ids are carried along, each row a document of its own; an empty table
-gives no pieces.
+repeated ids are carried along, each row a document of its own; texts of any
+length are cut whole; pieces of one length are alike, so ties between them are
+settled by where they lie in the input; an empty table gives no pieces; other
+columns are not read, so their names don't matter.
 """
 
 from __future__ import annotations
@@ -39,15 +45,18 @@ from tidepool.llm.encoding import encoder
 
 Config = tuple[tuple[int, int], ...]  # (length, copies)
 
-#: Steps of the multiplicative weights.
-STEPS = 800
+#: Share of a length's demand that a step covers at first (one sequence at least), and by how much it grows with each step.
+SHARE = 0.05
+GROWTH = 1.06
+#: How fast the weight of a length falls with the share of it that is covered.
+RATE = 8.0
 
 PIECE = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, part int, nth bigint"
 PLACED = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, sequence_id bigint, offset bigint"
 
 
-def knapsack(lengths: np.ndarray, values: np.ndarray, capacity: int) -> dict[int, int]:
-    """Copies of each index of ``lengths`` (ascending) with the largest value that fits, any number of each."""
+def knapsack(lengths: np.ndarray, values: np.ndarray, capacity: int) -> np.ndarray:
+    """For every room up to ``capacity``, the index of ``lengths`` (ascending) that its best filling begins with; -1 where nothing adds value."""
     best = np.zeros(capacity + 1)
     took = np.full(capacity + 1, -1)
     fitting = np.searchsorted(lengths, np.arange(capacity + 1), side="right")
@@ -55,41 +64,42 @@ def knapsack(lengths: np.ndarray, values: np.ndarray, capacity: int) -> dict[int
         k = fitting[room]
         value = best[room - lengths[:k]] + values[:k]
         top = int(value.argmax())
-        best[room], took[room] = value[top], top
-    out: Counter[int] = Counter()
-    room = capacity
-    while room >= lengths[0] and best[room] > 0:
-        out[int(took[room])] += 1
-        room -= int(lengths[took[room]])
-    return dict(out)
+        if value[top] > 0:
+            best[room], took[room] = value[top], top
+    return took
 
 
-def fractional(histogram: np.ndarray, steps: int = STEPS) -> dict[Config, float]:
-    """Fractional configuration counts that cover the lengths, as far as ``steps`` go.
+def filling(lengths: list[int], took: list[int], room: int) -> list[int]:
+    """Indices of the best filling of a room."""
+    out = []
+    while took[room] >= 0:
+        out.append(took[room])
+        room -= lengths[took[room]]
+    return out
 
-    The fewer lengths there are, the smaller a step and the faster the weights
-    fall: with few lengths the choice of partners matters, with many the fill.
-    """
+
+def fractional(histogram: np.ndarray, share: float = SHARE) -> dict[Config, float]:
+    """Fractional configuration counts that cover all demand."""
     capacity = len(histogram) - 1
     lengths = np.flatnonzero(histogram)
-    if not len(lengths):
-        return {}
+    sizes = lengths.tolist()
     demand = histogram[lengths].astype(float)
-    covered = np.zeros(len(lengths))
-    share = min(1.0, max(0.02, 2 * len(lengths) / steps))  # of a length's demand that a step covers at most
-    rate = min(30.0, 1 / share)
+    room = demand.copy()  # pieces not yet covered
     out: dict[Config, float] = {}
-    for _ in range(steps):
-        left = covered < 1 - 1e-9
-        if not left.any():
-            break
+    while (left := room > 1e-9 * demand).any():
         # Weights start at a piece's length, squared: long pieces have few partners and choose first.
-        copies = knapsack(lengths, lengths.astype(float) ** 2 * np.exp(-rate * covered) * left, capacity)
-        at, n = np.array(list(copies)), np.array(list(copies.values()))
-        times = min(share * (demand[at] / n).min(), ((1 - covered[at]) * demand[at] / n).max())
-        covered[at] += times * n / demand[at]
-        config = tuple(sorted((int(lengths[i]), c) for i, c in copies.items()))
-        out[config] = out.get(config, 0.0) + times
+        took = knapsack(lengths, lengths.astype(float) ** 2 * np.exp(-RATE * (1 - room / demand)) * left, capacity).tolist()
+        for i in np.flatnonzero(left)[::-1].tolist():
+            if room[i] <= 1e-9 * demand[i]:
+                continue
+            # Of the filling, lengths that this step has used up drop out: the next step prices the others higher.
+            copies = Counter([i, *(j for j in filling(sizes, took, capacity - sizes[i]) if room[j] > 1e-9 * demand[j])])
+            times = min(max(1.0, share * demand[i] / copies[i]), *(room[j] / n for j, n in copies.items()))
+            for j, n in copies.items():
+                room[j] -= times * n
+            config = tuple(sorted((sizes[j], n) for j, n in copies.items()))
+            out[config] = out.get(config, 0.0) + times
+        share = min(1.0, share * GROWTH)
     return out
 
 
@@ -141,16 +151,16 @@ def rounded(histogram: np.ndarray, found: dict[Config, float], spare: int) -> Co
     return out
 
 
-def plan(histogram: np.ndarray, steps: int = STEPS) -> list[tuple[Config, int]]:
+def plan(histogram: np.ndarray) -> list[tuple[Config, int]]:
     """Configurations with whole counts that pack exactly ``histogram`` (index: length, up to the capacity)."""
     capacity = len(histogram) - 1
     rest = histogram.astype(np.int64).copy()
     full = int(rest[capacity])
     rest[capacity] = 0
-    found = fractional(rest, steps)
+    found = fractional(rest)
     bound = -(-int((rest * np.arange(capacity + 1)).sum()) // capacity)
     best: Counter[Config] | None = None
-    for spare in [0, *(2**k for k in range(capacity.bit_length()))]:
+    for spare in [0, *(2**k for k in range(capacity.bit_length())), -1]:  # -1: best fit alone
         tried = rounded(rest, found, spare)
         if best is None or tried.total() < best.total():
             best = tried
@@ -219,13 +229,13 @@ def pieces(df: DataFrame, tokenizer: str, end_id: int, capacity: int, id_col: st
     return common.stored(rows.mapInArrow(cut, PIECE + ", ids binary" * with_ids), "pieces")
 
 
-def pack(cut: DataFrame, capacity: int, steps: int = STEPS) -> DataFrame:
+def pack(cut: DataFrame, capacity: int) -> DataFrame:
     """``sequence_id`` and ``offset`` for every row of ``pieces``."""
     counts = cut.groupBy("length", "part").agg(F.count("*").alias("n"))
     histogram = np.zeros(capacity + 1, dtype=np.int64)
     for length, n in cut.groupBy("length").count().collect():  # at most `capacity` rows
         histogram[length] = n
-    table, n_pieces = runs(plan(histogram, steps), capacity), int(histogram.sum())
+    table, n_pieces = runs(plan(histogram), capacity), int(histogram.sum())
     before = F.sum("n").over(Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1))  # a row per task
     first = counts.select("length", "part", F.coalesce(before, F.lit(0)).alias("first"))
     with_ids = "ids" in cut.columns

@@ -15,7 +15,11 @@ the components that follow.
 
 Defined cases: a null text is an empty one; a text of no words has fingerprint
 zero and is linked like any other; null ids never become a ``component_id``
-unless the whole component has none; repeated ids are rows of their own.
+unless the whole component has none; repeated ids are rows of their own, and of
+repeated rows ``deduplicated`` keeps one; texts of any length are read whole; of
+equally good rows the smallest id, then the smallest hash of the text is kept; an
+empty table gives no rows; extra columns are kept by ``deduplicated``, whatever
+their names, and not read otherwise.
 """
 
 from __future__ import annotations

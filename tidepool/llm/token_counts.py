@@ -17,7 +17,10 @@ piece covers costs its UTF-8 bytes, a token each, with a score below every
 piece's.  Ties of score go to fewer tokens.
 
 Defined cases: a null or empty text has no pre-tokens, no tokens and score 0;
-words above ``LONG_WORD`` characters are run one by one, in any length.
+words above ``LONG_WORD`` characters are run one by one, in any length, and texts
+of any length are counted whole; U+0000 is a character like others; repeated rows
+and ids are texts of their own; an empty table gives no rows; other columns are
+not read, so their names don't matter.
 """
 
 from __future__ import annotations
@@ -99,7 +102,7 @@ class Counter:
             return
         text = np.array([WORD_MARK + w for w in words])
         letters = text.view(np.uint32).reshape(len(words), -1).astype(np.int64)
-        length = np.char.str_len(text)
+        length = np.array([len(w) + 1 for w in words])  # numpy's own lengths leave out NULs at the end
         same = np.concatenate(([0], np.cumprod(letters[1:] == letters[:-1], axis=1).sum(axis=1)))  # characters shared with the row above
         tokens, score = np.zeros(len(words), dtype=np.int64), np.zeros(len(words))
         node = np.zeros(len(words), dtype=np.int64)  # of each row, one level up

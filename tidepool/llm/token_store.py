@@ -16,7 +16,8 @@ File layout (integers little-endian):
 
 Defined cases: a null text is an empty one; an empty text has the end id only;
 null ids come first, in any order; repeated ids are documents of their own,
-next to each other; an empty table gives no files and no rows.
+next to each other; texts of any length are encoded whole; an empty table gives
+no files and no rows; other columns are not read, so their names don't matter.
 """
 
 from __future__ import annotations

@@ -21,7 +21,11 @@ Each worker keeps the verdicts of word forms it has met, up to a bound.
 
 Defined cases: a null or empty text has no match and gets the score of that;
 without toxic labels the lexicon is empty and every document gets that score;
-several labels of one id count as toxic if one is; a null id is not held out.
+several labels of one id count as toxic if one is, and of several documents of
+one id the sample takes one; a null id is not held out; texts of any length are
+scored whole; repeated rows are scored alike, each on its own; of terms that tell
+as much the longer, then the first by letters is chosen first; an empty table
+gives no rows; extra columns are kept, and the score takes a free name.
 """
 
 from __future__ import annotations
@@ -43,6 +47,8 @@ from tidepool.llm import common
 
 #: Labelled documents that are learned from, at most: those of the smallest hashes of their ids.
 FIT_ROWS = 12_000
+#: Longer texts are scored like others, but not learned from.
+FIT_BYTES = 1 << 18
 STEM_LENGTHS = range(4, 9)
 #: Different pairs of neighbours that a term needs: so many, and this share of the toxic documents that hold it.
 MIN_CONTEXTS = 4
@@ -258,15 +264,14 @@ def held_out(id_):
 
 
 def sample(documents: DataFrame, labels: DataFrame, fit_rows: int, id_col: str, text_col: str, toxic_col: str) -> DataFrame:
-    """At most ``fit_rows`` labelled documents that may be learned from, stored: ``toxic``, ``t``."""
+    """At most ``fit_rows`` labelled documents that may be learned from, stored: ``toxic``, ``t``; one of each sampled id, of at most ``FIT_BYTES`` bytes."""
     key, toxic = common.column(labels, id_col), common.column(labels, toxic_col)
     chosen = (
         labels.select(key.cast("bigint").alias("k"), toxic.cast("int").alias("toxic")).where("k IS NOT NULL AND toxic IN (0, 1)")
         .where(~held_out(F.col("k"))).groupBy("k").agg(F.max("toxic").alias("toxic"))
         .orderBy(F.xxhash64("k"), "k").limit(fit_rows)
     )
-    texts = documents.select(common.column(documents, id_col).cast("bigint").alias("k"), common.column(documents, text_col).alias("t"))
-    return common.stored(texts.join(F.broadcast(chosen), "k").select("toxic", "t"), "toxicity-sample")  # at most fit_rows
+    return common.stored(common.one_per_id(documents, id_col, text_col, chosen, FIT_BYTES).select("toxic", "t"), "toxicity-sample")
 
 
 def lexicon(rows: DataFrame) -> tuple[str, ...]:

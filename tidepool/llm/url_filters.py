@@ -14,7 +14,10 @@ pages (``host/path`` without query, fragment and trailing slashes).
 Defined cases: a null or unreadable URL has no host and matches nothing, nor
 does a null fetch time; entries with a null pattern, date or action are
 ignored; of several entries of one list, pattern and date ``add`` wins; an
-entry that repeats the state before it changes nothing.
+entry that repeats the state before it changes nothing; repeated captures are
+judged alike, each on its own; URLs of any length are read whole; no entries block
+nothing, and no captures give no rows; extra columns of the captures are kept, and
+an own column ``filter`` is replaced.
 """
 
 from __future__ import annotations

@@ -15,7 +15,9 @@ range, and records are cut from it by their index rows.
 Defined cases: a null payload is an empty one; a null URL is written as an
 empty one; records with a null id come last in the choice of the response and
 have no ``refers_to`` if all are null; equal records with the same smallest id
-are all responses; an empty table gives no archives.
+are all responses; payloads of any length are written and read whole, one at a
+time; an empty table gives no archives; other columns are not read, so their names
+don't matter.
 """
 
 from __future__ import annotations
