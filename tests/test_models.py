@@ -26,12 +26,10 @@ def test_three_scoring_forms_agree_and_auc_floor(spark, tmp_dir):
                             (train.train_gbt, {"maxIter": 10, "maxDepth": 4})):
         fitted = trainer(df, FEATS, "y", params)
         v = registry.register_model(spark, tmp_dir, "m", fitted)
-        path = registry.model_path(spark, tmp_dir, "m", v)
         model = registry.load_model(spark, tmp_dir, "m", v)
         t = predict.predict_transform(model, df, FEATS).select("k", F.col("predictions").alias("p1"))
-        ens = predict.load_ensemble(spark, path)
-        u = df.withColumn("p3", predict.udf_column(ens, FEATS)).select("k", "p3")
-        predict.register_predict_sql(spark, {f"m/{v}": ens})
+        u = df.withColumn("p3", predict.predict_udf(model)(*FEATS)).select("k", "p3")
+        predict.register_predict_sql(spark, {f"m/{v}": model})
         s = predict.predict_sql(spark, df, f"m/{v}", FEATS).select("k", F.col("predictions").alias("p2"))
         j = t.join(u, "k").join(s, "k")
         assert j.where("p1 != p2 OR p1 != p3").count() == 0

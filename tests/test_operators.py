@@ -159,7 +159,7 @@ def test_knn_exact_with_pruning_and_blocks(spark):
     vecs = np.vstack([c + rng.normal(size=(50, 4)) for c in centers])
     ids = list(range(len(vecs)))
     df = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in zip(ids, vecs)], "id long, v array<double>")
-    got = oversample.knn(df, "id", "v", k=5, pivots=8, block_rows=16)
+    got = oversample.knn(df, "id", "v", k=5, leaf_rows=16)
     res = {}
     for r in got.orderBy("id", "nbr_rank").collect():
         res.setdefault(r["id"], []).append(r["nbr_id"])
@@ -388,7 +388,7 @@ def test_smote_refuses_holes_and_too_few_rows(spark):
 def test_neighbours_of_equal_points(spark):
     """Points at one distance: k rows per point and block at most, the smallest ids first."""
     df = spark.createDataFrame([(i, [1.0, 2.0]) for i in range(60)], "id long, v array<double>")
-    got = oversample.knn(df, "id", "v", k=3, pivots=4, block_rows=16).collect()
+    got = oversample.knn(df, "id", "v", k=3, leaf_rows=16).collect()
     assert len(got) == 180
     for i in range(60):
         assert [r.nbr_id for r in sorted((r for r in got if r.id == i), key=lambda r: r.nbr_rank)] == [x for x in range(4) if x != i][:3]

@@ -1,106 +1,22 @@
 """Batch scoring in three API forms (PRD1-PRD4).
 
-* ``predict_transform`` -- the fitted ``PipelineModel.transform`` (JVM side);
+* ``predict_transform`` -- the fitted ``PipelineModel.transform``;
 * ``register_predict_sql`` -- a SQL function ``PREDICT('name/version', f1, ...)``
   usable in ``spark.sql`` and ``SQLTransformer``;
-* ``predict_udf`` -- the same scorer as a column function.
-
-The SQL and UDF forms are Arrow-batched pandas UDFs that walk the model's
-trees in numpy: a ``pyspark.ml`` model lives in the JVM and cannot be called
-from a Python worker, but its saved node table is plain Parquet.  The node
-arrays are read once on the driver (their size is fixed by the model's
-parameters, not by the data) and shipped with the UDF.  All three forms give
-the same predictions (tested row by row).
+* ``predict_udf`` -- a function on columns, ``model(*feature_columns)``.
+
+The SQL and column forms are the model written as one expression
+(``expression``): all three run in the JVM, without Python workers, and give the
+same predictions (tested row by row).
 """
 
 from __future__ import annotations
 
-import os
-from dataclasses import dataclass
-
-import numpy as np
-import pandas as pd
 from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-
-@dataclass
-class _Tree:
-    feature: np.ndarray
-    threshold: np.ndarray
-    left: np.ndarray
-    right: np.ndarray
-    value: np.ndarray  # leaf class probabilities (forest) or leaf prediction (boosted)
-
-
-@dataclass
-class TreeEnsemble:
-    kind: str  # "forest" or "boosted"
-    trees: list
-    weights: np.ndarray
-
-    def _leaf_values(self, tree: _Tree, x: np.ndarray) -> np.ndarray:
-        node = np.zeros(len(x), dtype=np.int64)
-        while True:
-            internal = tree.left[node] >= 0
-            if not internal.any():
-                break
-            i = np.nonzero(internal)[0]
-            n = node[i]
-            go_left = x[i, tree.feature[n]] <= tree.threshold[n]
-            node[i] = np.where(go_left, tree.left[n], tree.right[n])
-        return tree.value[node]
-
-    def predict(self, x: np.ndarray) -> np.ndarray:
-        """Class 0/1 (as double) for each row of the feature matrix ``x``."""
-        if self.kind == "forest":
-            total = sum(self._leaf_values(t, x) for t in self.trees)
-            return np.argmax(total, axis=1).astype(np.float64)
-        margin = sum(w * self._leaf_values(t, x) for t, w in zip(self.trees, self.weights))
-        return (margin > 0).astype(np.float64)
-
-
-def load_ensemble(spark: SparkSession, model_path: str, model: PipelineModel | None = None) -> TreeEnsemble:
-    """Read the saved classifier's node table into numpy arrays (driver side,
-    bounded by trees x nodes)."""
-    model = model or PipelineModel.load(model_path)
-    stage = model.stages[-1]
-    stage_dir = f"{model_path.rstrip('/')}/stages/{len(model.stages) - 1}_{stage.uid}"
-    kind = "forest" if "RandomForest" in type(stage).__name__ else "boosted"
-    nodes = spark.read.parquet(os.path.join(stage_dir, "data")).select(
-        "treeID", "nodeData.id", "nodeData.prediction", "nodeData.impurityStats",
-        "nodeData.leftChild", "nodeData.rightChild", "nodeData.split.featureIndex",
-        F.get(F.col("nodeData.split.leftCategoriesOrThreshold"), 0).alias("thr"),
-        "nodeData.split.numCategories").toPandas()
-    if (nodes["numCategories"] >= 0).any():
-        raise NotImplementedError("categorical splits are not supported by the numpy scorer")
-    trees = []
-    for _, t in sorted(nodes.groupby("treeID"), key=lambda kv: kv[0]):
-        t = t.sort_values("id")
-        size = int(t["id"].max()) + 1
-        feat = np.zeros(size, dtype=np.int64)
-        thr = np.zeros(size)
-        left = -np.ones(size, dtype=np.int64)
-        right = -np.ones(size, dtype=np.int64)
-        ids = t["id"].to_numpy()
-        feat[ids] = t["featureIndex"].fillna(0).astype(np.int64).to_numpy()
-        thr[ids] = t["thr"].fillna(0.0).to_numpy()
-        left[ids] = t["leftChild"].to_numpy()
-        right[ids] = t["rightChild"].to_numpy()
-        if kind == "forest":
-            stats = np.vstack([np.asarray(s, dtype=np.float64) for s in t["impurityStats"]])
-            probs = stats / stats.sum(axis=1, keepdims=True)
-            value = np.zeros((size, probs.shape[1]))
-            value[ids] = probs
-        else:
-            value = np.zeros(size)
-            value[ids] = t["prediction"].to_numpy()
-        trees.append(_Tree(feat, thr, left, right, value))
-    weights = np.ones(len(trees))
-    if kind == "boosted":
-        weights = np.asarray(stage.treeWeights, dtype=np.float64)
-    return TreeEnsemble(kind, trees, weights)
+from tidepool.models.expression import Ensemble, class_of, ensemble
 
 
 def predict_transform(model: PipelineModel, df: DataFrame, input_cols: list[str],
@@ -126,35 +42,36 @@ def model_transformer(spark: SparkSession, base: str, name: str, version: int, i
     return lambda df: predict_transform(model, df, input_cols, output_col)
 
 
-def _scorer(ensemble: TreeEnsemble):
-    def score(*cols: pd.Series) -> pd.Series:
-        x = np.column_stack([c.to_numpy(dtype=np.float64, na_value=np.nan) for c in cols])
-        return pd.Series(ensemble.predict(x))
-    return score
+def predict_udf(model: PipelineModel):
+    """PRD3: ``model(*feature_columns) -> predictions``, feature columns by name, in the model's order."""
+    found = ensemble(model)
 
+    def call(*columns: str) -> Column:
+        return class_of(found, list(columns))
 
-def predict_udf(ensemble: TreeEnsemble):
-    """PRD3: ``udf(*feature_columns) -> predictions`` (Arrow-batched)."""
-    return F.pandas_udf(_scorer(ensemble), "double")
+    return call
 
 
-def register_predict_sql(spark: SparkSession, models: dict[str, TreeEnsemble], name: str = "PREDICT"):
-    """PRD2: SQL function ``PREDICT('model/version', f1, f2, ...)``.
+def register_predict_sql(spark: SparkSession, models: dict[str, PipelineModel], name: str = "PREDICT") -> None:
+    """PRD2: SQL function ``PREDICT('model/version', f1, f2, ...)`` of this session.
 
-    ``models`` maps 'name/version' to a loaded ensemble; the first argument picks it.
+    ``models`` maps 'name/version' to loaded models of one number of features; the
+    first argument picks one of them (a constant: the others are folded away), and
+    an unknown one is an error.  Registering again replaces the function.
     """
-    def score(ref: pd.Series, *cols: pd.Series) -> pd.Series:
-        key = ref.iloc[0] if len(ref) else None
-        if len(ref) and (ref != key).any():
-            raise ValueError("PREDICT expects one model reference per call")
-        if key not in models:
-            raise KeyError(f"model {key!r} is not loaded for PREDICT")
-        x = np.column_stack([c.to_numpy(dtype=np.float64, na_value=np.nan) for c in cols])
-        return pd.Series(models[key].predict(x))
+    found: dict[str, Ensemble] = {ref: ensemble(m) for ref, m in models.items()}
+    counts = {e.features for e in found.values()}
+    if len(counts) != 1:
+        raise ValueError("models of one call must have one number of features")
+    parameters = [f"f{i}" for i in range(counts.pop())]
+    cases = " ".join(f"WHEN {_literal(ref)} THEN {e.sql(parameters)}" for ref, e in found.items())
+    body = f"CASE model {cases} ELSE raise_error(concat('model ', model, ' is not loaded for PREDICT')) END"
+    declared = ", ".join(["model STRING", *[f"{p} DOUBLE" for p in parameters]])
+    spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}({declared}) RETURNS DOUBLE RETURN {body}")
 
-    fn = F.pandas_udf(score, "double")
-    spark.udf.register(name, fn)
-    return fn
+
+def _literal(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def predict_sql(spark: SparkSession, df: DataFrame, model_ref: str, feature_cols: list[str],
@@ -169,7 +86,3 @@ def predict_sql(spark: SparkSession, df: DataFrame, model_ref: str, feature_cols
     lead = "*, " if keep_inputs else ""
     stmt = f"SELECT {lead}PREDICT('{model_ref}', {', '.join(feature_cols)}) AS {output_col} FROM __THIS__"
     return SQLTransformer(statement=stmt).transform(df)
-
-
-def udf_column(ensemble: TreeEnsemble, feature_cols: list[str]) -> Column:
-    return predict_udf(ensemble)(*[F.col(c) for c in feature_cols])

@@ -4,7 +4,8 @@ The reference trains scikit-learn forests and LightGBM on the driver; here the
 same three configurations are ``pyspark.ml`` estimators fitted on a
 distributed DataFrame.  Not the same models: ``min_samples_split`` maps to
 ``minInstancesPerNode`` (per child, not per parent), trees grow level-wise and
-``max_delta_step`` has no counterpart -- quality is comparable, not equal.
+``max_delta_step`` has no counterpart -- quality is comparable, not equal.  The
+reference's own booster, leaf-wise and with ``max_delta_step``, is ``leafwise``.
 """
 
 from __future__ import annotations
@@ -15,6 +16,8 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidepool.session import stored
+
 # The three reference configurations.
 RF_SMALL = {"maxDepth": 4, "featureSubsetStrategy": "4", "numTrees": 100, "seed": 1, "minInstancesPerNode": 1}
 RF_LARGE = {"maxDepth": 8, "featureSubsetStrategy": "6", "numTrees": 100, "seed": 1, "minInstancesPerNode": 1}
@@ -22,9 +25,15 @@ GBT = {"stepSize": 0.07, "maxIter": 100, "maxDepth": 10, "seed": 42, "lossType":
 
 
 # Input partitions of a fit.  Bagging is seeded per partition, so the layout is
-# part of the model: a stated number, whatever the cluster.  Every level of every
-# tree is a pass of so many tasks; state more for tables that need them.
-FIT_PARTITIONS = 4
+# part of the model: it follows from the number of rows alone (or is stated), and is
+# the same on any cluster.
+ROWS_PER_PARTITION = 250_000
+MIN_PARTITIONS = 4
+
+
+def fit_partitions(rows: int) -> int:
+    """Partitions of a fit on so many rows."""
+    return max(MIN_PARTITIONS, -(-rows // ROWS_PER_PARTITION))
 
 
 def _laid_out(df: DataFrame, partitions: int) -> DataFrame:
@@ -34,10 +43,11 @@ def _laid_out(df: DataFrame, partitions: int) -> DataFrame:
     return (df.withColumn("_h", mixed).repartition(partitions, "_h").sortWithinPartitions("_h", *df.columns).drop("_h"))
 
 
-def _fit(stages: Pipeline, df: DataFrame, partitions: int) -> PipelineModel:
+def _fit(stages: Pipeline, df: DataFrame, partitions: int | None) -> PipelineModel:
     """Fit and return a copy: the copy drops the training summary, which holds
     the session and would otherwise be captured by every scoring closure."""
-    return stages.fit(_laid_out(df, partitions)).copy()
+    rows = stored(df, "fit-rows")  # counted, laid out, and read again by every level of every tree
+    return stages.fit(_laid_out(rows, partitions or fit_partitions(rows.count()))).copy()
 
 
 def _assembled(feature_cols: list[str], estimator) -> Pipeline:
@@ -46,7 +56,7 @@ def _assembled(feature_cols: list[str], estimator) -> Pipeline:
 
 
 def train_random_forest(df: DataFrame, feature_cols: list[str], label_col: str,
-                        params: dict | None = None, partitions: int = FIT_PARTITIONS) -> PipelineModel:
+                        params: dict | None = None, partitions: int | None = None) -> PipelineModel:
     p = dict(RF_SMALL, **(params or {}))
     n = int(p["featureSubsetStrategy"]) if str(p["featureSubsetStrategy"]).isdigit() else None
     if n is not None and n > len(feature_cols):
@@ -56,6 +66,6 @@ def train_random_forest(df: DataFrame, feature_cols: list[str], label_col: str,
 
 
 def train_gbt(df: DataFrame, feature_cols: list[str], label_col: str,
-              params: dict | None = None, partitions: int = FIT_PARTITIONS) -> PipelineModel:
+              params: dict | None = None, partitions: int | None = None) -> PipelineModel:
     est = GBTClassifier(featuresCol="features", labelCol=label_col, **dict(GBT, **(params or {})))
     return _fit(_assembled(feature_cols, est), df.select(*feature_cols, label_col), partitions)

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidepool.operators import binning, clean, encode
+from tidepool.session import stored
 
 KEYS = ["RowNumber", "CustomerId"]
 DROP = ["RowNumber", "CustomerId", "Surname"]
@@ -32,7 +33,7 @@ def prepare_churn(df: DataFrame, order_col: str = "RowNumber", keep_key: bool =
     rows = clean.keep_first(clean.drop_na(df), KEYS, [order_col])
     # Every edge, rank and level pass below reads these rows: cut them once.
     drop = [c for c in DROP if not (keep_key and c == "CustomerId")]
-    out = rows.withColumn("_order", F.col(order_col)).drop(*drop).checkpoint(eager=True)
+    out = stored(rows.withColumn("_order", F.col(order_col)).drop(*drop), "churn")
     out = binning.ratio(out, "Tenure", "Age", "NewTenure")
     out = binning.qcut_many(out, {"CreditScore": (6, "NewCreditsScore"), "Age": (8, "NewAgeScore"),
                                   "EstimatedSalary": (10, "NewEstSalaryScore")})

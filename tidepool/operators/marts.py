@@ -4,10 +4,12 @@ the ETL run log.  Optional work; none of it is reference behaviour."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, GroupedData, Window
 from pyspark.sql import functions as F
 
+from tidepool.operators.joins import null_safe_join
 from tidepool.operators.ranking import grouped_quantiles
+from tidepool.session import stored
 
 
 def latest_per_key(df: DataFrame, keys: list[str], time_col: str, tiebreak: list[str],
@@ -29,14 +31,14 @@ def access_mart_daily(log: DataFrame) -> DataFrame:
     share of error responses (status >= 400)."""
     keys = ["EventDate", "WorkspaceId"]
     # Several passes read these four columns: cut them once from the (parsed) log.
-    day = log.select(F.to_date("EventTimeUtc").alias("EventDate"), "WorkspaceId", "ExecutingPrincipalId",
-                     "HttpStatusCode", "DurationMs").checkpoint(eager=True)
+    day = stored(log.select(F.to_date("EventTimeUtc").alias("EventDate"), "WorkspaceId", "ExecutingPrincipalId",
+                            "HttpStatusCode", "DurationMs"), "mart")
     base = day.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("events"),
         F.count_distinct("ExecutingPrincipalId").alias("principals"),
         (F.sum((F.col("HttpStatusCode") >= 400).cast("int")) / F.count(F.lit(1))).alias("error_share"))
     p95 = grouped_quantiles(day, "DurationMs", keys, [0.95]).select(*keys, F.col("value").alias("p95_duration_ms"))
-    return base.join(p95, keys, "left")
+    return null_safe_join(base, p95, keys, "left")
 
 
 def job_sessions(log: DataFrame, key: str = "ItemId", time_col: str = "EventTimeUtc",
@@ -53,10 +55,17 @@ def job_sessions(log: DataFrame, key: str = "ItemId", time_col: str = "EventTime
     """
     ev = log.where(F.col(time_col).isNotNull())
     half = F.floor(F.unix_micros(F.col(time_col).cast("timestamp")) / F.lit(gap_seconds * 500_000))
-    part = ev.groupBy(key, half.alias("_b")).agg(
-        F.min(time_col).alias("_t0"), F.max(time_col).alias("_t1"),
-        F.count(F.lit(1)).alias("_n"),
-        F.max((F.col("HttpStatusCode") >= 500).cast("int")).alias("_f"))
+    return merged_spans(span_aggregates(ev.groupBy(key, half.alias("_b")), time_col), key, gap_seconds)
+
+
+def span_aggregates(grouped: GroupedData, time_col: str) -> DataFrame:
+    """First level of ``job_sessions``: first and last event, number and failure of each group of events that are in one run."""
+    return grouped.agg(F.min(time_col).alias("_t0"), F.max(time_col).alias("_t1"), F.count(F.lit(1)).alias("_n"),
+                       F.max((F.col("HttpStatusCode") >= 500).cast("int")).alias("_f"))
+
+
+def merged_spans(part: DataFrame, key: str, gap_seconds: int) -> DataFrame:
+    """Second level: spans (any number per run, overlapping or not) joined by the gap rule."""
     span = (F.unix_micros("_t1") - F.unix_micros("_t0") + gap_seconds * 1_000_000) / 1_000_000
     dyn_gap = F.make_interval(secs=span.cast("decimal(18,6)"))
     return part.groupBy(key, F.session_window("_t0", dyn_gap).alias("s")).agg(

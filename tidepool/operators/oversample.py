@@ -1,181 +1,14 @@
-"""Exact k-nearest neighbours within groups and SMOTE oversampling (SMP2).
-
-kNN without a cross join and without emitting all pairs:
-
-1. per group, up to ``pivots`` rows (smallest key hash) become pivots; each row
-   is assigned to its nearest pivot (its *cell*) and large cells are cut into
-   hash sub-blocks of about ``block_rows`` rows;
-2. per cell: size and radius r (largest member-to-pivot distance);
-3. by the triangle inequality every point of cell c has its k-th neighbour
-   within theta_c = r_c + (smallest d(p_c, p_c') + r_c' that covers k + 1 points),
-   and a point of cell c' is no closer than d(p_c, p_c') - r_c - r_c';
-   cell pairs that cannot hold a neighbour are pruned -- exact, no cap;
-4. each surviving (query block, candidate block) pair -- both bounded by
-   ``block_rows`` -- is a ``cogroup().applyInPandas`` task that computes the
-   distances in numpy and emits only its k best per query row;
-5. a final ``row_number() <= k`` per query row (partial top-k before the
-   shuffle) merges the block results.
-
-Only pivots and cell statistics (bounded by groups x pivots) reach the driver.
-Ties on distance are broken by neighbour id.
-"""
+"""SMOTE oversampling (SMP2) on the exact neighbours of ``neighbours``."""
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidepool.operators.neighbours import knn
 from tidepool.operators.ranking import order_statistics
-
-_SLACK = 1e-9  # relative slack on bounds against rounding
-
-
-def _sq_dist(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Pairwise Euclidean distances, summing squared differences dimension by
-    dimension in order (the same arithmetic as a sequential SQL sum)."""
-    acc = np.zeros((a.shape[0], b.shape[0]))
-    for j in range(a.shape[1]):
-        d = a[:, j][:, None] - b[:, j][None, :]
-        acc += d * d
-    return np.sqrt(acc)
-
-
-def _vectors(pdf: pd.DataFrame, col: str) -> np.ndarray:
-    if len(pdf) == 0:
-        return np.zeros((0, 0))
-    return np.vstack([np.asarray(v, dtype=np.float64) for v in pdf[col].to_numpy()])
-
-
-def knn(df: DataFrame, id_col: str, vec_col: str, k: int = 5, group_cols: list[str] | None = None,
-        pivots: int = 256, block_rows: int = 2048) -> DataFrame:
-    """Exact k nearest neighbours of every row among the rows of its group.
-
-    Returns (group..., id, nbr_rank, nbr_id, dist); a row is not its own neighbour.
-    Groups are meant to be classes (few): pivots and cell statistics per group
-    reach the driver.  Vectors must hold no null or NaN.
-    """
-    spark = df.sparkSession
-    group_cols = group_cols or []
-    gkey = F.concat_ws("\u0001", *[F.col(g).cast("string") for g in group_cols]) if group_cols else F.lit("")
-    pts = df.select(gkey.alias("_g"), *group_cols, F.col(id_col).alias("_id"),
-                    F.col(vec_col).cast("array<double>").alias("_v"))
-    # 1. pivots: the P smallest key hashes of each group, P growing with the
-    # group (one cell per ``block_rows`` rows, at most ``pivots``).  A top-P
-    # window (partial per map task before the shuffle), bounded and collected.
-    hashed = pts.withColumn("_h", F.xxhash64("_id"))
-    top = Window.partitionBy("_g").orderBy("_h", "_id")
-    sizes = pts.groupBy("_g").agg(F.least(F.lit(pivots), F.ceil(F.count(F.lit(1)) / block_rows)).alias("_np"))
-    # A literal limit lets Spark plan the partial WindowGroupLimit; only a
-    # group's own number of pivots is collected.
-    piv_rows = (hashed.withColumn("_pr", F.row_number().over(top)).where(F.col("_pr") <= pivots)
-                .join(sizes, "_g").where(F.col("_pr") <= F.col("_np")).select("_g", "_pr", "_v").collect())
-    piv: dict[str, np.ndarray] = {}
-    for r in sorted(piv_rows, key=lambda r: (r["_g"], r["_pr"])):
-        piv.setdefault(r["_g"], []).append(r["_v"])
-    piv = {g: np.asarray(v, dtype=np.float64) for g, v in piv.items()}
-
-    assign_schema = T.StructType([T.StructField("_g", T.StringType()), T.StructField("_id", df.schema[id_col].dataType),
-                                  T.StructField("_v", T.ArrayType(T.DoubleType())),
-                                  T.StructField("_cell", T.IntegerType()), T.StructField("_dp", T.DoubleType())])
-
-    def assign(it):
-        for pdf in it:
-            if len(pdf) == 0:
-                continue
-            cells = np.zeros(len(pdf), dtype=np.int32)
-            dps = np.zeros(len(pdf))
-            for g, idx in pdf.groupby("_g").indices.items():
-                v = _vectors(pdf.iloc[idx], "_v")
-                d = _sq_dist(v, piv[g])
-                cells[idx] = d.argmin(axis=1)
-                dps[idx] = d.min(axis=1)
-            yield pd.DataFrame({"_g": pdf["_g"], "_id": pdf["_id"], "_v": pdf["_v"],
-                                "_cell": cells, "_dp": dps})
-
-    # The assignment feeds statistics, queries and candidates: cut it once.
-    cells = pts.select("_g", "_id", "_v").mapInPandas(assign, assign_schema).checkpoint(eager=True)
-    # 2. cell statistics: one row per (group, cell), bounded by groups x pivots.
-    stats = cells.groupBy("_g", "_cell").agg(F.count(F.lit(1)).alias("n"), F.max("_dp").alias("r")).collect()
-    # Sub-blocks: a cell of n rows is cut into ceil(n / block_rows) hash blocks.
-    nblk = {(s["_g"], s["_cell"]): max(1, -(-s["n"] // block_rows)) for s in stats}
-    blocks = spark.createDataFrame([(g, c, b) for (g, c), b in nblk.items()], "_g string, _cell int, _nb int")
-    cells = (cells.join(blocks, ["_g", "_cell"])
-             .withColumn("_blk", F.pmod(F.xxhash64("_id", F.lit(1)), F.col("_nb")).cast("int")).drop("_nb"))
-    # 3. prune cell pairs with the triangle inequality.
-    pairs = []
-    by_g: dict[str, list] = {}
-    for s in stats:
-        by_g.setdefault(s["_g"], []).append(s)
-    for g, ss in by_g.items():
-        P = piv[g]
-        idx = [s["_cell"] for s in ss]
-        dpp = _sq_dist(P[idx], P[idx])
-        n = np.array([s["n"] for s in ss])
-        r = np.array([s["r"] for s in ss])
-        nb = np.array([nblk[(g, s["_cell"])] - 1 for s in ss])
-        for a in range(len(ss)):
-            reach = dpp[a] + r
-            order = np.argsort(reach, kind="stable")
-            covered = np.cumsum(n[order])
-            pos = int(np.searchsorted(covered, k + 1))
-            theta = r[a] + (reach[order[pos]] if pos < len(order) else reach.max())
-            theta *= 1 + _SLACK
-            lower = dpp[a] - r[a] - r
-            for b in np.nonzero(lower <= theta)[0]:
-                pairs.append((g, int(idx[a]), int(nb[a]), int(idx[b]), int(nb[b])))
-    # Surviving cell pairs (at most pivots^2 per group) leave the driver; Spark
-    # expands them into (query block, candidate block) tasks.
-    cell_pairs = spark.createDataFrame(pairs, "_g string, _qc int, _qn int, _cc int, _cn int")
-    tasks = (cell_pairs
-             .select("_g", "_qc", "_cc", "_cn", F.explode(F.sequence(F.lit(0), F.col("_qn"))).alias("_qb"))
-             .select("_g", "_qc", "_qb", "_cc", F.explode(F.sequence(F.lit(0), F.col("_cn"))).alias("_cb")))
-    # 4. block-pair tasks: query rows and candidate rows meet by task key.
-    q = cells.select("_g", F.col("_cell").alias("_qc"), F.col("_blk").alias("_qb"), "_id", "_v")
-    c = cells.select("_g", F.col("_cell").alias("_cc"), F.col("_blk").alias("_cb"),
-                     F.col("_id").alias("_cid"), F.col("_v").alias("_cv"))
-    tkey = ["_g", "_qc", "_qb", "_cc", "_cb"]
-    qt = q.join(tasks, ["_g", "_qc", "_qb"])
-    ct = c.join(tasks, ["_g", "_cc", "_cb"])
-    # Both sides descend from `cells` and `tasks`: fresh aliases keep the
-    # cogroup keys of the two sides apart.
-    ct = ct.select(*[F.col(x).alias(x) for x in ct.columns])
-    id_type = df.schema[id_col].dataType.simpleString()
-    out_schema = f"_g string, _id {id_type}, _nid {id_type}, dist double"
-
-    # The k best of the block by (distance, id): what lies beyond the k-th can't
-    # be among the k best of all blocks, however many points lie at one distance.
-    def block_knn(qp: pd.DataFrame, cp: pd.DataFrame) -> pd.DataFrame:
-        if len(qp) == 0 or len(cp) == 0:
-            return pd.DataFrame({"_g": pd.Series([], dtype=object), "_id": [], "_nid": [], "dist": []})
-        cp = cp.sort_values("_cid")  # stable sorts by distance then leave ties in id order
-        qv, cv = _vectors(qp, "_v"), _vectors(cp, "_cv")
-        qid, cid = qp["_id"].to_numpy(), cp["_cid"].to_numpy()
-        outs = []
-        for s in range(0, len(qp), 256):
-            d = _sq_dist(qv[s:s + 256], cv)
-            d[qid[s:s + 256][:, None] == cid[None, :]] = np.inf
-            kk = min(k, d.shape[1])
-            kth = np.partition(d, kk - 1, axis=1)[:, kk - 1:kk]
-            # Below the k-th distance all; at it the smallest ids that still fit.
-            less, equal = d < kth, d == kth
-            room = kk - less.sum(axis=1, keepdims=True)
-            keep = (less | (equal & (np.cumsum(equal, axis=1) <= room))) & np.isfinite(d)
-            rows, cols = np.nonzero(keep)
-            outs.append(pd.DataFrame({"_g": qp["_g"].iloc[0], "_id": qid[s:s + 256][rows],
-                                      "_nid": cid[cols], "dist": d[rows, cols]}))
-        return pd.concat(outs, ignore_index=True)
-
-    cand = qt.groupBy(*tkey).cogroup(ct.groupBy(*tkey)).applyInPandas(block_knn, out_schema)
-    # 5. merge: k best per query row (partial top-k before the shuffle).
-    w = Window.partitionBy("_g", "_id").orderBy("dist", "_nid")
-    best = cand.withColumn("nbr_rank", F.row_number().over(w)).where(F.col("nbr_rank") <= k)
-    keys = pts.select("_g", *group_cols).distinct()
-    res = best.join(keys, "_g").select(*group_cols, F.col("_id").alias(id_col), "nbr_rank",
-                                       F.col("_nid").alias("nbr_id"), "dist")
-    return res
+from tidepool.session import stored
 
 
 def smote(df: DataFrame, label_col: str, feature_cols: list[str], key_col: str,
@@ -217,7 +50,8 @@ def smote(df: DataFrame, label_col: str, feature_cols: list[str], key_col: str,
     values = [F.col(c).cast("double") for c in feature_cols]
     if missing is not None:
         values = [F.when(x.isNull() | F.isnan(x), F.lit(float(missing))).otherwise(x) for x in values]
-    mino = df.where(F.col(label_col) == F.lit(minority)).select(key_col, *feature_cols, F.array(*values).alias("_vec"))
+    # Neighbours, ranks and both ends of the interpolation read the minority rows: computed once.
+    mino = stored(df.where(F.col(label_col) == F.lit(minority)).select(key_col, *feature_cols, F.array(*values).alias("_vec")), "minority")
     bad = mino.where(F.exists("_vec", lambda x: x.isNull() | F.isnan(x))).limit(1).count()
     if bad:
         raise ValueError("SMOTE: a feature is null or NaN; state `missing`")

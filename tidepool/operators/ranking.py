@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidepool.operators.joins import bounded_broadcast, null_safe_join
-from tidepool.session import checkpoint_dir
+from tidepool.session import checkpoint_dir, stored
 
 
 def number(col: str | Column) -> Column:
@@ -58,7 +58,7 @@ def global_rank(df: DataFrame, order_cols: list[str | Column], name: str = "rank
                   .sortWithinPartitions(*keys)
                   .withColumn("_pid", F.spark_partition_id())
                   .withColumn("_mid", F.monotonically_increasing_id()))
-    positioned = positioned.checkpoint(eager=True)
+    positioned = stored(positioned, "ranked")
     counts = positioned.groupBy("_pid", *group_cols).agg(
         F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_first_mid"))
     offsets = counts.withColumn(

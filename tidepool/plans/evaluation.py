@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidepool.operators import evaluate
+from tidepool.operators.joins import null_safe_join
 from tidepool.plans.registry import query
 from tidepool.sources import tables
 
@@ -209,3 +210,63 @@ def roc_auc_one_class(spark, sf_dir):
     y = (flag == "R") | ((flag == "A") & (F.col("l_linenumber") > 2))
     auc = evaluate.roc_auc(li.select(flag.alias("model"), y.cast("int").alias("y"), F.col("l_quantity").alias("score")))
     return auc.withColumn("roc_auc", F.round("roc_auc", 9))
+
+
+# Rows without a class, without a prediction, and of a model without a name.
+_GAPS_SQL = _RULES_SQL + """
+, gaps AS (SELECT CASE WHEN model <> 'lang_rule' THEN model END AS model, CASE WHEN doc_id % 11 <> 0 THEN y END AS y, CASE WHEN doc_id % 7 <> 0 THEN p END AS p,
+                  CASE WHEN doc_id % 7 <> 0 THEN score END AS score FROM scored)
+"""
+
+
+def scored_with_gaps(spark, sf_dir):
+    named = F.when(F.col("model") != "lang_rule", F.col("model"))
+    has_class, has_score = F.pmod("doc_id", F.lit(11)) != 0, F.pmod("doc_id", F.lit(7)) != 0
+    return scored(spark, sf_dir).select(named.alias("model"), F.when(has_class, F.col("y")).alias("y"), F.when(has_score, F.col("p")).alias("p"),
+                                        F.when(has_score, F.col("score")).alias("score"))
+
+
+@query("confusion_matrix_null_classes", "EVL3,EVL5", sql=_GAPS_SQL + """
+, c(c) AS (VALUES (0), (1), (NULL)),
+grid AS (SELECT m.model, a.c AS actual, b.c AS predicted FROM (SELECT DISTINCT model FROM gaps) m, c a, c b),
+cnt AS (SELECT model, y AS actual, p AS predicted, count(*) AS count FROM gaps GROUP BY ALL),
+cm AS (SELECT g.model, g.actual, g.predicted, coalesce(n.count, 0) AS count FROM grid g LEFT JOIN cnt n
+       ON g.model IS NOT DISTINCT FROM n.model AND g.actual IS NOT DISTINCT FROM n.actual AND g.predicted IS NOT DISTINCT FROM n.predicted),
+t AS (SELECT *, sum(count) OVER (PARTITION BY model, actual) AS row_total FROM cm)
+SELECT model, actual, predicted, count, CASE WHEN row_total = 0 THEN 0.0 ELSE count / row_total END AS share FROM t
+""")
+def confusion_matrix_null_classes(spark, sf_dir):
+    """Unscored and unlabelled rows have a row and a column of their own; nothing leaves the matrix."""
+    return evaluate.confusion_normalised(scored_with_gaps(spark, sf_dir))
+
+
+@query("classification_report_null_classes", "EVL1,EVL2", sql=_GAPS_SQL + """
+, k AS (SELECT m.model, c.c FROM (SELECT DISTINCT model FROM gaps) m, (VALUES (0), (1), (NULL)) c(c)),
+n AS (SELECT k.model, k.c, count(*) FILTER (g.y IS NOT DISTINCT FROM k.c) AS support, count(*) FILTER (g.p IS NOT DISTINCT FROM k.c) AS called,
+             count(*) FILTER (g.y = k.c AND g.p = k.c) AS hit
+      FROM k JOIN gaps g ON g.model IS NOT DISTINCT FROM k.model GROUP BY k.model, k.c),
+a AS (SELECT model, sum(hit) / sum(support) AS accuracy FROM n GROUP BY model)
+SELECT n.model, coalesce(CAST(c AS VARCHAR), 'null') AS label, support, CASE WHEN called = 0 THEN 0.0 ELSE hit / called END AS precision,
+       CASE WHEN support = 0 THEN 0.0 ELSE hit / support END AS recall, a.accuracy
+FROM n JOIN a ON n.model IS NOT DISTINCT FROM a.model
+""")
+def classification_report_null_classes(spark, sf_dir):
+    """An unscored row lowers the accuracy, of the report's line as of ``accuracy``, and the recall of its class."""
+    report = evaluate.classification_report(scored_with_gaps(spark, sf_dir))
+    overall = report.where("label = 'accuracy'").select("model", F.col("f1").alias("accuracy"))
+    return null_safe_join(report.where("label IN ('0', '1', 'null')").select("model", "label", "support", "precision", "recall"), overall, ["model"])
+
+
+@query("model_compare_null_model", "EVL4,EVL6", sql=_GAPS_SQL + """
+, placed AS (SELECT *, rank() OVER w + (count(*) OVER (PARTITION BY model, score) - 1) / 2.0 AS r FROM gaps
+             WHERE y IS NOT NULL AND score IS NOT NULL WINDOW w AS (PARTITION BY model ORDER BY score)),
+auc AS (SELECT model, (sum(CASE WHEN y = 1 THEN r END) - sum(y) * (sum(y) + 1) / 2.0) / (sum(y) * sum(1 - y)) AS auc FROM placed GROUP BY model),
+m AS (SELECT model, count(*) FILTER (y = p) / count(*) AS accuracy, count(*) FILTER (y = 1 AND p = 1) AS tp,
+             count(*) FILTER (p = 1) AS called, count(*) FILTER (y = 1) AS pos FROM gaps GROUP BY model)
+SELECT m.model, accuracy, round(auc, 9) AS roc_auc, CASE WHEN called = 0 THEN 0.0 ELSE tp / called END AS precision, CASE WHEN pos = 0 THEN 0.0 ELSE tp / pos END AS recall
+FROM m JOIN auc ON m.model IS NOT DISTINCT FROM auc.model
+""")
+def model_compare_null_model(spark, sf_dir):
+    """A model without a name is compared like the others."""
+    out = evaluate.compare_models(scored_with_gaps(spark, sf_dir))
+    return out.select("model", "accuracy", F.round("roc_auc", 9).alias("roc_auc"), "precision", "recall")

@@ -104,13 +104,16 @@ def list_json_files(spark, sf_dir):
     base = scratch_path(spark, "listing")
     _deliver(spark, sf_dir, base)
     listed = files.list_files(spark, base)
-    names = [r[0] for r in listed.select("path").collect()]  # a row per file of the fixture
-    folder = F.element_at(F.split("path", "/"), -2)
-    docs = spark.read.text(names).select(F.input_file_name().alias("path"))
+    # In the listing's own order: each partition's paths after the one before (a row per partition comes back).
+    placed = listed.select("path", F.spark_partition_id().alias("p"), F.monotonically_increasing_id().alias("i"))
+    ends = placed.groupBy("p").agg(F.min("path").alias("low"), F.max("path").alias("high"), F.min_by("path", "i").alias("first"), F.max_by("path", "i").alias("last"),
+                                   F.bool_and(F.lower("path").endswith(".json")).alias("json")).orderBy("p").collect()
+    in_order = all(r.low == r.first and r.high == r.last for r in ends) and all(a.high <= b.low for a, b in zip(ends, ends[1:]))
+    folder = F.element_at(F.split("source_path", "/"), -2)
+    docs = files.read_raw_json(spark, base, multiline=False)
     return docs.groupBy(folder.alias("delivery")).agg(
-        F.lit(files.path_exists(spark, base)).alias("exists_"),
-        F.lit(all(n.lower().endswith(".json") for n in names)).alias("json_only"),
-        F.lit(names == sorted(names)).alias("sorted_"), F.count(F.lit(1)).alias("n_docs"))
+        F.lit(files.path_exists(spark, base)).alias("exists_"), F.lit(all(r.json for r in ends)).alias("json_only"),
+        F.lit(in_order).alias("sorted_"), F.count(F.lit(1)).alias("n_docs"))
 
 
 def _unnamed(df):
@@ -169,9 +172,9 @@ def files_newer_than_mark(spark, sf_dir):
     _deliver(spark, sf_dir, base, "first")
     mark = files.list_files(spark, base).agg(F.max("path")).first()[0]
     _deliver(spark, sf_dir, base, "second")
-    listed = files.newer_than(files.list_files(spark, base), mark)
-    names = [r[0] for r in listed.select("path").collect()]  # a row per file of the fixture
-    flat = jsonlog.flatten_access_log(spark.read.text(names).withColumnRenamed("value", "RawJson"))
+    # The filter is on the file's path, a column of the scan: no list of files passes the driver.
+    newer = files.newer_than(files.read_raw_json(spark, base, multiline=False), mark, "source_path")
+    flat = jsonlog.flatten_access_log(newer)
     return flat.select("EventId", F.col("IngestedTimeUtc").isNotNull().alias("stamped"))
 
 

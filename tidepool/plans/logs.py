@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidepool.functions import jsonlog
+from tidepool.functions import drift, jsonlog
 from tidepool.plans.registry import query
 from tidepool.sources import derived, tables
 
@@ -83,3 +83,52 @@ def path_basename(spark, sf_dir):
     pages = tables.load(spark, sf_dir, "pages", ["page_id", "url"])
     return pages.select("page_id", jsonlog.basename(F.col("url")).alias("base_name"),
                         jsonlog.has_suffix_ci(F.col("url"), ".html").alias("is_html"))
+
+
+# Documents with fields that the schema doesn't name: a nested object, a number in data that is sometimes text, and a declared scalar that became an object.
+def _drifted(spark, sf_dir):
+    ev = tables.load(spark, sf_dir, "events", ["event_id", "ts", "user_id", "event_type", "value"])
+    doc = derived.diagnostic_docs(ev).withColumn("n", F.col("id").cast("bigint"))
+    retry = F.when(F.col("n") % 4 == 0, F.concat(F.lit("n"), F.col("n").cast("string"))).otherwise((F.col("n") % 5).cast("string"))
+    data = F.to_json("data")
+    # The documents' text is put together from JSON parts, so that one field can be a number here and text there.
+    number = F.when(F.col("n") % 4 == 0, F.concat(F.lit('"'), retry, F.lit('"'))).otherwise(retry)
+    data = F.when(F.col("n") % 2 == 0, F.concat(F.expr("left(to_json(data), length(to_json(data)) - 1)"), F.lit(',"retryCount":'), number, F.lit("}"))).otherwise(data)
+    data = F.when(F.col("n") % 10 == 9, F.regexp_replace(data, '"workspaceName":"([^"]*)"', '"workspaceName":{"label":"$1"}')).otherwise(data)
+    region = F.when(F.col("n") % 3 == 0, F.concat(F.lit(',"region":{"code":'), (F.col("n") % 4).cast("string"), F.lit("}"))).otherwise(F.lit(""))
+    head = F.to_json(F.struct("id", "time", "category", "type", "schemaVersion", "resourceId"))
+    text = F.concat(F.expr("left(to_json(struct(id, time, category, type, schemaVersion, resourceId)), length(to_json(struct(id, time, category, type, schemaVersion, resourceId))) - 1)"),
+                    region, F.lit(',"data":'), data, F.lit("}"))
+    return doc.select(F.when(F.col("n") % 101 == 100, F.concat(F.lit("{broken "), head)).otherwise(text).alias("RawJson"), F.col("n").alias("event_id"))
+
+
+@query("json_drift_report", "PRJ1,FN1", sql="""
+WITH e AS (SELECT * FROM events WHERE event_id % 101 <> 100)
+SELECT 'region' AS path, count(*) AS documents, 'OBJECT<code: BIGINT>' AS merged_type, 1 AS types FROM e WHERE event_id % 3 = 0 HAVING count(*) > 0
+UNION ALL SELECT 'data.retryCount', count(*), 'VARIANT', 2 FROM e WHERE event_id % 2 = 0 HAVING count(*) > 0
+""")
+def json_drift_report(spark, sf_dir):
+    """Fields off the declared paths, with the type that holds all their values; damaged documents have none."""
+    return drift.drift_report(_drifted(spark, sf_dir)).withColumn("types", F.col("types").cast("int"))
+
+
+@query("json_unknown_values", "PRJ1,FN1,FN3", sql="""
+SELECT event_id, CASE WHEN event_id % 3 = 0 THEN CAST(event_id % 4 AS INTEGER) END AS region_code,
+       CASE WHEN event_id % 2 = 0 AND event_id % 4 <> 0 THEN CAST(event_id % 5 AS INTEGER) END AS retries,
+       CASE WHEN event_id % 10 = 9 THEN 'Workspace ' || CAST(user_id % 10 AS VARCHAR) END AS moved_label
+FROM events WHERE event_id % 101 <> 100
+""")
+def json_unknown_values(spark, sf_dir):
+    """Undeclared fields by path and type; what doesn't convert is null."""
+    doc = F.col("Document")
+    return drift.parsed(_drifted(spark, sf_dir)).where(doc.isNotNull()).select(
+        "event_id", drift.value_at(doc, "$.region.code", "int").alias("region_code"), drift.value_at(doc, "$.data.retryCount", "int").alias("retries"),
+        drift.value_at(doc, "$.data.workspaceName.label", "string").alias("moved_label"))
+
+
+@query("json_misplaced_fields", "PRJ1", sql="""
+SELECT 'data.workspaceName' AS path, count(*) AS documents FROM events WHERE event_id % 10 = 9 AND event_id % 101 <> 100 HAVING count(*) > 0
+""")
+def json_misplaced_fields(spark, sf_dir):
+    """Declared scalars that hold an object."""
+    return drift.misplaced(_drifted(spark, sf_dir))

@@ -14,7 +14,7 @@ from tidepool.models import predict, registry, train
 from tidepool.operators import churn, evaluate, oversample, split
 from tidepool.plans.churn import DF_CLEAN_SQL
 from tidepool.plans.registry import query
-from tidepool.session import scratch_path
+from tidepool.session import scratch_path, stored
 from tidepool.sinks import tables as sinks
 from tidepool.sources import derived
 
@@ -43,7 +43,7 @@ def prepared(spark, sf_dir):
     f = split.split_exact(frame, ["CustomerId"], seed=SEED)
     tr = f.where(F.col("split") == "train").drop("split")
     balanced = oversample.smote(tr, TARGET, feats, "CustomerId", minority=1, k=5, seed=SEED)
-    balanced = balanced.drop("j", "synthetic").checkpoint(eager=True)
+    balanced = stored(balanced.drop("j", "synthetic"), "balanced")
     val = f.where(F.col("split") == "validation").drop("split")
     test = f.where(F.col("split") == "test").drop("split")
     return balanced, val, test, feats
@@ -137,7 +137,7 @@ def _scoring_setup(spark, sf_dir):
         sinks.overwrite_path(test, path)
         versions = {}
         for name, trainer, params in (("rfc1_sm", train.train_random_forest, train.RF_SMALL),
-                                      ("gbt_sm", train.train_gbt, dict(train.GBT, maxIter=10, maxDepth=5))):
+                                      ("gbt_sm", train.train_gbt, train.GBT)):
             model = trainer(balanced, feats, TARGET, params)
             versions[name] = registry.register_model(spark, base, name, model)
         _TRAINED[key] = (base, versions, path, feats)
@@ -176,8 +176,9 @@ def predict_transform(spark, sf_dir):
 @query("predict_sql", "PRD2", sql=_AGREE_SQL)
 def predict_sql(spark, sf_dir):
     def form(spark, base, name, version, df, feats):
-        ensemble = predict.load_ensemble(spark, registry.model_path(spark, base, name, version))
-        predict.register_predict_sql(spark, {f"{name}/{version}": ensemble})
+        # One function serves both models; the reference in the call picks one.
+        if name == next(iter(_scoring_setup(spark, sf_dir)[1])):
+            predict.register_predict_sql(spark, {f"{n}/{v}": registry.load_model(spark, base, n, v) for n, v in _scoring_setup(spark, sf_dir)[1].items()})
         return predict.predict_sql(spark, df, f"{name}/{version}", feats)
 
     return _agreement(spark, sf_dir, form)
@@ -186,7 +187,7 @@ def predict_sql(spark, sf_dir):
 @query("predict_udf", "PRD3", sql=_AGREE_SQL)
 def predict_udf(spark, sf_dir):
     def form(spark, base, name, version, df, feats):
-        ensemble = predict.load_ensemble(spark, registry.model_path(spark, base, name, version))
-        return df.withColumn("predictions", predict.udf_column(ensemble, feats))
+        call = predict.predict_udf(registry.load_model(spark, base, name, version))
+        return df.withColumn("predictions", call(*feats))
 
     return _agreement(spark, sf_dir, form)

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidepool.operators import clean, profile
+from tidepool.operators import binning, clean, profile, ranking, sketches
 from tidepool.plans.registry import query
+from tidepool.session import scratch_path
 from tidepool.sources import tables
 
 # Conversations stand in for the churn rows: key (conv_id, role) repeats over
@@ -204,3 +205,74 @@ SELECT count(*) AS row_count, max(url) AS max_url FROM pages
 """)
 def row_count_max(spark, sf_dir):
     return profile.row_count_and_max(tables.load(spark, sf_dir, "pages", ["url"]), "url")
+
+
+# Measures where some rows are NaN (and, for the oracle, null: NaN is left out like null).
+_NAN_COLS = ["l_quantity", "l_extendedprice"]
+_NAN_SQL = "WITH nan AS (SELECT CASE WHEN l_orderkey % 5 <> 0 THEN l_quantity END AS l_quantity, CASE WHEN l_linenumber <> 3 THEN l_extendedprice END AS l_extendedprice FROM lineitem)"
+
+
+def _with_nan(spark, sf_dir):
+    li = tables.load(spark, sf_dir, "lineitem", ["l_orderkey", "l_linenumber", *_NAN_COLS])
+    nan = F.lit(float("nan"))
+    return li.select("l_orderkey", "l_linenumber", F.when(F.pmod("l_orderkey", F.lit(5)) != 0, F.col("l_quantity")).otherwise(nan).alias("l_quantity"),
+                     F.when(F.col("l_linenumber") != 3, F.col("l_extendedprice")).otherwise(nan).alias("l_extendedprice"))
+
+
+@query("five_number_nan", "AGG4,AGG3", sql=_NAN_SQL + "\nUNION ALL ".join(
+    f"""{' ' if i else ''} SELECT '{c}' AS "column", count({c}) AS count, count(*) - count({c}) AS null_count, round(min({c}), 6) AS min, round(quantile_cont({c}, 0.25), 6) AS q1,
+    round(quantile_cont({c}, 0.5), 6) AS median, round(quantile_cont({c}, 0.75), 6) AS q3, round(max({c}), 6) AS max FROM nan""" for i, c in enumerate(_NAN_COLS)))
+def five_number_nan(spark, sf_dir):
+    """NaN is no value: neither a maximum, nor a rank, nor counted."""
+    df = _with_nan(spark, sf_dir)
+    five = profile.five_number(df, _NAN_COLS).select("column", *[F.round(c, 6).alias(c) for c in profile.FIVE_NAMES])
+    counts = profile.table_summary(df, _NAN_COLS).select("column", "count", "null_count")
+    return five.join(counts, "column")
+
+
+@query("histogram_nan", "AGG6", sql=_NAN_SQL + """,
+long AS (SELECT 'l_quantity' AS "column", l_quantity AS v FROM nan WHERE l_quantity IS NOT NULL UNION ALL SELECT 'l_extendedprice', l_extendedprice FROM nan WHERE l_extendedprice IS NOT NULL),
+r AS (SELECT "column", min(v) AS lo0, max(v) AS hi0 FROM long GROUP BY "column"),
+c AS (SELECT long."column", CAST(least(floor((v - lo0) * 20 / (hi0 - lo0)), 19) AS INTEGER) AS bin, count(*) AS count FROM long JOIN r ON long."column" = r."column" GROUP BY ALL)
+SELECT r."column", CAST(b AS INTEGER) AS bin, coalesce(c.count, 0) AS count FROM r CROSS JOIN range(0, 20) t(b) LEFT JOIN c ON c."column" = r."column" AND c.bin = t.b
+""")
+def histogram_nan(spark, sf_dir):
+    return profile.histogram(_with_nan(spark, sf_dir), _NAN_COLS, 20).select("column", "bin", "count")
+
+
+@query("qcut_nan", "BIN1,BIN3", sql="""
+WITH nan AS (SELECT o_orderkey, CASE WHEN o_orderkey % 5 <> 0 THEN o_totalprice END AS x FROM orders),
+q AS (SELECT quantile_cont(x, [0.2, 0.4, 0.6, 0.8]) AS e FROM nan),
+ranked AS (SELECT o_orderkey, row_number() OVER (ORDER BY x, o_orderkey) AS r, count(*) OVER () AS n FROM nan WHERE x IS NOT NULL)
+SELECT o_orderkey, CASE WHEN x IS NOT NULL THEN 1 + CAST(x > e[1] AS INTEGER) + CAST(x > e[2] AS INTEGER) + CAST(x > e[3] AS INTEGER) + CAST(x > e[4] AS INTEGER) END AS bin,
+       CASE WHEN r IS NOT NULL THEN 1 + CAST(r > 1 + (n - 1) * 0.25 AS INTEGER) + CAST(r > 1 + (n - 1) * 0.5 AS INTEGER) + CAST(r > 1 + (n - 1) * 0.75 AS INTEGER) END AS rank_bin
+FROM nan LEFT JOIN ranked USING (o_orderkey), q
+""")
+def qcut_nan(spark, sf_dir):
+    """Rows of NaN have no bin and move no edge."""
+    o = tables.load(spark, sf_dir, "orders", ["o_orderkey", "o_totalprice"])
+    df = o.select("o_orderkey", F.when(F.pmod("o_orderkey", F.lit(5)) != 0, F.col("o_totalprice")).otherwise(F.lit(float("nan"))).alias("x"))
+    df = binning.qcut(df, "x", 5, "bin")
+    return binning.qcut_rank_first(df, "x", ["o_orderkey"], 4, "rank_bin").select("o_orderkey", "bin", "rank_bin")
+
+
+_SKETCHED = ["o_orderkey", "o_custkey", "o_orderpriority", "o_totalprice"]
+
+
+@query("profile_of_grown_table", "AGG1,AGG3", sql="\nUNION ALL ".join(
+    f"""SELECT '{c}' AS "column", count({c}) AS count, count(*) - count({c}) AS null_count, CAST({m.format(f'min({c})')} AS DOUBLE) AS min, CAST({m.format(f'max({c})')} AS DOUBLE) AS max,
+    round({m.format(f'avg({c})')}, 6) AS mean, true AS distinct_fits, {'true' if m == '{}' else 'CAST(NULL AS BOOLEAN)'} AS median_fits FROM orders"""
+    for c, m in ((c, "{}" if c != "o_orderpriority" else "NULL") for c in _SKETCHED)))
+def profile_of_grown_table(spark, sf_dir):
+    """The profile of orders, kept by month: first half of the months, then the others (only these are read).  Estimates against exact figures: within 4 standard errors, and within the rank error."""
+    path = scratch_path(spark, "profile")
+    orders = tables.load(spark, sf_dir, "orders", [*_SKETCHED, "o_orderdate"]).withColumn("part", F.date_format("o_orderdate", "yyyy-MM"))
+    sketches.update(orders.where(F.month("o_orderdate") <= 6), path, _SKETCHED, "part")
+    sketches.update(orders, path, _SKETCHED, "part")
+    found = sketches.merged(spark, path, [0.5])
+    exact = profile.nunique(orders, _SKETCHED).withColumnRenamed("n_distinct", "exact")
+    numeric = [c for c in _SKETCHED if c != "o_orderpriority"]
+    bounds = ranking.exact_quantiles(orders, numeric, [0.5 - sketches.RANK_ERROR, 0.5 + sketches.RANK_ERROR]).groupBy("column").agg(F.min("value").alias("low"), F.max("value").alias("high"))
+    fits = F.abs(F.col("n_distinct") - F.col("exact")) <= F.greatest(F.lit(1.0), 4 * sketches.DISTINCT_ERROR * F.col("exact"))
+    return found.join(exact, "column").join(bounds, "column", "left").select(
+        "column", "count", "null_count", "min", "max", F.round("mean", 6).alias("mean"), fits.alias("distinct_fits"), F.get("quantiles", F.lit(0)).between(F.col("low"), F.col("high")).alias("median_fits"))

@@ -64,22 +64,50 @@ def create_table_if_absent(spark: SparkSession, name: str, schema: T.StructType,
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({cols}) USING {fmt or TABLE_FORMAT}{part}{loc}")
 
 
+#: Columns that the access-log table has besides the 31 of the log: the event's key and the two partition columns.
+ACCESS_LOG_KEY = "EventKey"
+ACCESS_LOG_LAYOUT = ["Generation", "EventDate"]
+
+
+def access_log_schema() -> T.StructType:
+    """The access-log table, as the ingestion writes it."""
+    from tidepool.functions.jsonlog import ACCESS_LOG_SCHEMA
+
+    return T.StructType([*ACCESS_LOG_SCHEMA.fields, T.StructField(ACCESS_LOG_KEY, T.StringType()),
+                         T.StructField("Generation", T.StringType()), T.StructField("EventDate", T.DateType())])
+
+
 def bootstrap_tables(spark: SparkSession, base: str, prefix: str = "") -> list[str]:
     """SNK1: create the access-log table and the five declared tables if absent,
-    each at ``<base>/silver/<name>``; safe to rerun.  Returns the table names."""
-    from tidepool.functions.jsonlog import ACCESS_LOG_SCHEMA
+    each at ``<base>/silver/<name>``; safe to rerun.  Returns the table names.
 
+    The access log has the layout in which the ingestion writes it by path;
+    ``refresh_table`` shows what was ingested."""
     silver = layout(base)["silver"]
-    schemas = {"log_event_access": ACCESS_LOG_SCHEMA,
+    schemas = {"log_event_access": access_log_schema(),
                **{n: T.StructType.fromDDL(ddl) for n, ddl in DECLARED_TABLES.items()}}
     names = []
     for name, schema in schemas.items():
         full = f"{prefix}{name}"
-        create_table_if_absent(spark, full, schema, location=f"{silver}/{name}")
+        partitions = ACCESS_LOG_LAYOUT if name == "log_event_access" else None
+        create_table_if_absent(spark, full, schema, partitions, location=f"{silver}/{name}")
         names.append(full)
     return names
 
 
+def refresh_table(spark: SparkSession, name: str) -> None:
+    """Let a catalog table see what was written to its location by path (new partitions included)."""
+    if any(c.isPartition for c in spark.catalog.listColumns(name)):
+        spark.catalog.recoverPartitions(name)
+    spark.catalog.refreshTable(name)
+
+
+def drop_tables(spark: SparkSession, names: list[str]) -> None:
+    """Forget catalog tables; their files, at locations of their own, stay."""
+    for name in names:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
 def check_schema(df: DataFrame, target: T.StructType) -> None:
     want = [(f.name, f.dataType) for f in target.fields]
     have = [(f.name, f.dataType) for f in df.schema.fields]
@@ -153,7 +181,13 @@ def overwrite_path(df: DataFrame, path: str, replace_schema: bool = True, fmt: s
 
 
 def stamp_schema_version(spark: SparkSession, path: str, version: str) -> None:
-    """SNK9: append one (stamped_at, version) row to the schema-version table."""
+    """SNK9: append one (stamped_at, version) row to the schema-version table; ``schema_version`` reads the last."""
     now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
     row = spark.createDataFrame([(now, version)], "stamped_at timestamp_ntz, version string")
     row.write.mode("append").parquet(path)
+
+
+def schema_version(spark: SparkSession, path: str) -> DataFrame:
+    """SNK9: the stamp that holds: ``stamped_at`` and ``version`` of the last one (none where nothing was stamped)."""
+    stamps = spark.read.schema("stamped_at timestamp_ntz, version string").parquet(path)
+    return stamps.groupBy().agg(F.max(F.struct("stamped_at", "version")).alias("s"), F.count(F.lit(1)).alias("stamps")).where("stamps > 0").select("s.*", "stamps")

@@ -27,7 +27,10 @@ def list_files(spark: SparkSession, root: str, glob: str = JSON_GLOB) -> DataFra
 
 def newer_than(files: DataFrame, mark: str | None, col: str = "path") -> DataFrame:
     """FLT2: paths strictly greater than a high-water mark (reference semantics;
-    the streaming file source tracks every file instead, see D3)."""
+    the streaming file source tracks every file instead, see D3).
+
+    On a read whose ``col`` is ``_metadata.file_path`` Spark filters the files
+    themselves by it: older ones are listed, not read."""
     return files if not mark else files.where(F.col(col) > F.lit(mark))
 
 

@@ -4,22 +4,36 @@
 The file source's checkpoint records every file it has processed, so each
 file is read once even when a later file has a smaller path (D3) or two files
 share a base name (D4); ``trigger(availableNow=True)`` makes a scheduled job
-of it.  The normalising sink is a ``foreachBatch`` that appends only events
-whose ``EventKey`` is not in the target yet: the ``EventId``, or for events
-without one the file, the text and its occurrence there.  Of the target only
-that one column is read, over all dates (an id may come back with another
-time) -- rerunning a batch after a failure appends nothing twice.
+of it.
+
+The access-log table is a folder ``Generation=.../EventDate=...``: a generation is
+what one micro-batch of one checkpoint appends, so a repeated micro-batch
+replaces its own rows.  Every row has an ``EventKey``: the ``EventId``, or for
+events without one the file, the text and its occurrence there.  Which keys the
+table holds is in a key index beside it (``keyindex``, folder
+``<table>__keys``): a micro-batch reads filter blocks and the few key buckets that
+may hold one of its keys, never the table (STR2).
+
+``dedup_stream`` (STR3) keeps the keys of on-time events in the state store for
+as long as the watermark allows, and looks up only late events in the index.
 """
 
 from __future__ import annotations
 
+import hashlib
+import uuid
+
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidepool.functions import jsonlog
+from tidepool.sinks.tables import access_log_schema
+from tidepool.sources import folders
 from tidepool.sources.files import JSON_GLOB, path_exists
+from tidepool.streaming import keyindex, late
+from tidepool.streaming.runlog import RunLog
 
 BRONZE_SCHEMA = T.StructType([
     T.StructField("RawJson", T.StringType()),
@@ -63,21 +77,12 @@ def _require_files(spark: SparkSession, root: str) -> None:
         raise NoInputFilesError(f"no JSON files under {root}")
 
 
-def _run(writer, available_now: bool = True):
-    q = (writer.trigger(availableNow=True) if available_now else writer).start()
-    q.awaitTermination()
-    ex = q.exception()
-    if ex is not None:
-        raise RuntimeError(f"streaming query failed: {ex}")
-    return q
-
-
 def land_files(spark: SparkSession, root: str, bronze_path: str, checkpoint: str,
                multiline: bool = True, max_files_per_trigger: int | None = None) -> None:
     """SNK5-SNK7: copy the text of every not-yet-seen JSON file to the bronze table."""
     src = (raw_json_stream(spark, root, multiline, max_files_per_trigger=max_files_per_trigger)
            .withColumn("landed_at", F.current_timestamp()))
-    _run(src.writeStream.format("parquet").option("path", bronze_path)
+    late.run(src.writeStream.format("parquet").option("path", bronze_path)
          .option("checkpointLocation", checkpoint).outputMode("append"))
 
 
@@ -97,27 +102,94 @@ def event_keys(batch: DataFrame, key: str = "EventId", path: str = "source_path"
                         .otherwise(F.col("EventKey"))).drop("_n"))
 
 
-def idempotent_append(batch: DataFrame, target_path: str, key: str = "EventId") -> None:
-    """STR2: append the events whose key is not yet in the target (partitioned by date).
+def index_of(target_path: str) -> str:
+    """The key index of a table."""
+    return f"{target_path.rstrip('/')}__keys"
+
+
+def owner_of(checkpoint: str) -> str:
+    """Short name of the job that a checkpoint belongs to."""
+    return hashlib.md5(checkpoint.rstrip("/").encode()).hexdigest()[:10]
+
+
+def _append(rows: DataFrame, target_path: str, owner: str, generation: str) -> int:
+    """Write one generation of the table, then enter its keys in the index; returns the rows observed.
 
     ``rebalance`` clusters the rows by date and splits large dates, so a batch
     writes few files per date."""
-    spark = batch.sparkSession
-    batch = event_keys(batch.withColumn("EventDate", F.to_date("EventTimeUtc")), key).drop("source_path")
-    if path_exists(spark, target_path):
-        batch = batch.join(spark.read.parquet(target_path).select("EventKey"), "EventKey", "left_anti")
-    batch.hint("rebalance", "EventDate").write.mode("append").partitionBy("EventDate").parquet(target_path)
+    spark, index = rows.sparkSession, index_of(target_path)
+    folder = f"{target_path.rstrip('/')}/Generation={generation}"
+    seen = Observation("appended")
+    observed = rows.hint("rebalance", "EventDate").observe(seen, F.count(F.lit(1)).alias("rows"))
+    observed.write.mode("overwrite").partitionBy("EventDate").parquet(folder)
+    written = int(seen.get["rows"])
+    _enter(spark, index, folder, owner, generation, written)
+    return written
+
+
+def _enter(spark: SparkSession, index: str, folder: str, owner: str, generation: str, rows: int | None = None) -> None:
+    keys = spark.read.schema(keyindex.KEYS).parquet(folder).select(keyindex.KEY)
+    keyindex.add(keys, index, owner, generation, count=rows)
+    folders.mark(spark, f"{index}/entered/{generation}")
+
+
+def _catch_up(spark: SparkSession, target_path: str, generation: str) -> None:
+    """Merge the index where it has grown, and enter generations whose append was cut off before its last step."""
+    index = index_of(target_path)
+    entered = set(folders.children(spark, f"{index}/entered"))
+    for name in folders.values(spark, target_path, "Generation"):
+        if name not in entered and name != generation:
+            _enter(spark, index, f"{target_path.rstrip('/')}/Generation={name}", name.rpartition("-")[0] or name, name)
+    keyindex.merge(spark, index, keep=generation)
+
+
+def append_unseen(batch: DataFrame, target_path: str, owner: str, generation: str, besides: str | None = None) -> int:
+    """Append the rows of ``batch`` (with ``EventKey`` and ``EventDate``, one per key) that the index doesn't know.
+
+    What a failed attempt of the same generation wrote is replaced; generations of
+    the owner ``besides`` are not looked up.  Returns the number of rows appended."""
+    spark, index = batch.sparkSession, index_of(target_path)
+    if path_exists(spark, f"{target_path}/_spark_metadata"):
+        raise ValueError(f"{target_path} was written by a file sink, whose log hides other files: take a new target and checkpoint")
+    _catch_up(spark, target_path, generation)
+    known = [g for g in keyindex.generations(spark, index) if g.name != generation and g.owner != besides]
+    batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return _append(keyindex.unseen(batch, index, known), target_path, owner, generation)
+    finally:
+        batch.unpersist()
+
+
+def dated(batch: DataFrame) -> DataFrame:
+    """With the table's ``EventDate``."""
+    return batch.withColumn("EventDate", F.to_date("EventTimeUtc"))
+
+
+def as_generation(flat: DataFrame, generation: str, key: str = "EventId") -> DataFrame:
+    """Flattened events with the table's other columns, one row per key, for an append through the catalog."""
+    columns = [f.name for f in access_log_schema().fields]
+    return event_keys(dated(flat), key).withColumn("Generation", F.lit(generation)).select(*columns)
+
+
+def idempotent_append(batch: DataFrame, target_path: str, key: str = "EventId", checkpoint: str | None = None, batch_id: int = 0) -> int:
+    """STR2: append the events whose key is not yet in the target; returns how many.
+
+    ``checkpoint`` and ``batch_id`` name the generation, which a repeated micro-batch replaces."""
+    owner = owner_of(checkpoint or uuid.uuid4().hex)
+    return append_unseen(event_keys(dated(batch), key).drop("source_path"), target_path, owner, f"{owner}-{batch_id:09d}")
 
 
 def normalise_stream(spark: SparkSession, root: str, target_path: str, checkpoint: str,
                      multiline: bool = True, duration_precision: str = "milli",
-                     max_files_per_trigger: int | None = None, require_files: bool = False) -> None:
+                     max_files_per_trigger: int | None = None, require_files: bool = False,
+                     log: RunLog | None = None) -> None:
     """STR1 + STR2: files -> 31-column access-log table, appended without duplicates.
 
     ``max_files_per_trigger`` bounds a micro-batch (the reference lists at most
     200,000 files per run); ``availableNow`` still drains every file, batch by batch.
     ``require_files`` raises ``NoInputFilesError`` when ``root`` holds no JSON file
-    (strict mode); otherwise an empty source simply appends nothing.
+    (strict mode); otherwise an empty source simply appends nothing.  With
+    ``log``, which must be listening, every micro-batch has its row in the run log.
     """
     if require_files:
         _require_files(spark, root)
@@ -125,9 +197,11 @@ def normalise_stream(spark: SparkSession, root: str, target_path: str, checkpoin
     flat = jsonlog.flatten_access_log(src, duration_precision=duration_precision, carry=["source_path"])
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        idempotent_append(batch, target_path)
+        written = idempotent_append(batch, target_path, checkpoint=checkpoint, batch_id=batch_id)
+        if log is not None:
+            log.note_written(batch_id, written)
 
-    _run(flat.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint))
+    late.run(flat.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint), name=log and log.job)
 
 
 def normalise_bronze(spark: SparkSession, bronze_path: str, target_path: str, checkpoint: str) -> None:
@@ -136,60 +210,61 @@ def normalise_bronze(spark: SparkSession, bronze_path: str, target_path: str, ch
     flat = jsonlog.flatten_access_log(src, carry=["source_path"])
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        idempotent_append(batch, target_path)
-
-    _run(flat.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint))
-
-
-def append_within_watermark(batch: DataFrame, target_path: str, delay: str = "1 hour") -> None:
-    """STR3: append the events of ``batch`` that the target does not have yet.
-
-    The watermark is the target's latest event less ``delay``.  An event from it
-    on is compared with the target's events of up to ``delay`` before it, where
-    every copy within ``delay`` lies; an older one with all of the target, so that
-    being late loses none.  Events without a time or id are told apart as in
-    ``event_keys``: a replay of the batch appends none of them twice."""
-    spark = batch.sparkSession
-    time = F.col("EventTimeUtc")
-    batch = (event_keys(batch.withColumn("_id", F.when(time.isNotNull(), F.col("EventId"))), "_id")
-             .drop("_id", "source_path"))
-    if not path_exists(spark, target_path):
-        batch.write.mode("append").parquet(target_path)
-        return
-    if path_exists(spark, f"{target_path}/_spark_metadata"):
-        raise ValueError(f"{target_path} was written by a file sink, whose log hides other files: take a new target and checkpoint")
-    seen = (spark.read.schema("EventKey string, EventTimeUtc timestamp").parquet(target_path)
-            .select("EventKey", time.alias("_seen")))
-    micros = seen.agg(F.unix_micros(F.max("_seen") - F.expr(f"INTERVAL {delay}"))).first()[0]
-    batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        late, recent = F.lit(True), F.lit(False)
-        if micros is not None:
-            mark = F.timestamp_micros(F.lit(micros))
-            late = F.coalesce(time < mark, F.lit(True))
-            recent = F.coalesce(F.col("_seen") >= mark - F.expr(f"INTERVAL {delay}"), F.lit(False))
-        if batch.where(late).isEmpty():
-            seen = seen.where(recent)
-        fresh = (batch.withColumn("_late", late).alias("b")
-                 .join(seen.withColumn("_recent", recent).alias("s"),
-                       (F.col("b.EventKey") == F.col("s.EventKey")) & (F.col("_late") | F.col("_recent")), "left_anti"))
-        fresh.drop("_late").write.mode("append").parquet(target_path)
-    finally:
-        batch.unpersist()
+        idempotent_append(batch, target_path, checkpoint=checkpoint, batch_id=batch_id)
+
+    late.run(flat.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint))
 
 
 def dedup_stream(spark: SparkSession, root: str, target_path: str, checkpoint: str,
                  multiline: bool = True, delay: str = "1 hour",
-                 max_files_per_trigger: int | None = None) -> None:
-    """STR3 job: files -> flatten -> dedup within the watermark -> Parquet.
+                 max_files_per_trigger: int | None = None) -> list[dict]:
+    """STR3 job: files -> flatten -> dedup within the watermark -> access-log table.
 
     Every event is kept once, however the files fall into micro-batches and in
-    whatever order of time they come; those without a valid time have no place
-    in the watermark and are appended as they come."""
+    whatever order of time they come.  Each micro-batch is dealt in two by the
+    watermark that holds for it, the latest event of the micro-batches before it
+    less ``delay``:
+
+    * events from the watermark on go through the state store
+      (``dropDuplicatesWithinWatermark``), which holds their keys until the
+      watermark is ``delay`` past them; the table is not read for them, only the
+      index of what other jobs and the late part have appended;
+    * late events, and those without a valid time, which have no place in a
+      watermark, are looked up in the index of all keys, so being late loses none.
+
+    The dealt events are staged below the checkpoint, and each part is a stream of
+    its own with its own checkpoint; a staged micro-batch is deleted when both are
+    done with it.  Returns the progress of the stateful stream, one per micro-batch.
+    """
+    own = owner_of(checkpoint)
     src = raw_json_stream(spark, root, multiline, max_files_per_trigger=max_files_per_trigger)
     flat = jsonlog.flatten_access_log(src, carry=["source_path"])
+    schema = T.StructType([f for f in flat.schema.fields if f.name != "source_path"]).add("EventKey", "string").add("EventDate", "date")
+    progress: list[dict] = []
 
-    def sink(batch: DataFrame, batch_id: int) -> None:
-        append_within_watermark(batch, target_path, delay)
+    def keyed(batch: DataFrame) -> DataFrame:
+        # An id without a time tells nothing about copies: such events are told apart by their text.
+        named = dated(batch).withColumn("_id", F.when(F.col("EventTimeUtc").isNotNull(), F.col("EventId")))
+        return event_keys(named, "_id").drop("_id", "source_path")
+
+    def on_time() -> None:
+        events = (late.part(spark, checkpoint, schema, late=False)
+                  .withWatermark("EventTimeUtc", delay).dropDuplicatesWithinWatermark(["EventKey"]))
+
+        def sink(batch: DataFrame, n: int) -> None:
+            if not batch.isEmpty():
+                append_unseen(batch, target_path, f"{own}t", f"{own}t-{n:09d}", besides=f"{own}t")
+
+        query = late.run(events.writeStream.foreachBatch(sink).option("checkpointLocation", f"{checkpoint}/on-time"))
+        progress.extend(query.recentProgress)
+
+    def behind() -> None:
+        def sink(batch: DataFrame, n: int) -> None:
+            first = Window.partitionBy("EventKey").orderBy("EventTimeUtc", "RawJson")
+            once = batch.withColumn("_n", F.row_number().over(first)).where("_n = 1").drop("_n")
+            append_unseen(once, target_path, f"{own}l", f"{own}l-{n:09d}")
+
+        late.run(late.part(spark, checkpoint, schema, late=True).writeStream.foreachBatch(sink).option("checkpointLocation", f"{checkpoint}/late"))
 
-    _run(flat.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint))
+    late.run_dealt(spark, flat, checkpoint, keyed, [on_time, behind], delay)
+    return progress
