@@ -99,6 +99,16 @@ def test_the_same_model_for_every_layout(spark):
     assert one == two and len(one.trees) == 12
 
 
+def test_saved_and_loaded(spark, tmp_dir):
+    x, y = rows_of(200)
+    model = leafwise.fit(frame(spark, x, y), ["a", "b", "c"], "y", dict(n_estimators=3))
+    model.save(spark, f"{tmp_dir}/m")
+    back = leafwise.LeafwiseModel.load(spark, f"{tmp_dir}/m")
+    assert (back.features, back.start, [t.value for t in back.trees], [t.feature for t in back.trees]) == (model.features, model.start, [t.value for t in model.trees], [t.feature for t in model.trees])
+    df = frame(spark, x, y)
+    assert [r.score for r in back.transform(df).collect()] == [r.score for r in model.transform(df).collect()]
+
+
 def test_not_worse_than_the_level_wise_booster(spark):
     rng = np.random.default_rng(2)
     x = rng.normal(size=(1200, 3))

@@ -13,13 +13,14 @@ from conftest import SF001
 
 def test_global_rank_equals_row_number_under_any_layout(spark):
     li = spark.read.parquet(f"{SF001}/lineitem.parquet").select("l_orderkey", "l_linenumber", "l_discount")
-    want = {(r[0], r[1]): r[2] for r in li.selectExpr(
+    # Order and line repeat: all rows are compared, not one of each key.
+    want = sorted(tuple(r) for r in li.selectExpr(
         "l_orderkey", "l_linenumber",
-        "row_number() OVER (ORDER BY l_discount, l_orderkey, l_linenumber)").collect()}
+        "row_number() OVER (ORDER BY l_discount, l_orderkey, l_linenumber)").collect())
     for n in (1, 7, 64):
         got = ranking.global_rank(li.repartition(n), ["l_discount", "l_orderkey", "l_linenumber"], "r",
                                   num_partitions=n)
-        assert {(r[0], r[1]): r[2] for r in got.select("l_orderkey", "l_linenumber", "r").collect()} == want
+        assert sorted(tuple(r) for r in got.select("l_orderkey", "l_linenumber", "r").collect()) == want
 
 
 def test_grouped_rank_and_hot_key(spark):
@@ -394,6 +395,62 @@ def test_neighbours_of_equal_points(spark):
         assert [r.nbr_id for r in sorted((r for r in got if r.id == i), key=lambda r: r.nbr_rank)] == [x for x in range(4) if x != i][:3]
 
 
+def test_null_groups_are_groups(spark):
+    """Ranks, running sums and quantiles of a null group, alone and beside others, over many partitions."""
+    rows = [(None if i % 3 == 0 else f"g{i % 3}", None if i % 2 else i % 5, i, float(i % 7)) for i in range(90)]
+    df = spark.createDataFrame(rows, "g string, h int, k int, v double")
+    want = {r.k: r.r for r in df.selectExpr("k", "row_number() OVER (PARTITION BY g, h ORDER BY v, k) AS r").collect()}
+    got = ranking.global_rank(df.repartition(7), ["v", "k"], "r", ["g", "h"], num_partitions=9)
+    assert {r.k: r.r for r in got.collect()} == want
+    sums = ranking.prefix_sums(df, ["k"], ["v"], ["g", "h"], num_partitions=5)
+    want = {r.k: r.s for r in df.selectExpr("k", "sum(v) OVER (PARTITION BY g, h ORDER BY k) AS s").collect()}
+    assert {r.k: r.v_cum for r in sums.collect()} == want
+    exact = {(r.g, r.h): r.q for r in df.groupBy("g", "h").agg(F.percentile("v", 0.4).alias("q")).collect()}
+    for how in (dict(method="bracket"), dict(method="rank"), dict(accuracy=3)):
+        found = {(r.g, r.h): r.value for r in ranking.grouped_quantiles(df, "v", ["g", "h"], [0.4], **how).collect()}
+        assert found.keys() == exact.keys() and all(found[k] == pytest.approx(exact[k]) for k in exact)
+
+
+def test_nan_is_left_out(spark):
+    """The probes: quartiles, histogram, bins and ranks with NaN are those without."""
+    nan = float("nan")
+    df = spark.createDataFrame([(i, float(i)) for i in range(9)] + [(9 + i, nan) for i in range(3)] + [(12, None)], "k int, x double")
+    five = profile.five_number(df, ["x"]).first()
+    assert (five["min"], five["q1"], five["median"], five["q3"], five["max"]) == (0, 2, 4, 6, 8)
+    box = profile.boxplot_stats(df, ["x"]).first()
+    assert (box["whisker_low"], box["whisker_high"], box["n_outliers"], box["iqr"]) == (0, 8, 0, 4)
+    bins = profile.histogram(df, ["x"], 4).collect()
+    assert sum(r["count"] for r in bins) == 9 and max(r["hi"] for r in bins) == 8
+    for out in (binning.qcut(df, "x", 4, "b"), binning.qcut_rank_first(df, "x", ["k"], 4, "b"), binning.qcut_many(df, {"x": (4, "b")})):
+        got = {r.k: r.b for r in out.collect()}
+        assert [got[i] for i in range(9)] == [1, 1, 1, 2, 2, 3, 3, 4, 4] and all(got[i] is None for i in range(9, 13))
+    summary = profile.table_summary(df, ["x"]).first()
+    assert (summary["count"], summary["null_count"], summary["n_distinct"], summary["max"]) == (9, 4, 9, 8)
+    empty = spark.createDataFrame([(nan,), (None,)], "x double")
+    assert profile.five_number(empty, ["x"]).count() == 0 == profile.boxplot_stats(empty, ["x"]).count()
+
+
+def test_null_classes_stay_in_the_matrix(spark):
+    df = spark.createDataFrame([(None, 1, 1, 0.9), (None, 0, None, None), (None, None, 1, 0.8), (None, 1, 1, 0.7), (None, 0, 0, 0.1)], "model string, y int, p int, score double")
+    cells = {(r.actual, r.predicted): r["count"] for r in evaluate.confusion_matrix(df).collect()}
+    assert sum(cells.values()) == 5 and len(cells) == 9 and cells[0, None] == cells[None, 1] == 1
+    lines = {r.label: r for r in evaluate.classification_report(df).collect()}
+    assert lines["accuracy"].f1 == evaluate.accuracy(df).first()["accuracy"] == 0.6 and lines["null"].support == 1
+    out = evaluate.compare_models(df).first()
+    assert out["model"] is None and out["roc_auc"] == 1.0
+    with pytest.raises(Exception, match="stated"):
+        evaluate.confusion_matrix(df, classes=(0, 1)).collect()
+    with pytest.raises(Exception, match="classes 0 and 1"):
+        evaluate.confusion_cells(df).collect()
+
+
+def test_many_classes_in_one_grid(spark):
+    """Hundreds of classes: the grid is a join, and zero cells are there."""
+    df = spark.range(600).selectExpr("'m' AS model", "CAST(id % 120 AS INT) AS y", "CAST((id * 7) % 120 AS INT) AS p")
+    got = evaluate.confusion_matrix(df)
+    assert got.count() == 120 * 120 and got.agg({"count": "sum"}).first()[0] == 600
+
+
 def test_summary_of_text_and_tiny_values(spark):
     df = spark.createDataFrame([(1e-7, "a"), (3e-7, None), (None, "a")], "x double, t string")
     got = {r["column"]: r for r in profile.table_summary(df).collect()}

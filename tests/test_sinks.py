@@ -69,5 +69,5 @@ def test_bootstrap_declared_tables(spark, tmp_dir):
     names = sinks.bootstrap_tables(spark, tmp_dir, prefix)
     assert sinks.bootstrap_tables(spark, tmp_dir, prefix) == names  # rerun is a no-op
     widths = {n[len(prefix):]: len(spark.table(n).columns) for n in names}
-    assert widths == {"log_event_access": 31, "log_job_event": 21, "log_etl_run": 14,
+    assert widths == {"log_event_access": 34, "log_job_event": 21, "log_etl_run": 14,
                       "dim_workspace": 6, "dim_item": 6, "dim_principal": 5}

@@ -32,7 +32,7 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidepool.session import stored
@@ -105,6 +105,23 @@ class LeafwiseModel:
         return df.withColumn("score", 1 / (1 + F.exp(-margin))).withColumn("prediction", (F.col("score") > 0.5).cast("double"))
 
 
+    def save(self, spark: SparkSession, path: str) -> None:
+        """Write the model as a table: a row per node (a tree's leaves included), and the start in each."""
+        rows = [(i, node, t.feature[node], t.bin[node], t.threshold[node], t.left[node], t.right[node], t.value[node]) for i, t in enumerate(self.trees) for node in range(len(t.feature))]
+        head = [(-1, -1, -1, 0, self.start, -1, -1, float(len(self.trees)))]
+        table = spark.createDataFrame(head + rows, "tree int, node int, feature int, bin int, threshold double, left int, right int, value double")
+        table.withColumn("features", F.array(*[F.lit(c) for c in self.features]).cast("array<string>")).coalesce(1).write.mode("errorifexists").parquet(path)
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> LeafwiseModel:
+        rows = sorted(spark.read.parquet(path).collect(), key=lambda r: (r.tree, r.node))  # nodes of the model, whatever it was fitted on
+        trees = [Tree() for _ in range(int(rows[0].value))]
+        for r in rows[1:]:
+            for column in ("feature", "bin", "threshold", "left", "right", "value"):
+                getattr(trees[r.tree], column).append(r[column])
+        return cls(list(rows[0].features), rows[0].threshold, trees)
+
+
 @dataclass
 class _Node:
     """A node of the tree that is being grown, with what its histogram told."""

@@ -10,7 +10,7 @@ import os
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from tidepool.models import predict, registry, train
+from tidepool.models import leafwise, predict, registry, train
 from tidepool.operators import churn, evaluate, oversample, split
 from tidepool.plans.churn import DF_CLEAN_SQL
 from tidepool.plans.registry import query
@@ -86,6 +86,17 @@ def train_gbt(spark, sf_dir):
     return _fit_and_score(spark, sf_dir, train.train_gbt, train.GBT)
 
 
+@query("train_leafwise", "TRN3,EVL1", sql=_SCORED_SQL)
+def train_leafwise(spark, sf_dir):
+    """The reference's own booster: leaf-wise, 100 rounds, its steps cut; saved, loaded and scored in the JVM."""
+    balanced, val, _, feats = prepared(spark, sf_dir)
+    path = os.path.join(scratch_path(spark, "leafwise"), "model")
+    leafwise.fit(balanced, feats, TARGET).save(spark, path)
+    scored = leafwise.LeafwiseModel.load(spark, path).transform(val)
+    fits = F.col("score").between(0, 1) & ((F.col("prediction") == 1) == (F.col("score") > 0.5))
+    return scored.select("CustomerId", TARGET, fits.alias("fits"))
+
+
 def _metrics(scored):
     long = scored.select(F.lit("m").alias("model"), F.col(TARGET).alias("y"),
                          F.col("prediction").alias("p"), "score")
