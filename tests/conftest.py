@@ -12,7 +12,7 @@ SF01 = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="session")
 def spark():
-    from tidepool.session import build_session
+    from tidepool.session import build_session, release
 
     ck = tempfile.mkdtemp(prefix="tidepool-test-ck-")
     s = build_session("local[4]", 8, app_name="tidepool-tests",
@@ -20,6 +20,7 @@ def spark():
                              "spark.checkpoint.dir": ck})
     s.sparkContext.setLogLevel("ERROR")
     yield s
+    release(s)
     s.stop()
 
 

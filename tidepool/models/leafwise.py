@@ -47,6 +47,8 @@ BLOCK_ROWS = 65_536
 #: Trees whose sums are recomputed in every pass before the blocks are written with them.
 TREES_PER_TABLE = 10
 UNIT = float(1 << 20)
+#: Partial histograms of so many partitions are added up on the driver; of more, by a shuffle before it (the same sums).
+DIRECT_PARTITIONS = 16
 
 _BLOCK = "n int, bins binary, y binary, margin binary"
 
@@ -189,7 +191,7 @@ def _unpacked(batch: pa.RecordBatch, n_features: int, trees: list[Tree]):
         yield bins, np.frombuffer(y, np.uint8), margin
 
 
-def _histograms(blocks: DataFrame, n_features: int, width: int, trees: list[Tree], grown: Tree, wanted: list[int]) -> np.ndarray:
+def _histograms(blocks: DataFrame, partitions: int, n_features: int, width: int, trees: list[Tree], grown: Tree, wanted: list[int]) -> np.ndarray:
     """Sums [node, feature, bin, (gradient, hessian, rows)] of the nodes ``wanted`` of ``grown``, over all rows."""
     slot = np.full(len(grown.feature), -1)
     slot[wanted] = np.arange(len(wanted))
@@ -214,12 +216,14 @@ def _histograms(blocks: DataFrame, n_features: int, width: int, trees: list[Tree
         yield pa.RecordBatch.from_arrays([pa.array((some[:, 0] * n_features + some[:, 1]) * width + some[:, 2])] + [pa.array(cells[:, k]) for k in range(3)], names=["cell", "g", "h", "n"])
 
     parts = blocks.mapInArrow(sums, "cell bigint, g bigint, h bigint, n bigint")
-    found = parts.groupBy("cell").agg(F.sum("g").alias("g"), F.sum("h").alias("h"), F.sum("n").alias("n")).toArrow()
+    if partitions > DIRECT_PARTITIONS:
+        parts = parts.groupBy("cell").agg(F.sum("g").alias("g"), F.sum("h").alias("h"), F.sum("n").alias("n"))
+    found = parts.toArrow()
     out = np.zeros((len(wanted) * n_features * width, 3), dtype=np.int64)
     if found.num_rows:
         cell = found["cell"].to_numpy()
         for k, c in enumerate(("g", "h", "n")):
-            out[cell, k] = found[c].to_numpy()
+            np.add.at(out[:, k], cell, found[c].to_numpy())
     return out.reshape(len(wanted), n_features, width, 3)
 
 
@@ -269,11 +273,11 @@ def _order(nodes: list[_Node], p: dict) -> tuple[list[int], list[int]]:
     return made, [i for g, i in sorted(waiting)[:left] if nodes[i].children is None and -g > 0]
 
 
-def _grow(blocks: DataFrame, edges: list[np.ndarray], width: int, trees: list[Tree], p: dict) -> Tree:
+def _grow(blocks: DataFrame, partitions: int, edges: list[np.ndarray], width: int, trees: list[Tree], p: dict) -> Tree:
     """One tree on the current margins."""
     speculative = Tree()  # every node whose histogram was asked for
     speculative.add()
-    first = _histograms(blocks, len(edges), width, trees, speculative, [0])[0]
+    first = _histograms(blocks, partitions, len(edges), width, trees, speculative, [0])[0]
     sums = tuple(int(v) for v in first[0].sum(axis=0))
     nodes = [_Node(sums, 0)]
 
@@ -298,7 +302,7 @@ def _grow(blocks: DataFrame, edges: list[np.ndarray], width: int, trees: list[Tr
             wanted += pair
         deep = [w for w in wanted if nodes[w].depth < p["max_depth"] and nodes[w].sums[2] >= 2 * p["min_child_samples"]]
         if deep:
-            for w, histogram in zip(deep, _histograms(blocks, len(edges), width, trees, speculative, deep)):
+            for w, histogram in zip(deep, _histograms(blocks, partitions, len(edges), width, trees, speculative, deep)):
                 learn(w, histogram)
     chosen = set(made)
     out = Tree()
@@ -342,9 +346,10 @@ def fit(df: DataFrame, features: list[str], label: str, params: dict | None = No
     width = max(len(e) for e in edges) + 2
     model, fresh = LeafwiseModel(list(features), start, []), []
     blocks = stored(_binned(table, names, "y", edges, start), "fit-blocks").persist(StorageLevel.MEMORY_AND_DISK)
+    partitions = blocks.rdd.getNumPartitions()
     try:
         for _ in range(p["n_estimators"]):
-            tree = _grow(blocks, edges, width, fresh, p)
+            tree = _grow(blocks, partitions, edges, width, fresh, p)
             if len(tree.feature) == 1:
                 break  # no split is worth it any more
             model.trees.append(tree)
@@ -352,7 +357,7 @@ def fit(df: DataFrame, features: list[str], label: str, params: dict | None = No
             if len(fresh) == TREES_PER_TABLE:
                 after = stored(_with_trees(blocks, len(edges), fresh), "fit-blocks").persist(StorageLevel.MEMORY_AND_DISK)
                 blocks.unpersist()
-                blocks, fresh = after, []
+                blocks, fresh, partitions = after, [], after.rdd.getNumPartitions()
     finally:
         blocks.unpersist()
     return model
