@@ -49,7 +49,7 @@ SHARD_SLOTS = 4096
 SEED = 17
 ROUNDS = 12
 #: Documents in a chunk of a source's running sum, on average; draws made in one step; slots of a task; shards in a chunk of running sums.
-CHUNK_ROWS = 20_000
+CHUNK_ROWS = 2_000
 STEP_SLOTS = 4096
 TASK_SLOTS = 1 << 16
 SHARD_CHUNK = 4096
