@@ -103,7 +103,8 @@ class Counter:
         text = np.array([WORD_MARK + w for w in words])
         letters = text.view(np.uint32).reshape(len(words), -1).astype(np.int64)
         length = np.array([len(w) + 1 for w in words])  # numpy's own lengths leave out NULs at the end
-        same = np.concatenate(([0], np.cumprod(letters[1:] == letters[:-1], axis=1).sum(axis=1)))  # characters shared with the row above
+        # Characters shared with the row above; the padding behind a word is not one of them.
+        same = np.concatenate(([0], np.minimum(np.cumprod(letters[1:] == letters[:-1], axis=1).sum(axis=1), length[:-1])))
         tokens, score = np.zeros(len(words), dtype=np.int64), np.zeros(len(words))
         node = np.zeros(len(words), dtype=np.int64)  # of each row, one level up
         # Of each node, for the last 1, 2, ... characters: the piece under way, score and tokens before it.
