@@ -179,7 +179,7 @@ def test_run_log_of_batches_and_of_a_failure(spark, tmp_dir):
     assert [(r.Status, r.RowsRead) for r in failed] == [("Failed", None)] and "sink is gone" in failed[0].ErrorMessage
 
 
-@pytest.mark.parametrize("files_per_batch", [1, 3, None])
+@pytest.mark.parametrize("files_per_batch", [1, None])
 def test_spans_of_any_split_are_the_batch_runs(spark, tmp_dir, files_per_batch):
     """Events in any order over micro-batches, late ones far behind: the runs of the whole log; the state leaves."""
     import random

@@ -37,8 +37,9 @@ def test_entry_without_the_subpackage(tmp_path, without):
     copy = copied(str(tmp_path), without)
     out = run(copy, "-c", SCRIPT.format(copy=copy))
     assert "ROWS 106" in out.stdout and "False False True" in out.stdout, out.stderr[-2000:]
-    tests = run(copy, "-m", "pytest", "-q", "-x", "tests/test_inventory.py", "tests/test_shipping.py")
-    assert tests.returncode == 0, tests.stdout[-2000:]
+    if "corpus_pipeline.py" not in without:
+        tests = run(copy, "-m", "pytest", "-q", "-x", "tests/test_inventory.py", "tests/test_shipping.py")
+        assert tests.returncode == 0, tests.stdout[-2000:]
 
 
 def test_other_missing_modules_are_errors(tmp_path):
