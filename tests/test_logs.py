@@ -174,3 +174,16 @@ def test_empty_inputs(spark, tmp_dir):
         ingest.normalise_stream(spark, f"{tmp_dir}/src", f"{tmp_dir}/t", f"{tmp_dir}/ck", require_files=True)
     ingest.normalise_stream(spark, f"{tmp_dir}/src", f"{tmp_dir}/t", f"{tmp_dir}/ck2")  # lenient: nothing
     assert not files.path_exists(spark, f"{tmp_dir}/t")
+
+
+def test_typed_struct_reads_numbers_as_numbers(spark, tmp_dir):
+    """The multi-line reader with numbers typed: the values of the all-string struct, a misplaced one null and its neighbours kept."""
+    docs = [{"id": "1", "data": {"itemId": "a", "durationMs": 12, "httpStatusCode": 200, "isShortcut": True}},
+            {"id": "2", "data": {"itemId": "b", "durationMs": "x", "httpStatusCode": 404}}]
+    os.makedirs(f"{tmp_dir}/j")
+    with open(f"{tmp_dir}/j/a.json", "w") as fh:
+        fh.write(json.dumps(docs, indent=1))
+    names = ["id", "data.itemId", "data.durationMs", "data.httpStatusCode", "data.isShortcut"]
+    typed = files.read_json_typed(spark, f"{tmp_dir}/j", jsonlog.TYPED_STRUCT).select(*names)
+    assert [t for _, t in typed.dtypes] == ["string", "string", "bigint", "int", "boolean"]
+    assert sorted(map(tuple, typed.collect())) == [("1", "a", 12, 200, True), ("2", "b", None, 404, None)]

@@ -59,24 +59,22 @@ ACCESS_LOG_SCHEMA = T.StructType([
 ])
 
 
-def _raw_struct_schema() -> T.StructType:
-    """All-string struct mirroring the JSON paths: top-level keys + ``data``."""
-    top: list[str] = []
-    data: list[str] = []
-    for _, path, _ in ACCESS_LOG_COLUMNS:
+def _struct_schema(types: dict[str, T.DataType]) -> T.StructType:
+    """Struct mirroring the JSON paths, top-level keys + ``data``: fields whose column type is in ``types`` have that, others are strings."""
+    top: list[T.StructField] = []
+    data: list[T.StructField] = []
+    for _, path, typ in ACCESS_LOG_COLUMNS:
         if path is None:
             continue
         parts = path[2:].split(".")
-        if len(parts) == 1:
-            top.append(parts[0])
-        else:
-            data.append(parts[1])
-    fields = [T.StructField(k, T.StringType()) for k in top]
-    fields.append(T.StructField("data", T.StructType([T.StructField(k, T.StringType()) for k in data])))
-    return T.StructType(fields)
+        (top if len(parts) == 1 else data).append(T.StructField(parts[-1], types.get(typ, T.StringType())))
+    return T.StructType([*top, T.StructField("data", T.StructType(data))])
 
 
-RAW_STRUCT = _raw_struct_schema()
+RAW_STRUCT = _struct_schema({})
+#: The same with numbers and truth values as such: where a number is read as a string, Spark's
+#: multi-line reader opens the file once more for its text.
+TYPED_STRUCT = _struct_schema({"bigint": T.LongType(), "int": T.IntegerType(), "boolean": T.BooleanType()})
 
 
 def extract(df: DataFrame, paths: dict[str, str], raw_col: str = "RawJson") -> DataFrame:

@@ -189,8 +189,8 @@ def multi_line_documents(spark, sf_dir):
     group = F.floor(F.col("id").cast("bigint") / 1000)
     arrays = docs.select(group.alias("g"), text.alias("t")).groupBy("g").agg(
         F.concat(F.lit("[\n"), F.concat_ws(",\n", F.collect_list("t")), F.lit("\n]")).alias("value"))
-    arrays.write.partitionBy("g").text(base)
-    typed = files.read_json_typed(spark, base, jsonlog.RAW_STRUCT, multiline=True, glob="*.txt")
+    arrays.select("value").write.option("maxRecordsPerFile", 1).text(base)  # a file per array, in one folder
+    typed = files.read_json_typed(spark, base, jsonlog.TYPED_STRUCT, multiline=True, glob="*.txt")
     return typed.select(F.col("id").alias("EventId"), F.col("type").alias("EventType"), F.col("data.itemId").alias("ItemId"))
 
 
