@@ -4,9 +4,10 @@ import json
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from tidepool.functions import jsonlog
-from tidepool.sources import files
+from tidepool.sources import derived, files
 from tidepool.streaming import ingest
 
 
@@ -187,3 +188,14 @@ def test_typed_struct_reads_numbers_as_numbers(spark, tmp_dir):
     typed = files.read_json_typed(spark, f"{tmp_dir}/j", jsonlog.TYPED_STRUCT).select(*names)
     assert [t for _, t in typed.dtypes] == ["string", "string", "bigint", "int", "boolean"]
     assert sorted(map(tuple, typed.collect())) == [("1", "a", 12, 200, True), ("2", "b", None, 404, None)]
+
+
+def test_compressed_deliveries_are_ingested(spark, tmp_dir):
+    """Gzipped JSON lines in files of a bounded number of documents: each event once, and nothing of other files."""
+    docs = spark.range(40).selectExpr("CAST(id AS STRING) AS id", "'2024-03-01T10:00:00Z' AS time")
+    derived.deliver(docs, f"{tmp_dir}/src/a")
+    docs.limit(1).withColumn("id", F.lit("plain")).write.json(f"{tmp_dir}/src/b")
+    for _ in range(2):
+        ingest.normalise_stream(spark, f"{tmp_dir}/src", f"{tmp_dir}/t", f"{tmp_dir}/ck", multiline=False, max_files_per_trigger=2, glob=files.GZIP_GLOB)
+    assert sorted(int(r[0]) for r in spark.read.parquet(f"{tmp_dir}/t").select("EventId").collect()) == list(range(40))
+    assert all(n.endswith(".json.gz") for n in os.listdir(f"{tmp_dir}/src/a") if n.startswith("part"))

@@ -88,9 +88,9 @@ def stream_dedup(spark, sf_dir):
     base = scratch_path(spark, "dedup")
     root, target, ck = (os.path.join(base, x) for x in ("src", "target", "ck"))
     ev = _events(spark, sf_dir)
-    _write_docs(ev, os.path.join(root, "copy_1"))
-    _write_docs(ev, os.path.join(root, "copy_2"))
-    ingest.dedup_stream(spark, root, target, ck, multiline=False)
+    derived.deliver(derived.diagnostic_docs(ev), os.path.join(root, "copy_1"))
+    derived.deliver(derived.diagnostic_docs(ev), os.path.join(root, "copy_2"))
+    ingest.dedup_stream(spark, root, target, ck, multiline=False, max_files_per_trigger=derived.DELIVERED_FILES, glob=files.GZIP_GLOB)
     return spark.read.parquet(target).select("EventId", "EventTimeUtc")
 
 
@@ -129,9 +129,9 @@ def ingest_events_without_id(spark, sf_dir):
     """Half of the documents have no id: all are kept, and a replay with a fresh checkpoint adds none."""
     base = scratch_path(spark, "no-id")
     root, target = os.path.join(base, "src"), os.path.join(base, "target")
-    _unnamed(derived.diagnostic_docs(_events(spark, sf_dir))).write.json(root)
+    derived.deliver(_unnamed(derived.diagnostic_docs(_events(spark, sf_dir))), root)
     for run in range(2):
-        ingest.normalise_stream(spark, root, target, os.path.join(base, f"ck_{run}"), multiline=False)
+        ingest.normalise_stream(spark, root, target, os.path.join(base, f"ck_{run}"), multiline=False, max_files_per_trigger=derived.DELIVERED_FILES, glob=files.GZIP_GLOB)
     return spark.read.parquet(target).select("EventId", "EventTimeUtc", "ItemId")
 
 
@@ -143,10 +143,10 @@ def ingest_id_on_two_dates(spark, sf_dir):
     base = scratch_path(spark, "two-dates")
     root, target, ck = (os.path.join(base, x) for x in ("src", "target", "ck"))
     ev = _events(spark, sf_dir)
-    _write_docs(ev, os.path.join(root, "first"))
-    ingest.normalise_stream(spark, root, target, ck, multiline=False)
-    _write_docs(ev.withColumn("ts", F.col("ts") + F.expr("INTERVAL 7 DAYS")), os.path.join(root, "later"))
-    ingest.normalise_stream(spark, root, target, ck, multiline=False)
+    derived.deliver(derived.diagnostic_docs(ev), os.path.join(root, "first"))
+    ingest.normalise_stream(spark, root, target, ck, multiline=False, max_files_per_trigger=derived.DELIVERED_FILES, glob=files.GZIP_GLOB)
+    derived.deliver(derived.diagnostic_docs(ev.withColumn("ts", F.col("ts") + F.expr("INTERVAL 7 DAYS"))), os.path.join(root, "later"))
+    ingest.normalise_stream(spark, root, target, ck, multiline=False, max_files_per_trigger=derived.DELIVERED_FILES, glob=files.GZIP_GLOB)
     return spark.read.parquet(target).select("EventId", "EventTimeUtc")
 
 

@@ -11,7 +11,7 @@ from tidepool.operators import marts, merge
 from tidepool.plans.registry import REGISTRY, query
 from tidepool.session import scratch_path, stored
 from tidepool.sinks import tables as sinks
-from tidepool.sources import derived, tables
+from tidepool.sources import derived, files, tables
 from tidepool.streaming import ingest, sessions
 from tidepool.streaming.runlog import RunLog
 
@@ -166,10 +166,12 @@ def etl_run_per_batch(spark, sf_dir):
     base = scratch_path(spark, "run-log")
     log_path, target, ck = (os.path.join(base, x) for x in ("log_etl_run", "log_event_access", "ck"))
     ev = tables.load(spark, sf_dir, "events", ["event_id", "ts", "user_id", "event_type", "value"])
+    parts = max(2, -(-ev.count() // derived.DELIVERED_DOCS))
     for copy in (1, 2):
-        derived.diagnostic_docs(ev).repartition(2).write.json(os.path.join(base, "src", f"copy_{copy}"))
+        derived.deliver(derived.diagnostic_docs(ev.repartition(parts)), os.path.join(base, "src", f"copy_{copy}"))
     with RunLog(spark, log_path, "normalise_access_log") as log:
-        ingest.normalise_stream(spark, os.path.join(base, "src"), target, ck, multiline=False, max_files_per_trigger=2, log=log)
+        ingest.normalise_stream(spark, os.path.join(base, "src"), target, ck, multiline=False,
+                                max_files_per_trigger=min(parts, derived.DELIVERED_FILES), log=log, glob=files.GZIP_GLOB)
     runs = spark.read.schema(sinks.DECLARED_TABLES["log_etl_run"]).parquet(log_path)
     rows = spark.read.parquet(target).agg(F.count(F.lit(1)).alias("n")).withColumn("Status", F.lit("Succeeded"))
     sums = runs.groupBy("Status").agg(F.sum("RowsRead").alias("RowsRead"), F.sum("RowsWritten").alias("RowsWritten"), F.count_distinct("RunId").alias("runs"), F.count(F.lit(1)).alias("batches"))

@@ -13,7 +13,7 @@ from tidepool.functions import jsonlog
 from tidepool.plans.registry import query
 from tidepool.session import scratch_path, stored
 from tidepool.sinks import tables as sinks
-from tidepool.sources import derived, tables
+from tidepool.sources import derived, files, tables
 from tidepool.streaming import ingest
 
 _CUSTOMER_SCHEMA = "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"
@@ -106,8 +106,8 @@ def access_log_filled_by_stream(spark, sf_dir):
     ev = tables.load(spark, sf_dir, "events", ["event_id", "ts", "user_id", "event_type", "value"])
     late = F.col("ts") >= F.lit("2024-01-16 00:00:00").cast("timestamp_ntz")
     for part, rows in (("first", ev.where(~late)), ("second", ev.where(late)), ("replayed", ev.where(late))):
-        derived.diagnostic_docs(rows).write.json(os.path.join(base, "landing", part))
-        ingest.normalise_stream(spark, os.path.join(base, "landing"), target, ck, multiline=False)
+        derived.deliver(derived.diagnostic_docs(rows), os.path.join(base, "landing", part))
+        ingest.normalise_stream(spark, os.path.join(base, "landing"), target, ck, multiline=False, max_files_per_trigger=derived.DELIVERED_FILES, glob=files.GZIP_GLOB)
     sinks.refresh_table(spark, names[0])
     out = stored(spark.sql(f"SELECT EventDate, count(*) AS events, count(DISTINCT EventKey) AS keys FROM {names[0]} GROUP BY EventDate"), "scan")
     sinks.drop_tables(spark, names)

@@ -97,6 +97,16 @@ def diagnostic_docs(events: DataFrame, damaged: bool = False) -> DataFrame:
     return events.select(_doc_struct(damaged).alias("d")).select("d.*")
 
 
+#: Documents of a compressed file at most (it is read by one task), and files of a micro-batch: some 4 GB of text.
+DELIVERED_DOCS = 50_000
+DELIVERED_FILES = 100
+
+
+def deliver(docs: DataFrame, folder: str) -> None:
+    """Documents as gzipped JSON lines, as logs are delivered: a tenth of their text."""
+    docs.write.option("compression", "gzip").option("maxRecordsPerFile", DELIVERED_DOCS).json(folder)
+
+
 # DuckDB twin of the flattened (typed) diagnostic table, straight from events.
 # Columns in the order of ACCESS_LOG_COLUMNS without IngestedTimeUtc/RawJson.
 def diagnostic_flat_sql(damaged: bool = False, duration_precision: str = "milli") -> str:

@@ -13,6 +13,8 @@ from pyspark.sql import types as T
 
 # Case-insensitive ``*.json``: glob character classes, one per letter.
 JSON_GLOB = "*.[jJ][sS][oO][nN]"
+#: The same, compressed.
+GZIP_GLOB = JSON_GLOB + ".[gG][zZ]"
 
 
 def list_files(spark: SparkSession, root: str, glob: str = JSON_GLOB) -> DataFrame:

@@ -70,10 +70,10 @@ class NoInputFilesError(FileNotFoundError):
     """Strict mode: the source folder holds no matching file."""
 
 
-def _require_files(spark: SparkSession, root: str) -> None:
+def _require_files(spark: SparkSession, root: str, glob: str) -> None:
     from tidepool.sources.files import list_files
 
-    if not path_exists(spark, root) or list_files(spark, root).limit(1).count() == 0:
+    if not path_exists(spark, root) or list_files(spark, root, glob).limit(1).count() == 0:
         raise NoInputFilesError(f"no JSON files under {root}")
 
 
@@ -182,7 +182,7 @@ def idempotent_append(batch: DataFrame, target_path: str, key: str = "EventId",
 def normalise_stream(spark: SparkSession, root: str, target_path: str, checkpoint: str,
                      multiline: bool = True, duration_precision: str = "milli",
                      max_files_per_trigger: int | None = None, require_files: bool = False,
-                     log: RunLog | None = None) -> None:
+                     log: RunLog | None = None, glob: str = JSON_GLOB) -> None:
     """STR1 + STR2: files -> 31-column access-log table, appended without duplicates.
 
     ``max_files_per_trigger`` bounds a micro-batch (the reference lists at most
@@ -192,8 +192,8 @@ def normalise_stream(spark: SparkSession, root: str, target_path: str, checkpoin
     ``log``, which must be listening, every micro-batch has its row in the run log.
     """
     if require_files:
-        _require_files(spark, root)
-    src = raw_json_stream(spark, root, multiline, max_files_per_trigger=max_files_per_trigger)
+        _require_files(spark, root, glob)
+    src = raw_json_stream(spark, root, multiline, glob, max_files_per_trigger)
     flat = jsonlog.flatten_access_log(src, duration_precision=duration_precision, carry=["source_path"])
 
     def sink(batch: DataFrame, batch_id: int) -> None:
@@ -217,7 +217,7 @@ def normalise_bronze(spark: SparkSession, bronze_path: str, target_path: str, ch
 
 def dedup_stream(spark: SparkSession, root: str, target_path: str, checkpoint: str,
                  multiline: bool = True, delay: str = "1 hour",
-                 max_files_per_trigger: int | None = None) -> list[dict]:
+                 max_files_per_trigger: int | None = None, glob: str = JSON_GLOB) -> list[dict]:
     """STR3 job: files -> flatten -> dedup within the watermark -> access-log table.
 
     Every event is kept once, however the files fall into micro-batches and in
@@ -237,7 +237,7 @@ def dedup_stream(spark: SparkSession, root: str, target_path: str, checkpoint: s
     done with it.  Returns the progress of the stateful stream, one per micro-batch.
     """
     own = owner_of(checkpoint)
-    src = raw_json_stream(spark, root, multiline, max_files_per_trigger=max_files_per_trigger)
+    src = raw_json_stream(spark, root, multiline, glob, max_files_per_trigger)
     flat = jsonlog.flatten_access_log(src, carry=["source_path"])
     schema = T.StructType([f for f in flat.schema.fields if f.name != "source_path"]).add("EventKey", "string").add("EventDate", "date")
     progress: list[dict] = []
