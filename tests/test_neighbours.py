@@ -1,6 +1,7 @@
 """The tree of boxes: exact neighbours, and candidates that grow slower than the rows."""
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -65,3 +66,32 @@ def test_candidates_grow_slower_than_the_rows(spark):
         visited.append(neighbours.visits(leaves, levels, bounds).count() / n)
         assert max(c.agg(F.max(F.when(F.col("_leaf"), F.col("_n")))).first()[0] or 0 for c in levels) <= 64
     assert visited[1] < 2 * visited[0] and visited[1] < 12_000 / 64 / 8
+
+
+def test_candidates_of_many_dimensions_are_few_and_hold_the_nearest():
+    """One product picks what is measured: a small share of all pairs, whatever the offset, with the exact distances of a sequential sum."""
+    rng = np.random.default_rng(4)
+    for offset, scale in ((0.0, 1.0), (1e6, 1e-3), (0.0, 1e160)):
+        points = offset + scale * rng.normal(size=(800, 64))
+        points[400:420] = points[:20]  # ties
+        lists = [[i, 10_000 + i] if i % 3 else [i] for i in range(800)]
+        got = neighbours._best(pd.DataFrame({"_g": "", "_v": list(points)}), pd.DataFrame({"_v": list(points), "_ids": lists}), 6)
+        with np.errstate(over="ignore"):
+            exact = neighbours.distances(points, points)
+        for i in range(800):
+            best = sorted((exact[i, j], n) for j in range(800) for n in lists[j])[:6]
+            assert (got["_dist"][i], got["_near"][i]) == ([d for d, _ in best], [n for _, n in best])
+        if scale < 1e100:
+            assert neighbours._candidates(points, points, 6).mean() < 0.02
+
+
+def test_leaves_of_many_dimensions_are_larger(spark, monkeypatch):
+    """Without a stated size, vectors of more dimensions than boxes can tell apart lie in fewer leaves."""
+    sizes = []
+    build = neighbours.build_tree
+    monkeypatch.setattr(neighbours, "build_tree", lambda points, leaf_rows: sizes.append(leaf_rows) or build(points, leaf_rows))
+    rng = np.random.default_rng(5)
+    for dims in (3, 32):
+        vecs = rng.normal(size=(60, dims))
+        assert found(frame(spark, range(60), vecs), k=3) == brute(range(60), vecs, [None] * 60, 3)
+    assert sizes == [neighbours.LEAF_ROWS, neighbours.WIDE_LEAF_ROWS] and sizes[0] < sizes[1]

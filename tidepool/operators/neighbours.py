@@ -13,8 +13,8 @@ driver or in one task:
    (in a leaf of few) than the far corner of the cell above;
 4. points go down the tree once more, level by level, into every cell whose box
    is within that bound: the only leaves that can hold a nearer one;
-5. each (leaf, block of visitors) computes distances in numpy and keeps the best
-   of each visitor; a partial top-k merges them.
+5. each (leaf, block of visitors) finds candidates by one matrix product, measures
+   these exactly and keeps the best of each visitor; a partial top-k merges them.
 
 The number of leaves that a point visits depends on how the points lie, not on how
 many there are (for a few dimensions): candidates per point grow far slower
@@ -34,6 +34,10 @@ from tidepool.session import stored
 FAN = 16
 #: Levels after which cells that still hold more points are searched as they are, in blocks.
 MAX_LEVELS = 48
+#: Points of a leaf.  Boxes of many dimensions exclude next to nothing: a point visits most leaves, so these are few and large.
+LEAF_ROWS, WIDE_LEAF_ROWS, FEW_DIMS = 2_048, 8_192, 16
+#: Distances that a task holds at once.
+BLOCK_CELLS = 1 << 21
 _SLACK = 1 + 1e-9  # on bounds, against rounding
 _POINT = ["_g", "_v"]
 
@@ -108,28 +112,60 @@ def build_tree(points: DataFrame, leaf_rows: int) -> tuple[DataFrame, list[DataF
 
 def _best(visitors: pd.DataFrame, members: pd.DataFrame, m: int) -> pd.DataFrame:
     """For each visitor's vector its ``m`` nearest ids (distance, then id) among the members' ids."""
-    members = members.reset_index(drop=True)
     lists = [np.asarray(i) for i in members["_ids"]]
-    owner = np.repeat(np.arange(len(lists)), [len(i) for i in lists])
-    ids = np.concatenate(lists)
-    order = np.argsort(ids, kind="stable")
-    owner, ids = owner[order], ids[order]  # ties by distance are then in id order
-    points, rows = _matrix(members["_v"]), []
-    queries = _matrix(visitors["_v"])
-    for s in range(0, len(visitors), 256):
-        d = distances(queries[s:s + 256], points)[:, owner]
-        nearest = np.argsort(d, axis=1, kind="stable")[:, :m] if d.shape[1] <= 4 * m else _smallest(d, m)
-        rows += [(ids[n].tolist(), d[i, n].tolist()) for i, n in enumerate(nearest)]
-    return pd.DataFrame({"_g": visitors["_g"].to_numpy(), "_v": visitors["_v"].to_numpy(), "_near": [r[0] for r in rows], "_dist": [r[1] for r in rows]})
-
-
-def _smallest(d: np.ndarray, m: int) -> list[np.ndarray]:
-    """Indices of the ``m`` smallest of each row, the first of equal ones first."""
-    kth = np.partition(d, m - 1, axis=1)[:, m - 1]
-    return [(at := np.flatnonzero(row <= limit))[np.argsort(row[at], kind="stable")[:m]] for row, limit in zip(d, kth)]
-
-
-def knn(df: DataFrame, id_col: str, vec_col: str, k: int = 5, group_cols: list[str] | None = None, leaf_rows: int = 2048) -> DataFrame:
+    sizes = np.array([len(i) for i in lists])
+    ids, starts = np.concatenate(lists), np.concatenate([[0], np.cumsum(sizes)[:-1]])
+    place = np.empty(len(ids), dtype=np.int64)
+    place[np.argsort(ids, kind="stable")] = np.arange(len(ids))  # ties by distance are in id order
+    points, queries, near, dist = _matrix(members["_v"]), _matrix(visitors["_v"]), [], []
+    step = max(1, BLOCK_CELLS // len(points))
+    for s in range(0, len(queries), step):
+        q = queries[s:s + step]
+        row, col = np.nonzero(_candidates(q, points, m))
+        d = np.zeros(len(row))
+        for j in range(points.shape[1]):  # the arithmetic of ``distances``
+            diff = q[row, j] - points[col, j]
+            d += diff * diff
+        d = np.sqrt(d)
+        # A point stands for all of its ids.
+        n = sizes[col]
+        at = np.repeat(starts[col] - np.cumsum(n) + n, n) + np.arange(n.sum())
+        row, d = np.repeat(row, n), np.repeat(d, n)
+        order = np.lexsort((place[at], d, row))
+        row, d, at = row[order], d[order], at[order]
+        first = np.searchsorted(row, np.arange(len(q)))
+        last = np.minimum(first + m, np.append(first[1:], len(row)))
+        near += [ids[at[i:j]].tolist() for i, j in zip(first, last)]
+        dist += [d[i:j].tolist() for i, j in zip(first, last)]
+    return pd.DataFrame({"_g": visitors["_g"].to_numpy(), "_v": visitors["_v"].to_numpy(), "_near": near, "_dist": dist})
+
+
+def _candidates(q: np.ndarray, points: np.ndarray, m: int) -> np.ndarray:
+    """For each row of ``q`` a mask of the points that can be among its ``m`` nearest.
+
+    Squared distances come from one matrix product; its rounding error is bounded,
+    and what lies within the bound of the ``m``-th stays, to be measured exactly.
+    """
+    if len(points) <= m:
+        return np.ones((len(q), len(points)), dtype=bool)
+    with np.errstate(over="ignore", invalid="ignore"):
+        centre = points.mean(axis=0)  # about it the numbers, and so the error, are small
+        x, y = q - centre, points - centre
+        a, b = (x * x).sum(axis=1), (y * y).sum(axis=1)
+        error = 8 * (q.shape[1] + 8) * np.finfo(float).eps * (a + b.max()) + np.finfo(float).tiny
+        if np.isfinite(error).all():
+            near = x @ y.T
+            near *= -2
+            near += a[:, None]
+            near += b
+            found = near <= (np.partition(near, m - 1, axis=1)[:, m - 1] + 2 * error)[:, None]
+            if np.count_nonzero(found) <= found.size // 8:
+                return found
+        exact = distances(q, points)  # the product can't tell these apart
+    return ~(exact > np.partition(exact, m - 1, axis=1)[:, m - 1:m])
+
+
+def knn(df: DataFrame, id_col: str, vec_col: str, k: int = 5, group_cols: list[str] | None = None, leaf_rows: int | None = None) -> DataFrame:
     """Exact k nearest neighbours of every row among the rows of its group.
 
     Returns (group..., id, nbr_rank, nbr_id, dist); a row is not its own
@@ -140,6 +176,9 @@ def knn(df: DataFrame, id_col: str, vec_col: str, k: int = 5, group_cols: list[s
     id_type = df.schema[id_col].dataType.simpleString()
     group = F.to_json(F.struct(*group_cols), {"ignoreNullFields": "false"}) if group_cols else F.lit("")
     rows = stored(df.select(group.alias("_g"), *group_cols, F.col(id_col).alias("_id"), F.col(vec_col).cast("array<double>").alias("_v")), "knn-rows")
+    if leaf_rows is None:
+        first = rows.select(F.size("_v")).first()
+        leaf_rows = LEAF_ROWS if first is None or first[0] <= FEW_DIMS else WIDE_LEAF_ROWS
     # 1. One point per different vector (-0.0 is 0.0), with its smallest ids: a top-k before the shuffle.
     rank = F.row_number().over(Window.partitionBy(*_POINT).orderBy("_id"))
     points = (rows.select("_g", "_v", "_id").withColumn("_r", rank).where(F.col("_r") <= k + 1)
