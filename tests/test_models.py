@@ -90,3 +90,9 @@ def test_versions_runs_and_renamed_columns(spark, tmp_dir):
     with pytest.raises(ValueError):
         predict.predict_transform(by_version, renamed, ["x"])
     assert predict.model_transformer(spark, tmp_dir, "m", 2, FEATS)(df).count() == 200
+
+
+def test_shallow_forests_are_fitted_on_more_partitions():
+    """900,000 rows of a shallow forest are work for 18 tasks, not 4; small tables and deep trees are laid out as before."""
+    assert train.fit_partitions(900_000, shallow=True) == 18 and train.fit_partitions(900_000) == 4
+    assert train.fit_partitions(1_000, shallow=True) == train.fit_partitions(1_000) == 4

@@ -28,12 +28,14 @@ GBT = {"stepSize": 0.07, "maxIter": 100, "maxDepth": 10, "seed": 42, "lossType":
 # part of the model: it follows from the number of rows alone (or is stated), and is
 # the same on any cluster.
 ROWS_PER_PARTITION = 250_000
+#: Of forests of few levels: every partition sends the statistics of all nodes of a level, which are few there.
+SHALLOW_ROWS_PER_PARTITION, SHALLOW_DEPTH = 50_000, 5
 MIN_PARTITIONS = 4
 
 
-def fit_partitions(rows: int) -> int:
+def fit_partitions(rows: int, shallow: bool = False) -> int:
     """Partitions of a fit on so many rows."""
-    return max(MIN_PARTITIONS, -(-rows // ROWS_PER_PARTITION))
+    return max(MIN_PARTITIONS, -(-rows // (SHALLOW_ROWS_PER_PARTITION if shallow else ROWS_PER_PARTITION)))
 
 
 def _laid_out(df: DataFrame, partitions: int) -> DataFrame:
@@ -43,11 +45,11 @@ def _laid_out(df: DataFrame, partitions: int) -> DataFrame:
     return (df.withColumn("_h", mixed).repartition(partitions, "_h").sortWithinPartitions("_h", *df.columns).drop("_h"))
 
 
-def _fit(stages: Pipeline, df: DataFrame, partitions: int | None) -> PipelineModel:
+def _fit(stages: Pipeline, df: DataFrame, partitions: int | None, shallow: bool = False) -> PipelineModel:
     """Fit and return a copy: the copy drops the training summary, which holds
     the session and would otherwise be captured by every scoring closure."""
     rows = stored(df, "fit-rows")  # counted, laid out, and read again by every level of every tree
-    return stages.fit(_laid_out(rows, partitions or fit_partitions(rows.count()))).copy()
+    return stages.fit(_laid_out(rows, partitions or fit_partitions(rows.count(), shallow))).copy()
 
 
 def _assembled(feature_cols: list[str], estimator) -> Pipeline:
@@ -62,7 +64,7 @@ def train_random_forest(df: DataFrame, feature_cols: list[str], label_col: str,
     if n is not None and n > len(feature_cols):
         p["featureSubsetStrategy"] = "all"
     est = RandomForestClassifier(featuresCol="features", labelCol=label_col, **p)
-    return _fit(_assembled(feature_cols, est), df.select(*feature_cols, label_col), partitions)
+    return _fit(_assembled(feature_cols, est), df.select(*feature_cols, label_col), partitions, p["maxDepth"] <= SHALLOW_DEPTH)
 
 
 def train_gbt(df: DataFrame, feature_cols: list[str], label_col: str,
