@@ -99,6 +99,31 @@ def test_the_same_model_for_every_layout(spark):
     assert one == two and len(one.trees) == 4
 
 
+def test_one_of_two_children_is_counted(spark, monkeypatch):
+    """The other child's sums are the rest of the parent's: rows of both are never counted in one pass."""
+    asked, count = [], leafwise._histograms
+
+    def noted(*args):
+        asked.append((args[-2], args[-1]))
+        return count(*args)
+
+    monkeypatch.setattr(leafwise, "_histograms", noted)
+    x, y = rows_of(400, 5)
+    leafwise.fit(frame(spark, x, y), ["a", "b", "c"], "y", dict(n_estimators=2, min_child_samples=5, num_leaves=12))
+    pairs = [{grown.left[i], grown.right[i]} <= set(wanted) for grown, wanted in asked for i in range(len(grown.feature)) if grown.feature[i] >= 0]
+    assert len(asked) > 4 and not any(pairs)
+
+
+def test_rows_of_leaves_are_those_of_the_tree():
+    tree = leafwise.Tree([0, -1, 1, -1, -1], [3, 0, 7, 0, 0], [0.0] * 5, [1, -1, 3, -1, -1], [2, -1, 4, -1, -1], [0.0] * 5)
+    bins = np.random.default_rng(1).integers(0, 12, (200, 2)).astype(np.uint16)
+    want = np.where(bins[:, 0] <= 3, 1, np.where(bins[:, 1] <= 7, 3, 4))
+    for layout in (bins, np.asfortranarray(bins)):
+        assert (tree.leaves(layout) == want).all()
+    some = np.arange(0, 200, 3)
+    assert sorted((int(r), leaf) for leaf, rows in tree.parts(bins, some) for r in rows) == [(int(r), int(want[r])) for r in some]
+
+
 def test_saved_and_loaded(spark, tmp_dir):
     x, y = rows_of(200)
     model = leafwise.fit(frame(spark, x, y), ["a", "b", "c"], "y", dict(n_estimators=3))

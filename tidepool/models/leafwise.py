@@ -69,16 +69,25 @@ class Tree:
             column.append(v)
         return len(self.feature) - 1
 
+    def parts(self, bins: np.ndarray, rows: np.ndarray | None = None) -> Iterator[tuple[int, np.ndarray]]:
+        """(leaf, its rows) of a matrix of bins, or of some ``rows`` of it, node by node; leaves without rows are left out."""
+        waiting = [(0, np.arange(len(bins)) if rows is None else rows)]
+        while waiting:
+            node, rows = waiting.pop()
+            if not len(rows):
+                continue
+            if self.feature[node] < 0:
+                yield node, rows
+                continue
+            left = bins[:, self.feature[node]][rows] <= self.bin[node]
+            waiting += [(self.right[node], rows[~left]), (self.left[node], rows[left])]
+
     def leaves(self, bins: np.ndarray) -> np.ndarray:
         """Leaf of each row of a matrix of bins."""
-        feature, cut, left, right = (np.asarray(c) for c in (self.feature, self.bin, self.left, self.right))
         node = np.zeros(len(bins), dtype=np.int64)
-        while True:
-            at = np.flatnonzero(feature[node] >= 0)
-            if not len(at):
-                return node
-            n = node[at]
-            node[at] = np.where(bins[at, feature[n]] <= cut[n], left[n], right[n])
+        for leaf, rows in self.parts(bins):
+            node[rows] = leaf
+        return node
 
 
 @dataclass
@@ -135,6 +144,7 @@ class _Node:
     bin: int = -1
     children: tuple[int, int] | None = None
     child_sums: tuple = ()
+    histogram: np.ndarray | None = None  # until its children have theirs
 
 
 def bin_edges(sample: np.ndarray, max_bin: int) -> list[np.ndarray]:
@@ -151,13 +161,13 @@ def bin_edges(sample: np.ndarray, max_bin: int) -> list[np.ndarray]:
 
 
 def _binned(df: DataFrame, features: list[str], label: str, edges: list[np.ndarray], start: float) -> DataFrame:
-    """Rows as blocks, with their margin so far."""
+    """Rows as blocks (bins feature by feature), with their margin so far."""
     missing = np.array([len(e) + 1 for e in edges])
 
     def block(x: np.ndarray, y: np.ndarray) -> tuple:
-        bins = np.empty(x.shape, dtype=np.uint16)
+        bins = np.empty(x.T.shape, dtype=np.uint16)
         for j, e in enumerate(edges):
-            bins[:, j] = np.where(np.isnan(x[:, j]), missing[j], np.searchsorted(e, x[:, j], side="left"))
+            bins[j] = np.where(np.isnan(x[:, j]), missing[j], np.searchsorted(e, x[:, j], side="left"))
         return len(y), bins.tobytes(), y.astype(np.uint8).tobytes(), np.full(len(y), start).tobytes()
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -181,14 +191,19 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(n, pa.int32()), pa.array(bins, pa.binary()), pa.array(y, pa.binary()), pa.array(margin, pa.binary())], names=["n", "bins", "y", "margin"])
 
 
-def _unpacked(batch: pa.RecordBatch, n_features: int, trees: list[Tree]):
-    """(bins, y, margin with ``trees`` added) of each block."""
+def _unpacked(batch: pa.RecordBatch, n_features: int):
+    """(bins, y, margin as it is stored) of each block; a feature's bins lie together."""
     for n, bins, y, margin in zip(*(c.to_pylist() for c in batch.columns)):
-        bins = np.frombuffer(bins, np.uint16).reshape(n, n_features)
-        margin = np.frombuffer(margin, np.float64).copy()
-        for t in trees:
-            margin += np.asarray(t.value)[t.leaves(bins)]
-        yield bins, np.frombuffer(y, np.uint8), margin
+        yield np.frombuffer(bins, np.uint16).reshape(n_features, n).T, np.frombuffer(y, np.uint8), np.frombuffer(margin, np.float64)
+
+
+def _raised(margin: np.ndarray, bins: np.ndarray, trees: list[Tree], rows: np.ndarray | None = None) -> np.ndarray:
+    """The margins with the values of ``trees`` added, at ``rows`` only if these are stated."""
+    out = margin.copy()
+    for t in trees:
+        for leaf, part in t.parts(bins, rows):
+            out[part] += t.value[leaf]
+    return out
 
 
 def _histograms(blocks: DataFrame, partitions: int, n_features: int, width: int, trees: list[Tree], grown: Tree, wanted: list[int]) -> np.ndarray:
@@ -199,16 +214,17 @@ def _histograms(blocks: DataFrame, partitions: int, n_features: int, width: int,
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((len(wanted), n_features, width, 3), dtype=np.int64)
         for batch in batches:
-            for bins, y, margin in _unpacked(batch, n_features, trees):
-                at = slot[grown.leaves(bins)]
-                in_ = at >= 0
-                if not in_.any():
+            for bins, y, margin in _unpacked(batch, n_features):
+                found = [(slot[leaf], rows) for leaf, rows in grown.parts(bins) if slot[leaf] >= 0]
+                if not found:
                     continue
-                p = 1 / (1 + np.exp(-margin[in_]))
+                rows = np.concatenate([r for _, r in found])
+                first_cell = np.repeat([s * width for s, _ in found], [len(r) for _, r in found])
+                p = 1 / (1 + np.exp(-_raised(margin, bins, trees, rows)[rows]))
                 # Whole numbers in doubles: exact below 2^53, as a block's sums are.
-                weights = np.rint((p - y[in_]) * UNIT), np.rint(p * (1 - p) * UNIT), None
+                weights = np.rint((p - y[rows]) * UNIT), np.rint(p * (1 - p) * UNIT), None
                 for j in range(n_features):
-                    index = at[in_] * width + bins[in_, j]
+                    index = first_cell + bins[:, j][rows]
                     for k, w in enumerate(weights):
                         total[:, j, :, k] += np.bincount(index, w, len(wanted) * width).astype(np.int64).reshape(len(wanted), width)
         some = np.argwhere(total[..., 2] > 0)
@@ -283,6 +299,7 @@ def _grow(blocks: DataFrame, partitions: int, edges: list[np.ndarray], width: in
 
     def learn(i: int, histogram: np.ndarray) -> None:
         if nodes[i].depth < p["max_depth"]:
+            nodes[i].histogram = histogram
             nodes[i].gain, nodes[i].feature, nodes[i].bin, nodes[i].child_sums = best_split(histogram, nodes[i].sums, p)
 
     learn(0, first)
@@ -290,7 +307,7 @@ def _grow(blocks: DataFrame, partitions: int, edges: list[np.ndarray], width: in
         made, expand = _order(nodes, p)
         if not expand:
             break
-        wanted = []
+        counted = {}  # the child of fewer rows, of its parent; the other child has the rest of the parent's sums, exactly
         for i in expand:
             n, left = nodes[i], nodes[i].child_sums
             pair = []
@@ -299,11 +316,16 @@ def _grow(blocks: DataFrame, partitions: int, edges: list[np.ndarray], width: in
                 nodes.append(_Node(s, n.depth + 1))
             n.children = tuple(pair)
             speculative.feature[i], speculative.bin[i], speculative.left[i], speculative.right[i] = n.feature, n.bin, *pair
-            wanted += pair
-        deep = [w for w in wanted if nodes[w].depth < p["max_depth"] and nodes[w].sums[2] >= 2 * p["min_child_samples"]]
-        if deep:
-            for w, histogram in zip(deep, _histograms(blocks, partitions, len(edges), width, trees, speculative, deep)):
-                learn(w, histogram)
+            if n.depth + 1 < p["max_depth"] and any(nodes[c].sums[2] >= 2 * p["min_child_samples"] for c in pair):
+                counted[min(pair, key=lambda c: nodes[c].sums[2])] = i
+        if counted:
+            for w, histogram in zip(counted, _histograms(blocks, partitions, len(edges), width, trees, speculative, list(counted))):
+                parent = nodes[counted[w]]
+                for c in parent.children:
+                    if nodes[c].sums[2] >= 2 * p["min_child_samples"]:
+                        learn(c, histogram if c == w else parent.histogram - histogram)
+        for i in expand:
+            nodes[i].histogram = None
     chosen = set(made)
     out = Tree()
 
@@ -367,7 +389,7 @@ def _with_trees(blocks: DataFrame, n_features: int, trees: list[Tree]) -> DataFr
     """The blocks with the trees' values added to their margins."""
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [(len(y), bins.tobytes(), y.tobytes(), margin.tobytes()) for bins, y, margin in _unpacked(batch, n_features, trees)]
+            rows = [(len(y), bins.T.tobytes(), y.tobytes(), _raised(margin, bins, trees).tobytes()) for bins, y, margin in _unpacked(batch, n_features)]
             if rows:
                 yield _batch(rows)
 
