@@ -95,3 +95,22 @@ def test_leaves_of_many_dimensions_are_larger(spark, monkeypatch):
         vecs = rng.normal(size=(60, dims))
         assert found(frame(spark, range(60), vecs), k=3) == brute(range(60), vecs, [None] * 60, 3)
     assert sizes == [neighbours.LEAF_ROWS, neighbours.WIDE_LEAF_ROWS] and sizes[0] < sizes[1]
+
+
+def test_points_that_leave_for_no_other_leaf_are_not_carried_down(spark, monkeypatch):
+    """Lines far apart, of close points: only those near a cut look into another leaf, and only they are stored on the way."""
+    carried = []
+    stored = neighbours.stored
+
+    def counted(df, name="stage"):
+        out = stored(df, name)
+        if name == "visits":
+            carried.append(out.count())
+        return out
+
+    monkeypatch.setattr(neighbours, "stored", counted)
+    rng = np.random.default_rng(6)
+    vecs = np.column_stack([rng.random(1500) * 100, rng.integers(0, 3, 1500) * 50.0])
+    ids = list(range(1500))
+    assert found(frame(spark, ids, vecs), k=3, leaf_rows=100) == brute(ids, vecs, [None] * 1500, 3)
+    assert carried and sum(carried) < 1500 / 4

@@ -11,10 +11,11 @@ driver or in one task:
 3. each leaf finds the neighbours of its points among themselves, which bounds
    how far a point has to look: no farther than its ``k + 1``-th neighbour there, or
    (in a leaf of few) than the far corner of the cell above;
-4. points go down the tree once more, level by level, into every cell whose box
-   is within that bound: the only leaves that can hold a nearer one;
+4. at every level points leave the way to their own leaf for each other cell whose
+   box is within that bound, and go on down from there: the only leaves that can
+   hold a nearer one.  Most points leave for none and are not carried along;
 5. each (leaf, block of visitors) finds candidates by one matrix product, measures
-   these exactly and keeps the best of each visitor; a partial top-k merges them.
+   these exactly and keeps the best of each visitor, merged with those of its own leaf.
 
 The number of leaves that a point visits depends on how the points lie, not on how
 many there are (for a few dimensions): candidates per point grow far slower
@@ -56,14 +57,19 @@ def _matrix(vectors: pd.Series) -> np.ndarray:
     return np.vstack([np.asarray(v, dtype=np.float64) for v in vectors])
 
 
-def _gap(near: bool) -> Column:
-    """Distance from ``_v`` to the nearest or farthest point of the box ``_lo``, ``_hi``."""
-    sides = F.zip_with("_lo", "_hi", lambda lo, hi: F.struct(lo.alias("lo"), hi.alias("hi")))
-
+def _gap(near: bool, dims: int | None = None) -> Column:
+    """Distance from ``_v`` to the nearest or farthest point of the box ``_lo``, ``_hi``; of ``dims`` known and few as one compiled expression."""
     def squared(v: Column, side: Column) -> Column:
         d = (F.greatest(side["lo"] - v, v - side["hi"], F.lit(0.0)) if near else F.greatest(F.abs(v - side["lo"]), F.abs(v - side["hi"])))
         return d * d
 
+    if dims and dims <= FEW_DIMS:
+        total = F.lit(0.0)
+        for j in range(dims):
+            v, lo, hi = (F.get(c, F.lit(j)) for c in ("_v", "_lo", "_hi"))
+            total = total + squared(v, {"lo": lo, "hi": hi})
+        return F.sqrt(total)
+    sides = F.zip_with("_lo", "_hi", lambda lo, hi: F.struct(lo.alias("lo"), hi.alias("hi")))
     return F.sqrt(F.aggregate(F.zip_with("_v", sides, squared), F.lit(0.0), lambda held, x: held + x))
 
 
@@ -192,12 +198,26 @@ def knn(df: DataFrame, id_col: str, vec_col: str, k: int = 5, group_cols: list[s
 
 
 def visits(leaves: DataFrame, levels: list[DataFrame], bounds: DataFrame) -> DataFrame:
-    """(``_g``, ``_v``, ``_cell``) of the leaves that each point must look into: boxes within its ``_bound``."""
-    frontier = bounds.select("_g", "_v", "_bound", F.lit("").alias("_at"))
-    out = None
+    """(``_g``, ``_v``, ``_cell``) of the leaves that each point must look into: boxes within its ``_bound``.
+
+    Where ``bounds`` names the ``_home`` leaf of each point, that leaf is left out,
+    and only points that leave the way to it are carried down.
+    """
+    dims = (levels[0].select(F.size("_lo")).first() or [None])[0]
+    homes, frontier, out = "_home" in bounds.columns, None, None
     for level, cells in enumerate(levels):
         side = cells.select("_g", F.coalesce("_parent", F.lit("")).alias("_at"), "_cell", "_lo", "_hi", "_leaf")
-        inside = frontier.join(side, ["_g", "_at"]).where(_gap(near=True) <= F.col("_bound") * _SLACK).select("_g", "_v", "_bound", "_cell", "_leaf")
+        near = _gap(near=True, dims=dims) <= F.col("_bound") * _SLACK
+        parts = [] if frontier is None else [frontier.join(side, ["_g", "_at"]).where(near)]
+        if homes or frontier is None:
+            # The way home: the cell above it at this level ("/3/0" is two levels down), and below that the next one.
+            at, onward = (F.substring_index("_home", "/", n) if homes else F.lit("") for n in (max(level, 1), level + 1))
+            leaving = bounds.select("_g", "_v", "_bound", at.alias("_at"), onward.alias("_onward")).join(side, ["_g", "_at"])
+            parts.append(leaving.where((F.col("_cell") != F.col("_onward")) & near if homes else near))
+        inside = None
+        for part in parts:
+            part = part.select("_g", "_v", "_bound", "_cell", "_leaf")
+            inside = part if inside is None else inside.unionByName(part)
         if level + 1 < len(levels):
             inside = stored(inside, "visits")
             frontier = inside.where(~F.col("_leaf")).select("_g", "_v", "_bound", F.col("_cell").alias("_at"))
@@ -211,7 +231,7 @@ def _search(leaves: DataFrame, levels: list[DataFrame], m: int, leaf_rows: int,
     schema = f"_g string, _v array<double>, _near array<{id_type}>, _dist array<double>"
 
     def own(members: pd.DataFrame) -> pd.DataFrame:
-        return _best(members, members, m)
+        return _best(members, members, m).assign(_cell=members["_cell"].to_numpy(), _block=members["_block"].to_numpy())
 
     # 3. In the own leaf (of at most ``leaf_rows`` points, or a block of an uncut one).
     block = F.pmod(F.xxhash64("_v"), F.ceil(F.col("_n") / leaf_rows)).cast("int")
@@ -220,24 +240,24 @@ def _search(leaves: DataFrame, levels: list[DataFrame], m: int, leaf_rows: int,
         part = cells.where("_leaf").select("_g", "_cell", "_n")
         sizes = part if sizes is None else sizes.unionByName(part)
     members = stored(leaves.join(sizes, ["_g", "_cell"]).withColumn("_block", block), "members")
-    here = stored(members.select("_g", "_v", "_ids", "_cell", "_block").groupBy("_g", "_cell", "_block").applyInPandas(own, schema), "own-leaf")
-    # A bound for each point: its m-th there, or the far corner of the cell above its leaf, which has m points or more.
+    here = stored(members.select("_g", "_v", "_ids", "_cell", "_block").groupBy("_g", "_cell", "_block").applyInPandas(own, f"{schema}, _cell string, _block int"), "own-leaf")
+    # A bound for each point: its m-th there, or (of fewer) the far corner of the cell above its leaf, which has m points or more.
     above = None
     for upper in levels[:-1]:
         part = upper.select("_g", F.col("_cell").alias("_parent"), "_lo", "_hi")
         above = part if above is None else above.unionByName(part)
-    bound = F.when(F.size("_dist") >= m, F.element_at("_dist", m))
-    if above is None:
-        bounds = here.select("_g", "_v", F.coalesce(bound, F.lit(float("inf"))).alias("_bound"))
-    else:
-        cell_of = leaves.select("_g", "_v", F.regexp_replace("_cell", "/[0-9]+$", "").alias("_parent"), (F.col("_cell") != "").alias("_cut"))
-        corner = cell_of.where("_cut").join(above, ["_g", "_parent"]).select("_g", "_v", _gap(near=False).alias("_corner"))
-        bounds = here.join(corner, _POINT, "left").select("_g", "_v", F.least(F.coalesce(bound, F.lit(float("inf"))), F.coalesce("_corner", F.lit(float("inf")))).alias("_bound"))
-    # 4. Other leaves (and other blocks of an uncut one).
-    cell_block = members.select("_g", "_v", F.col("_cell").alias("_home"), F.col("_block").alias("_home_block"))
-    blocks = sizes.select("_g", "_cell", F.explode(F.sequence(F.lit(0), (F.ceil(F.col("_n") / leaf_rows) - 1).cast("int"))).alias("_block"))
-    away = (visits(leaves, levels, stored(bounds, "bounds")).join(blocks, ["_g", "_cell"]).join(cell_block, _POINT)
-            .where("_cell <> _home OR _block <> _home_block").select("_g", "_v", "_cell", "_block"))
+    found = here.select("_g", "_v", F.when(F.size("_dist") >= m, F.element_at("_dist", m)).alias("_bound"), F.col("_cell").alias("_home"), F.col("_block").alias("_home_block"))
+    few, inf = found.where("_bound IS NULL"), F.lit(float("inf"))
+    if above is not None:
+        parent = F.when(F.col("_home") != "", F.regexp_replace("_home", "/[0-9]+$", ""))
+        few = few.withColumn("_parent", parent).join(above, ["_g", "_parent"], "left").withColumn("_bound", _gap(near=False))
+    bounds = found.where("_bound IS NOT NULL").unionByName(few.select("_g", "_v", F.coalesce("_bound", inf).alias("_bound"), "_home", "_home_block"))
+    bounds = stored(bounds, "bounds")
+    # 4. Other leaves, and other blocks of an uncut one.
+    blocks = sizes.select("_g", "_cell", "_n", F.explode(F.sequence(F.lit(0), (F.ceil(F.col("_n") / leaf_rows) - 1).cast("int"))).alias("_block"))
+    beside = (bounds.select("_g", "_v", F.col("_home").alias("_cell"), "_home_block").join(blocks.where(F.col("_n") > leaf_rows), ["_g", "_cell"])
+              .where("_block <> _home_block").select("_g", "_v", "_cell", "_block"))
+    away = visits(leaves, levels, bounds).join(blocks, ["_g", "_cell"]).select("_g", "_v", "_cell", "_block").unionByName(beside)
     # 5. Visitors of a leaf in blocks of about ``leaf_rows``, each with a copy of the leaf.
     away = stored(away, "away")
     counts = away.groupBy("_g", "_cell", "_block").agg(F.ceil(F.count(F.lit(1)) / leaf_rows).cast("int").alias("_turns"))
@@ -253,7 +273,7 @@ def _search(leaves: DataFrame, levels: list[DataFrame], m: int, leaf_rows: int,
         return _best(guests[["_g", "_v"]].reset_index(drop=True), host.rename(columns={"_hv": "_v", "_hids": "_ids"}), m)
 
     there = visitors.groupBy("_g", "_cell", "_block", "_turn").cogroup(hosts.groupBy("_hg", "_hc", "_hb", "_ht")).applyInPandas(visit, schema)
-    each = here.unionByName(there).select("_g", "_v", F.explode(F.arrays_zip(F.col("_dist").alias("dist"), F.col("_near").alias("id"))).alias("_c"))
-    top = F.row_number().over(Window.partitionBy(*_POINT).orderBy("_c.dist", "_c.id"))
-    return (each.withColumn("_r", top).where(F.col("_r") <= m).groupBy(*_POINT)
-            .agg(F.sort_array(F.collect_list(F.struct(F.col("_c.dist").alias("dist"), F.col("_c.id").alias("id")))).alias("_found")))
+    own_best = F.arrays_zip(F.col("_dist").alias("dist"), F.col("_near").alias("id"))
+    more = there.groupBy(*_POINT).agg(F.flatten(F.collect_list(own_best)).alias("_more"))  # m of each leaf visited
+    both = F.when(F.col("_more").isNull(), own_best).otherwise(F.concat(own_best, "_more"))
+    return here.join(more, _POINT, "left").select("_g", "_v", F.slice(F.sort_array(both), 1, m).alias("_found"))
