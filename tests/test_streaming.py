@@ -48,6 +48,29 @@ def test_filters_hold_every_key_and_few_others(spark, tmp_dir):
     assert keyindex.unseen(_keys(spark, others + known[:10]), index).count() == 40_000
 
 
+def test_filter_blocks_sort_a_key_once(spark):
+    """The bitmaps are those of all of a key's positions, and what is shuffled and sorted is a row per key, not one per position."""
+    keys, blocks = _keys(spark, [f"id:{i}" for i in range(3_000)] + ["twice", "twice"]), 3
+    key = F.col(keyindex.KEY)
+    rows = keys.select(keyindex.bucket(key).alias("Bucket"), keyindex.block(key, F.lit(blocks)).alias("Block"), F.explode(keyindex.probes(key)).alias("p"))
+    want = {(r.Bucket, r.Block): bytes(r.Bits) for r in rows.groupBy("Bucket", "Block").agg(F.bitmap_construct_agg("p").alias("Bits")).collect()}
+    made = keyindex.filter_blocks(keys, blocks)
+    assert {(r.Bucket, r.Block): bytes(r.Bits) for r in made.collect()} == want
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Generate explode") < plan.index("bitmap_construct_agg")  # above it: after the keys are one row per block
+
+
+def test_a_batch_with_nothing_to_look_up_is_not_held(spark, tmp_dir, monkeypatch):
+    """The first append reads its rows once, straight into the table; a later one holds them for lookup and append."""
+    held = []
+    persist = type(spark.range(1)).persist
+    monkeypatch.setattr(type(spark.range(1)), "persist", lambda df, *level: held.append(1) or persist(df, *level))
+    for n in range(2):
+        batch = spark.range(n, n + 3).select(F.concat(F.lit("id:"), "id").alias("EventKey"), F.to_date(F.lit("2024-01-01")).alias("EventDate"))
+        assert ingest.append_unseen(batch, f"{tmp_dir}/t", "job", f"job-{n}") == (3, 1)[n]
+        assert len(held) == n
+
+
 def test_only_generations_that_hold_a_key_are_read(spark, tmp_dir):
     index = f"{tmp_dir}/index"
     for g in range(3):

@@ -153,6 +153,8 @@ def append_unseen(batch: DataFrame, target_path: str, owner: str, generation: st
         raise ValueError(f"{target_path} was written by a file sink, whose log hides other files: take a new target and checkpoint")
     _catch_up(spark, target_path, generation)
     known = [g for g in keyindex.generations(spark, index) if g.name != generation and g.owner != besides]
+    if not known:  # nothing to look up: the rows are read once, straight into the table
+        return _append(keyindex.unseen(batch, index, known), target_path, owner, generation)
     batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         return _append(keyindex.unseen(batch, index, known), target_path, owner, generation)

@@ -28,7 +28,6 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidepool.operators.joins import bounded_broadcast
 from tidepool.sources import folders
 
 KEY = "EventKey"
@@ -77,8 +76,29 @@ def block(key: Column, blocks: Column) -> Column:
 
 def probes(key: Column) -> Column:
     """The key's bit positions in its block: four 15-bit slices of each of three hashes."""
-    hashes = [F.xxhash64(key, F.lit(f"probe {i}")) for i in range(PROBES // 4)]
-    return F.array(*[F.shiftrightunsigned(h, 15 * part).bitwiseAND(F.lit(BLOCK_BITS - 1)) for h in hashes for part in range(4)])
+    return F.array(*_positions(_hashes(key)))
+
+
+def _hashes(key: Column) -> list[Column]:
+    return [F.xxhash64(key, F.lit(f"probe {i}")).alias(f"_h{i}") for i in range(PROBES // 4)]
+
+
+def _positions(hashes: list[Column]) -> list[Column]:
+    return [F.shiftrightunsigned(h, 15 * part).bitwiseAND(F.lit(BLOCK_BITS - 1)) for h in hashes for part in range(4)]
+
+
+#: A key's three hashes, which are shuffled in place of its twelve positions.
+_HELD = [f"_h{i}" for i in range(PROBES // 4)]
+
+
+def filter_blocks(keys: DataFrame, blocks: int) -> DataFrame:
+    """The filter over ``keys`` as ``FILTERS``: a key is shuffled and sorted once, as its hashes, and sets one bit in each of ``PROBES`` bitmaps of its block, which are then united."""
+    key = F.col(KEY)
+    placed = keys.select(bucket(key).alias("Bucket"), block(key, F.lit(blocks)).alias("Block"), *_hashes(key)).repartition("Bucket", "Block")
+    bits = [F.bitmap_construct_agg(p).alias(f"_b{i}") for i, p in enumerate(_positions([F.col(h) for h in _HELD]))]
+    each = placed.groupBy("Bucket", "Block").agg(*bits)
+    united = each.select("Bucket", "Block", F.explode(F.array(*[F.col(f"_b{i}") for i in range(len(bits))])).alias("_b"))
+    return united.groupBy("Bucket", "Block").agg(F.bitmap_or_agg("_b").alias("Bits"))
 
 
 def all_set(bits: Column, positions: Column) -> Column:
@@ -100,9 +120,7 @@ def add(keys: DataFrame, index: str, owner: str, name: str, level: int = 0, coun
     if count:
         # Keys of a bucket lie together, in several files where they are many.
         hashed.hint("rebalance", "Bucket").write.mode("overwrite").partitionBy("Bucket").parquet(f"{index}/keys/{entry.folder}")
-        bits = hashed.select("Bucket", block(F.col(KEY), F.lit(entry.blocks)).alias("Block"), F.explode(probes(F.col(KEY))).alias("p"))
-        (bits.groupBy("Bucket", "Block").agg(F.bitmap_construct_agg("p").alias("Bits"))
-         .write.mode("overwrite").parquet(f"{index}/filters/{entry.folder}"))
+        filter_blocks(keys, entry.blocks).write.mode("overwrite").parquet(f"{index}/filters/{entry.folder}")
     folders.mark(spark, f"{index}/complete/{entry.folder}")
 
 
@@ -125,15 +143,17 @@ def may_hold(keys: DataFrame, index: str, entries: list[Generation]) -> list[str
     if not entries:
         return []
     key = F.col(KEY)
-    known = spark.createDataFrame([(e.folder, e.blocks) for e in entries], "Generation string, Blocks bigint")  # a row per generation
-    probed = (keys.select(key, bucket(key).alias("Bucket"), F.lit(1).alias("_one")).join(bounded_broadcast(known.withColumn("_one", F.lit(1))), "_one")
-              .select("Generation", "Bucket", block(key, F.col("Blocks")).alias("Block"), probes(key).alias("p")))
+    known = F.array(*[F.struct(F.lit(i).alias("Generation"), F.lit(e.blocks).cast("bigint").alias("Blocks")) for i, e in enumerate(entries)])
+    hashed = keys.select(bucket(key).alias("Bucket"), F.xxhash64(key, F.lit("block")).alias("_block"), *_hashes(key), F.explode(known).alias("_known"))
+    probed = hashed.select("_known.Generation", "Bucket", F.pmod("_block", "_known.Blocks").alias("Block"), *_HELD)
     filters = None
-    for e in entries:
-        one = spark.read.schema(FILTERS).parquet(f"{index}/filters/{e.folder}").withColumn("Generation", F.lit(e.folder))
+    for i, e in enumerate(entries):
+        one = spark.read.schema(FILTERS).parquet(f"{index}/filters/{e.folder}").withColumn("Generation", F.lit(i))
         filters = one if filters is None else filters.unionByName(one)
-    hit = probed.join(filters, ["Generation", "Bucket", "Block"]).where(all_set(F.col("Bits"), F.col("p")))
-    return sorted(f"{index}/keys/{r[0]}/Bucket={r[1]}" for r in hit.select("Generation", "Bucket").distinct().collect())  # at most generations x buckets
+    positions = F.array(*_positions([F.col(h) for h in _HELD]))
+    hit = probed.join(filters, ["Generation", "Bucket", "Block"]).where(all_set(F.col("Bits"), positions)).select("Generation", "Bucket").distinct()
+    found = [(entries[r[0]].folder, r[1]) for r in hit.collect()]  # at most generations x buckets
+    return sorted(f"{index}/keys/{folder}/Bucket={b}" for folder, b in found)
 
 
 def unseen(batch: DataFrame, index: str, entries: list[Generation] | None = None) -> DataFrame:
