@@ -71,6 +71,18 @@ def test_a_batch_with_nothing_to_look_up_is_not_held(spark, tmp_dir, monkeypatch
         assert len(held) == n
 
 
+def test_on_time_appends_write_few_files_per_date(spark, tmp_dir, monkeypatch):
+    """A stateful stream has no adaptive execution: its dates are dealt out, not written by every shuffle partition."""
+    monkeypatch.setattr(ingest, "FILES_PER_DATE", 2)
+    docs = [_doc(f"e{i}", f"2024-01-{1 + i % 2:02d}T10:{i % 60:02d}:00.000000Z") for i in range(400)]
+    _write(f"{tmp_dir}/src/a.json", docs)
+    ingest.dedup_stream(spark, f"{tmp_dir}/src", f"{tmp_dir}/t", f"{tmp_dir}/ck", multiline=False)
+    table = spark.read.parquet(f"{tmp_dir}/t")
+    assert table.select("EventId").distinct().count() == table.count() == 400
+    files = table.select("EventDate", F.input_file_name().alias("file")).distinct().groupBy("EventDate").agg(F.count("file").alias("n")).collect()
+    assert len(files) == 2 and all(r.n <= 2 for r in files)
+
+
 def test_only_generations_that_hold_a_key_are_read(spark, tmp_dir):
     index = f"{tmp_dir}/index"
     for g in range(3):

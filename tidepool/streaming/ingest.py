@@ -112,15 +112,26 @@ def owner_of(checkpoint: str) -> str:
     return hashlib.md5(checkpoint.rstrip("/").encode()).hexdigest()[:10]
 
 
-def _append(rows: DataFrame, target_path: str, owner: str, generation: str) -> int:
-    """Write one generation of the table, then enter its keys in the index; returns the rows observed.
+#: Files of a date that one micro-batch writes at most where Spark can't size them itself.
+FILES_PER_DATE = 8
+
+
+def _by_date(rows: DataFrame) -> DataFrame:
+    """Rows clustered by date, large dates split, so that a batch writes few files per date.
 
-    ``rebalance`` clusters the rows by date and splits large dates, so a batch
-    writes few files per date."""
+    ``rebalance`` needs adaptive execution, which Spark turns off in a stateful stream:
+    there every shuffle partition would write a file per date, so the dates are dealt out here."""
+    if rows.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true":
+        return rows.hint("rebalance", "EventDate")
+    return rows.repartition("EventDate", F.pmod(F.xxhash64(keyindex.KEY), F.lit(FILES_PER_DATE)))
+
+
+def _append(rows: DataFrame, target_path: str, owner: str, generation: str) -> int:
+    """Write one generation of the table, then enter its keys in the index; returns the rows observed."""
     spark, index = rows.sparkSession, index_of(target_path)
     folder = f"{target_path.rstrip('/')}/Generation={generation}"
     seen = Observation("appended")
-    observed = rows.hint("rebalance", "EventDate").observe(seen, F.count(F.lit(1)).alias("rows"))
+    observed = _by_date(rows).observe(seen, F.count(F.lit(1)).alias("rows"))
     observed.write.mode("overwrite").partitionBy("EventDate").parquet(folder)
     written = int(seen.get["rows"])
     _enter(spark, index, folder, owner, generation, written)
