@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import heapq
 import math
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -35,6 +36,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidepool.models.expression import quoted
 from tidepool.session import stored
 
 # The reference's configuration, and the defaults that it relies on.
@@ -90,6 +92,11 @@ class Tree:
         return node
 
 
+def _in_sql(name: str) -> str:
+    """What ``F.col(name)`` reads, in SQL: parts between dots quoted, those in backticks as they are."""
+    return ".".join(part if part.startswith("`") else quoted(part) for part in re.findall(r"(?:`[^`]*`)+|[^.`]+", name))
+
+
 @dataclass
 class LeafwiseModel:
     """A fitted booster: probabilities and classes as columns."""
@@ -99,16 +106,21 @@ class LeafwiseModel:
     trees: list[Tree]
 
     def margin(self) -> Column:
-        """Log-odds, as one expression over the feature columns (no Python in the plan)."""
-        def walk(tree: Tree, node: int) -> Column:
+        """Log-odds, as one expression over the feature columns (no Python in the plan), parsed at once: a call per node takes longer than to score."""
+        names = [_in_sql(c) for c in self.features]
+
+        def number(v: float) -> str:
+            return f"{v!r}D" if math.isfinite(v) else f"CAST('{v!r}' AS DOUBLE)"
+
+        def walk(tree: Tree, node: int) -> str:
             if tree.feature[node] < 0:
-                return F.lit(tree.value[node])
-            x = F.col(self.features[tree.feature[node]]).cast("double")
-            return F.when(x <= F.lit(tree.threshold[node]), walk(tree, tree.left[node])).otherwise(walk(tree, tree.right[node]))
+                return number(tree.value[node])
+            x = f"CAST({names[tree.feature[node]]} AS DOUBLE)"
+            return f"CASE WHEN {x} <= {number(tree.threshold[node])} THEN {walk(tree, tree.left[node])} ELSE {walk(tree, tree.right[node])} END"
 
         if not self.trees:
             return F.lit(self.start)
-        return F.aggregate(F.array(*[walk(t, 0) for t in self.trees]), F.lit(self.start), lambda held, v: held + v)
+        return F.expr(f"aggregate(array({', '.join(walk(t, 0) for t in self.trees)}), {number(self.start)}, (held, v) -> held + v)")
 
     def transform(self, df: DataFrame) -> DataFrame:
         """``df`` with ``score`` (probability of class 1) and ``prediction``."""
@@ -270,23 +282,24 @@ def best_split(histogram: np.ndarray, sums: tuple[int, int, int], p: dict) -> tu
 
 
 def _order(nodes: list[_Node], p: dict) -> tuple[list[int], list[int]]:
-    """Splits that best-first growth makes as far as the known nodes tell, and the leaves it can still choose (largest gain first)."""
-    heap, made = [(-nodes[0].gain, 0)], []
-    waiting: list[tuple[float, int]] = []
-    while heap and len(made) < p["num_leaves"] - 1:
+    """Splits that best-first growth makes as far as the known nodes tell, and the leaves it can still choose (largest gain first).
+
+    What the unknown children of a leaf will add only moves later splits back, so a
+    leaf that is not among the next ``num_leaves`` - 1 of the known nodes is never chosen.
+    """
+    heap, made, expand = [(-nodes[0].gain, 0)], [], []
+    while heap and len(made) + len(expand) < p["num_leaves"] - 1:
         gain, i = heapq.heappop(heap)
         if -gain <= 0:
             break
         if nodes[i].children is None:
-            # Its children are unknown, so what comes after it is too.
-            waiting = [(gain, i), *heap]
-            break
+            expand.append(i)
+            continue
         made.append(i)
         for c in nodes[i].children:
             if nodes[c].gain > 0:
                 heapq.heappush(heap, (-nodes[c].gain, c))
-    left = p["num_leaves"] - 1 - len(made)
-    return made, [i for g, i in sorted(waiting)[:left] if nodes[i].children is None and -g > 0]
+    return made, expand
 
 
 def _grow(blocks: DataFrame, partitions: int, edges: list[np.ndarray], width: int, trees: list[Tree], p: dict) -> Tree:
